@@ -8,7 +8,7 @@ is the midpoint of a price band and missing for customers in debt.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveylake.functions.rules import Vocabulary
@@ -48,20 +48,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def line_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: the answers its lines give. Sets are of part types, brands and flags."""
-    lines = table(spark, sf_dir, "lineitem")
-    parts = table(spark, sf_dir, "part")
+def _two_letters(code: Column, between: str) -> Column:
+    return F.concat(F.char(F.floor(code / 256)), F.lit(between), F.char(code % 256))
+
+
+def line_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order: single answers taken from its lines.
+
+    One-letter flags are compared as character codes, which hash aggregation can update in place.
+    """
+    flag, status = F.ascii("l_returnflag"), F.ascii("l_linestatus")
     return (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("l_orderkey")
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_orderkey").alias("_flag_key"))
         .agg(
-            F.max("l_returnflag").alias("modelo_trabalho"),
+            F.max(flag).alias("_flag"),
             F.max(F.col("l_discount") > 0.05).alias("usa_ia_generativa"),
             F.max(F.col("l_tax") > 0.06).alias("empresa_prioriza_ia"),
             F.max(F.col("l_quantity") > 40).alias("busca_nova_oportunidade"),
-            F.max(F.concat("l_returnflag", F.lit("/"), "l_linestatus")).alias("tipo_uso_ia"),
-            F.min(F.concat("l_linestatus", F.lit("-"), "l_returnflag")).alias("_result"),
+            F.max(flag * 256 + status).alias("_usage"),
+            F.min(status * 256 + flag).alias("_result"),
+        )
+    )
+
+
+def line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order: the multi-select blocks, as the distinct part types, brands and flags."""
+    lines = table(spark, sf_dir, "lineitem")
+    parts = table(spark, sf_dir, "part")
+    return (
+        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .groupBy(F.col("l_orderkey").alias("_block_key"))
+        .agg(
             F.collect_set("p_type").alias("_types"),
             F.collect_set("p_brand").alias("bancos_dados"),
             F.collect_set("l_linestatus").alias("cloud_utilizada"),
@@ -85,9 +103,8 @@ def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
     balance = F.col("c_acctbal")
     return (
         orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
-        .join(
-            line_answers(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left"
-        )
+        .join(line_flags(spark, sf_dir), F.col("o_orderkey") == F.col("_flag_key"), "left")
+        .join(line_blocks(spark, sf_dir), F.col("o_orderkey") == F.col("_block_key"), "left")
         .select(
             year.cast("int").alias("survey_year"),
             F.col("o_orderkey").cast("string").alias("respondente_id"),
@@ -106,12 +123,14 @@ def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(balance < 6000, "3000-6000")
             .otherwise("6000+")
             .alias("tempo_experiencia_dados"),
-            "modelo_trabalho",
+            F.char(F.col("_flag")).alias("modelo_trabalho"),
             "busca_nova_oportunidade",
-            "tipo_uso_ia",
+            _two_letters(F.col("_usage"), "/").alias("tipo_uso_ia"),
             "usa_ia_generativa",
             "empresa_prioriza_ia",
-            F.when(year >= RESULT_QUESTION_SINCE, F.col("_result")).alias("resultado_ia_empresa"),
+            F.when(
+                year >= RESULT_QUESTION_SINCE, _two_letters(F.col("_result"), "-")
+            ).alias("resultado_ia_empresa"),
             F.when(year <= LANGUAGE_QUESTION_UNTIL, F.col("_types")).alias("linguagens"),
             "bancos_dados",
             "cloud_utilizada",
@@ -128,14 +147,17 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
 
 # The same table for the oracle.
 SILVER_SQL = """
-lines AS (
-  SELECT l_orderkey,
+flags AS (
+  SELECT l_orderkey AS flag_key,
          max(l_returnflag) AS modelo_trabalho,
          bool_or(l_discount > 0.05) AS usa_ia_generativa,
          bool_or(l_tax > 0.06) AS empresa_prioriza_ia,
          bool_or(l_quantity > 40) AS busca_nova_oportunidade,
          max(l_returnflag || '/' || l_linestatus) AS tipo_uso_ia,
-         min(l_linestatus || '-' || l_returnflag) AS result,
+         min(l_linestatus || '-' || l_returnflag) AS result
+  FROM lineitem GROUP BY l_orderkey),
+blocks AS (
+  SELECT l_orderkey AS block_key,
          list(DISTINCT p_type) AS types,
          list(DISTINCT p_brand) AS bancos_dados,
          list(DISTINCT l_linestatus) AS cloud_utilizada,
@@ -166,7 +188,8 @@ silver AS (
   FROM orders JOIN customer ON o_custkey = c_custkey
        JOIN nation ON c_nationkey = n_nationkey
        JOIN region ON n_regionkey = r_regionkey
-       LEFT JOIN lines ON o_orderkey = l_orderkey)"""
+       LEFT JOIN flags ON o_orderkey = flag_key
+       LEFT JOIN blocks ON o_orderkey = block_key)"""
 
 
 def with_silver(select: str, *tables: str) -> str:
