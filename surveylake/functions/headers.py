@@ -6,7 +6,7 @@ in the next; both become ``p1_a_idade``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveylake.functions import rules
@@ -36,57 +36,72 @@ def question_code(code: Column) -> Column:
     return F.when(joined.rlike(r"^[0-9]"), F.concat(F.lit("p"), joined)).otherwise(joined)
 
 
-def split_header(raw: Column) -> Column:
-    """``struct(code, statement)`` of a header; the code is NULL where the header has none."""
+# Marks put in front of a header that has a code: a tuple, a damaged tuple, a dotted code.
+_OF_TUPLE, _OF_BROKEN, _OF_DOTTED, _CUT = "\u001c", "\u001d", "\u001e", "\u001f"
+
+
+def mark_code(raw: Column) -> Column:
+    """Header with a mark in front and a cut between code and statement, where it has a code.
+
+    A marked text no longer begins like a header, so the three steps exclude one another.
+    """
     text = F.btrim(raw, F.lit(BLANKS))
+    text = F.regexp_replace(text, _TUPLE, f"{_OF_TUPLE}$1$2$3{_CUT}$4$5$6")
+    text = F.regexp_replace(text, _BROKEN_TUPLE, f"{_OF_BROKEN}$1{_CUT}$2")
+    return F.regexp_replace(text, _DOTTED, f"{_OF_DOTTED}$1{_CUT}$2")
 
-    def element(first_group: int) -> Column:
-        found = F.concat(
-            *[F.regexp_extract(text, _TUPLE, first_group + i) for i in range(3)]
-        )
-        return F.btrim(F.regexp_replace(found, r"\\(.)", "$1"), F.lit(BLANKS))
 
-    def broken(group: int) -> Column:
-        part = F.btrim(F.regexp_extract(text, _BROKEN_TUPLE, group), F.lit(BLANKS))
-        return F.btrim(part, F.lit("'\" "))
+def header_code(marked: Column) -> Column:
+    """Question code of a marked header, NULL where it has none."""
+    code = F.regexp_extract(marked, rf"(?s)^[{_OF_TUPLE}-{_OF_DOTTED}]['\"\s]*(.*?)['\"\s]*{_CUT}", 1)
+    return F.nullif(code, F.lit(""))
 
-    def pair(code: Column, statement: Column) -> Column:
-        return F.struct(
-            F.when(code != "", code).alias("code"), statement.alias("statement")
-        )
 
+def header_statement(marked: Column) -> Column:
+    """Statement of a marked header: all of it where there is no code."""
+    body = F.regexp_replace(marked, rf"(?s)^[{_OF_TUPLE}-{_OF_DOTTED}].*?{_CUT}", "")
     return (
-        F.when(text.rlike(_TUPLE), pair(element(1), element(4)))
-        .when(text.rlike(_BROKEN_TUPLE), pair(broken(1), broken(2)))
-        .when(
-            text.rlike(_DOTTED),
-            pair(F.regexp_extract(text, _DOTTED, 1), F.regexp_extract(text, _DOTTED, 2)),
-        )
-        .otherwise(pair(F.lit(""), text))
+        F.when(marked.startswith(_OF_TUPLE), F.btrim(F.regexp_replace(body, r"\\(.)", "$1"), F.lit(BLANKS)))
+        .when(marked.startswith(_OF_BROKEN), F.btrim(body, F.lit("'\"" + BLANKS)))
+        .otherwise(body)
     )
 
 
-def compose_name(code: Column, statement: Column) -> Column:
-    """Column name from a code and a statement, without repeating the code."""
-    prefix = F.coalesce(question_code(code), F.lit(""))
-    body = F.coalesce(slugify(statement), F.lit(""))
-    name = (
-        F.when(prefix == "", body)
+def split_header(raw: Column) -> Column:
+    """``struct(code, statement)`` of a header."""
+    marked = mark_code(raw)
+    return F.struct(header_code(marked).alias("code"), header_statement(marked).alias("statement"))
+
+
+def compose_name(prefix: Column, body: Column) -> Column:
+    """Column name from a question code and a slug, without repeating the code."""
+    prefix, body = F.coalesce(prefix, F.lit("")), F.coalesce(body, F.lit(""))
+    return (
+        F.when((prefix == "") & (body == ""), F.lit(UNNAMED))
+        .when((prefix == "") & body.rlike(r"^[0-9]"), F.concat(F.lit("c_"), body))
+        .when(prefix == "", body)
         .when(body == "", prefix)
         .when((body == prefix) | body.startswith(F.concat(prefix, F.lit("_"))), body)
         .otherwise(F.concat_ws("_", prefix, body))
     )
-    return (
-        F.when(name == "", F.lit(UNNAMED))
-        .when(name.rlike(r"^[0-9]"), F.concat(F.lit("c_"), name))
-        .otherwise(name)
-    )
 
 
-def column_name(raw: Column) -> Column:
-    """Raw header → column name, before names are made unique within an edition."""
-    parts = split_header(raw)
-    return compose_name(parts["code"], parts["statement"])
+def with_column_name(df: DataFrame, raw: str = "raw", name: str = "name") -> DataFrame:
+    """Raw header → column name, before names are made unique within an edition.
+
+    Each step is a projection of its own, so that no step is evaluated once per use.
+    """
+    return (
+        df.withColumn("_marked", mark_code(F.col(raw)))
+        .withColumns(
+            {
+                "_prefix": question_code(header_code(F.col("_marked"))),
+                "_body": slugify(header_statement(F.col("_marked"))),
+            }
+        )
+        .withColumn(name, compose_name(F.col("_prefix"), F.col("_body")))
+        .drop("_marked", "_prefix", "_body")
+    )
 
 
 def is_junk(name: Column) -> Column:
