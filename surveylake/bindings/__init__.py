@@ -6,6 +6,6 @@ from surveylake.bindings.registry import Registry
 
 
 def all_registries() -> list[Registry]:
-    from surveylake.bindings import marts
+    from surveylake.bindings import marts, operators
 
-    return [marts.REGISTRY]
+    return [marts.REGISTRY, operators.REGISTRY]
