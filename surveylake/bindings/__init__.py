@@ -6,6 +6,7 @@ from surveylake.bindings.registry import Registry
 
 
 def all_registries() -> list[Registry]:
-    from surveylake.bindings import marts, operators
+    from surveylake.bindings import answers, headers, marts, operators
 
-    return [marts.REGISTRY, operators.REGISTRY]
+    modules = (marts, operators, answers, headers)
+    return [module.REGISTRY for module in modules]
