@@ -104,7 +104,7 @@ _NAMED = (
 
 @entry("H5", f"SELECT p_partkey AS pos, name FROM {_NAMED}")
 def h5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return H.with_column_name(raw_headers(spark, sf_dir)).select("pos", "name")
+    return raw_headers(spark, sf_dir).select("pos", H.column_name(F.col("raw")).alias("name"))
 
 
 @entry("H6", """
@@ -122,5 +122,5 @@ def h6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @entry("H7", f"SELECT p_partkey AS pos, name FROM {_NAMED} WHERE p_type <> 'LARGE'")
 def h7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = H.with_column_name(raw_headers(spark, sf_dir))
-    return named.where(~H.is_junk(F.col("name"))).select("pos", "name")
+    named = raw_headers(spark, sf_dir).select("pos", H.column_name(F.col("raw")).alias("name"))
+    return named.where(~H.is_junk(F.col("name")))

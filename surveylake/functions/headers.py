@@ -6,7 +6,9 @@ in the next; both become ``p1_a_idade``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from surveylake.functions import rules
@@ -51,17 +53,24 @@ def mark_code(raw: Column) -> Column:
     return F.regexp_replace(text, _DOTTED, f"{_OF_DOTTED}$1{_CUT}$2")
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def header_code(marked: Column) -> Column:
     """Question code of a marked header, NULL where it has none."""
-    code = F.regexp_extract(marked, rf"(?s)^[{_OF_TUPLE}-{_OF_DOTTED}]['\"\s]*(.*?)['\"\s]*{_CUT}", 1)
-    return F.nullif(code, F.lit(""))
+    pattern = rf"(?s)^[{_OF_TUPLE}-{_OF_DOTTED}]['\"\s]*(.*?)['\"\s]*{_CUT}"
+    return F.nullif(F.regexp_extract(marked, pattern, 1), F.lit(""))
 
 
 def header_statement(marked: Column) -> Column:
     """Statement of a marked header: all of it where there is no code."""
     body = F.regexp_replace(marked, rf"(?s)^[{_OF_TUPLE}-{_OF_DOTTED}].*?{_CUT}", "")
+    spaced = F.regexp_replace(body, r"\\[nrt]", " ")
+    unescaped = F.btrim(F.regexp_replace(spaced, r"\\(.)", "$1"), F.lit(BLANKS))
     return (
-        F.when(marked.startswith(_OF_TUPLE), F.btrim(F.regexp_replace(body, r"\\(.)", "$1"), F.lit(BLANKS)))
+        F.when(marked.startswith(_OF_TUPLE), unescaped)
         .when(marked.startswith(_OF_BROKEN), F.btrim(body, F.lit("'\"" + BLANKS)))
         .otherwise(body)
     )
@@ -69,8 +78,12 @@ def header_statement(marked: Column) -> Column:
 
 def split_header(raw: Column) -> Column:
     """``struct(code, statement)`` of a header."""
-    marked = mark_code(raw)
-    return F.struct(header_code(marked).alias("code"), header_statement(marked).alias("statement"))
+    return _bound(
+        mark_code(raw),
+        lambda marked: F.struct(
+            header_code(marked).alias("code"), header_statement(marked).alias("statement")
+        ),
+    )
 
 
 def compose_name(prefix: Column, body: Column) -> Column:
@@ -86,21 +99,17 @@ def compose_name(prefix: Column, body: Column) -> Column:
     )
 
 
-def with_column_name(df: DataFrame, raw: str = "raw", name: str = "name") -> DataFrame:
-    """Raw header → column name, before names are made unique within an edition.
-
-    Each step is a projection of its own, so that no step is evaluated once per use.
-    """
-    return (
-        df.withColumn("_marked", mark_code(F.col(raw)))
-        .withColumns(
-            {
-                "_prefix": question_code(header_code(F.col("_marked"))),
-                "_body": slugify(header_statement(F.col("_marked"))),
-            }
-        )
-        .withColumn(name, compose_name(F.col("_prefix"), F.col("_body")))
-        .drop("_marked", "_prefix", "_body")
+def column_name(raw: Column) -> Column:
+    """Raw header → column name, before names are made unique within an edition."""
+    return _bound(
+        split_header(raw),
+        lambda header: _bound(
+            F.struct(
+                question_code(header["code"]).alias("prefix"),
+                slugify(header["statement"]).alias("body"),
+            ),
+            lambda part: compose_name(part["prefix"], part["body"]),
+        ),
     )
 
 

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from surveylake.functions.headers import is_junk, is_non_answer, option_label, with_column_name
+from surveylake.functions.headers import column_name, is_junk, is_non_answer, option_label
 from surveylake.functions.rules import CANONICAL_FIELDS, MULTI_SELECT_BLOCKS, FieldSpec
 from surveylake.operators.ranking import number_in_group
 
@@ -52,7 +52,7 @@ def unique_names(df: DataFrame, edition: str = "edition", pos: str = "pos", name
 
 def name_headers(headers: DataFrame) -> DataFrame:
     """Raw headers → unique column names, with a flag for export junk."""
-    return unique_names(with_column_name(headers)).withColumn("junk", is_junk(F.col("name")))
+    return unique_names(headers.withColumn("name", column_name(F.col("raw")))).withColumn("junk", is_junk(F.col("name")))
 
 
 def _priority(name: Column, spec: FieldSpec) -> Column:
