@@ -65,10 +65,10 @@ def x1(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- labels ----------------------------------------------------------------------------------
 
 _TEXT_RULES = [
-    (r"\bthe\b.*\bof\b", "english"),
-    (r"\b(le|la|les)\b", "french"),
-    (r"\b(der|die|das)\b", "german"),
-    (r"\b(el|los|las)\b", "spanish"),
+    (r" the [^\n]* of ", "english"),
+    (r" (le|la|les) ", "french"),
+    (r" (der|die|das) ", "german"),
+    (r" (el|los|las) ", "spanish"),
 ]
 
 

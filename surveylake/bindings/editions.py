@@ -466,7 +466,7 @@ def h10_h12(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT respondente_id, {', '.join(_SHOWN)}, linguagens, bancos_dados FROM expected"))
 def h13_h18(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every respondent in the canonical schema (H13, H14, H15, H18, X1–X12 on the way)."""
-    return _shown(silver.conform(spark, to_bronze(spark, sf_dir)))
+    return _shown(spark.read.parquet(to_silver(spark, sf_dir)))
 
 
 @entry("H14", with_silver("""
@@ -514,7 +514,7 @@ SELECT survey_year, count(*) AS linhas, count(*) AS ids,
   count(CASE WHEN respondente_id IS NULL THEN 1 END) AS gerados FROM expected GROUP BY survey_year"""))
 def x10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generated ids: as many distinct ids as respondents, so nobody is dropped as a repeat."""
-    people = silver.conform(spark, to_bronze(spark, sf_dir))
+    people = spark.read.parquet(to_silver(spark, sf_dir))
     per_id = people.groupBy("survey_year", "respondente_id").agg(F.count(F.lit(1)).alias("n"))
     made = ~F.col("respondente_id").startswith("r")
     return per_id.groupBy("survey_year").agg(

@@ -227,8 +227,14 @@ def answered(options: Sequence[Column]) -> Column:
 
 
 def chosen_labels(options: Sequence[tuple[Column, str]], asked: Sequence[Column]) -> Column:
-    """One-hot options of a block → array of distinct labels; NULL where the block was skipped."""
-    picks = [F.when(yes_no(clean_text(option)), F.lit(label)) for option, label in options]
-    empty = F.array().cast("array<string>")
-    labels = F.array_distinct(F.array_compact(F.array(*picks))) if picks else empty
+    """One-hot options of a block → array of distinct labels; NULL where the block was skipped.
+
+    The yes/no test is written once and applied to every option, so the plan stays small for
+    blocks of dozens of options.
+    """
+    pairs = F.array(
+        *[F.struct(value.alias("mark"), F.lit(label).alias("label")) for value, label in options]
+    )
+    chosen = F.filter(pairs, lambda option: yes_no(clean_text(option["mark"])))
+    labels = F.array_distinct(F.transform(chosen, lambda option: option["label"]))
     return F.when(answered(asked), labels)

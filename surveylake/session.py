@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -29,7 +31,10 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def build_session(app_name: str, master: str | None = None, **extra: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name)
+    # Call-site capture on every column expression costs more than building the plan does.
+    builder = SparkSession.builder.appName(app_name).config(
+        "spark.python.sql.dataFrameDebugging.enabled", "false"
+    )
     if master:
         builder = builder.master(master)
     for key, value in extra.items():
@@ -48,3 +53,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         root = os.path.join(tempfile.mkdtemp(prefix="surveylake-"), "shared")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Run-time settings for the actions inside the block; the former values come back after it."""
+    former = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in former.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -13,6 +13,7 @@ from surveylake.functions import text as X
 from surveylake.functions.rules import CANONICAL_FIELDS, MULTI_SELECT_BLOCKS, SILVER_COLUMNS
 from surveylake.operators.harmonise import header_table, resolve_blocks, resolve_fields
 from surveylake.operators.ranking import first_of_each, number_in_group
+from surveylake.session import settings
 from surveylake.sources.bronze import LINEAGE, bronze_editions, read_edition
 
 LABELLED = {
@@ -184,15 +185,20 @@ def conform(spark: SparkSession, bronze_path: str) -> DataFrame:
 
 
 def write_silver(silver: DataFrame, silver_path: str) -> int:
-    """Write the respondent table by edition; returns the rows written."""
+    """Write the respondent table by edition; returns the rows written.
+
+    The projection of dozens of derived columns gives the optimizer nothing to infer filters from,
+    but makes it spend most of the planning time on trying, so that inference is off here.
+    """
     seen = Observation()
-    (
-        silver.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("survey_year")
-        .parquet(silver_path)
-    )
+    with settings(silver.sparkSession, {"spark.sql.constraintPropagation.enabled": "false"}):
+        (
+            silver.observe(seen, F.count(F.lit(1)).alias("rows"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("survey_year")
+            .parquet(silver_path)
+        )
     return seen.get["rows"]
 
 
