@@ -27,8 +27,8 @@ _DOTTED = r"(?s)^(\d+(?:\.[A-Za-z0-9]+)*)[_\s](.+)$"
 
 def slugify(text: Column) -> Column:
     """Lower-case identifier of letters, digits and single underscores."""
-    spaced = F.replace(F.translate(fold(text), "/-", "  "), F.lit("+"), F.lit(" mais "))
-    return F.btrim(F.regexp_replace(spaced, r"[^a-z0-9]+", "_"), F.lit("_"))
+    spelled = F.replace(fold(text), F.lit("+"), F.lit(" mais "))
+    return F.btrim(F.regexp_replace(spelled, r"[^a-z0-9]+", "_"), F.lit("_"))
 
 
 def question_code(code: Column) -> Column:

@@ -39,8 +39,12 @@ _ACCENTED, _PLAIN = _accent_table()
 
 
 def strip_accents(text: Column) -> Column:
-    """Replace accented letters by their base letters and drop combining marks."""
-    return F.translate(text, _ACCENTED, _PLAIN)
+    """Replace accented letters by their base letters and drop combining marks.
+
+    Text of one byte per character has none, and skips the letter-by-letter pass.
+    """
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, text).otherwise(F.translate(text, _ACCENTED, _PLAIN))
 
 
 def fold(text: Column) -> Column:

@@ -167,16 +167,13 @@ def multi_cut_stats(
     copies again before anything is shuffled.
     """
     pairs = [
-        F.when(
-            F.col(column).isNotNull(),
-            F.struct(
-                F.lit(name).alias(dimension_as), F.col(column).cast("string").alias(category_as)
-            ),
-        )
+        F.struct(F.lit(name).alias(dimension_as), F.col(column).cast("string").alias(category_as))
         for name, column in cuts.items()
     ]
-    stacked = df.where(F.col(measure).isNotNull()).select(
-        *keys, measure, F.inline(F.array_compact(F.array(*pairs)))
+    stacked = (
+        df.where(F.col(measure).isNotNull())
+        .select(*keys, measure, F.inline(F.array(*pairs)))
+        .where(F.col(category_as).isNotNull())
     )
     return segment_stats(
         stacked, [*keys, dimension_as, category_as], measure, **options
