@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveylake.bindings.registry import Registry
@@ -16,12 +16,15 @@ REGISTRY = Registry()
 entry = REGISTRY.entry
 
 SALARY = "salario_medio_mensal"
-COUNT = F.count(F.lit(1))
+
+
+def _count() -> Column:
+    return F.count(F.lit(1))
 
 
 def by_year(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
     """Respondents per (year, keys)."""
-    return respondents(spark, sf_dir).groupBy("survey_year", *keys).agg(COUNT.alias("n"))
+    return respondents(spark, sf_dir).groupBy("survey_year", *keys).agg(_count().alias("n"))
 
 
 # --- aggregations ------------------------------------------------------------------------
@@ -63,7 +66,7 @@ SELECT cargo, count(*) AS respondentes, count(salario_medio_mensal) AS com_salar
 FROM silver GROUP BY cargo"""))
 def a2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return respondents(spark, sf_dir).groupBy("cargo").agg(
-        COUNT.alias("respondentes"),
+        _count().alias("respondentes"),
         F.count(SALARY).alias("com_salario"),
         F.count("usa_ia_generativa").alias("responderam"),
         F.sum(X.marked(F.col("usa_ia_generativa"))).alias("usam"),
@@ -78,7 +81,7 @@ def a3(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = respondents(spark, sf_dir).select("regiao", "valor")
     sketch = segments.with_percentiles(
         people.groupBy("regiao").agg(
-            COUNT.alias("n"),
+            _count().alias("n"),
             segments.percentile_columns("valor", segments.PERCENTILES, accuracy).alias("_s"),
         ),
         "_s", segments.PERCENTILES, digits=6,
@@ -187,7 +190,7 @@ def a9(spark: SparkSession, sf_dir: str) -> DataFrame:
     group = X.sector_group(
         F.col("setor_empresa"), WORDS.sector_words, WORDS.sector_name, WORDS.other_sectors
     )
-    return respondents(spark, sf_dir).groupBy(group.alias("grupo"), "genero").agg(COUNT.alias("n"))
+    return respondents(spark, sf_dir).groupBy(group.alias("grupo"), "genero").agg(_count().alias("n"))
 
 
 _A10 = "\n  UNION ALL ".join(
@@ -357,7 +360,7 @@ FROM (VALUES (1, '5-LOW'), (2, '3-MEDIUM'), (3, '0-LEAD'), (4, '1-URGENT')) v(po
 LEFT JOIN (SELECT senioridade, count(*) AS n FROM silver GROUP BY senioridade) s
   ON v.senioridade = s.senioridade"""))
 def o6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = respondents(spark, sf_dir).groupBy("senioridade").agg(COUNT.alias("n"))
+    counted = respondents(spark, sf_dir).groupBy("senioridade").agg(_count().alias("n"))
     return compare.reindex(counted, "senioridade", ["5-LOW", "3-MEDIUM", "0-LEAD", "1-URGENT"])
 
 
@@ -369,7 +372,7 @@ SELECT regiao, count(*) AS n FROM silver
 WHERE salario_medio_mensal IS NOT NULL AND senioridade IS NOT NULL GROUP BY regiao"""))
 def f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = F.col(SALARY).isNotNull() & F.col("senioridade").isNotNull()
-    return respondents(spark, sf_dir).where(known).groupBy("regiao").agg(COUNT.alias("n"))
+    return respondents(spark, sf_dir).where(known).groupBy("regiao").agg(_count().alias("n"))
 
 
 @entry("F2", with_silver("""
@@ -377,7 +380,7 @@ SELECT senioridade, count(*) AS n FROM silver
 WHERE senioridade IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '0-LEAD') GROUP BY senioridade"""))
 def f2(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = respondents(spark, sf_dir).where(F.col("senioridade").isin(*WORDS.query_levels))
-    return kept.groupBy("senioridade").agg(COUNT.alias("n"))
+    return kept.groupBy("senioridade").agg(_count().alias("n"))
 
 
 @entry("F3", with_silver("""
@@ -385,20 +388,20 @@ SELECT senioridade, count(*) AS n FROM silver WHERE senioridade <> '5-LOW' GROUP
 def f3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Also drops NULL, as the three-valued comparison does."""
     kept = respondents(spark, sf_dir).where(F.col("senioridade") != "5-LOW")
-    return kept.groupBy("senioridade").agg(COUNT.alias("n"))
+    return kept.groupBy("senioridade").agg(_count().alias("n"))
 
 
 @entry("F4", with_silver("""
 SELECT cargo, count(*) AS n FROM silver WHERE usa_ia_generativa GROUP BY cargo"""))
 def f4(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = respondents(spark, sf_dir).where(F.col("usa_ia_generativa"))
-    return kept.groupBy("cargo").agg(COUNT.alias("n"))
+    return kept.groupBy("cargo").agg(_count().alias("n"))
 
 
 @entry("F5", with_silver("SELECT cargo, count(*) AS n FROM silver WHERE survey_year = 1998 GROUP BY cargo"))
 def f5(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = respondents(spark, sf_dir).where(F.col("survey_year") == WORDS.middle_edition)
-    return kept.groupBy("cargo").agg(COUNT.alias("n"))
+    return kept.groupBy("cargo").agg(_count().alias("n"))
 
 
 @entry("F6", with_silver("""
@@ -438,7 +441,7 @@ def f8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(F.concat("linguagens", blanks)).alias("item")
     )
     kept = items.where(F.col("item").isNotNull() & (F.col("item") != ""))
-    return kept.groupBy("item").agg(COUNT.alias("n"))
+    return kept.groupBy("item").agg(_count().alias("n"))
 
 
 # --- joins and generators ------------------------------------------------------------------
@@ -462,7 +465,7 @@ FROM (SELECT valor, unnest(linguagens) AS linguagem FROM silver) GROUP BY lingua
 def j2(spark: SparkSession, sf_dir: str) -> DataFrame:
     exploded = respondents(spark, sf_dir).select("valor", F.explode("linguagens").alias("linguagem"))
     return exploded.groupBy("linguagem").agg(
-        COUNT.alias("n"), F.sum((F.col("valor") > 250000).cast("long")).alias("acima")
+        _count().alias("n"), F.sum((F.col("valor") > 250000).cast("long")).alias("acima")
     )
 
 
@@ -509,7 +512,7 @@ def e3_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table against itself read in other partitions has no differing row."""
     orders = table(spark, sf_dir, "orders")
     difference = quality.table_difference(orders, orders.repartition("o_custkey"))
-    return difference.groupBy().agg(COUNT.alias("diferentes"))
+    return difference.groupBy().agg(_count().alias("diferentes"))
 
 
 @entry("V1", with_silver("SELECT 'respondentes' AS tabela, count(*) = 0 AS vazia FROM silver"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveylake.functions.text import marked_or_zero, percentage, sector_group
@@ -27,10 +27,13 @@ from surveylake.operators.segments import (
 from surveylake.plans.lake import Lake
 from surveylake.plans.marts import ACCURACY, SALARY
 
-YEAR = F.col("survey_year").alias("ano")
 MEDIAN = {"salario_mediano": 0.5}
 
 
+def _year() -> Column:
+    return F.col("survey_year").alias("ano")
+
+
 def _median_by(df: DataFrame, keys: list, count_as: str, *extra) -> DataFrame:
     return with_percentiles(
         df.groupBy(*keys).agg(
@@ -50,7 +53,7 @@ def _of_edition(df: DataFrame, year: int) -> DataFrame:
 def q1_1(lake: Lake) -> DataFrame:
     """Overview of every edition."""
     return lake.mart("gold_evolucao_anual").select(
-        YEAR, "total_respondentes", "idade_media", "salario_mediano_geral", "pct_mulheres",
+        _year(), "total_respondentes", "idade_media", "salario_mediano_geral", "pct_mulheres",
         "pct_remoto", "pct_hibrido", "pct_presencial", "pct_usa_ia_generativa",
     ).orderBy("ano")
 
@@ -71,7 +74,7 @@ def q1_3(lake: Lake) -> DataFrame:
     levels = lake.words.query_levels
     counted = (
         lake.silver.where(F.col("senioridade").isin(*levels))
-        .groupBy(YEAR, "senioridade")
+        .groupBy(_year(), "senioridade")
         .agg(F.count(F.lit(1)).alias("respondentes"))
     )
     shared = share_within(counted, "respondentes", ["ano"], "pct_do_ano")
@@ -81,7 +84,7 @@ def q1_3(lake: Lake) -> DataFrame:
 def q1_4(lake: Lake) -> DataFrame:
     """Geographic concentration and median salary."""
     declared = lake.silver.where(F.col("regiao") != lake.words.undeclared)
-    counted = _median_by(declared, [YEAR, "regiao"], "respondentes")
+    counted = _median_by(declared, [_year(), "regiao"], "respondentes")
     return share_within(counted, "respondentes", ["ano"], "pct_do_ano").orderBy(
         "ano", F.desc("respondentes")
     )
@@ -108,7 +111,7 @@ def q2_2(lake: Lake) -> DataFrame:
     paid = lake.silver.where(
         F.col(SALARY).isNotNull() & F.col("senioridade").isin(*words.query_levels)
     )
-    levels = _median_by(paid, [YEAR, "senioridade"], "_n").where(
+    levels = _median_by(paid, [_year(), "senioridade"], "_n").where(
         F.col("_n") >= words.min_sample
     )
     premium = premium_vs_first(
@@ -140,7 +143,7 @@ def q3_1(lake: Lake) -> DataFrame:
     """Gender share per edition, among respondents with gender and level."""
     counted = (
         lake.mart("gold_diversidade_genero")
-        .groupBy(YEAR, "genero")
+        .groupBy(_year(), "genero")
         .agg(F.sum("respondentes").alias("respondentes"))
     )
     return share_within(counted, "respondentes", ["ano"], "pct").orderBy(
@@ -172,7 +175,7 @@ def q3_3(lake: Lake) -> DataFrame:
             & F.col("amostra_suficiente")
         )
         .select(
-            YEAR, "senioridade", "genero", "respondentes", "salario_mediano", "gap_salarial_pct"
+            _year(), "senioridade", "genero", "respondentes", "salario_mediano", "gap_salarial_pct"
         )
         .orderBy("ano", "senioridade", "genero")
     )
@@ -221,7 +224,7 @@ def q4_4(lake: Lake) -> DataFrame:
     return (
         lake.mart("gold_tecnologias")
         .where(F.col("categoria") == "Cloud")
-        .select(YEAR, F.col("tecnologia").alias("provedor_cloud"), "pct_adocao")
+        .select(_year(), F.col("tecnologia").alias("provedor_cloud"), "pct_adocao")
         .orderBy("ano", F.desc("pct_adocao"))
     )
 
@@ -233,7 +236,7 @@ def q5_1(lake: Lake) -> DataFrame:
         lake.mart("gold_evolucao_anual")
         .where(people.isNotNull())
         .select(
-            YEAR, people.alias("pct_profissionais_usam"),
+            _year(), people.alias("pct_profissionais_usam"),
             companies.alias("pct_empresas_priorizam"),
             F.round(people - companies, 2).alias("lacuna_pp_profissional_vs_empresa"),
         )
@@ -276,7 +279,7 @@ def q5_4(lake: Lake) -> DataFrame:
     """Who pays for AI, share of the edition."""
     counted = (
         lake.silver.where(F.col("tipo_uso_ia").isNotNull())
-        .groupBy(YEAR, "tipo_uso_ia")
+        .groupBy(_year(), "tipo_uso_ia")
         .agg(F.count(F.lit(1)).alias("respondentes"))
     )
     return share_within(counted, "respondentes", ["ano"], "pct").orderBy(
@@ -297,7 +300,7 @@ def q6_1(lake: Lake) -> DataFrame:
     """Work models over the editions."""
     return (
         lake.mart("gold_evolucao_anual")
-        .select(YEAR, "pct_remoto", "pct_hibrido", "pct_presencial")
+        .select(_year(), "pct_remoto", "pct_hibrido", "pct_presencial")
         .orderBy("ano")
     )
 

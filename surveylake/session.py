@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -42,16 +42,17 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
     return tune(builder.getOrCreate())
 
 
+@lru_cache(maxsize=1)
+def _single_machine_root() -> str:
+    return tempfile.mkdtemp(prefix="surveylake-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder under the cluster's shared checkpoint folder.
+    """A new folder under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one named in ``spark.checkpoint.dir``. Where it is unset (tests on one
-    machine) a temporary folder is made and recorded in the session.
+    Only where that setting is absent, as on a single machine, a temporary folder stands in.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = os.path.join(tempfile.mkdtemp(prefix="surveylake-"), "shared")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _single_machine_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
