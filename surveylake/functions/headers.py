@@ -6,13 +6,11 @@ in the next; both become ``p1_a_idade``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from surveylake.functions import rules
-from surveylake.functions.text import BLANKS, fold
+from surveylake.functions.text import BLANKS, bound, fold
 
 UNNAMED = "coluna_sem_nome"
 
@@ -53,11 +51,6 @@ def mark_code(raw: Column) -> Column:
     return F.regexp_replace(text, _DOTTED, f"{_OF_DOTTED}$1{_CUT}$2")
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
-    return F.transform(F.array(value), use)[0]
-
-
 def header_code(marked: Column) -> Column:
     """Question code of a marked header, NULL where it has none."""
     pattern = rf"(?s)^[{_OF_TUPLE}-{_OF_DOTTED}]['\"\s]*(.*?)['\"\s]*{_CUT}"
@@ -78,7 +71,7 @@ def header_statement(marked: Column) -> Column:
 
 def split_header(raw: Column) -> Column:
     """``struct(code, statement)`` of a header."""
-    return _bound(
+    return bound(
         mark_code(raw),
         lambda marked: F.struct(
             header_code(marked).alias("code"), header_statement(marked).alias("statement")
@@ -101,9 +94,9 @@ def compose_name(prefix: Column, body: Column) -> Column:
 
 def column_name(raw: Column) -> Column:
     """Raw header → column name, before names are made unique within an edition."""
-    return _bound(
+    return bound(
         split_header(raw),
-        lambda header: _bound(
+        lambda header: bound(
             F.struct(
                 question_code(header["code"]).alias("prefix"),
                 slugify(header["statement"]).alias("body"),

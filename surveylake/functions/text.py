@@ -7,7 +7,7 @@ their results can be pushed below joins.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -47,6 +47,11 @@ def strip_accents(text: Column) -> Column:
     return F.when(plain, text).otherwise(F.translate(text, _ACCENTED, _PLAIN))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def fold(text: Column) -> Column:
     """Lower case without accents: the form the label rules are written for."""
     return F.lower(strip_accents(text))
@@ -122,16 +127,18 @@ def salary_midpoint(cleaned: Column, folded: Column | None = None) -> Column:
     without pay are NULL: a zero would pull every median down.
     """
     folded = fold(cleaned) if folded is None else folded
-    amounts = salary_numbers(folded)
-    first = F.get(amounts, F.lit(0))
-    second = F.get(amounts, F.lit(1))
-    return (
-        F.when(folded.rlike(rules.UNPAID_WORDS), F.lit(None).cast("double"))
-        .when(second.isNotNull(), (first + second) / 2)
-        .when(folded.rlike(rules.BELOW_WORDS), first * rules.BELOW_FACTOR)
-        .when(folded.rlike(rules.ABOVE_WORDS), first * rules.ABOVE_FACTOR)
-        .otherwise(first)
-    )
+
+    def midpoint(amounts: Column) -> Column:
+        first, second = F.get(amounts, F.lit(0)), F.get(amounts, F.lit(1))
+        return (
+            F.when(first.isNull() | folded.rlike(rules.UNPAID_WORDS), F.lit(None).cast("double"))
+            .when(second.isNotNull(), (first + second) / 2)
+            .when(folded.rlike(rules.BELOW_WORDS), first * rules.BELOW_FACTOR)
+            .when(folded.rlike(rules.ABOVE_WORDS), first * rules.ABOVE_FACTOR)
+            .otherwise(first)
+        )
+
+    return bound(salary_numbers(folded), midpoint)
 
 
 def yes_no(cleaned: Column) -> Column:
@@ -239,6 +246,12 @@ def chosen_labels(options: Sequence[tuple[Column, str]], asked: Sequence[Column]
     pairs = F.array(
         *[F.struct(value.alias("mark"), F.lit(label).alias("label")) for value, label in options]
     )
-    chosen = F.filter(pairs, lambda option: yes_no(clean_text(option["mark"])))
+
+    def marked_option(option: Column) -> Column:
+        mark = option["mark"]
+        spelled_out = yes_no(clean_text(mark))
+        return F.when(mark == "1", F.lit(True)).when(mark != "0", spelled_out)
+
+    chosen = F.filter(pairs, marked_option)
     labels = F.array_distinct(F.transform(chosen, lambda option: option["label"]))
     return F.when(answered(asked), labels)

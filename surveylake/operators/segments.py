@@ -15,8 +15,8 @@ from surveylake.functions.text import enough, marked, marked_or_zero, percentage
 
 PERCENTILES = {"salario_mediano": 0.5, "salario_p25": 0.25, "salario_p75": 0.75}
 
-# Buckets per natural-log unit of the measure in the exact percentile; one bucket is 0.1 % wide.
-BUCKETS_PER_LOG_UNIT = 1000
+# Buckets per natural-log unit of the measure in the exact percentile; one is 0.005 % wide.
+BUCKETS_PER_LOG_UNIT = 20_000
 
 
 def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
