@@ -108,7 +108,7 @@ def exact_percentiles(
         for index, name in enumerate(percentiles)
     ]
     return reached.groupBy(*keys).agg(
-        F.first("n").alias("n"), F.first("total").alias("total"), *answers
+        F.max("n").alias("n"), F.max("total").alias("total"), *answers
     )
 
 
