@@ -27,6 +27,7 @@ def header_table(spark: SparkSession, headers: Mapping[str, Sequence[str]]) -> D
 def unique_names(df: DataFrame, edition: str = "edition", pos: str = "pos", name: str = "name") -> DataFrame:
     """Suffix repeated names of an edition with ``_2``, ``_3`` …, skipping names already taken."""
     numbered = number_in_group(df, [edition, name], pos, "_nth")
+    suffix = F.when(F.col("_suffix") >= 2, F.col("_suffix"))
     taken = (
         df.select(
             edition,
@@ -34,7 +35,7 @@ def unique_names(df: DataFrame, edition: str = "edition", pos: str = "pos", name
             F.regexp_extract(name, r"^(.*)_([1-9]\d*)$", 2).try_cast("long").alias("_suffix"),
         )
         .groupBy(edition, F.col("_base").alias(name))
-        .agg(F.array_sort(F.collect_set(F.when(F.col("_suffix") >= 2, F.col("_suffix")))).alias("_taken"))
+        .agg(F.array_sort(F.collect_set(suffix)).alias("_taken"))
     )
     free = F.aggregate(
         F.coalesce("_taken", F.array().cast("array<bigint>")),

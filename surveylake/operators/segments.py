@@ -56,9 +56,9 @@ def exact_percentiles(
     """
     keys = list(keys)
     value = F.col("_value")
-    bucket = F.floor(
-        F.signum(value) * F.floor(F.log1p(F.abs(value)) * F.lit(BUCKETS_PER_LOG_UNIT))
-    )
+    scaled = F.signum(value) * F.floor(F.log1p(F.abs(value)) * F.lit(BUCKETS_PER_LOG_UNIT))
+    # NaN shares the last bucket with infinity and orders after it, as in Spark sorts.
+    bucket = F.when(F.isnan(value), F.lit(2**63 - 1)).otherwise(F.floor(scaled))
     histogram = (
         df.where(F.col(measure).isNotNull())
         .groupBy(*keys, F.col(measure).cast("double").alias("_value"))

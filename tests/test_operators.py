@@ -46,6 +46,15 @@ def test_segment_stats_against_brute_force(people, exact):
             assert got[key][name] == pytest.approx(brute(values, p), abs=0.006)
 
 
+def test_exact_percentiles_of_extreme_values(spark):
+    values = [float("-inf"), -1e300, -1e-300, -0.0, 1e-300, 1e300, float("inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    points = {f"p{i}": i / 8 for i in range(1, 9)}
+    row = segments.exact_percentiles(df, [], "v", points).first()
+    assert [row[f"p{i}"] for i in range(1, 8)] == values[:7]
+    assert math.isnan(row["p8"]) and row["n"] == 8
+
+
 def test_multi_cut_equals_single_cuts(people):
     cuts = {"k": "k", "g": "g"}
     together = segments.multi_cut_stats(people, ["year"], cuts, "v")
