@@ -84,7 +84,8 @@ def named_columns(spark: SparkSession, groups: list[EditionFiles]) -> dict[str,
 
 def with_lineage(df: DataFrame, year: int) -> DataFrame:
     """Edition, source export and ingestion time."""
-    export = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.(?i:csv))(?:/[^/]+)?$", 1)
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    export = F.regexp_extract(path, r"([^/]+\.(?i:csv))(?:/[^/]+)?$", 1)
     return df.select(
         "*",
         F.lit(year).cast("int").alias("survey_year"),

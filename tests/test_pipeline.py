@@ -42,7 +42,7 @@ def home(spark):
         same, same,
     ])
     # A second export of the same edition, with another header.
-    export("survey_2023_b.CSV", OLD[:3], [["r9", "40", "Mulher"]])
+    export("survey 2023+b.CSV", OLD[:3], [["r9", "40", "Mulher"]])
     export("survey_2024_2025.csv", NEW, [
         ["t1", "30", "Homem", "sp", "Analista de BI", "Senior", "não recebo",
          "Modelo híbrido com dias fixos presencial", "100% remoto", "Não utilizo nenhum tipo", "", "sim"],
@@ -55,6 +55,8 @@ def test_chain(spark, home):
     report = bronze.ingest(spark, f"{home}/raw", f"{home}/bronze")
     assert {year: part["rows"] for year, part in report.items()} == {2023: 5, 2024: 1}
     assert bronze.bronze_editions(spark, f"{home}/bronze") == [2023, 2024]
+    exports = bronze.read_edition(spark, f"{home}/bronze", 2023).select("arquivo_origem").distinct()
+    assert {row[0] for row in exports.collect()} == {"survey_2023.csv", "survey 2023+b.CSV"}
     comments = bronze.read_edition(spark, f"{home}/bronze", 2023).select("p9_comentario_livre")
     assert 'linha 1\nlinha "2"' in [row[0] for row in comments.collect()]
     assert "unnamed_0" not in bronze.read_edition(spark, f"{home}/bronze", 2023).columns
