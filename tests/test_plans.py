@@ -2,10 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from surveylake.bindings import all_registries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = {name: query for part in all_registries() for name, query in part.queries.items()}
 # Their plans are those of reading written tables back.
 WRITES = {"S1_S4", "S5_S6", "S7_S12", "S8_S9", "S10", "H13_H18", "X10", "S3"}
 
