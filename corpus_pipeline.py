@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveylake.llm import bag_minhash, cross_parsing
-from surveylake.llm.common import saved
+from surveylake.llm import bag_minhash, cross_parsing, mixing, packing, pii
+from surveylake.llm.common import column, saved
+from surveylake.llm.queries import tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -26,9 +27,28 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bag_minhash.deduplicated(docs)
 
 
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data in the texts; ``n_chars`` follows the new text."""
+    return pii.redact(docs, n_chars="n_chars")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat or leave out documents so that sources come closer to equal shares, in random order."""
+    return mixing.mixed(docs).select(*map(column, docs.columns))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place the tokens of all documents in sequences of 1024."""
+    pieces = packing.token_pieces(docs, tokenizer_path())
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))).placed
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", language_id),
     ("near_dedup", near_dedup),
+    ("pii", redact_pii),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
 # Language models, signatures and token ids are beyond SQL; tests compare the stages with brute force.
