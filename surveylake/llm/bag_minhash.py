@@ -9,9 +9,11 @@ and a process stops once its time has passed the largest entry of the signature.
 each component collides with the probability of the weighted Jaccard similarity. Bands of the
 signature propose pairs, and each is verified on the exact multiset overlap.
 
-Documents with equal multisets form one node. Within a bucket of a band, nodes are compared with one
-leader at a time; after each round of leaders the components found so far are joined and only pairs
-across components remain. What is left after the last round is compared pair by pair.
+Documents with equal multisets form one node. Within a bucket of a band, each node is first compared
+with one leader, the member with most company in all its buckets. Where the members of a bucket are
+then in more than one component, all of them are compared in blocks: a pair of blocks is one product
+of incidence matrices in one task, which returns only links that join components. So no pair of a
+bucket is left unseen, and no pair is emitted unless it is such a link.
 
 Defined results: a document that is NULL or has no word is a class of its own. Class ids are the
 smallest doc_id of the class (NULL only if all its ids are NULL). Repeated rows are in one class.
@@ -34,9 +36,10 @@ from surveylake.llm.words import mix, shingles, word_hashes
 SIZE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5  # a pair at 0.8 shares a band with probability 0.99995
-LEADER_ROUNDS = 3
 CHUNK_CHARS = 4_000_000
 GROUP = 64  # texts compared with one leader in one group
+BLOCK = 512  # texts in one block of a comparison of blocks
+COLUMNS = 4096  # shingles in one product of incidence matrices
 
 _SEED = mix(np.arange(4, dtype=np.uint64) + np.uint64(77))
 
@@ -154,29 +157,78 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.groupBy("leader", "part").applyInPandas(_verify, "a binary, b binary")
 
 
-def _round(shared: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
-    """Pairs of each unresolved bucket's leader of this turn with the members of other components."""
-    if roots is not None:
-        shared = _open(shared, roots)
-    else:
-        shared = shared.withColumn("root", F.col("node"))
-    order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "root") if turn else F.struct("node", "root")
-    leaders = shared.groupBy("bucket").agg(F.min(order).alias("first")).select(
-        "bucket", F.col("first.node").alias("leader"), F.col("first.root").alias("leader_root")
-    )
-    return (
-        salted_join(shared, leaders, ["bucket"], F.col("node"), salts=16)
-        .where(F.col("root") != F.col("leader_root"))
-        .select("leader", "node")
-        .distinct()
-    )
-
-
-def _open(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of the buckets whose members are in more than one component, with their root."""
+def _elements(text: str) -> np.ndarray:
+    """The multiset of a text as a set: each shingle once for each of its weight levels."""
+    values, counts = multiset(word_hashes([text.lower()])[0])
+    level = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.repeat(values, counts) ^ mix(level.astype(np.uint64))
+
+
+def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of all left with all right sets, by products of incidence matrices."""
+    sizes = [len(x) for x in sets]
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[place] > 1
+    owner, place = owner[shared], (np.cumsum(count > 1) - 1)[place[shared]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    total = np.zeros((len(left), len(right)), dtype=np.float32)
+    for low in range(0, int(place.max(initial=-1)) + 1, COLUMNS):
+        a, b = np.searchsorted(place, [low, low + COLUMNS])
+        matrix = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        matrix[owner[a:b], place[a:b] - low] = 1
+        total += matrix[left] @ matrix[right].T
+    return total.astype(np.int64)
+
+
+def _compare(group: pd.DataFrame) -> pd.DataFrame:
+    """Links between the two blocks of a group (or within its one block) that join different components."""
+    group = group.drop_duplicates(["block", "node"])
+    sets = [_elements(text) for text in group["text"]]
+    size = np.array([len(x) for x in sets])
+    block = group["block"].to_numpy()
+    left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+    shared = overlaps(sets, left, right)
+    whole = size[left][:, None] + size[right][None, :] - shared
+    roots, nodes = list(group["root"]), list(group["node"])
+    number = {root: i for i, root in enumerate(dict.fromkeys(roots))}
+    root = np.array([number[x] for x in roots])
+    parent = list(range(len(number)))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    near = (shared >= SIMILARITY * whole - 1e-9) & (root[left][:, None] != root[right][None, :])
+    links = []
+    for i, j in np.argwhere(near):
+        x, y = left[i], right[j]
+        a, b = find(root[x]), find(root[y])
+        if a != b:
+            parent[a] = b
+            links.append((nodes[x], nodes[y]))
+    return pd.DataFrame(links, columns=["a", "b"])
+
+
+def _across(shared: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between the components of each bucket that has several.
+
+    The members of all buckets with one leader are cut into blocks, and each pair of blocks is
+    compared as a whole in one task; a task returns fewer links than it has texts.
+    """
     rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("bucket")
-    return salted_join(rooted, several, ["bucket"], F.col("node"), salts=16)
+    members = rooted.join(several, "bucket").select("leader", "node", "root").distinct()
+    sizes = members.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = salted_join(members, sizes, ["leader"], F.col("node"), salts=16)
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = dealt.select(
+        "leader", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root"
+    )
+    return met.join(texts, "node").groupBy("leader", "low", "high").applyInPandas(_compare, "a binary, b binary")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -192,34 +244,20 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     nodes = rows.where("bands is not null").groupBy("node").agg(F.min("key").alias("key"), F.first("bands").alias("bands"))
     nodes = saved(nodes, "near-nodes")
     dealt = nodes.select("node", F.explode("bands").alias("bucket"))
-    full = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    shared = saved(salted_join(dealt, full, ["bucket"], F.col("node"), salts=4), "near-buckets")
+    full = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = saved(dealt.join(full, "bucket"), "near-buckets")
+    # The leader of a bucket is the member with most company in all its buckets.
+    company = shared.groupBy("node").agg(F.sum("n").alias("company"))
+    weighed = shared.join(company, "node")
+    leaders = weighed.groupBy("bucket").agg(F.min(F.struct(-F.col("company"), "node")).getField("node").alias("leader"))
+    shared = saved(salted_join(shared.select("bucket", "node"), leaders, ["bucket"], F.col("node"), salts=4), "near-leaders")
     wanted = shared.select("node").distinct().join(nodes.select("node", "key"), "node")
-    texts = saved(
-        docs.select(key.alias("key"), text_of(text).alias("text")).join(wanted, "key").groupBy("node").agg(F.first("text").alias("text")),
-        "near-texts",
-    )
-    none = docs.sparkSession.createDataFrame([], "a binary, b binary")
-    links, tried, roots = none, none, None
-    for turn in range(LEADER_ROUNDS + 1):
-        if turn < LEADER_ROUNDS:
-            pairs = _round(shared, roots, turn)
-        else:  # what no leader has joined: all pairs that are left across components
-            left = _open(shared, roots)
-            right = left.select("bucket", F.col("node").alias("leader"), F.col("root").alias("leader_root"))
-            pairs = left.join(right, "bucket").where(F.col("leader_root") < F.col("root")).select("leader", "node").distinct()
-        either = F.array_sort(F.array("leader", "node"))
-        pairs = pairs.withColumn("a", either[0]).withColumn("b", either[1]).join(tried, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "near-pairs")
-        if pairs.isEmpty():
-            if turn and turn < LEADER_ROUNDS:
-                continue
-            break
-        tried = tried.unionByName(pairs.select("a", "b"))
-        links = links.unionByName(saved(_verified(pairs.select("leader", "node"), texts), "near-links"))
-        roots = components(links)
-    if roots is None:
-        roots = none.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    texts = docs.select(key.alias("key"), text_of(text).alias("text")).join(wanted, "key").dropDuplicates(["key"])
+    texts = saved(texts.select("node", "text"), "near-texts")
+    pairs = shared.where("node != leader").select("leader", "node").distinct()
+    links = saved(_verified(pairs, texts), "near-links")
+    links = links.unionByName(saved(_across(shared, components(links), texts), "near-links"))
+    roots = components(links)
     placed = rows.join(roots, "node", "left").select("key", "doc_id", F.coalesce("root", "node").alias("root"))
     heads = placed.groupBy("root").agg(
         F.min("doc_id").alias("class_id"),

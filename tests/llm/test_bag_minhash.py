@@ -63,6 +63,15 @@ def test_exact_similarity():
     assert near.similarity(a, b) == 4 / (7 + 8 - 4)
 
 
+def test_overlaps_are_those_of_the_multisets():
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(1, 40))) for _ in range(30)]
+    sets = [near._elements(t) for t in texts]
+    got = near.overlaps(sets, np.arange(10), np.arange(10, 30))
+    bags = [bag(t) for t in texts]
+    assert got.tolist() == [[sum((bags[i] & bags[j]).values()) for j in range(10, 30)] for i in range(10)]
+
+
 def edited(rng, words, text, n):
     out = list(text)
     for _ in range(n):
@@ -94,9 +103,11 @@ def test_classes_match_all_pairs(documents, words):
     assert Counter((r.doc_id, r.class_id) for r in found) == want
 
 
-def test_leaders_alone_lose_nothing(documents, words, monkeypatch):
+def test_small_blocks_and_products_lose_nothing(documents, words, monkeypatch):
     rows = cases(words)
-    monkeypatch.setattr(near, "LEADER_ROUNDS", 1)
+    monkeypatch.setattr(near, "BLOCK", 7)
+    monkeypatch.setattr(near, "COLUMNS", 50)
+    monkeypatch.setattr(near, "GROUP", 3)
     found = near.classes(documents(rows)).collect()
     assert Counter((r.doc_id, r.class_id) for r in found) == Counter((i, c) for (i, _), c in zip(rows, brute(rows)))
 
