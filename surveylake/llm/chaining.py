@@ -250,8 +250,8 @@ def _aligned(group: pd.DataFrame) -> pd.DataFrame:
 def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, partner_id, start, end, partner_start, partner_end, n_equal`` of every passage found.
 
-    The partner is the document where the passage's seeds occur first; of a passage in many
-    documents, each of the others has a row with it.
+    The partner is a document where seeds of the passage occur first. Of a passage in many documents
+    each has a row with one of them or with a few, where seeds at its edges occur first elsewhere.
     """
     key = row_key(column(doc_id), column(text))
     schema = "seeds array<bigint>, places array<int>"

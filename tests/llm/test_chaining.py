@@ -62,9 +62,15 @@ def test_planted_passages(documents, words):
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(70, None), (71, ""), (72, "a b c")]
     found = chaining.passages(documents(rows)).collect()
     pairs = {(r.doc_id, r.partner_id) for r in found}
-    ids = {frozenset(p) for p in pairs}
-    assert len(ids) == len(pairs) == len(found) == 2 + 34
+    assert len({frozenset(p) for p in pairs}) == len(pairs) == len(found)
     groups = [{3, 8, 20}, set(range(25, 60))]
+    for group in groups:  # linked as a whole, by far fewer links than pairs
+        own = [p for p in pairs if p[0] in group]
+        assert all(p[1] in group for p in own) and len(group) - 1 <= len(own) <= 3 * len(group)
+        reached = {min(group)}
+        for _ in group:
+            reached |= {x for p in own if reached & set(p) for x in p}
+        assert reached == group
     assert {x for p in pairs for x in p} == groups[0] | groups[1]
     for r in found:
         for doc, start, end in ((r.doc_id, r.start, r.end), (r.partner_id, r.partner_start, r.partner_end)):
