@@ -180,7 +180,7 @@ def top_k(
 
 TOP_K_SQL = """
 WITH whole AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+    SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
 ), scored AS (
     SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
     FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
