@@ -471,19 +471,19 @@ def h13_h18(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @entry("H14", with_silver("""
 SELECT CAST(survey_year AS INTEGER) AS survey_year, cargo, NULL::VARCHAR AS regiao,
-  salario_medio_mensal FROM silver WHERE survey_year = 1996
-UNION ALL SELECT survey_year, NULL, regiao, NULL FROM silver WHERE survey_year = 1998"""))
+  salario_medio_mensal FROM silver WHERE survey_year % 2 = 0
+UNION ALL SELECT survey_year, NULL, regiao, NULL FROM silver WHERE survey_year % 2 = 1"""))
 def h14(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two editions with different columns, aligned to one list of columns and types."""
+    """Even and odd editions with different columns, aligned to one list of columns and types."""
     from surveylake.bindings.tables import respondents
 
     people = respondents(spark, sf_dir)
-    first = people.where(F.col("survey_year") == 1996)
-    second = people.where(F.col("survey_year") == 1998)
+    even = people.where(F.col("survey_year") % 2 == 0)
+    odd = people.where(F.col("survey_year") % 2 == 1)
     parts = silver.align(
         [
-            first.select("survey_year", "cargo", "salario_medio_mensal"),
-            second.select("regiao", F.col("survey_year").cast("string").alias("survey_year")),
+            even.select("survey_year", "cargo", "salario_medio_mensal"),
+            odd.select("regiao", F.col("survey_year").cast("string").alias("survey_year")),
         ]
     )
     return reduce(DataFrame.unionByName, parts)

@@ -119,6 +119,8 @@ def with_marts(select: str, *extra: str) -> str:
     return with_silver(select, *used, *extra)
 
 
+# Editions of the orders; the queries find them in the data.
+YEARS = range(1995, 2002)
 LEVEL_IN = "senioridade IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '0-LEAD')"
 SHARE_OF_YEAR = "round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY survey_year), 2)"
 
@@ -126,11 +128,11 @@ QUERY_SQL = {
     "Q1.1": """SELECT survey_year AS ano, total_respondentes, idade_media, salario_mediano_geral,
   pct_mulheres, pct_remoto, pct_hibrido, pct_presencial, pct_usa_ia_generativa
 FROM gold_evolucao_anual""",
-    "Q1.2": """SELECT cargo,
-  CAST(sum(CASE WHEN survey_year = 1996 THEN respondentes ELSE 0 END) AS BIGINT) AS resp_1996,
-  CAST(sum(CASE WHEN survey_year = 1998 THEN respondentes ELSE 0 END) AS BIGINT) AS resp_1998,
-  CAST(sum(CASE WHEN survey_year = 2000 THEN respondentes ELSE 0 END) AS BIGINT) AS resp_2000,
-  round(sum(CASE WHEN survey_year = 2000 THEN pct_do_ano ELSE 0 END), 2) AS pct_mercado_2000
+    "Q1.2": "SELECT cargo, " + ", ".join(
+        f"CAST(coalesce(sum(respondentes) FILTER (survey_year = {year}), 0) AS BIGINT) AS resp_{year}" for year in YEARS
+    ) + f""",
+  round(coalesce(sum(pct_do_ano) FILTER (survey_year = (SELECT max(survey_year) FROM silver)), 0), 2)
+    AS pct_mercado_{YEARS[-1]}
 FROM gold_perfil_mercado WHERE cargo IS NOT NULL GROUP BY cargo""",
     "Q1.3": f"""SELECT survey_year AS ano, senioridade, count(*) AS respondentes,
   {SHARE_OF_YEAR} AS pct_do_ano
@@ -140,7 +142,7 @@ FROM silver WHERE {LEVEL_IN} GROUP BY survey_year, senioridade""",
 FROM silver WHERE regiao IS NOT NULL AND regiao <> 'UNDECLARED' GROUP BY survey_year, regiao""",
     "Q2.1": """SELECT categoria AS cargo, respondentes, salario_mediano, salario_p25, salario_p75,
   round(salario_p75 - salario_p25, 2) AS amplitude_interquartil
-FROM gold_remuneracao WHERE dimensao = 'cargo' AND survey_year = 2000 AND amostra_suficiente""",
+FROM gold_remuneracao WHERE dimensao = 'cargo' AND survey_year = (SELECT max(survey_year) FROM silver) AND amostra_suficiente""",
     "Q2.2": f"""SELECT survey_year AS ano, senioridade, round(mediana, 2) AS salario_mediano,
   round(100.0 * (mediana - first_value(mediana) OVER w) / first_value(mediana) OVER w, 1)
     AS premio_vs_junior_pct
@@ -150,37 +152,33 @@ FROM (SELECT survey_year, senioridade, {MEDIAN} AS mediana FROM silver
 WINDOW w AS (PARTITION BY survey_year ORDER BY CASE senioridade WHEN '1-URGENT' THEN 1
              WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 3 ELSE 4 END)""",
     "Q2.3": """SELECT cargo, senioridade, respondentes, salario_mediano FROM gold_perfil_mercado
-WHERE survey_year = 2000 AND amostra_suficiente AND salario_mediano IS NOT NULL
+WHERE survey_year = (SELECT max(survey_year) FROM silver) AND amostra_suficiente AND salario_mediano IS NOT NULL
 ORDER BY salario_mediano DESC, cargo, senioridade NULLS FIRST LIMIT 20""",
     "Q2.4": """SELECT categoria AS nivel_ensino, respondentes, salario_mediano
 FROM gold_remuneracao
-WHERE dimensao = 'nivel_ensino' AND survey_year = 2000 AND amostra_suficiente""",
+WHERE dimensao = 'nivel_ensino' AND survey_year = (SELECT max(survey_year) FROM silver) AND amostra_suficiente""",
     "Q3.1": """SELECT survey_year AS ano, genero, CAST(sum(respondentes) AS BIGINT) AS respondentes,
   round(100.0 * sum(respondentes) / sum(sum(respondentes)) OVER (PARTITION BY survey_year), 2)
     AS pct
 FROM gold_diversidade_genero GROUP BY survey_year, genero""",
-    "Q3.2": f"""SELECT senioridade,
-  round(max(CASE WHEN survey_year = 1996 AND genero = 'F' THEN pct_representatividade END), 2)
-    AS pct_fem_1996,
-  round(max(CASE WHEN survey_year = 1998 AND genero = 'F' THEN pct_representatividade END), 2)
-    AS pct_fem_1998,
-  round(max(CASE WHEN survey_year = 2000 AND genero = 'F' THEN pct_representatividade END), 2)
-    AS pct_fem_2000
+    "Q3.2": "SELECT senioridade, " + ", ".join(
+        f"round(max(pct_representatividade) FILTER (survey_year = {year} AND genero = 'F'), 2) AS pct_fem_{year}" for year in YEARS
+    ) + f"""
 FROM gold_diversidade_genero WHERE {LEVEL_IN} GROUP BY senioridade""",
     "Q3.3": """SELECT survey_year AS ano, senioridade, genero, respondentes, salario_mediano,
   gap_salarial_pct
 FROM gold_diversidade_genero WHERE genero IN ('P', 'F') AND amostra_suficiente""",
     "Q4.1": """SELECT categoria, tecnologia, usuarios, base_respondentes, pct_adocao
-FROM gold_tecnologias WHERE survey_year = 2000""",
-    "Q4.2": """SELECT *, round(pct_2000 - pct_1996, 2) AS variacao_pp
-FROM (SELECT categoria, tecnologia,
-             max(CASE WHEN survey_year = 1996 THEN pct_adocao END) AS pct_1996,
-             max(CASE WHEN survey_year = 2000 THEN pct_adocao END) AS pct_2000
-      FROM gold_tecnologias GROUP BY categoria, tecnologia)
-WHERE pct_1996 IS NOT NULL AND pct_2000 IS NOT NULL""",
+FROM gold_tecnologias WHERE survey_year = (SELECT max(survey_year) FROM silver)""",
+    "Q4.2": f"""SELECT categoria, tecnologia, a.pct_adocao AS pct_{YEARS[0]}, z.pct_adocao AS pct_{YEARS[-1]},
+  round(z.pct_adocao - a.pct_adocao, 2) AS variacao_pp
+FROM gold_tecnologias a JOIN gold_tecnologias z USING (categoria, tecnologia)
+WHERE a.survey_year = (SELECT min(survey_year) FROM silver)
+  AND z.survey_year = (SELECT max(survey_year) FROM silver)""",
     "Q4.3": f"""SELECT linguagem, count(*) AS profissionais, {MEDIAN} AS salario_mediano
 FROM (SELECT salario_medio_mensal, unnest(linguagens) AS linguagem FROM silver
-      WHERE survey_year = 1999 AND salario_medio_mensal IS NOT NULL)
+      WHERE survey_year = (SELECT max(survey_year) FROM silver WHERE linguagens IS NOT NULL)
+        AND salario_medio_mensal IS NOT NULL)
 GROUP BY linguagem HAVING count(*) >= 30""",
     "Q4.4": """SELECT survey_year AS ano, tecnologia AS provedor_cloud, pct_adocao
 FROM gold_tecnologias WHERE categoria = 'Cloud'""",
@@ -189,57 +187,56 @@ FROM gold_tecnologias WHERE categoria = 'Cloud'""",
   round(pct_usa_ia_generativa - pct_empresa_prioriza_ia, 2)
     AS lacuna_pp_profissional_vs_empresa
 FROM gold_evolucao_anual WHERE pct_usa_ia_generativa IS NOT NULL""",
-    "Q5.2": """SELECT cargo, CAST(sum(respondentes) AS BIGINT) AS respondentes,
-  round(100.0 * sum(usam_ia) / nullif(sum(base_uso_pessoal), 0), 2) AS pct_uso_pessoal,
-  round(100.0 * sum(empresas_usam_ia) / nullif(sum(base_uso_empresa), 0), 2) AS pct_uso_empresa
-FROM gold_adocao_ia WHERE survey_year = 2000 GROUP BY cargo HAVING sum(respondentes) >= 30""",
+    "Q5.2": """SELECT cargo, count(*) AS respondentes,
+  round(avg(CAST(usa_ia_generativa AS INTEGER)) * 100, 2) AS pct_uso_pessoal,
+  round(avg(CAST(empresa_prioriza_ia AS INTEGER)) * 100, 2) AS pct_uso_empresa
+FROM silver WHERE survey_year = (SELECT max(survey_year) FROM silver)
+GROUP BY cargo HAVING count(*) >= 30""",
     "Q5.3": f"""SELECT senioridade, usa_ia_generativa, count(*) AS profissionais,
   {MEDIAN} AS salario_mediano
 FROM silver
-WHERE survey_year = 2000 AND usa_ia_generativa IS NOT NULL
+WHERE survey_year = (SELECT max(survey_year) FROM silver) AND usa_ia_generativa IS NOT NULL
   AND salario_medio_mensal IS NOT NULL AND {LEVEL_IN}
 GROUP BY senioridade, usa_ia_generativa HAVING count(*) >= 30""",
     "Q5.4": f"""SELECT survey_year AS ano, tipo_uso_ia, count(*) AS respondentes,
   {SHARE_OF_YEAR} AS pct
 FROM silver WHERE tipo_uso_ia IS NOT NULL GROUP BY survey_year, tipo_uso_ia""",
     "Q5.5": """SELECT resultado_ia_empresa, respondentes, pct FROM gold_impacto_ia
-WHERE survey_year = 2000""",
+WHERE survey_year = (SELECT max(survey_year) FROM silver)""",
     "Q6.1": """SELECT survey_year AS ano, pct_remoto, pct_hibrido, pct_presencial
 FROM gold_evolucao_anual""",
-    "Q6.2": """SELECT regiao, modelo_trabalho,
-  round(max(CASE WHEN survey_year = 1996 THEN pct_na_regiao END), 2) AS pct_1996,
-  round(max(CASE WHEN survey_year = 2000 THEN pct_na_regiao END), 2) AS pct_2000
+    "Q6.2": f"""SELECT regiao, modelo_trabalho,
+  round(max(pct_na_regiao) FILTER (survey_year = (SELECT min(survey_year) FROM silver)), 2) AS pct_{YEARS[0]},
+  round(max(pct_na_regiao) FILTER (survey_year = (SELECT max(survey_year) FROM silver)), 2) AS pct_{YEARS[-1]}
 FROM gold_modelo_trabalho WHERE regiao <> 'UNDECLARED' GROUP BY regiao, modelo_trabalho""",
     "Q6.3": """SELECT regiao, modelo_trabalho, respondentes, salario_mediano
 FROM gold_modelo_trabalho
-WHERE survey_year = 2000 AND amostra_suficiente AND regiao <> 'UNDECLARED'""",
-    "Q6.4": """SELECT regiao, senioridade, respondentes, salario_medio,
-  round(100.0 * salario_medio / max(CASE WHEN regiao = 'EUROPE' THEN salario_medio END)
-        OVER (PARTITION BY senioridade), 1) AS indice_vs_sudeste_mesma_senioridade,
-  amostra_suficiente
-FROM gold_remuneracao_regional WHERE survey_year = 2000 AND regiao IN ('AFRICA', 'EUROPE')""",
+WHERE survey_year = (SELECT max(survey_year) FROM silver) AND amostra_suficiente AND regiao <> 'UNDECLARED'""",
+    "Q6.4": """SELECT m.regiao, m.senioridade, m.respondentes, m.salario_medio,
+  round(100.0 * m.salario_medio / e.salario_medio, 1) AS indice_vs_sudeste_mesma_senioridade, m.amostra_suficiente
+FROM gold_remuneracao_regional m LEFT JOIN gold_remuneracao_regional e
+  ON e.regiao = 'EUROPE' AND e.senioridade = m.senioridade AND e.survey_year = m.survey_year
+WHERE m.survey_year = (SELECT max(survey_year) FROM silver) AND m.regiao IN ('AFRICA', 'EUROPE')""",
     "Q7.1": f"""SELECT senioridade, count(*) AS respondentes,
   round(100.0 * sum(CASE WHEN busca_nova_oportunidade THEN 1 ELSE 0 END) / count(*), 2)
     AS pct_buscando
-FROM silver WHERE survey_year = 2000 AND busca_nova_oportunidade IS NOT NULL AND {LEVEL_IN}
+FROM silver WHERE survey_year = (SELECT max(survey_year) FROM silver) AND busca_nova_oportunidade IS NOT NULL AND {LEVEL_IN}
 GROUP BY senioridade""",
-    "Q7.2": """SELECT *, round(1.0 * seniores / nullif(juniores, 0), 2) AS razao_senior_junior
-FROM (SELECT cargo,
-        CAST(sum(CASE WHEN senioridade = '1-URGENT' THEN respondentes ELSE 0 END) AS BIGINT)
-          AS juniores,
-        CAST(sum(CASE WHEN senioridade = '3-MEDIUM' THEN respondentes ELSE 0 END) AS BIGINT)
-          AS seniores
-      FROM gold_perfil_mercado WHERE survey_year = 2000 GROUP BY cargo)
-WHERE juniores + seniores >= 30""",
+    "Q7.2": """SELECT cargo, count(*) FILTER (senioridade = '1-URGENT') AS juniores,
+  count(*) FILTER (senioridade = '3-MEDIUM') AS seniores,
+  round(1.0 * count(*) FILTER (senioridade = '3-MEDIUM')
+        / nullif(count(*) FILTER (senioridade = '1-URGENT'), 0), 2) AS razao_senior_junior
+FROM silver WHERE survey_year = (SELECT max(survey_year) FROM silver) AND cargo IS NOT NULL
+GROUP BY cargo HAVING count(*) FILTER (senioridade IN ('1-URGENT', '3-MEDIUM')) >= 30""",
     "Q7.3": f"""SELECT CASE WHEN lower(setor_empresa) LIKE '%build%'
        OR lower(setor_empresa) LIKE '%auto%' THEN 'CONSTRUCTION' ELSE 'OTHER' END AS grupo_setor,
   count(*) AS respondentes, {MEDIAN} AS salario_mediano,
   round(100.0 * avg(CASE WHEN usa_ia_generativa THEN 1.0 ELSE 0.0 END), 2) AS pct_usa_ia,
   round(100.0 * avg(CASE WHEN modelo_trabalho = 'R' THEN 1.0 ELSE 0.0 END), 2) AS pct_remoto
-FROM silver WHERE survey_year = 2000 AND setor_empresa IS NOT NULL GROUP BY 1""",
+FROM silver WHERE survey_year = (SELECT max(survey_year) FROM silver) AND setor_empresa IS NOT NULL GROUP BY 1""",
     "Q7.4": f"""SELECT regiao, cargo, count(*) AS disponibilidade, {MEDIAN} AS salario_mediano
 FROM silver
-WHERE survey_year = 2000 AND senioridade = '3-MEDIUM' AND salario_medio_mensal IS NOT NULL
+WHERE survey_year = (SELECT max(survey_year) FROM silver) AND senioridade = '3-MEDIUM' AND salario_medio_mensal IS NOT NULL
   AND regiao <> 'UNDECLARED'
 GROUP BY regiao, cargo HAVING count(*) >= 30""",
 }
@@ -248,12 +245,12 @@ _ORDER_CASE = (
     "CASE {} WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 3"
     " WHEN '5-LOW' THEN 4 ELSE 5 END"
 )
-_RELIABLE = "gold_remuneracao WHERE survey_year = 2000 AND amostra_suficiente AND dimensao ="
+_RELIABLE = "gold_remuneracao WHERE survey_year = (SELECT max(survey_year) FROM silver) AND amostra_suficiente AND dimensao ="
 
 FRAME_SQL = {
     "P1": """SELECT *, round(respondentes * 100.0 / sum(respondentes) OVER (), 2) AS pct
 FROM (SELECT cargo, CAST(sum(respondentes) AS BIGINT) AS respondentes FROM gold_perfil_mercado
-      WHERE survey_year = 2000 AND cargo IS NOT NULL GROUP BY cargo)
+      WHERE survey_year = (SELECT max(survey_year) FROM silver) AND cargo IS NOT NULL GROUP BY cargo)
 WHERE respondentes >= 30""",
     "P2": """SELECT survey_year,
   round(100.0 * a / (a + b + c + d), 2) AS "1-URGENT", round(100.0 * b / (a + b + c + d), 2) AS "2-HIGH",
@@ -274,7 +271,7 @@ FROM {_RELIABLE} 'cargo' AND categoria <> 'FURNITURE'""",
     "P6": """SELECT senioridade, gap_salarial_pct,
   CASE WHEN abs(gap_salarial_pct) < 0.5 THEN 'sem diferença'
        WHEN gap_salarial_pct < 0 THEN 'negativo' ELSE 'positivo' END AS classe
-FROM gold_diversidade_genero WHERE survey_year = 2000 AND genero = 'F' AND amostra_suficiente""",
+FROM gold_diversidade_genero WHERE survey_year = (SELECT max(survey_year) FROM silver) AND genero = 'F' AND amostra_suficiente""",
     "P7": """SELECT * EXCLUDE (rk, mx),
   CAST(survey_year AS VARCHAR) || '-' || right(CAST(survey_year + 1 AS VARCHAR), 2) AS edicao
 FROM (SELECT *, row_number() OVER (PARTITION BY categoria ORDER BY pct_adocao DESC, tecnologia) AS rk
@@ -298,7 +295,7 @@ FROM (SELECT senioridade,
         max(CASE WHEN regiao = 'AFRICA' THEN respondentes END) AS n_comparada,
         max(CASE WHEN regiao = 'EUROPE' THEN salario_medio END) AS salario_referencia,
         max(CASE WHEN regiao = 'EUROPE' THEN respondentes END) AS n_referencia
-      FROM gold_remuneracao_regional WHERE survey_year = 2000 AND regiao IN ('AFRICA', 'EUROPE')
+      FROM gold_remuneracao_regional WHERE survey_year = (SELECT max(survey_year) FROM silver) AND regiao IN ('AFRICA', 'EUROPE')
       GROUP BY senioridade)""",
     "P11": """SELECT categoria, survey_year, salario_mediano,
   last_value(survey_year) OVER w AS ultima_edicao,
@@ -315,13 +312,14 @@ LEFT JOIN (SELECT * FROM gold_impacto_ia
   ON v.resultado_ia_empresa = g.resultado_ia_empresa""",
 }
 
+FIRST, LAST = "(SELECT min(survey_year) FROM silver)", "(SELECT max(survey_year) FROM silver)"
 _EVO = "SELECT {} FROM gold_evolucao_anual WHERE survey_year = {}"
 _PAY2 = f"FROM {_RELIABLE}"
 
 
 def _reg(region: str, level: str) -> str:
     return (
-        "(SELECT max(salario_medio) FROM gold_remuneracao_regional WHERE survey_year = 2000"
+        "(SELECT max(salario_medio) FROM gold_remuneracao_regional WHERE survey_year = (SELECT max(survey_year) FROM silver)"
         f" AND amostra_suficiente AND regiao = '{region}' AND senioridade = '{level}')"
     )
 
@@ -347,18 +345,18 @@ SELECT *, round(pct_ia_ultimo - pct_empresa_ia_ultimo, 2) AS lacuna_ia,
     AS desconto_regional_bruto
 FROM (SELECT
   (SELECT CAST(sum(total_respondentes) AS BIGINT) FROM gold_evolucao_anual) AS total_respondentes,
-  ({_EVO.format('pct_usa_ia_generativa', 2000)}) AS pct_ia_ultimo,
-  ({_EVO.format('pct_usa_ia_generativa', 1996)}) AS pct_ia_primeiro,
-  ({_EVO.format('pct_empresa_prioriza_ia', 2000)}) AS pct_empresa_ia_ultimo,
-  ({_EVO.format('pct_mulheres', 1996)}) AS pct_mulheres_primeiro,
-  ({_EVO.format('pct_mulheres', 2000)}) AS pct_mulheres_ultimo,
-  ({_EVO.format('pct_remoto', 1996)}) AS pct_remoto_primeiro,
-  ({_EVO.format('pct_remoto', 2000)}) AS pct_remoto_ultimo,
-  ({_EVO.format('pct_presencial', 1996)}) AS pct_presencial_primeiro,
-  ({_EVO.format('pct_presencial', 2000)}) AS pct_presencial_ultimo,
-  (SELECT CAST(sum(base_uso_pessoal) AS BIGINT) FROM gold_adocao_ia WHERE survey_year = 2000)
+  ({_EVO.format('pct_usa_ia_generativa', LAST)}) AS pct_ia_ultimo,
+  ({_EVO.format('pct_usa_ia_generativa', FIRST)}) AS pct_ia_primeiro,
+  ({_EVO.format('pct_empresa_prioriza_ia', LAST)}) AS pct_empresa_ia_ultimo,
+  ({_EVO.format('pct_mulheres', FIRST)}) AS pct_mulheres_primeiro,
+  ({_EVO.format('pct_mulheres', LAST)}) AS pct_mulheres_ultimo,
+  ({_EVO.format('pct_remoto', FIRST)}) AS pct_remoto_primeiro,
+  ({_EVO.format('pct_remoto', LAST)}) AS pct_remoto_ultimo,
+  ({_EVO.format('pct_presencial', FIRST)}) AS pct_presencial_primeiro,
+  ({_EVO.format('pct_presencial', LAST)}) AS pct_presencial_ultimo,
+  (SELECT CAST(sum(base_uso_pessoal) AS BIGINT) FROM gold_adocao_ia WHERE survey_year = (SELECT max(survey_year) FROM silver))
     AS base_uso_pessoal_ia,
-  (SELECT CAST(sum(base_uso_empresa) AS BIGINT) FROM gold_adocao_ia WHERE survey_year = 2000)
+  (SELECT CAST(sum(base_uso_empresa) AS BIGINT) FROM gold_adocao_ia WHERE survey_year = (SELECT max(survey_year) FROM silver))
     AS base_uso_empresa_ia,
   (SELECT salario_mediano {_PAY2} 'senioridade' AND categoria = '1-URGENT') AS sal_junior,
   (SELECT salario_mediano {_PAY2} 'senioridade' AND categoria = '3-MEDIUM') AS sal_senior,
@@ -371,13 +369,13 @@ FROM (SELECT
   (SELECT max(salario_medio) {_PAY2} 'regiao') AS regiao_cara_sal,
   (SELECT categoria {_PAY2} 'regiao' ORDER BY salario_medio, categoria LIMIT 1) AS regiao_barata,
   (SELECT min(salario_medio) {_PAY2} 'regiao') AS regiao_barata_sal,
-  (SELECT cargo FROM gold_perfil_mercado WHERE survey_year = 2000 AND cargo IS NOT NULL
+  (SELECT cargo FROM gold_perfil_mercado WHERE survey_year = (SELECT max(survey_year) FROM silver) AND cargo IS NOT NULL
    GROUP BY cargo ORDER BY sum(respondentes) DESC, cargo DESC LIMIT 1) AS cargo_maior_volume,
   (SELECT CAST(max(n) AS BIGINT) FROM (SELECT sum(respondentes) AS n FROM gold_perfil_mercado
-   WHERE survey_year = 2000 AND cargo IS NOT NULL GROUP BY cargo)) AS cargo_maior_volume_n,
+   WHERE survey_year = (SELECT max(survey_year) FROM silver) AND cargo IS NOT NULL GROUP BY cargo)) AS cargo_maior_volume_n,
   {_discount('1-URGENT')} AS desconto_regional_junior,
   {_discount('3-MEDIUM')} AS desconto_regional_senior,
-  (SELECT gap_salarial_pct FROM gold_diversidade_genero WHERE survey_year = 2000
+  (SELECT gap_salarial_pct FROM gold_diversidade_genero WHERE survey_year = (SELECT max(survey_year) FROM silver)
    AND genero = 'F' AND senioridade = '3-MEDIUM') AS gap_senior,
   {_top('Linguagem')} AS top_linguagens,
   {_top('Banco de dados')} AS top_bancos_dados,

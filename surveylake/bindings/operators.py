@@ -122,7 +122,7 @@ SELECT cargo, regiao,
 FROM (SELECT survey_year, cargo, regiao, count(*) AS n FROM silver GROUP BY ALL)
 GROUP BY cargo, regiao"""))
 def a4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = {f"n_{year}": (year, "n") for year in WORDS.editions}
+    columns = {f"n_{year}": (year, "n") for year in (1996, 1998, 2000)}
     return compare.editions_side_by_side(
         by_year(spark, sf_dir, "cargo", "regiao"), ["cargo", "regiao"], "survey_year", columns, "sum"
     )
@@ -139,7 +139,7 @@ def a5(spark: SparkSession, sf_dir: str) -> DataFrame:
     medians = segments.segment_stats(
         respondents(spark, sf_dir), ["survey_year", "regiao"], SALARY, {"m": 0.5}
     )
-    columns = {f"mediana_{year}": (year, "m") for year in WORDS.editions}
+    columns = {f"mediana_{year}": (year, "m") for year in (1996, 1998, 2000)}
     return compare.editions_side_by_side(medians, ["regiao"], "survey_year", columns)
 
 
@@ -312,15 +312,24 @@ def w7(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sort, limit, top-k ------------------------------------------------------------------
 
 
-@entry("O1", with_silver(f"SELECT * FROM {_BY.format('cargo')}"))
+@entry("O1", with_silver(f"""
+SELECT *, row_number() OVER (ORDER BY survey_year, n DESC, cargo) - 1 AS posicao FROM {_BY.format('cargo')}"""))
 def o1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return by_year(spark, sf_dir, "cargo").orderBy("survey_year", F.desc("n"), "cargo")
+    return _positions(by_year(spark, sf_dir, "cargo").orderBy("survey_year", F.desc("n"), "cargo"))
 
 
-@entry("O2", with_silver(f"SELECT * FROM {_BY.format('senioridade')}"))
+@entry("O2", with_silver(f"""
+SELECT *, row_number() OVER (ORDER BY survey_year, CASE senioridade WHEN '1-URGENT' THEN 1
+  WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 3 WHEN '5-LOW' THEN 4 ELSE 5 END) - 1 AS posicao
+FROM {_BY.format('senioridade')}"""))
 def o2(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = by_year(spark, sf_dir, "senioridade")
-    return compare.in_order(counted, "senioridade", WORDS.seniority_order, F.col("survey_year"))
+    return _positions(compare.in_order(counted, "senioridade", WORDS.seniority_order, F.col("survey_year")))
+
+
+def _positions(ordered: DataFrame) -> DataFrame:
+    """The place of each row in a sorted table of a few hundred rows."""
+    return ordered.coalesce(1).withColumn("posicao", F.monotonically_increasing_id())
 
 
 @entry("O3", with_silver("""
@@ -400,7 +409,7 @@ def f4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @entry("F5", with_silver("SELECT cargo, count(*) AS n FROM silver WHERE survey_year = 1998 GROUP BY cargo"))
 def f5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = respondents(spark, sf_dir).where(F.col("survey_year") == WORDS.middle_edition)
+    kept = respondents(spark, sf_dir).where(F.col("survey_year") == 1998)
     return kept.groupBy("cargo").agg(_count().alias("n"))
 
 
@@ -473,13 +482,14 @@ def j2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @entry("E1", with_silver("""
-SELECT cargo, regiao, CAST(NULL AS VARCHAR) AS genero FROM silver WHERE survey_year = 1996
-UNION ALL SELECT cargo, NULL, genero FROM silver WHERE survey_year = 1998"""))
+SELECT cargo, regiao, CAST(NULL AS VARCHAR) AS genero FROM silver WHERE survey_year % 2 = 0
+UNION ALL SELECT cargo, NULL, genero FROM silver WHERE survey_year % 2 = 1"""))
 def e1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even and odd editions, which are all rows, with different columns each."""
     people = respondents(spark, sf_dir)
-    first = people.where(F.col("survey_year") == 1996).select("cargo", "regiao")
-    second = people.where(F.col("survey_year") == 1998).select("genero", "cargo")
-    return first.unionByName(second, allowMissingColumns=True)
+    even = people.where(F.col("survey_year") % 2 == 0).select("cargo", "regiao")
+    odd = people.where(F.col("survey_year") % 2 == 1).select("genero", "cargo")
+    return even.unionByName(odd, allowMissingColumns=True)
 
 
 @entry("E2", with_silver("""
@@ -495,15 +505,16 @@ def e2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @entry("E3", with_silver("""
-SELECT cargo, genero, senioridade, CAST(sum(s) AS BIGINT) AS sobra
-FROM (SELECT cargo, genero, senioridade, 1 AS s FROM silver WHERE survey_year = 1996
-      UNION ALL SELECT cargo, genero, senioridade, -1 FROM silver WHERE survey_year = 1998)
-GROUP BY cargo, genero, senioridade HAVING sum(s) <> 0"""))
+SELECT cargo, genero, senioridade,
+  count(*) FILTER (survey_year % 2 = 0) - count(*) FILTER (survey_year % 2 = 1) AS sobra
+FROM silver GROUP BY cargo, genero, senioridade
+HAVING count(*) FILTER (survey_year % 2 = 0) <> count(*) FILTER (survey_year % 2 = 1)"""))
 def e3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even against odd editions, which are all rows."""
     people = respondents(spark, sf_dir)
     columns = ["cargo", "genero", "senioridade"]
-    left = people.where(F.col("survey_year") == 1996).select(*columns)
-    right = people.where(F.col("survey_year") == 1998).select(*columns)
+    left = people.where(F.col("survey_year") % 2 == 0).select(*columns)
+    right = people.where(F.col("survey_year") % 2 == 1).select(*columns)
     return quality.table_difference(left, right)
 
 
@@ -536,15 +547,14 @@ FROM (SELECT DISTINCT survey_year, senioridade FROM silver
       WHERE senioridade IN ('1-URGENT', '2-HIGH', '3-MEDIUM'))
 UNION ALL SELECT 'vazia', 0, '0 linhas', 'FALHA'
 UNION ALL SELECT 'nula', count(*), 'colunas nulas: resultado_ia_empresa', 'FALHA'
-FROM silver WHERE survey_year = 1996"""))
+FROM silver"""))
 def v3(spark: SparkSession, sf_dir: str) -> DataFrame:
     bound = lake(spark, sf_dir)
-    of_1996 = bound.silver.where(F.col("survey_year") == 1996)
     return quality.query_report(
         {
             "Q1.3": QUERIES["Q1.3"](bound),
             "vazia": bound.silver.where(F.col("regiao") == WORDS.undeclared).select("cargo"),
-            "nula": of_1996.select("cargo", "resultado_ia_empresa"),
+            "nula": bound.silver.select("cargo", F.lit(None).cast("string").alias("resultado_ia_empresa")),
         }
     )
 
@@ -565,14 +575,15 @@ def v4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @entry("V5", """
-SELECT CAST(v.survey_year AS INTEGER) AS survey_year, coalesce(linhas, 0) AS linhas,
-  coalesce(chaves, 0) AS chaves, coalesce(repetidas, 0) AS repetidas
+SELECT CAST(coalesce(y, v.survey_year) AS INTEGER) AS survey_year, v.survey_year IS NOT NULL AS esperada,
+  coalesce(linhas, 0) AS linhas, coalesce(chaves, 0) AS chaves, coalesce(repetidas, 0) AS repetidas
 FROM (VALUES (1994), (1996), (1998), (2000)) v(survey_year)
-LEFT JOIN (SELECT y, CAST(sum(n) AS BIGINT) AS linhas, count(*) AS chaves,
+FULL JOIN (SELECT y, CAST(sum(n) AS BIGINT) AS linhas, count(*) AS chaves,
                   CAST(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS repetidas
            FROM (SELECT year(l_shipdate) AS y, l_orderkey, l_linenumber, count(*) AS n
                  FROM lineitem GROUP BY ALL) GROUP BY y) ON y = v.survey_year""")
 def v5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every year of the lines; four of them are expected, one of which has none."""
     lines = table(spark, sf_dir, "lineitem").select(
         F.year("l_shipdate").alias("survey_year"),
         F.concat_ws("/", "l_orderkey", "l_linenumber").alias("respondente_id"),

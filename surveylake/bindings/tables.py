@@ -16,8 +16,6 @@ from surveylake.plans.lake import Lake
 from surveylake.session import tune
 
 WORDS = Vocabulary(
-    editions=(1996, 1998, 2000),
-    language_edition=1999,
     reference_gender="P",
     focus_gender="F",
     seniority_order=("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"),

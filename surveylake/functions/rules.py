@@ -431,8 +431,6 @@ GOLD_COLUMNS = {
 class Vocabulary:
     """The labels a mart or query refers to by name; the defaults are the survey's own."""
 
-    editions: tuple[int, int, int] = (2023, 2024, 2025)
-    language_edition: int = 2024
     min_sample: int = 30
     reference_gender: str = "Masculino"
     focus_gender: str = "Feminino"
@@ -477,15 +475,3 @@ class Vocabulary:
             "Ferramenta de BI": "ferramentas_bi",
         }
     )
-
-    @property
-    def first_edition(self) -> int:
-        return self.editions[0]
-
-    @property
-    def middle_edition(self) -> int:
-        return self.editions[1]
-
-    @property
-    def last_edition(self) -> int:
-        return self.editions[2]

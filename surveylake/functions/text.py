@@ -18,33 +18,49 @@ from surveylake.functions import rules
 BLANKS = " \t\r\n\f\u00a0"
 
 
-def _accent_table() -> tuple[str, str]:
-    """Accented letters with their base letters; combining marks come last and are deleted."""
-    accented, plain = [], []
-    for code in [*range(0x00A0, 0x0250), *range(0x1E00, 0x1F00)]:
+def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
+    """Compatibility folding of the basic plane: letters with one base letter, then the others.
+
+    Combining marks are dropped. The first two texts belong to each other letter by letter, with the
+    marks at the end of the first; the list has the letters that become several or none.
+    """
+    accented, plain, marks, several = [], [], [], []
+    for code in range(0x00A0, 0x10000):
         letter = chr(code)
-        base = "".join(
-            part
-            for part in unicodedata.normalize("NFKD", letter)
-            if not unicodedata.combining(part)
-        )
-        if len(base) == 1 and base != letter:
+        if 0xD800 <= code < 0xE000 or 0xAC00 <= code < 0xD7A4:
+            continue  # surrogates; Hangul syllables decompose into their own letters by rule
+        if unicodedata.combining(letter):
+            marks.append(letter)
+            continue
+        base = "".join(part for part in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(part))
+        if base == letter:
+            continue
+        if len(base) == 1:
             accented.append(letter)
             plain.append(base)
-    marks = "".join(chr(code) for code in range(0x0300, 0x0370))
-    return "".join(accented) + marks, "".join(plain)
+        else:
+            several.append((letter, base))
+    return "".join(accented) + "".join(marks), "".join(plain), several
 
 
-_ACCENTED, _PLAIN = _accent_table()
+_ACCENTED, _PLAIN, _SEVERAL = _fold_tables()
+_ANY_SEVERAL = "[" + "".join(letter for letter, _ in _SEVERAL) + "]"
+_SEVERAL_MAP = "\x02".join(f"{letter}\x01{base}" for letter, base in _SEVERAL)
 
 
 def strip_accents(text: Column) -> Column:
-    """Replace accented letters by their base letters and drop combining marks.
+    """Replace letters by their compatibility base letters and drop combining marks.
 
-    Text of one byte per character has none, and skips the letter-by-letter pass.
+    Text of one byte per character has none, and skips the letter-by-letter pass. Letters that become
+    several (ligatures, fractions) are replaced one by one, where the text has any.
     """
     plain = F.octet_length(text) == F.char_length(text)
-    return F.when(plain, text).otherwise(F.translate(text, _ACCENTED, _PLAIN))
+    table = F.str_to_map(F.lit(_SEVERAL_MAP), F.lit("\x02"), F.lit("\x01"))  # folded to a constant
+    spelled = F.array_join(
+        F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""
+    )
+    whole = F.when(text.rlike(_ANY_SEVERAL), spelled).otherwise(text)
+    return F.when(plain, text).otherwise(F.translate(whole, _ACCENTED, _PLAIN))
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:

@@ -83,7 +83,10 @@ def contract_report(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
 def edition_report(
     df: DataFrame, editions: Sequence[int], edition: str = "survey_year", key: str = "respondente_id"
 ) -> DataFrame:
-    """(edition, rows, keys, repeated keys) for every expected edition; an absent one has zeros."""
+    """(edition, expected, rows, keys, repeated keys) for every edition expected or found.
+
+    An absent edition has zeros; one that nobody expected is reported as such, and so is a NULL one.
+    """
     per_key = df.groupBy(edition, key).agg(F.count(F.lit(1)).alias("_n"))
     counted = per_key.groupBy(edition).agg(
         F.sum("_n").alias("linhas"),
@@ -91,9 +94,13 @@ def edition_report(
         F.sum((F.col("_n") > 1).cast("long")).alias("repetidas"),
     )
     wanted = ordered_list(df, [str(year) for year in editions], edition).select(
-        F.col(edition).cast("int").alias(edition)
+        F.col(edition).cast("int").alias("_year"), F.lit(True).alias("esperada")
+    )
+    return wanted.join(counted, F.col("_year") == F.col(edition), "full").select(
+        F.coalesce(F.col(edition), "_year").alias(edition),
+        F.coalesce("esperada", F.lit(False)).alias("esperada"),
+        *[F.coalesce(name, F.lit(0)).alias(name) for name in ("linhas", "chaves", "repetidas")],
     )
-    return wanted.join(counted, edition, "left").na.fill(0, ["linhas", "chaves", "repetidas"])
 
 
 def block_overlap(df: DataFrame, keys: Sequence[str], first: Column, second: Column) -> DataFrame:
@@ -109,9 +116,12 @@ def block_overlap(df: DataFrame, keys: Sequence[str], first: Column, second: Col
 def table_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows whose multiplicity differs, with ``sobra`` = copies on the left minus the right.
 
-    One aggregation over both sides; two equal tables give no rows.
+    One aggregation over both sides; two equal tables give no rows. Tables whose columns differ are
+    no candidates for a row-by-row comparison and raise an error.
     """
     columns = left.columns
+    if sorted(columns) != sorted(right.columns):
+        raise ValueError(f"different columns: {sorted(set(columns) ^ set(right.columns))}")
     signed = left.withColumn("_sign", F.lit(1)).unionByName(
         right.select(*columns).withColumn("_sign", F.lit(-1))
     )

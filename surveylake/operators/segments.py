@@ -268,14 +268,15 @@ def adoption_with_base_join(
 ) -> DataFrame:
     """Item counts of one block joined with the separately aggregated answered base.
 
-    Both sides are aggregates; Spark broadcasts the base when its measured size allows it.
+    As in :func:`adoption`, a repeated item of one respondent counts once and NULL keys are a
+    segment. Both sides are aggregates; Spark broadcasts the base when its measured size allows it.
     """
     answered = df.where(F.col(column).isNotNull())
     base = answered.groupBy(*keys).agg(F.count(F.lit(1)).alias(base_as))
     items = (
-        answered.select(*keys, F.explode(column).alias(item_as))
+        answered.select(*keys, F.explode(F.array_distinct(column)).alias(item_as))
         .where(F.col(item_as).isNotNull() & (F.col(item_as) != ""))
         .groupBy(*keys, item_as)
         .agg(F.count(F.lit(1)).alias(users_as))
     )
-    return items.join(base, list(keys))
+    return items.alias("i").join(base.alias("b"), _same_keys("i", "b", keys)).select("i.*", f"b.{base_as}")

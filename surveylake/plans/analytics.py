@@ -1,14 +1,14 @@
 """The 28 analytic queries: ``query(lake) -> DataFrame``.
 
-Percentages are doubles, editions and category lists come from the lake's vocabulary, and every
-query keeps the denominator rule of the table it reads.
+Percentages are doubles, editions come from the data, category lists from the lake's vocabulary, and
+every query keeps the denominator rule of the table it reads.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveylake.functions.text import marked_or_zero, percentage, sector_group
@@ -60,8 +60,8 @@ def q1_1(lake: Lake) -> DataFrame:
 
 def q1_2(lake: Lake) -> DataFrame:
     """Job composition, one column per edition."""
-    columns = {f"resp_{year}": (year, "respondentes") for year in lake.words.editions}
-    last = lake.words.last_edition
+    columns = {f"resp_{year}": (year, "respondentes") for year in lake.editions}
+    last = lake.last_edition
     profile = lake.mart("gold_perfil_mercado").where(F.col("cargo").isNotNull())
     columns[f"pct_mercado_{last}"] = (last, "pct_do_ano")
     wide = editions_side_by_side(profile, ["cargo"], "survey_year", columns, agg="sum")
@@ -91,7 +91,7 @@ def q1_4(lake: Lake) -> DataFrame:
 
 
 def _pay_of(lake: Lake, dimension: str) -> DataFrame:
-    return _of_edition(lake.mart("gold_remuneracao"), lake.words.last_edition).where(
+    return _of_edition(lake.mart("gold_remuneracao"), lake.last_edition).where(
         (F.col("dimensao") == dimension) & F.col("amostra_suficiente")
     )
 
@@ -124,7 +124,7 @@ def q2_2(lake: Lake) -> DataFrame:
 def q2_3(lake: Lake) -> DataFrame:
     """The 20 best-paid job × level segments; ties are broken by job and level."""
     return (
-        _of_edition(lake.mart("gold_perfil_mercado"), lake.words.last_edition)
+        _of_edition(lake.mart("gold_perfil_mercado"), lake.last_edition)
         .where(F.col("amostra_suficiente") & F.col("salario_mediano").isNotNull())
         .select("cargo", "senioridade", "respondentes", "salario_mediano")
         .orderBy(F.desc("salario_mediano"), "cargo", "senioridade")
@@ -160,7 +160,7 @@ def q3_2(lake: Lake) -> DataFrame:
     focus = diversity.withColumn(
         "_pct", F.when(F.col("genero") == words.focus_gender, F.col("pct_representatividade"))
     )
-    columns = {f"pct_fem_{year}": (year, "_pct") for year in words.editions}
+    columns = {f"pct_fem_{year}": (year, "_pct") for year in lake.editions}
     wide = editions_side_by_side(focus, ["senioridade"], "survey_year", columns, digits=2)
     return in_order(wide, "senioridade", words.query_levels)
 
@@ -184,7 +184,7 @@ def q3_3(lake: Lake) -> DataFrame:
 def q4_1(lake: Lake) -> DataFrame:
     """Technology ranking of the last edition, by category."""
     return (
-        _of_edition(lake.mart("gold_tecnologias"), lake.words.last_edition)
+        _of_edition(lake.mart("gold_tecnologias"), lake.last_edition)
         .select("categoria", "tecnologia", "usuarios", "base_respondentes", "pct_adocao")
         .orderBy("categoria", F.desc("pct_adocao"))
     )
@@ -192,7 +192,7 @@ def q4_1(lake: Lake) -> DataFrame:
 
 def q4_2(lake: Lake) -> DataFrame:
     """Risers and fallers between the first and the last edition, in percentage points."""
-    first, last = lake.words.first_edition, lake.words.last_edition
+    first, last = lake.first_edition, lake.last_edition
     before, after = f"pct_{first}", f"pct_{last}"
     wide = editions_side_by_side(
         lake.mart("gold_tecnologias"), ["categoria", "tecnologia"], "survey_year",
@@ -207,14 +207,16 @@ def q4_2(lake: Lake) -> DataFrame:
 
 def q4_3(lake: Lake) -> DataFrame:
     """Median salary per language, in the last edition that asked for languages."""
-    exploded = (
-        _of_edition(lake.silver, lake.words.language_edition)
-        .where(F.col(SALARY).isNotNull())
-        .select(SALARY, F.explode("linguagens").alias("linguagem"))
+    exploded = lake.silver.where(F.col(SALARY).isNotNull()).select(
+        "survey_year", SALARY, F.explode("linguagens").alias("linguagem")
     )
+    # One row per edition and option of the questionnaire is left for the window.
+    counted = _median_by(exploded, ["survey_year", "linguagem"], "profissionais")
+    newest = F.max("survey_year").over(Window.partitionBy())
     return (
-        _median_by(exploded, ["linguagem"], "profissionais")
-        .where(F.col("profissionais") >= lake.words.min_sample)
+        counted.withColumn("_newest", newest)
+        .where((F.col("survey_year") == F.col("_newest")) & (F.col("profissionais") >= lake.words.min_sample))
+        .drop("_newest", "survey_year")
         .orderBy(F.desc("salario_mediano"))
     )
 
@@ -247,7 +249,7 @@ def q5_1(lake: Lake) -> DataFrame:
 def q5_2(lake: Lake) -> DataFrame:
     """AI adoption by job in the last edition."""
     rates = ratio_of_sums(
-        _of_edition(lake.mart("gold_adocao_ia"), lake.words.last_edition),
+        _of_edition(lake.mart("gold_adocao_ia"), lake.last_edition),
         ["cargo"],
         {
             "pct_uso_pessoal": ("usam_ia", "base_uso_pessoal"),
@@ -263,7 +265,7 @@ def q5_2(lake: Lake) -> DataFrame:
 def q5_3(lake: Lake) -> DataFrame:
     """Pay with and without AI at equal level."""
     words = lake.words
-    answered = _of_edition(lake.silver, words.last_edition).where(
+    answered = _of_edition(lake.silver, lake.last_edition).where(
         F.col("usa_ia_generativa").isNotNull()
         & F.col(SALARY).isNotNull()
         & F.col("senioridade").isin(*words.query_levels)
@@ -290,7 +292,7 @@ def q5_4(lake: Lake) -> DataFrame:
 def q5_5(lake: Lake) -> DataFrame:
     """Outcome the companies report, last edition."""
     return (
-        _of_edition(lake.mart("gold_impacto_ia"), lake.words.last_edition)
+        _of_edition(lake.mart("gold_impacto_ia"), lake.last_edition)
         .select("resultado_ia_empresa", "respondentes", "pct")
         .orderBy(F.desc("respondentes"))
     )
@@ -307,11 +309,10 @@ def q6_1(lake: Lake) -> DataFrame:
 
 def q6_2(lake: Lake) -> DataFrame:
     """Work model by region, first and last edition side by side."""
-    words = lake.words
-    models = lake.mart("gold_modelo_trabalho").where(F.col("regiao") != words.undeclared)
+    models = lake.mart("gold_modelo_trabalho").where(F.col("regiao") != lake.words.undeclared)
     columns = {
         f"pct_{year}": (year, "pct_na_regiao")
-        for year in (words.first_edition, words.last_edition)
+        for year in (lake.first_edition, lake.last_edition)
     }
     return editions_side_by_side(
         models, ["regiao", "modelo_trabalho"], "survey_year", columns, digits=2
@@ -321,7 +322,7 @@ def q6_2(lake: Lake) -> DataFrame:
 def q6_3(lake: Lake) -> DataFrame:
     """Median salary by region and work model."""
     return (
-        _of_edition(lake.mart("gold_modelo_trabalho"), lake.words.last_edition)
+        _of_edition(lake.mart("gold_modelo_trabalho"), lake.last_edition)
         .where(F.col("amostra_suficiente") & (F.col("regiao") != lake.words.undeclared))
         .select("regiao", "modelo_trabalho", "respondentes", "salario_mediano")
         .orderBy("regiao", F.desc("salario_mediano"))
@@ -331,7 +332,7 @@ def q6_3(lake: Lake) -> DataFrame:
 def q6_4(lake: Lake) -> DataFrame:
     """Regional cost index at equal level, reference region = 100."""
     words = lake.words
-    two = _of_edition(lake.mart("gold_remuneracao_regional"), words.last_edition).where(
+    two = _of_edition(lake.mart("gold_remuneracao_regional"), lake.last_edition).where(
         F.col("regiao").isin(words.compared_region, words.reference_region)
     )
     index = "indice_vs_sudeste_mesma_senioridade"
@@ -347,7 +348,7 @@ def q6_4(lake: Lake) -> DataFrame:
 def q7_1(lake: Lake) -> DataFrame:
     """Turnover risk by level."""
     words = lake.words
-    asked = _of_edition(lake.silver, words.last_edition).where(
+    asked = _of_edition(lake.silver, lake.last_edition).where(
         F.col("busca_nova_oportunidade").isNotNull()
         & F.col("senioridade").isin(*words.query_levels)
     )
@@ -372,7 +373,7 @@ def q7_2(lake: Lake) -> DataFrame:
         return F.sum(F.when(of_level, F.col("respondentes")).otherwise(F.lit(0)))
 
     counted = (
-        _of_edition(lake.mart("gold_perfil_mercado"), words.last_edition)
+        _of_edition(lake.mart("gold_perfil_mercado"), lake.last_edition)
         .groupBy("cargo")
         .agg(people(words.junior).alias("juniores"), people(words.senior).alias("seniores"))
         .where(F.col("juniores") + F.col("seniores") >= words.min_sample)
@@ -395,7 +396,7 @@ def q7_3(lake: Lake) -> DataFrame:
         return F.round(F.avg(marked_or_zero(flag)) * 100, 2).alias(name)
 
     return _median_by(
-        _of_edition(lake.silver, words.last_edition).where(F.col("setor_empresa").isNotNull()),
+        _of_edition(lake.silver, lake.last_edition).where(F.col("setor_empresa").isNotNull()),
         [group],
         "respondentes",
         share(F.col("usa_ia_generativa"), "pct_usa_ia"),
@@ -406,7 +407,7 @@ def q7_3(lake: Lake) -> DataFrame:
 def q7_4(lake: Lake) -> DataFrame:
     """Where a senior costs least: region × job."""
     words = lake.words
-    seniors = _of_edition(lake.silver, words.last_edition).where(
+    seniors = _of_edition(lake.silver, lake.last_edition).where(
         (F.col("senioridade") == words.senior)
         & F.col(SALARY).isNotNull()
         & (F.col("regiao") != words.undeclared)

@@ -24,7 +24,7 @@ from surveylake.plans.lake import Lake
 
 
 def _last(lake: Lake, mart: str) -> DataFrame:
-    return lake.mart(mart).where(F.col("survey_year") == lake.words.last_edition)
+    return lake.mart(mart).where(F.col("survey_year") == lake.last_edition)
 
 
 def _reliable_pay(lake: Lake, dimension: str) -> DataFrame:
@@ -66,7 +66,7 @@ def p3_salary_multiple(lake: Lake) -> DataFrame:
     """Median of each level of the last edition as a multiple of the first level present."""
     words = lake.words
     levels = _reliable_pay(lake, "senioridade").where(
-        (F.col("survey_year") == words.last_edition)
+        (F.col("survey_year") == lake.last_edition)
         & F.col("categoria").isin(*words.seniority_order)
     )
     return premium_vs_first(
@@ -81,7 +81,7 @@ def p4_quartiles_by_job(lake: Lake) -> DataFrame:
     return (
         _reliable_pay(lake, "cargo")
         .where(
-            (F.col("survey_year") == words.last_edition)
+            (F.col("survey_year") == lake.last_edition)
             & (F.col("categoria") != words.other_job)
         )
         .select("categoria", "respondentes", "salario_p25", "salario_mediano", "salario_p75")
@@ -214,7 +214,7 @@ def p12_outcome_funnel(lake: Lake) -> DataFrame:
 def k1_headline_figures(lake: Lake) -> DataFrame:
     """One row with every headline figure, each taken from the mart that defines it."""
     words = lake.words
-    first, last = words.first_edition, words.last_edition
+    first, last = lake.first_edition, lake.last_edition
 
     def of_year(year: int, column: str, name: str) -> Column:
         return F.max(F.when(F.col("survey_year") == year, F.col(column))).alias(name)

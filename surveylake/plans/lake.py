@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from surveylake.functions.rules import Vocabulary
 from surveylake.plans.marts import build_mart
@@ -19,6 +21,23 @@ class Lake:
     mart: Callable[[str], DataFrame]
     words: Vocabulary
 
+    @cached_property
+    def editions(self) -> tuple[int, ...]:
+        """Every edition in the data, in order; read once from the smallest mart."""
+        years = self.mart("gold_evolucao_anual").select("survey_year").where(F.col("survey_year").isNotNull())
+        found = tuple(sorted(row["survey_year"] for row in years.distinct().collect()))
+        if not found:
+            raise ValueError("the lake has no edition")
+        return found
+
+    @property
+    def first_edition(self) -> int:
+        return self.editions[0]
+
+    @property
+    def last_edition(self) -> int:
+        return self.editions[-1]
+
     @classmethod
     def over_silver(cls, silver: DataFrame, words: Vocabulary = Vocabulary()) -> Lake:
         """Marts are computed from the respondent table inside each query."""
@@ -32,6 +51,6 @@ class Lake:
         gold_path: str,
         words: Vocabulary = Vocabulary(),
     ) -> Lake:
-        """Marts are read from the tables written by ``sources.writer.write_marts``."""
+        """Marts are read from the tables written by ``sources.gold.write_marts``."""
         silver = spark.read.parquet(silver_path)
         return cls(silver, lambda name: spark.read.parquet(f"{gold_path}/{name}"), words)
