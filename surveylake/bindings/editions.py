@@ -24,7 +24,7 @@ from surveylake.operators.harmonise import (
 )
 from surveylake.operators.ranking import first_of_each
 from surveylake.plans.lake import Lake
-from surveylake.session import scratch_path, tune
+from surveylake.session import scratch_path
 from surveylake.sources import bronze, gold, silver
 
 REGISTRY = Registry()
@@ -184,7 +184,6 @@ COLUMNS_KEPT = {year: len(h) - ("index" in h) for year, h in HEADERS.items()}
 
 def export_raw(spark: SparkSession, sf_dir: str) -> str:
     """Write the three editions as CSV exports; returns the raw folder."""
-    tune(spark)
     raw_path = f"{scratch_path(spark, 'survey')}/raw"
     answers = _answers(spark, sf_dir)
     for year, headers in HEADERS.items():
@@ -325,6 +324,21 @@ def s3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@entry("H6_file", """
+SELECT c_custkey AS chave, CAST(c_nationkey + 20 AS VARCHAR) AS idade, c_mktsegment AS segunda FROM customer""")
+def h6_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export whose header names one column twice: both keep their answers."""
+    raw_path = f"{scratch_path(spark, 'survey')}/raw"
+    line = F.concat_ws(",", F.concat(F.lit("r"), "c_custkey"), F.col("c_nationkey") + 20, "c_mktsegment")
+    first_of_file = F.monotonically_increasing_id().bitwiseAND(2**33 - 1) == 0
+    header = F.when(first_of_file, F.array(F.lit("0.a_token,1.a_idade,1.a_idade"))).otherwise(F.array().cast("array<string>"))
+    lines = table(spark, sf_dir, "customer").select(F.explode(F.concat(header, F.array(line))))
+    lines.write.text(f"{raw_path}/pesquisa_2024.csv")
+    (edition,) = bronze.bronze_frames(spark, bronze.list_csv_files(spark, raw_path)).values()
+    key = F.substring("p0_a_token", 2, 20).cast("bigint").alias("chave")
+    return edition.select(key, F.col("p1_a_idade").alias("idade"), F.col("p1_a_idade_2").alias("segunda"))
+
+
 @entry("S5_S6", _expected("""
 SELECT survey_year, CAST(CASE survey_year """ + " ".join(
     f"WHEN {year} THEN {count}" for year, count in COLUMNS_KEPT.items()) + """ END AS INTEGER) AS colunas,

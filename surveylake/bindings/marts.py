@@ -329,9 +329,9 @@ def _discount(level: str) -> str:
     return f"-round(({a} - {e}) * 100.0 / {e}, 2)"
 
 
-def _top(label: str) -> str:
+def _top(label: str, value: str = "tecnologia") -> str:
     return (
-        f"(SELECT tecnologia FROM gold_tecnologias WHERE categoria = '{label}'"
+        f"(SELECT {value} FROM gold_tecnologias WHERE categoria = '{label}'"
         " ORDER BY survey_year DESC, pct_adocao DESC, tecnologia DESC LIMIT 1)"
     )
 
@@ -345,6 +345,8 @@ SELECT *, round(pct_ia_ultimo - pct_empresa_ia_ultimo, 2) AS lacuna_ia,
     AS desconto_regional_bruto
 FROM (SELECT
   (SELECT CAST(sum(total_respondentes) AS BIGINT) FROM gold_evolucao_anual) AS total_respondentes,
+  (SELECT string_agg(survey_year || ':' || total_respondentes, ',' ORDER BY survey_year)
+   FROM gold_evolucao_anual) AS respondentes_por_edicao,
   ({_EVO.format('pct_usa_ia_generativa', LAST)}) AS pct_ia_ultimo,
   ({_EVO.format('pct_usa_ia_generativa', FIRST)}) AS pct_ia_primeiro,
   ({_EVO.format('pct_empresa_prioriza_ia', LAST)}) AS pct_empresa_ia_ultimo,
@@ -377,10 +379,10 @@ FROM (SELECT
   {_discount('3-MEDIUM')} AS desconto_regional_senior,
   (SELECT gap_salarial_pct FROM gold_diversidade_genero WHERE survey_year = (SELECT max(survey_year) FROM silver)
    AND genero = 'F' AND senioridade = '3-MEDIUM') AS gap_senior,
-  {_top('Linguagem')} AS top_linguagens,
-  {_top('Banco de dados')} AS top_bancos_dados,
-  {_top('Cloud')} AS top_cloud_utilizada,
-  {_top('Ferramenta de BI')} AS top_ferramentas_bi,
+  {_top('Linguagem')} AS top_linguagens, {_top('Linguagem', 'pct_adocao')} AS top_linguagens_pct,
+  {_top('Banco de dados')} AS top_bancos_dados, {_top('Banco de dados', 'pct_adocao')} AS top_bancos_dados_pct,
+  {_top('Cloud')} AS top_cloud_utilizada, {_top('Cloud', 'pct_adocao')} AS top_cloud_utilizada_pct,
+  {_top('Ferramenta de BI')} AS top_ferramentas_bi, {_top('Ferramenta de BI', 'pct_adocao')} AS top_ferramentas_bi_pct,
   (SELECT max(CASE WHEN resultado_ia_empresa = 'O-R' THEN pct END) FROM {_IMPACT})
     AS pct_ia_producao,
   (SELECT max(CASE WHEN resultado_ia_empresa = 'O-A' THEN pct END) FROM {_IMPACT}) AS pct_ia_piloto,

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from surveylake.functions.rules import Vocabulary
 from surveylake.plans.lake import Lake
-from surveylake.session import tune
 
 WORDS = Vocabulary(
     reference_gender="P",
@@ -106,7 +105,6 @@ def line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The respondent table over orders, customers, nations, regions and lines."""
-    tune(spark)
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
     nations = table(spark, sf_dir, "nation")

@@ -82,7 +82,8 @@ def premium_vs_first(
     The base is the first level that survived earlier filters, not necessarily the first one of
     ``order``.
     """
-    levels = Window.partitionBy(*partition).orderBy(ordinal_of(F.col(category), order))
+    # Levels outside the order share an ordinal; the name decides among them.
+    levels = Window.partitionBy(*partition).orderBy(ordinal_of(F.col(category), order), category)
     return df.withColumn(
         name, relative_to(F.col(value), F.first(value).over(levels), kind, digits)
     )

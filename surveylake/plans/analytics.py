@@ -91,9 +91,7 @@ def q1_4(lake: Lake) -> DataFrame:
 
 
 def _pay_of(lake: Lake, dimension: str) -> DataFrame:
-    return _of_edition(lake.mart("gold_remuneracao"), lake.last_edition).where(
-        (F.col("dimensao") == dimension) & F.col("amostra_suficiente")
-    )
+    return _of_edition(lake.pay(dimension), lake.last_edition).where("amostra_suficiente")
 
 
 def q2_1(lake: Lake) -> DataFrame:

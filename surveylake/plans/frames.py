@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveylake.functions.text import edition_label, percentage
+from surveylake.functions.text import edition_label, marked, percentage
 from surveylake.operators.compare import (
     premium_vs_first,
     reindex,
@@ -28,9 +28,7 @@ def _last(lake: Lake, mart: str) -> DataFrame:
 
 
 def _reliable_pay(lake: Lake, dimension: str) -> DataFrame:
-    return lake.mart("gold_remuneracao").where(
-        (F.col("dimensao") == dimension) & F.col("amostra_suficiente")
-    )
+    return lake.pay(dimension).where("amostra_suficiente")
 
 
 def p1_job_composition(lake: Lake) -> DataFrame:
@@ -38,11 +36,15 @@ def p1_job_composition(lake: Lake) -> DataFrame:
     jobs = (
         _last(lake, "gold_perfil_mercado")
         .where(F.col("cargo").isNotNull())
-        .groupBy("cargo")
+        .groupBy("survey_year", "cargo")
         .agg(F.sum("respondentes").alias("respondentes"))
         .where(F.col("respondentes") >= lake.words.min_sample)
     )
-    return share_within(jobs, "respondentes", [], "pct")
+    # Jobs may be free text: the total is an aggregate of its own, not a window over all of them.
+    total = jobs.groupBy("survey_year").agg(F.sum("respondentes").alias("_total"))
+    return jobs.join(total, "survey_year").select(
+        "cargo", "respondentes", percentage(F.col("respondentes"), F.col("_total")).alias("pct")
+    )
 
 
 def p2_seniority_pyramid(lake: Lake) -> DataFrame:
@@ -121,20 +123,17 @@ def p7_top_technologies(lake: Lake, k: int = 7) -> DataFrame:
 
 
 def p8_ai_adoption_series(lake: Lake) -> DataFrame:
-    """Both AI series with the respondents of each block and their contrast in points."""
-    bases = (
-        lake.mart("gold_adocao_ia")
-        .groupBy("survey_year")
-        .agg(
-            F.sum("base_uso_pessoal").alias("n_pessoal"),
-            F.sum("base_uso_empresa").alias("n_empresa"),
-        )
-    )
+    """Both AI series with the respondents of each block and their contrast in points, in one pass."""
+    def block(flag: str, base: str, rate: str) -> list[Column]:
+        return [F.count(flag).alias(base), F.round(F.avg(marked(F.col(flag))) * 100, 2).alias(rate)]
+
     people, companies = F.col("pct_usa_ia_generativa"), F.col("pct_empresa_prioriza_ia")
     return (
-        lake.mart("gold_evolucao_anual")
-        .select("survey_year", people, companies)
-        .join(bases, "survey_year")
+        lake.silver.groupBy("survey_year")
+        .agg(
+            *block("usa_ia_generativa", "n_pessoal", "pct_usa_ia_generativa"),
+            *block("empresa_prioriza_ia", "n_empresa", "pct_empresa_prioriza_ia"),
+        )
         .withColumn("contraste_pp", F.round(people - companies, 2))
     )
 
@@ -205,9 +204,10 @@ def p11_level_medians(lake: Lake) -> DataFrame:
 
 def p12_outcome_funnel(lake: Lake) -> DataFrame:
     """Stages in maturity order for the latest edition with the question; none is left out."""
-    impact = lake.mart("gold_impacto_ia")
-    newest = impact.groupBy().agg(F.max("survey_year").alias("survey_year"))
-    current = impact.join(newest, "survey_year")
+    # One row per edition and stage of the question is left for the window.
+    newest = F.max("survey_year").over(Window.partitionBy())
+    current = lake.mart("gold_impacto_ia").withColumn("_newest", newest)
+    current = current.where(F.col("survey_year") == F.col("_newest")).drop("_newest")
     return reindex(current, "resultado_ia_empresa", lake.words.result_stages)
 
 
@@ -225,6 +225,13 @@ def k1_headline_figures(lake: Lake) -> DataFrame:
     evolution = one_row(
         lake.mart("gold_evolucao_anual"),
         F.sum("total_respondentes").alias("total_respondentes"),
+        F.array_join(
+            F.transform(
+                F.array_sort(F.collect_list(F.struct("survey_year", "total_respondentes"))),
+                lambda e: F.concat_ws(":", e["survey_year"], e["total_respondentes"]),
+            ),
+            ",",
+        ).alias("respondentes_por_edicao"),
         of_year(last, "pct_usa_ia_generativa", "pct_ia_ultimo"),
         of_year(first, "pct_usa_ia_generativa", "pct_ia_primeiro"),
         of_year(last, "pct_empresa_prioriza_ia", "pct_empresa_ia_ultimo"),
@@ -244,28 +251,28 @@ def k1_headline_figures(lake: Lake) -> DataFrame:
     def level(name: str) -> Column:
         return F.max(F.when(F.col("categoria") == name, F.col("salario_mediano")))
 
-    pay = lake.mart("gold_remuneracao").where(
-        (F.col("survey_year") == last) & F.col("amostra_suficiente")
-    )
-    levels = one_row(
-        pay.where(F.col("dimensao") == "senioridade"),
+    cuts = ("senioridade", "cargo", "regiao")
+    pay = lake.pay(*cuts).where((F.col("survey_year") == last) & F.col("amostra_suficiente"))
+
+    def of(dimension: str, value: Column) -> Column:
+        return F.when(F.col("dimensao") == dimension, value)
+
+    def level(name: str) -> Column:
+        return F.max(F.when(F.col("categoria") == name, of("senioridade", F.col("salario_mediano"))))
+
+    job = F.when(F.col("categoria") != words.other_job, of("cargo", F.struct("salario_mediano", "categoria")))
+    region = of("regiao", F.struct("salario_medio", "categoria"))
+    salaries = one_row(
+        pay,
         level(words.junior).alias("sal_junior"),
         level(words.senior).alias("sal_senior"),
         level(words.specialist).alias("sal_especialista"),
-    )
-    by_median = F.struct("salario_mediano", "categoria")
-    jobs = one_row(
-        pay.where((F.col("dimensao") == "cargo") & (F.col("categoria") != words.other_job)),
-        F.max_by("categoria", by_median).alias("cargo_topo"),
-        F.max("salario_mediano").alias("cargo_topo_sal"),
-    )
-    by_mean = F.struct("salario_medio", "categoria")
-    regions = one_row(
-        pay.where(F.col("dimensao") == "regiao"),
-        F.max_by("categoria", by_mean).alias("regiao_cara"),
-        F.max("salario_medio").alias("regiao_cara_sal"),
-        F.min_by("categoria", by_mean).alias("regiao_barata"),
-        F.min("salario_medio").alias("regiao_barata_sal"),
+        F.max(job).getField("categoria").alias("cargo_topo"),
+        F.max(job).getField("salario_mediano").alias("cargo_topo_sal"),
+        F.max(region).getField("categoria").alias("regiao_cara"),
+        F.max(region).getField("salario_medio").alias("regiao_cara_sal"),
+        F.min(region).getField("categoria").alias("regiao_barata"),
+        F.min(region).getField("salario_medio").alias("regiao_barata_sal"),
     )
     volume = (
         _last(lake, "gold_perfil_mercado")
@@ -301,18 +308,16 @@ def k1_headline_figures(lake: Lake) -> DataFrame:
         F.max("gap_salarial_pct").alias("gap_senior"),
     )
 
-    def leader(category: str, name: str) -> Column:
+    def leader(category: str) -> Column:
         # Latest edition first, then adoption; the name decides ties.
-        rank = F.when(
-            F.col("categoria") == category, F.struct("survey_year", "pct_adocao", "tecnologia")
-        )
-        return F.max_by("tecnologia", rank).alias(name)
+        return F.max(F.when(F.col("categoria") == category, F.struct("survey_year", "pct_adocao", "tecnologia")))
 
     leaders = one_row(
         lake.mart("gold_tecnologias"),
         *[
-            leader(category, f"top_{column}")
+            leader(category).getField(value).alias(f"top_{column}{suffix}")
             for category, column in words.technology_blocks.items()
+            for value, suffix in (("tecnologia", ""), ("pct_adocao", "_pct"))
         ],
     )
 
@@ -333,7 +338,7 @@ def k1_headline_figures(lake: Lake) -> DataFrame:
     )
     impact = per_edition.groupBy().agg(newest.alias("_newest")).select("_newest.*")
 
-    parts = [evolution, blocks, levels, jobs, regions, biggest, regional, gap, leaders, impact]
+    parts = [evolution, blocks, salaries, biggest, regional, gap, leaders, impact]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     row = stacked.groupBy().agg(*[F.max(column).alias(column) for column in stacked.columns])
     cheap, dear = F.col("regiao_barata_sal"), F.col("regiao_cara_sal")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +15,16 @@ from surveylake.plans.marts import build_mart
 
 @dataclass(frozen=True)
 class Lake:
-    """``silver`` plus a way to get each mart; both stay lazy DataFrames."""
+    """``silver`` plus a way to get each mart; both stay lazy DataFrames.
+
+    ``pay`` gives the salary mart for the cuts asked for alone, so that a query on one dimension
+    neither computes nor reads the others.
+    """
 
     silver: DataFrame
     mart: Callable[[str], DataFrame]
     words: Vocabulary
+    pay: Callable[..., DataFrame]
 
     @cached_property
     def editions(self) -> tuple[int, ...]:
@@ -41,7 +46,11 @@ class Lake:
     @classmethod
     def over_silver(cls, silver: DataFrame, words: Vocabulary = Vocabulary()) -> Lake:
         """Marts are computed from the respondent table inside each query."""
-        return cls(silver, lambda name: build_mart(name, silver, words), words)
+
+        def pay(*cuts: str) -> DataFrame:
+            return build_mart("gold_remuneracao", silver, replace(words, salary_cuts=cuts))
+
+        return cls(silver, lambda name: build_mart(name, silver, words), words, pay)
 
     @classmethod
     def from_paths(
@@ -53,4 +62,11 @@ class Lake:
     ) -> Lake:
         """Marts are read from the tables written by ``sources.gold.write_marts``."""
         silver = spark.read.parquet(silver_path)
-        return cls(silver, lambda name: spark.read.parquet(f"{gold_path}/{name}"), words)
+
+        def mart(name: str) -> DataFrame:
+            return spark.read.parquet(f"{gold_path}/{name}")
+
+        def pay(*cuts: str) -> DataFrame:
+            return mart("gold_remuneracao").where(F.col("dimensao").isin(*cuts))
+
+        return cls(silver, mart, words, pay)

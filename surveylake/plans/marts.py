@@ -1,8 +1,7 @@
 """The nine marts built from the respondent table.
 
 Denominators differ on purpose and are stated in each docstring. A mart is a small table; sorting
-is left to the writer (:func:`build_mart` with ``ordered=True``), so queries over a mart carry no
-needless range shuffle.
+is left to the writer, so queries over a mart carry no needless range shuffle.
 """
 
 from __future__ import annotations
@@ -194,16 +193,6 @@ MART_ORDER: dict[str, list[Column | str]] = {
 }
 
 
-def build_mart(
-    name: str, silver: DataFrame, words: Vocabulary = Vocabulary(), ordered: bool = False
-) -> DataFrame:
+def build_mart(name: str, silver: DataFrame, words: Vocabulary = Vocabulary()) -> DataFrame:
     """One mart with the column order of its contract."""
-    mart = MARTS[name](silver, words).select(*GOLD_COLUMNS[name])
-    if not ordered:
-        return mart
-    return mart.orderBy(
-        *[
-            F.desc(column[1:]) if column.startswith("-") else F.asc(column)
-            for column in MART_ORDER[name]
-        ]
-    )
+    return MARTS[name](silver, words).select(*GOLD_COLUMNS[name])

@@ -50,9 +50,15 @@ def _single_machine_root() -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent, as on a single machine, a temporary folder stands in.
+    Only on a single machine (a local master) a temporary folder stands in where that setting is
+    absent; on a cluster its absence is an error, as executors would write to their own disks.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _single_machine_root()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = _single_machine_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from surveylake.operators.harmonise import header_table, name_headers
 
+HEADER_READERS = 32
 LINEAGE = ("survey_year", "arquivo_origem", "ingerido_em")
 
 
@@ -33,14 +36,48 @@ def edition_year(path: str) -> int:
     return int(found.group())
 
 
-def read_survey_csv(spark: SparkSession, paths: list[str], multi_line: bool = True) -> DataFrame:
-    """Header row, every column a string, quoted line breaks kept.
+def read_header(spark: SparkSession, path: str) -> list[str]:
+    """Raw column names of an export, repeated ones included: the first record, quoted line breaks and all.
 
-    With ``multi_line`` a file is one task; pass ``False`` for exports without line breaks inside
-    answers, so that large files are split.
+    Only that record is read, through the file system and without a Spark job. An export that is a
+    folder has the same header in each of its part files.
     """
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.getFileStatus(place).isDirectory():
+        parts = sorted(status.getPath().toString() for status in files.listStatus(place) if status.getLen())
+        parts = [part for part in parts if not part.rsplit("/", 1)[-1].startswith(("_", "."))]
+        if not parts:
+            return []
+        place = jvm.org.apache.hadoop.fs.Path(parts[0])
+    stream = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(files.open(place), "UTF-8"))
+    try:
+        record = stream.readLine()
+        while record is not None and record.count('"') % 2:  # a quoted line break
+            line = stream.readLine()
+            if line is None:
+                break
+            record += "\n" + line
+    finally:
+        stream.close()
+    return next(csv.reader([record.removeprefix("\ufeff")]), []) if record else []
+
+
+def read_survey_csv(
+    spark: SparkSession, paths: list[str], multi_line: bool = True, columns: int | None = None
+) -> DataFrame:
+    """Every column a string, quoted line breaks kept, the header record skipped.
+
+    Columns are named by the header, or ``c0``, ``c1`` … if their number is given, which leaves
+    repeated header names to the caller. With ``multi_line`` a file is one task; pass ``False`` for
+    exports without line breaks inside answers, so that large files are split.
+    """
+    reader = spark.read
+    if columns is not None:
+        reader = reader.schema(", ".join(f"c{i} string" for i in range(columns)))
     return (
-        spark.read.option("header", True)
+        reader.option("header", True)
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
@@ -60,12 +97,18 @@ class EditionFiles:
     paths: list[str] = field(default_factory=list)
 
 
-def group_exports(spark: SparkSession, paths: list[str], multi_line: bool = True) -> list[EditionFiles]:
-    """Exports by edition and header, so that one read serves all files with the same header."""
+def group_exports(spark: SparkSession, paths: list[str]) -> list[EditionFiles]:
+    """Exports by edition and header, so that one read serves all files with the same header.
+
+    No Spark job is run, whatever the number of exports.
+    """
     groups: dict[tuple, EditionFiles] = {}
-    for path in paths:
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        headers = list(pool.map(lambda path: read_header(spark, path), paths))
+    for path, columns in zip(paths, headers):
+        if not columns:  # an empty file
+            continue
         year = edition_year(path)
-        columns = read_survey_csv(spark, [path], multi_line).columns
         slot = (year, *columns)
         if slot not in groups:
             groups[slot] = EditionFiles(f"{year}/{len(groups)}", year, columns)
@@ -98,11 +141,11 @@ def bronze_frames(
     spark: SparkSession, paths: list[str], multi_line: bool = True
 ) -> dict[int, DataFrame]:
     """One DataFrame per edition. Files of one edition are combined, never replaced."""
-    groups = group_exports(spark, paths, multi_line)
+    groups = group_exports(spark, paths)
     names = named_columns(spark, groups)
     editions: dict[int, list[DataFrame]] = {}
     for group in groups:
-        raw = with_lineage(read_survey_csv(spark, group.paths, multi_line), group.year)
+        raw = with_lineage(read_survey_csv(spark, group.paths, multi_line, len(group.columns)), group.year)
         renamed = raw.toDF(*[name for name, _ in names[group.key]], *LINEAGE)
         kept = [name for name, junk in names[group.key] if not junk]
         editions.setdefault(group.year, []).append(renamed.select(*kept, *LINEAGE))
@@ -137,9 +180,11 @@ def ingest(
 
 
 def bronze_editions(spark: SparkSession, bronze_path: str) -> list[int]:
-    """Editions present, from the partition values alone."""
-    years = spark.read.parquet(bronze_path).select("survey_year").distinct()
-    return sorted(row["survey_year"] for row in years.collect())
+    """Editions present, from the names of the partition folders alone."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(bronze_path)
+    entries = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [re.fullmatch(r"survey_year=(\d+)", entry.getPath().getName()) for entry in entries]
+    return sorted(int(name.group(1)) for name in names if name)
 
 
 def read_edition(spark: SparkSession, bronze_path: str, year: int) -> DataFrame:

@@ -13,10 +13,14 @@ from surveylake.plans.marts import MART_ORDER, MARTS, build_mart
 DATABASE = "survey_lake"
 
 
-def write_mart(mart: DataFrame, name: str, gold_path: str) -> int:
-    """One sorted file per mart; returns the rows written.
+ROWS_PER_FILE = 1_000_000
 
-    Only the finished rows go to the single task: the aggregation before it stays parallel.
+
+def write_mart(mart: DataFrame, name: str, gold_path: str, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Sorted files of at most ``rows_per_file`` rows; returns the rows written.
+
+    A mart has as many rows as there are spellings of free answers. It is split by ranges of its
+    order, so a small one is one file and a large one is not written by one task.
     """
     seen = Observation()
     order = [
@@ -24,10 +28,10 @@ def write_mart(mart: DataFrame, name: str, gold_path: str) -> int:
         for column in MART_ORDER[name]
     ]
     (
-        mart.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .repartition(1)
-        .sortWithinPartitions(*order)
+        mart.orderBy(*order)
+        .observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
+        .option("maxRecordsPerFile", rows_per_file)
         .parquet(f"{gold_path}/{name}")
     )
     return seen.get["rows"]

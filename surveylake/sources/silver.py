@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from surveylake.functions import text as X
 from surveylake.functions.rules import CANONICAL_FIELDS, MULTI_SELECT_BLOCKS, SILVER_COLUMNS
 from surveylake.operators.harmonise import header_table, resolve_blocks, resolve_fields
-from surveylake.operators.ranking import first_of_each, number_in_group
 from surveylake.session import settings
 from surveylake.sources.bronze import LINEAGE, bronze_editions, read_edition
 
@@ -78,28 +77,19 @@ def canonical_projection(df: DataFrame, resolution: Resolution) -> DataFrame:
     return df.select(
         *[answer(spec.name) for spec in CANONICAL_FIELDS],
         *[block(spec.name) for spec in MULTI_SELECT_BLOCKS],
-        *[column for column in ("_file", "_row") if column in df.columns],
     )
 
 
 def with_respondent_ids(canonical: DataFrame, year: int) -> DataFrame:
-    """Give respondents without an id a reproducible one.
+    """Give respondents without an id the hash of their answers, and mark them in ``_unnamed``.
 
-    The id is a hash of the answers, numbered among respondents with the very same answers: the
-    same Bronze rows always yield the same set of ids, and no respondent is lost as a duplicate.
+    Those who gave the very same answers share a hash; :func:`consolidate` numbers them.
     """
-    unknown = F.col("respondente_id").isNull()
-    answers = [c for c in canonical.columns if c not in ("respondente_id", "_file", "_row")]
-    content = F.sha2(F.to_json(F.struct(*answers)), 256)
-    numbered = number_in_group(
-        canonical.where(unknown).withColumn("_content", content),
-        ["_content"], "_row", "_nth", within=["_file"],
+    answers = [c for c in canonical.columns if c != "respondente_id"]
+    content = F.concat_ws("_", F.lit(year), F.sha2(F.to_json(F.struct(*answers)), 256))
+    return canonical.withColumn("_unnamed", F.col("respondente_id").isNull()).withColumn(
+        "respondente_id", F.coalesce("respondente_id", content)
     )
-    made = numbered.withColumn(
-        "respondente_id", F.concat_ws("_", F.lit(year), F.col("_content"), F.col("_nth"))
-    )
-    columns = [c for c in canonical.columns if c not in ("_file", "_row")]
-    return canonical.where(~unknown).select(*columns).unionByName(made.select(*columns))
 
 
 def conform_answers(canonical: DataFrame, year: int) -> DataFrame:
@@ -131,17 +121,13 @@ def conform_answers(canonical: DataFrame, year: int) -> DataFrame:
             derived.get(name, F.col(name)).cast(kind).alias(name)
             for name, kind in SILVER_COLUMNS.items()
         ],
+        "_unnamed",
     )
 
 
 def conform_edition(df: DataFrame, year: int, resolution: Resolution) -> DataFrame:
-    """One Bronze edition, as read from its Parquet path, in the respondent schema."""
-    located = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
-    )
-    canonical = canonical_projection(located, resolution)
+    """One Bronze edition in the respondent schema, with the mark of :func:`with_respondent_ids`."""
+    canonical = canonical_projection(df, resolution)
     return conform_answers(with_respondent_ids(canonical, year), year)
 
 
@@ -162,14 +148,24 @@ def align(parts: list[DataFrame]) -> list[DataFrame]:
     ]
 
 
-def one_per_respondent(silver: DataFrame) -> DataFrame:
-    """One row per (edition, respondent); among repeats the first in the order of all answers."""
-    keys = ["survey_year", "respondente_id"]
-    return first_of_each(silver, keys, [F.col(c) for c in silver.columns if c not in keys])
-
-
 def consolidate(editions: list[DataFrame]) -> DataFrame:
-    return one_per_respondent(reduce(DataFrame.unionByName, align(editions)))
+    """All editions with one row per respondent, in one aggregation.
+
+    Rows without an id of their own are equal where their hash is: they are counted, and as many
+    rows come out, numbered from 1. The same Bronze rows always yield the same set of ids, nobody is
+    lost as a repeat, and a group of equal rows of any size is one row from each map task.
+    """
+    rows = reduce(DataFrame.unionByName, align(editions))
+    keys = ["survey_year", "respondente_id"]
+    answers = [c for c in rows.columns if c not in (*keys, "_unnamed")]
+    kept = rows.groupBy(*keys).agg(
+        F.min(F.struct(*answers)).alias("_first"),
+        F.sum(F.col("_unnamed").cast("int")).alias("_equal"),
+    )
+    numbered = kept.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.greatest("_equal", F.lit(1)))))
+    named = F.when(F.col("_equal") > 0, F.concat_ws("_", "respondente_id", "_nth")).otherwise(F.col("respondente_id"))
+    columns = {"respondente_id": named, **{c: F.col(f"_first.{c}") for c in answers}}
+    return numbered.select(*[columns.get(c, F.col(c)).alias(c) for c in rows.columns if c != "_unnamed"])
 
 
 def conform(spark: SparkSession, bronze_path: str) -> DataFrame:
