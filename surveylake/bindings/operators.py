@@ -114,6 +114,19 @@ def a3_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("total")
 
 
+@entry("A3_narrow", """
+SELECT l_linestatus, quantile_disc((CAST(l_shipdate AS DATE) - DATE '1970-01-01')::BIGINT * 86400000000000 + l_orderkey, 0.25) AS p25,
+  quantile_disc((CAST(l_shipdate AS DATE) - DATE '1970-01-01')::BIGINT * 86400000000000 + l_orderkey, 0.5) AS p50,
+  quantile_disc((CAST(l_shipdate AS DATE) - DATE '1970-01-01')::BIGINT * 86400000000000 + l_orderkey, 0.99) AS p99, count(*) AS n
+FROM lineitem GROUP BY l_linestatus""")
+def a3_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longs beyond the whole numbers of a double, close together, in two segments of half of all rows each."""
+    moment = F.unix_date(F.to_date("l_shipdate")).cast("long") * F.lit(86_400 * 1_000_000_000) + F.col("l_orderkey")
+    lines = table(spark, sf_dir, "lineitem").select("l_linestatus", moment.alias("momento"))
+    points = {"p25": 0.25, "p50": 0.5, "p99": 0.99}
+    return segments.exact_percentiles(lines, ["l_linestatus"], "momento", points).drop("total")
+
+
 @entry("A4", with_silver("""
 SELECT cargo, regiao,
   CAST(sum(CASE WHEN survey_year = 1996 THEN n ELSE 0 END) AS BIGINT) AS n_1996,

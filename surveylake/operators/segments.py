@@ -17,6 +17,8 @@ PERCENTILES = {"salario_mediano": 0.5, "salario_p25": 0.25, "salario_p75": 0.75}
 
 # Buckets per natural-log unit of the measure in the exact percentile; one is 0.005 % wide.
 BUCKETS_PER_LOG_UNIT = 20_000
+# Parts of a bucket that holds a rank.
+PARTS = 65_536
 
 
 def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -50,18 +52,21 @@ def exact_percentiles(
     """Exact discrete percentiles per segment, safe for a segment holding most of the rows.
 
     Rows are first counted per (segment, value): banded measures collapse in the map tasks. The
-    values of a segment are cut into narrow ordered buckets, whose number is bounded by the range
-    of a double and not by the data. Bucket totals tell which bucket holds each rank; only those
-    buckets are sorted. Returns the keys, ``n``, ``total`` and one column per percentile.
+    values of a segment are cut into ordered buckets of equal relative width, and the bucket that
+    holds a rank into ``PARTS`` parts of equal width between its own least and greatest value. Both
+    numbers are bounded by the range of a double and not by the data, and both are counted before
+    they are shuffled, so only one narrow part is ever sorted, also where all values of a segment
+    are close together. Values keep their type; buckets only use its order. Returns the keys,
+    ``n``, ``total`` and one column per percentile.
     """
     keys = list(keys)
-    value = F.col("_value")
-    scaled = F.signum(value) * F.floor(F.log1p(F.abs(value)) * F.lit(BUCKETS_PER_LOG_UNIT))
+    number = F.col("_value").cast("double")
+    scaled = F.signum(number) * F.floor(F.log1p(F.abs(number)) * F.lit(BUCKETS_PER_LOG_UNIT))
     # NaN shares the last bucket with infinity and orders after it, as in Spark sorts.
-    bucket = F.when(F.isnan(value), F.lit(2**63 - 1)).otherwise(F.floor(scaled))
+    bucket = F.when(F.isnan(number), F.lit(2**63 - 1)).otherwise(F.floor(scaled))
     histogram = (
         df.where(F.col(measure).isNotNull())
-        .groupBy(*keys, F.col(measure).cast("double").alias("_value"))
+        .groupBy(*keys, F.col(measure).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_bucket", bucket)
     )
@@ -69,7 +74,12 @@ def exact_percentiles(
     in_order = in_segment.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     buckets = (
         histogram.groupBy(*keys, "_bucket")
-        .agg(F.sum("_n").alias("_in"), F.sum(value * F.col("_n")).alias("_sum"))
+        .agg(
+            F.sum("_n").alias("_in"),
+            F.sum(number * F.col("_n")).alias("_sum"),
+            F.min(number).alias("_low"),
+            F.max(number).alias("_high"),
+        )
         .withColumn("_through", F.sum("_in").over(in_order))
         .withColumn("n", F.sum("_in").over(in_segment))
         .withColumn("total", F.sum("_sum").over(in_segment))
@@ -85,29 +95,61 @@ def exact_percentiles(
     )
     targets = (
         buckets.withColumn("_before", F.col("_through") - F.col("_in"))
-        .select(*keys, "_bucket", "_before", "_through", "n", "total", F.inline(ranks))
+        .select(*keys, "_bucket", "_before", "_through", "_low", "_high", "n", "total", F.inline(ranks))
         .where((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_through")))
     )
-    in_bucket = (
+    share = F.try_divide(number - F.col("_low"), F.col("_high") - F.col("_low"))
+    # Infinite ends and equal values leave no share; NaN comes last.
+    part = (
+        F.when(F.isnan(number), F.lit(PARTS + 1))
+        .when(share.isNull() | F.isnan(share), F.when(F.col("_low") < number, F.lit(PARTS)).otherwise(F.lit(0)))
+        .otherwise(F.floor(share * F.lit(PARTS)))
+        .cast("int")
+    )
+    rows = (
+        histogram.alias("h")
+        .join(targets.alias("t"), _same_keys("h", "t", [*keys, "_bucket"]))
+        .select(
+            *[F.col(f"h.{key}").alias(key) for key in keys],
+            "_value", "_n", "_which", "_before", "_rank", "n", "total", part.alias("_part"),
+        )
+    )
+    target = [*keys, "_which", "_before", "_rank", "n", "total"]
+    in_target = Window.partitionBy(*keys, "_which").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    parts = (
+        rows.groupBy(*target, "_part")
+        .agg(F.sum("_n").alias("_in"), F.count(F.lit(1)).alias("_values"), F.min("_value").alias("_only"))
+        .withColumn("_through", F.col("_before") + F.sum("_in").over(in_target))
+        .withColumn("_before", F.col("_through") - F.col("_in"))
+        .where((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_through")))
+    )
+    in_part = (
         Window.partitionBy(*keys, "_which")
         .orderBy("_value")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    reached = (
-        histogram.alias("h")
-        .join(targets.alias("t"), _same_keys("h", "t", [*keys, "_bucket"]))
+    inside = (
+        rows.select(*keys, "_which", "_part", "_value", "_n").alias("h")
+        .join(
+            parts.where("_values > 1").select(*keys, "_which", "_part", "_before", "_rank", "n", "total").alias("t"),
+            _same_keys("h", "t", [*keys, "_which", "_part"]),
+        )
         .select(
             *[F.col(f"h.{key}").alias(key) for key in keys],
-            "_value", "_n", "_which", "_before", "_rank", "n", "total",
+            F.col("h._which").alias("_which"), "_value", "_n", "_before", "_rank", "n", "total",
         )
-        .withColumn("_reached", F.col("_before") + F.sum("_n").over(in_bucket))
+        .withColumn("_reached", F.col("_before") + F.sum("_n").over(in_part))
         .where(F.col("_reached") >= F.col("_rank"))
+        .groupBy(*keys, "_which", "n", "total")
+        .agg(F.min("_value").alias("_value"))
     )
+    # A part of one value, as with banded measures, is the answer itself.
+    alone = parts.where("_values = 1").select(*keys, "_which", "n", "total", F.col("_only").alias("_value"))
     answers = [
         F.min(F.when(F.col("_which") == index, F.col("_value"))).alias(name)
         for index, name in enumerate(percentiles)
     ]
-    return reached.groupBy(*keys).agg(
+    return alone.unionByName(inside).groupBy(*keys).agg(
         F.max("n").alias("n"), F.max("total").alias("total"), *answers
     )
 

@@ -71,11 +71,12 @@ def test_multi_cut_equals_single_cuts(people):
 
 
 def test_adoption_equals_join_with_base(spark):
-    rows = [(1, ["x", "y", "x"]), (1, []), (1, None), (2, ["", None, "y"]), (3, None)]
+    rows = [(1, ["x", "y", "x"]), (1, []), (1, None), (2, ["", None, "y"]), (3, None), (None, ["x", "x"]), (None, ["z"])]
     df = spark.createDataFrame(rows, "year int, items array<string>")
-    once = segments.adoption(df, ["year"], {"c": "items"}, dedupe=False).drop("categoria", "pct_adocao")
+    once = segments.adoption(df, ["year"], {"c": "items"}).drop("categoria", "pct_adocao")
     joined = segments.adoption_with_base_join(df, ["year"], "items").select(*once.columns)
     assert quality.table_difference(once, joined).count() == 0
+    df = df.where("year is not null")
     deduped = segments.adoption(df, ["year"], {"c": "items"}).orderBy("year", "tecnologia").collect()
     assert [(r["year"], r["tecnologia"], r["usuarios"], r["base_respondentes"]) for r in deduped] == [
         (1, "x", 1, 2), (1, "y", 1, 2), (2, "y", 1, 1)
@@ -159,3 +160,41 @@ def test_quality_reports(spark):
     assert {row["consulta"]: row["status"] for row in report} == {"a": "FALHA", "b": "FALHA", "c": "OK"}
     contract = quality.contract_report(df, {"x": "int", "y": "int", "z": "string"})
     assert {row["coluna"]: row["confere"] for row in contract.collect()} == {"x": True, "y": False, "z": False}
+
+
+@pytest.mark.parametrize("shift", [0.0, 1.7e9, 1e-9])
+def test_exact_percentiles_of_narrow_ranges(spark, shift):
+    scale = 1e-12 if shift == 1e-9 else 1e-3
+    values = [shift + scale * ((i * 7919) % 5000) for i in range(5000)]
+    df = spark.createDataFrame([("hot", v) for v in values] + [(None, 1.0)], "k string, v double")
+    points = {"p1": 0.01, "p50": 0.5, "p99": 0.99}
+    rows = {r["k"]: r for r in segments.exact_percentiles(df, ["k"], "v", points).collect()}
+    assert [rows["hot"][p] for p in points] == [brute(values, q) for q in points.values()]
+    assert rows[None]["p50"] == 1.0
+
+
+def test_exact_percentiles_keep_long_values(spark):
+    values = [2**60 + i for i in range(0, 2000, 3)]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    row = segments.exact_percentiles(df, [], "v", {"p10": 0.1, "p50": 0.5, "p90": 0.9}).first()
+    assert [row["p10"], row["p50"], row["p90"]] == [brute(values, q) for q in (0.1, 0.5, 0.9)]
+
+
+def test_unexpected_editions_are_reported(spark):
+    df = spark.createDataFrame([(1995, "a"), (1996, "a"), (1996, "a"), (2003, "b"), (None, "c")], "survey_year int, respondente_id string")
+    rows = {r["survey_year"]: tuple(r)[1:] for r in quality.edition_report(df, (1996, 1997)).collect()}
+    assert rows == {
+        1995: (False, 1, 1, 0), 1996: (True, 2, 1, 1), 1997: (True, 0, 0, 0), 2003: (False, 1, 1, 0), None: (False, 1, 1, 0)
+    }
+
+
+def test_tables_with_other_columns_are_not_compared(spark):
+    left = spark.createDataFrame([(1,)], "a int")
+    with pytest.raises(ValueError):
+        quality.table_difference(left, spark.createDataFrame([(1, 2)], "a int, b int"))
+
+
+def test_first_level_is_one_of_a_kind(spark):
+    df = spark.createDataFrame([(1, "y", 10.0), (1, "x", 20.0)], "year int, level string, v double")
+    rows = compare.premium_vs_first(df, "v", ["year"], "level", ["a"], "premium").collect()
+    assert {r["level"]: r["premium"] for r in rows} == {"x": 0.0, "y": -50.0}

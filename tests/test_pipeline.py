@@ -5,13 +5,19 @@ import os
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from surveylake.bindings.editions import export_raw
+from surveylake.bindings.tables import WORDS, respondents
 from surveylake.functions.rules import GOLD_COLUMNS, SILVER_COLUMNS
 from surveylake.plans.analytics import QUERIES
 from surveylake.plans.frames import FRAMES
 from surveylake.plans.lake import Lake
+from surveylake.plans.marts import MARTS, build_mart
 from surveylake.session import scratch_path
 from surveylake.sources import bronze, gold, silver
 
+SF_DIR = "/root/testdata/sf0.001"
 OLD = ["('P0', 'id')", "('P1_a ', 'Idade')", "('P1_b ', 'Genero')", "('P2_f ', 'Cargo Atual')",
        "('P2_g ', 'Nivel')", "('P2_h ', 'Faixa salarial')",
        "('P4_d ', 'Linguagem de programação (dia a dia)')", "('P4_d_1 ', 'SQL')",
@@ -92,10 +98,99 @@ def test_chain(spark, home):
     gold.declare_marts(spark, f"{home}/gold", "survey_test")
     assert spark.table("survey_test.silver").where("survey_year = 2023").count() == 4
     assert spark.table("survey_test.gold_evolucao_anual").count() == 2
-    for name in ("Q1.1", "Q2.2", "Q4.2", "Q6.4", "Q7.3"):
-        QUERIES[name](lake).collect()
-    for name in ("P2", "P7", "P12", "K1"):
-        FRAMES[name](lake).collect()
+
+
+def differing(left, right):
+    """Rows that two results do not share, with doubles as text."""
+    assert sorted(left.columns) == sorted(right.columns)
+    rows = [sorted(str([row[c] for c in sorted(df.columns)]) for row in df.collect()) for df in (left, right)]
+    return [pair for pair in zip(*rows) if pair[0] != pair[1]] or len(rows[0]) != len(rows[1])
+
+
+@pytest.fixture(scope="module")
+def stored(spark):
+    """A lake of stored marts, and one that computes them from the same respondents."""
+    home = scratch_path(spark, "stored")
+    respondents(spark, SF_DIR).write.partitionBy("survey_year").parquet(f"{home}/silver")
+    silver = spark.read.parquet(f"{home}/silver")
+    for name in MARTS:
+        gold.write_mart(build_mart(name, silver, WORDS), name, f"{home}/gold")
+    return Lake.from_paths(spark, f"{home}/silver", f"{home}/gold", WORDS), Lake.over_silver(silver, WORDS)
+
+
+@pytest.mark.parametrize("name", [*QUERIES, *FRAMES])
+def test_queries_over_stored_marts(stored, name):
+    query = {**QUERIES, **FRAMES}[name]
+    assert not differing(query(stored[0]), query(stored[1]))
+
+
+ORDERS = {
+    "Q1.1": ["ano"], "Q1.2": [f"-resp_{2001}"], "Q1.4": ["ano", "-respondentes"], "Q2.1": ["-salario_mediano"],
+    "Q3.1": ["ano", "-respondentes"], "Q4.1": ["categoria", "-pct_adocao"], "Q4.2": ["-variacao_pp"], "Q4.3": ["-salario_mediano"],
+    "Q5.1": ["ano"], "Q5.2": ["-pct_uso_pessoal"], "Q5.4": ["ano", "-respondentes"], "Q6.2": ["regiao", "modelo_trabalho"],
+    "Q7.1": ["-pct_buscando"], "Q7.4": ["salario_mediano"],
+}
+
+
+@pytest.mark.parametrize("name", list(ORDERS))
+def test_order_of_queries(stored, name):
+    rows = QUERIES[name](stored[0]).collect()
+    keys = [
+        [(-1 if c[0] == "-" else 1) * r[c.lstrip("-")] if isinstance(r[c.lstrip("-")], (int, float)) else str(r[c.lstrip("-")]) for c in ORDERS[name]]
+        for r in rows
+        if all(r[c.lstrip("-")] is not None for c in ORDERS[name])
+    ]
+    assert keys == sorted(keys)
+
+
+def test_a_new_edition_moves_the_latest_one(spark, stored):
+    silver = stored[1].silver
+    newer = silver.where("survey_year = 1995").withColumn("survey_year", F.lit(2002))
+    lake = Lake.over_silver(silver.unionByName(newer), WORDS)
+    assert lake.editions == (*range(1995, 2003),) and lake.last_edition == 2002
+    assert "resp_2002" in QUERIES["Q1.2"](lake).columns and "pct_2002" in QUERIES["Q4.2"](lake).columns
+    assert FRAMES["K1"](lake).first()["respondentes_por_edicao"].count(",") == 7
+
+
+def test_queries_leave_the_session_as_it_was(spark):
+    def settings():
+        return sorted((r["key"], r["value"]) for r in spark.sql("SET").collect())
+
+    before = settings()
+    QUERIES["Q2.2"](Lake.over_silver(respondents(spark, SF_DIR), WORDS)).collect()
+    bronze.ingest(spark, export_raw(spark, SF_DIR), scratch_path(spark, "settings"))
+    assert settings() == before
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf(dict):
+        pass
+
+    class Session:
+        def __init__(self, **conf):
+            self.conf = Conf(conf)
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            scratch_path(Session(**{"spark.master": master}), "x")
+    assert scratch_path(Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "s3a://b/c"}), "x").startswith("s3a://b/c/x-")
+
+
+def test_jobs_do_not_grow_with_the_exports(spark):
+    home = scratch_path(spark, "many")
+    os.makedirs(f"{home}/raw")
+
+    def jobs(n):
+        for i in range(n):
+            with open(f"{home}/raw/s{i}_2024.csv", "w", encoding="utf-8") as out:
+                out.write('"0.a_\ntoken",1.a_idade,1.a_idade\nr1,20,21\n')
+        tracker, group = spark.sparkContext.statusTracker(), f"headers-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        groups = bronze.group_exports(spark, bronze.list_csv_files(spark, f"{home}/raw"))
+        assert len(groups) == 1 and groups[0].columns == ["0.a_\ntoken", "1.a_idade", "1.a_idade"]
+        return len(tracker.getJobIdsForGroup(group))
+
+    assert jobs(2) == jobs(40) == 0
 
 
 def test_rerun_replaces_only_its_editions(spark, home):

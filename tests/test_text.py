@@ -15,7 +15,8 @@ def on_clean(function):
 
 CASES = {
     "clean": (X.clean_text, {" a ": "a", "": None, "NaN": None, " - ": None, " x\t": "x", "null": None}),
-    "accents": (X.strip_accents, {"ação": "acao", "Júnior": "Junior", "é": "e", "ñÑ": "nN", "plain": "plain"}),
+    "accents": (X.strip_accents, {"ação": "acao", "Júnior": "Junior", "é": "e", "ñÑ": "nN", "plain": "plain", "½ ﬁm ŉ": "1⁄2 fim ʼn",
+        "й ά Ａｂ１": "и α Ab1", "e\u0301": "e", "ẞ": "ẞ", "Ǆ": "DZ"}),
     "salary": (on_clean(X.salary_midpoint), {
         "de R$ 4.001/mês a R$ 6.000/mês": 5000.5,
         "Acima de R$ 40.001/mês": 50001.25,
