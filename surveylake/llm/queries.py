@@ -85,8 +85,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = saved(weak_supervision.measured(docs).drop("text"), "quality-statistics")
     rules = weak_supervision.default_rules()
-    good = weak_supervision.posterior(rules, weak_supervision.fit(found, rules))
     failed = weak_supervision.base_failed()
+    good = weak_supervision.posterior(rules, weak_supervision.fit(found.where(~failed), rules))
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & (good >= weak_supervision.KEPT)).alias("kept"), good.alias("quality"),

@@ -3,7 +3,9 @@
 Simple rules on statistics of a text vote for good, for bad, or abstain. All documents are counted by
 their pattern of votes; from these counts, whose number is bounded by the rules and not by the
 documents, expectation-maximisation estimates how often each rule votes what on good and on bad
-documents. A document's posterior probability of being good decides.
+documents. A document's posterior probability of being good decides. The base checks decide some
+documents by themselves; accuracies are meant to be estimated on all others, as the two classes would
+otherwise be those that pass and fail these checks.
 
 Defined results: a NULL text has no words. Statistics are those of whole texts; words are runs of
 characters other than ASCII white space. Documents that fail the base checks are never kept. An empty
