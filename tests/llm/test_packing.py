@@ -22,10 +22,16 @@ def tokenizer():
 ODD = ["", " ", "  a  b ", "a\n b", "x \n\n  y\t z", "don't  stop 12 34", "é à b", "a  b c", "tail ", "\x1c a \x1c", "<|endoftext|> a"]
 
 
-@pytest.mark.parametrize("text", ODD)
-def test_ids_are_those_of_the_whole_text(tokenizer, text):
-    found = packing._words(tokenizer_path()).encode(text)
-    assert np.frombuffer(found, dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+def test_ids_are_those_of_the_whole_text(tokenizer, monkeypatch):
+    rng = np.random.default_rng(8)
+    signs = ["a", "B", "é", "1", ".", "'s", " ", " ", "  ", "\n", "\t", "\x1c", "\u00a0", "\u2003", "😀", "_", "ｱ"]
+    texts = ODD + ["".join(rng.choice(signs, rng.integers(1, 25))) for _ in range(1500)]
+    monkeypatch.setattr(packing, "JOINED_CHARS", 40)
+    monkeypatch.setattr(packing, "CACHED_WORDS", 300)
+    words = packing._Words(tokenizer_path())
+    for at in range(0, len(texts), 50):
+        for text, found in zip(texts[at : at + 50], words.encode(texts[at : at + 50])):
+            assert np.frombuffer(found, dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def fewest(sizes, capacity):
