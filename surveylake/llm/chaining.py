@@ -26,10 +26,12 @@ from pyspark.sql import functions as F
 from surveylake.llm.common import column, row_key, salted_join, saved, text_of
 from surveylake.llm.words import mix, shingles, word_hashes
 
-K, PICK = 6, 12
+K, PICK = 6, 16
 LEAST = 50
 IDENTITY = 0.8
 GAP = 10  # words that an alignment bridges on either side
+REACH = K + PICK + GAP  # words between neighbouring shared seeds of a passage, at most
+SPAN = 10  # words from the first to the last shared seed of a passage, at least
 GAP_COST = 0.015  # of a seed's worth, for each word of distance on either side
 CHUNK_CHARS = 2_000_000
 GROUP = 64  # documents aligned with one anchor document in one group
@@ -196,39 +198,59 @@ def align(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]]) -> list[tu
     return passages
 
 
+def document_chains(anchor: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Chains of all links of one document (``anchor`` is the other document) that may be in a passage.
+
+    Every passage leaves shared seeds all along it, whatever their anchors. So links count only
+    where the document's shared seeds span ``SPAN`` words without a gap above ``REACH``. A chain of
+    one seed is left out where a longer chain of the document reaches over it: its stretch is
+    aligned already.
+    """
+    places = np.unique(b)
+    cuts = np.flatnonzero(np.diff(places) > REACH) + 1
+    good = [run for run in np.split(places, cuts) if run[-1] - run[0] >= SPAN]
+    if not good:
+        return []
+    kept = np.flatnonzero(np.isin(b, np.concatenate(good)))
+    order = kept[np.argsort(anchor[kept], kind="stable")]
+    others, starts = np.unique(anchor[order], return_index=True)
+    found = []
+    for other, low, high in zip(others, starts, [*starts[1:], len(order)]):
+        own = order[low:high]
+        found += [(int(other), own[chain]) for chain in chains(a[own], b[own])]
+    long = [(b[links[0]] - K - PICK, b[links[-1]] + K + PICK) for _, links in found if len(links) > 1]
+    return [
+        (other, links)
+        for other, links in found
+        if len(links) > 1 or not any(low <= b[links[0]] <= high for low, high in long)
+    ]
+
+
 def _chained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Chains of each (anchor, document) pair; the rows of a pair follow one another."""
-    kept: list[pd.DataFrame] = []
+    """Chains of each document; the rows of a document follow one another."""
+    waiting: list[pd.DataFrame] = []
 
     def made(frame: pd.DataFrame) -> pd.DataFrame:
-        anchor, doc = frame["anchor"].to_numpy(), frame["uid"].to_numpy()
+        uid, anchor = frame["uid"].to_numpy(), frame["anchor"].to_numpy()
         a, b = frame["anchor_place"].to_numpy(), frame["place"].to_numpy()
-        cuts = [0, *(np.flatnonzero((anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])) + 1).tolist(), len(frame)]
+        cuts = [0, *(np.flatnonzero(uid[1:] != uid[:-1]) + 1).tolist(), len(frame)]
         rows = []
         for low, high in zip(cuts[:-1], cuts[1:]):
-            for chain in chains(a[low:high], b[low:high]):
-                rows.append((anchor[low], doc[low], a[low:high][chain], b[low:high][chain]))
+            for other, links in document_chains(anchor[low:high], a[low:high], b[low:high]):
+                rows.append((other, uid[low], a[low:high][links], b[low:high][links]))
         return pd.DataFrame(rows, columns=["anchor", "uid", "anchor_places", "places"])
 
     for frame in batches:
         if not len(frame):
             continue
-        last = (frame["anchor"].iloc[-1], frame["uid"].iloc[-1])
-        tail = ((frame["anchor"] == last[0]) & (frame["uid"] == last[1])).to_numpy()
-        kept.append(frame[~tail])
-        if tail.all():
-            kept[-1] = frame
-            first = (kept[0]["anchor"].iloc[0], kept[0]["uid"].iloc[0])
-            if first == last:
-                continue
-            yield made(pd.concat(kept[:-1]))
-            kept = [frame]
+        last = (frame["uid"] == frame["uid"].iloc[-1]).to_numpy()
+        if last.all() and (not waiting or waiting[0]["uid"].iloc[0] == frame["uid"].iloc[0]):
+            waiting.append(frame)
             continue
-        if len(whole := pd.concat(kept)):
-            yield made(whole)
-        kept = [frame[tail]]
-    if kept:
-        yield made(pd.concat(kept))
+        yield made(pd.concat([*waiting, frame[~last]]))
+        waiting = [frame[last]]
+    if waiting:
+        yield made(pd.concat(waiting))
 
 
 def _aligned(group: pd.DataFrame) -> pd.DataFrame:
@@ -260,7 +282,9 @@ def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     rows = saved(found.select(F.monotonically_increasing_id().alias("uid"), "key", "s.seeds", "s.places"), "passage-seeds")
     first = rows.groupBy("key").agg(F.min("uid").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = salted_join(rows.select("key", "uid"), first, ["key"], F.col("uid"), salts=4).where("uid != first").select("uid")
-    rows = rows.join(again, "uid", "left_anti")
+    again = saved(again, "passage-repeats")
+    if not again.isEmpty():
+        rows = rows.join(again, "uid", "left_anti")
     each = rows.select("uid", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(
         "uid", F.col("s.seeds").alias("seed"), F.col("s.places").alias("place")
     )
@@ -271,22 +295,23 @@ def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         .select("seed", F.col("first.uid").alias("anchor"), F.col("first.place").alias("anchor_place"))
     )
     shared = saved(shared, "passage-anchors")
-    links = salted_join(each, shared, ["seed"], F.col("uid"), salts=4).where("uid != anchor")
-    links = links.select("anchor", "uid", "anchor_place", "place").repartition("anchor", "uid").sortWithinPartitions("anchor", "uid")
+    # A hot seed is split by adaptive execution: nothing above the join needs its rows together.
+    links = each.join(shared, "seed").where("uid != anchor")
+    links = links.select("anchor", "uid", "anchor_place", "place").repartition("uid").sortWithinPartitions("uid")
     chained = links.mapInPandas(_chained, "anchor bigint, uid bigint, anchor_places array<int>, places array<int>")
     pairs = saved(
         chained.groupBy("anchor", "uid").agg(F.collect_list(F.struct("anchor_places", "places")).alias("chains")), "passage-chains"
     )
-    used = pairs.select("uid").union(pairs.select("anchor")).distinct()
-    wanted = rows.join(used, "uid").select("key", "uid")
-    texts = docs.select(key.alias("key"), column(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    texts = saved(texts.join(wanted, "key").dropDuplicates(["key"]), "passage-texts")
     sizes = pairs.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
     dealt = salted_join(pairs, sizes, ["anchor"], F.col("uid"), salts=16).withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")))
     leaders = dealt.select("anchor", "part").distinct().select(
         "anchor", "part", F.col("anchor").alias("uid"), F.lit(None).cast(pairs.schema["chains"].dataType).alias("chains")
     )
-    both = dealt.select("anchor", "part", "uid", "chains").unionByName(leaders).join(texts, "uid")
+    places = dealt.select("anchor", "part", "uid", "chains").unionByName(leaders).join(rows.select("uid", "key"), "uid").drop("uid")
+    texts = docs.select(key.alias("key"), column(doc_id).alias("doc_id"), text_of(text).alias("text"))
+    if not again.isEmpty():  # one text of each document
+        texts = texts.dropDuplicates(["key"])
+    both = texts.join(places, "key").drop("key")
     id_type = docs.select(column(doc_id)).schema[0].dataType.simpleString()
     out = f"doc_id {id_type}, partner_id {id_type}, start bigint, end bigint, partner_start bigint, partner_end bigint, n_equal bigint"
     return both.groupBy("anchor", "part").applyInPandas(_aligned, out)

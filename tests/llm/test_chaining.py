@@ -92,13 +92,22 @@ def test_empty_table(documents):
     assert chaining.passages(documents([])).count() == 0
 
 
-def test_rows_of_a_pair_may_span_batches():
+def test_rows_of_a_document_may_span_batches():
     import pandas as pd
 
-    rows = [(1, 2, i * 7, i * 7) for i in range(50)] + [(1, 3, 5, 9), (2, 3, 1, 1), (2, 3, 8, 8)]
+    rows = [(1, 2, i * 7, i * 7) for i in range(50)] + [(1, 3, 5, 9), (2, 3, 1, 11), (2, 3, 8, 18), (2, 3, 30, 40), (2, 4, 1, 1)]
     frame = pd.DataFrame(rows, columns=["anchor", "uid", "anchor_place", "place"])
     whole = pd.concat(chaining._chained(iter([frame])))
+    assert set(whole["uid"]) == {2, 3}
     for size in (1, 3, 20, 51):
         parts = [frame[i : i + size] for i in range(0, len(frame), size)]
         out = pd.concat(chaining._chained(iter(parts)))
         assert list(out["uid"]) == list(whole["uid"]) and [x.tolist() for x in out["places"]] == [x.tolist() for x in whole["places"]]
+
+
+def test_links_count_only_along_a_stretch_of_shared_seeds():
+    anchor, a = np.array([1, 1, 1, 2, 1, 3]), np.array([0, 9, 18, 7, 27, 4])
+    b = np.array([100, 109, 118, 112, 127, 500])
+    found = chaining.document_chains(anchor, a, b)
+    assert [(other, links.tolist()) for other, links in found] == [(1, [0, 1, 2, 4])]
+    assert chaining.document_chains(anchor[:2], a[:2], b[:2]) == []
