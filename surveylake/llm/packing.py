@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import pairwise
+from struct import pack as pack_bytes
 from typing import NamedTuple
 
 import numpy as np
@@ -38,6 +39,8 @@ ROUNDS = 4
 CHUNK_CHARS = 1_000_000
 CACHED_WORDS = 600_000
 JOINED_CHARS = 50_000
+# Below this code point every edition of Unicode in use agrees on what is a letter.
+STABLE_LETTERS = "\u0530"
 
 # In byte-level BPE a space before a non-space always begins a new token, so texts may be cut there.
 _ODD_SPACE = re.compile(r" (?:\s|$)")
@@ -47,25 +50,53 @@ _CUT = re.compile(r" (?=\S)")
 class _Words:
     """Little-endian ids of the parts of texts between such spaces, encoded when first met.
 
-    The parts that are new in a group of texts are encoded joined, which costs less than one by one;
-    the offsets of the tokens tell them apart. The memory is emptied when it is full.
+    A new part that is letters alone, or letters and one mark, needs no pattern to be split, so its
+    letters go to the tokenizer's merges directly. Other new parts of a group of texts are encoded
+    joined, which costs less than one by one; the offsets of the tokens tell them apart. The memory
+    is emptied when it is full.
     """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # The letters that byte-level BPE writes for the bytes, which keep their order in two runs.
+        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        hidden = [byte for byte in range(256) if byte not in shown]
+        self.letters = {byte: chr(0x100 + i) for i, byte in enumerate(hidden)}
+        if set(ByteLevel.alphabet()) != {*map(chr, shown), *self.letters.values()} or self._word("né") != self._plain(" né"):
+            raise ValueError("not a byte-level BPE tokenizer")
+        self.marks = {mark: self._plain(mark) for mark in ",.;:!?"}
         self.known: dict[str, bytes] = {}  # part -> ids of a space and the part
 
+    def _plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _word(self, letters: str) -> bytes:
+        tokens = self.tokenizer.model.tokenize((" " + letters).encode().decode("latin-1").translate(self.letters))
+        return pack_bytes("<%dI" % len(tokens), *[token.id for token in tokens])
+
     def _learn(self, parts: list[str]) -> None:
+        known, rest = self.known, []
+        for part in parts:
+            if part.isalpha() and max(part) < STABLE_LETTERS:
+                known[part] = self._word(part)
+            elif part[-1:] in self.marks and part[:-1].isalpha() and max(part) < STABLE_LETTERS:
+                letters = part[:-1]
+                if letters not in known:
+                    known[letters] = self._word(letters)
+                known[part] = known[letters] + self.marks[part[-1]]
+            else:
+                rest.append(part)
         at = 0
-        while at < len(parts):
+        while at < len(rest):
             some, chars = [], 0
-            while at < len(parts) and chars < JOINED_CHARS:
-                some.append(parts[at])
-                chars += len(parts[at]) + 1
+            while at < len(rest) and chars < JOINED_CHARS:
+                some.append(rest[at])
+                chars += len(rest[at]) + 1
                 at += 1
             found = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
             ids = np.array(found.ids, dtype="<u4")
@@ -75,7 +106,7 @@ class _Words:
             cuts = [*np.searchsorted(begins, starts).tolist(), len(ids)]
             data = ids.tobytes()
             for part, a, b in zip(some, cuts[:-1], cuts[1:]):
-                self.known[part] = data[4 * a : 4 * b]
+                known[part] = data[4 * a : 4 * b]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""

@@ -24,7 +24,7 @@ ODD = ["", " ", "  a  b ", "a\n b", "x \n\n  y\t z", "don't  stop 12 34", "é à
 
 def test_ids_are_those_of_the_whole_text(tokenizer, monkeypatch):
     rng = np.random.default_rng(8)
-    signs = ["a", "B", "é", "1", ".", "'s", " ", " ", "  ", "\n", "\t", "\x1c", "\u00a0", "\u2003", "😀", "_", "ｱ"]
+    signs = ["a", "B", "é", "1", ".", "'s", " ", " ", "  ", "\n", "\t", "\x1c", "\u00a0", "\u2003", "😀", "_", "ｱ", ",", "ab", "né", "中", "ʰ", "²", "́", "?!"]
     texts = ODD + ["".join(rng.choice(signs, rng.integers(1, 25))) for _ in range(1500)]
     monkeypatch.setattr(packing, "JOINED_CHARS", 40)
     monkeypatch.setattr(packing, "CACHED_WORDS", 300)
