@@ -9,6 +9,10 @@ to extend, less a cost for the gap. The chains are aligned on the words themselv
 the seeds are extended, short gaps are bridged by their longest common subsequence, and what reaches
 ``LEAST`` equal words at ``IDENTITY`` is a passage.
 
+The first occurrences of a passage's seeds may lie in documents that hold fragments of it only. So
+where shared seeds could hold ``LEAST`` equal words in a row that no passage covers, the hashes of
+all windows of ``LEAST`` words are joined to the first occurrence of the window, which is a passage.
+
 Defined results: texts that are NULL or shorter than a k-mer have no passages. Rows that repeat both
 id and text are one document; repeats within one document are no passages. Passages are places of words (runs
 without ASCII white space), end exclusive.
@@ -34,6 +38,7 @@ REACH = K + PICK + GAP  # words between neighbouring shared seeds of a passage,
 SPAN = 10  # words from the first to the last shared seed of a passage, at least
 GAP_COST = 0.015  # of a seed's worth, for each word of distance on either side
 CHUNK_CHARS = 2_000_000
+STRETCH = -1  # the anchor's number in rows that hold a document's stretches
 GROUP = 64  # documents aligned with one anchor document in one group
 
 
@@ -187,6 +192,7 @@ def align(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]]) -> list[tu
     while at < len(blocks):
         i, j, equal = blocks[at]
         end_i, end_j = i + equal, j + equal
+        begin = at
         at += 1
         while at < len(blocks) and blocks[at][0] - end_i <= GAP and blocks[at][1] - end_j <= GAP:
             u, v, length = blocks[at]
@@ -195,9 +201,22 @@ def align(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]]) -> list[tu
             at += 1
         if equal >= LEAST and equal >= IDENTITY * max(end_i - i, end_j - j):
             passages.append((i, end_i, j, end_j, equal))
+        else:  # poor neighbours do not take an exact run along
+            passages += [(u, u + n, v, v + n, n) for u, v, n in blocks[begin:at] if n >= LEAST]
     return passages
 
 
+def all_chains(anchor: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Chains of all links of one document with each of its anchor documents."""
+    order = np.argsort(anchor, kind="stable")
+    others, starts = np.unique(anchor[order], return_index=True)
+    found = []
+    for other, low, high in zip(others, starts, [*starts[1:], len(order)]):
+        own = order[low:high]
+        found += [(int(other), own[chain]) for chain in chains(a[own], b[own])]
+    return found
+
+
 def document_chains(anchor: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """Chains of all links of one document (``anchor`` is the other document) that may be in a passage.
 
@@ -226,8 +245,28 @@ def document_chains(anchor: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tu
     ]
 
 
-def _chained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Chains of each document; the rows of a document follow one another."""
+def stretches(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the stretches that hold every run of ``LEAST`` words with an equal elsewhere.
+
+    All seeds picked from windows inside of such a run are shared: neighbours are ``PICK`` words
+    apart at most, and the first and the last one less than ``PICK`` k-mers from the run's ends.
+    """
+    places = np.unique(places)
+    runs = np.split(places, np.flatnonzero(np.diff(places) > PICK) + 1) if len(places) else []
+    runs = [run for run in runs if run[-1] - run[0] >= LEAST - K - 2 * (PICK - 1)]
+    starts = np.array([max(0, run[0] - PICK + 1) for run in runs], dtype=np.int32)
+    return starts, np.array([run[-1] + K + PICK - 1 for run in runs], dtype=np.int32)
+
+
+def windows_in(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Which of the first ``n`` windows of ``LEAST`` words lie in one of the ranges of words."""
+    starts, stops = np.minimum(starts, n), np.minimum(np.maximum(ends - LEAST + 1, starts), n)
+    change = np.bincount(starts, minlength=n + 1) - np.bincount(stops, minlength=n + 1)
+    return np.cumsum(change)[:n] > 0
+
+
+def _chained(batches: Iterator[pd.DataFrame], chained=document_chains) -> Iterator[pd.DataFrame]:
+    """Chains and stretches of each document; the rows of a document follow one another."""
     waiting: list[pd.DataFrame] = []
 
     def made(frame: pd.DataFrame) -> pd.DataFrame:
@@ -236,8 +275,12 @@ def _chained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cuts = [0, *(np.flatnonzero(uid[1:] != uid[:-1]) + 1).tolist(), len(frame)]
         rows = []
         for low, high in zip(cuts[:-1], cuts[1:]):
-            for other, links in document_chains(anchor[low:high], a[low:high], b[low:high]):
-                rows.append((other, uid[low], a[low:high][links], b[low:high][links]))
+            links_of = low + np.flatnonzero(anchor[low:high] != uid[low])
+            for other, links in chained(anchor[links_of], a[links_of], b[links_of]):
+                rows.append((other, uid[low], a[links_of[links]], b[links_of[links]]))
+            starts, ends = stretches(b[low:high])
+            if len(starts):
+                rows.append((STRETCH, uid[low], starts, ends))
         return pd.DataFrame(rows, columns=["anchor", "uid", "anchor_places", "places"])
 
     for frame in batches:
@@ -264,8 +307,9 @@ def _aligned(group: pd.DataFrame) -> pd.DataFrame:
         found = set()
         for chain in row.chains:
             found.update(align(x, y, list(zip(chain["anchor_places"].tolist(), chain["places"].tolist()))))
-        rows += [(row.doc_id, anchor["doc_id"], j, end_j, i, end_i, equal) for i, end_i, j, end_j, equal in sorted(found)]
-    names = ["doc_id", "partner_id", "start", "end", "partner_start", "partner_end", "n_equal"]
+        pair = (row.uid, anchor["uid"])
+        rows += [(row.doc_id, anchor["doc_id"], j, end_j, i, end_i, equal, *pair) for i, end_i, j, end_j, equal in sorted(found)]
+    names = ["doc_id", "partner_id", "start", "end", "partner_start", "partner_end", "n_equal", "uid", "anchor"]
     return pd.DataFrame(rows, columns=names)
 
 
@@ -296,22 +340,85 @@ def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     )
     shared = saved(shared, "passage-anchors")
     # A hot seed is split by adaptive execution: nothing above the join needs its rows together.
-    links = each.join(shared, "seed").where("uid != anchor")
+    pairs = _pairs(each.join(shared, "seed"), "passage-chains")
+    texts = docs.select(key.alias("key"), column(doc_id).alias("doc_id"), text_of(text).alias("text"))
+    if not again.isEmpty():  # one text of each document
+        texts = texts.dropDuplicates(["key"])
+    names = rows.select("uid", "key")
+    found = saved(_align_pairs(pairs.where(F.col("anchor") != STRETCH), names, texts), "passage-rows")
+    links = _window_links(pairs.where(F.col("anchor") == STRETCH), found, names, texts)
+    if links is not None:
+        pairs = _pairs(links, "passage-window-chains").where(F.col("anchor") != STRETCH)
+        found = found.unionByName(_align_pairs(pairs, names, texts))
+    return found.drop("uid", "anchor")
+
+
+def _pairs(links: DataFrame, label: str) -> DataFrame:
+    """``anchor, uid, chains`` of all links (``anchor, uid, anchor_place, place``)."""
     links = links.select("anchor", "uid", "anchor_place", "place").repartition("uid").sortWithinPartitions("uid")
-    chained = links.mapInPandas(_chained, "anchor bigint, uid bigint, anchor_places array<int>, places array<int>")
-    pairs = saved(
-        chained.groupBy("anchor", "uid").agg(F.collect_list(F.struct("anchor_places", "places")).alias("chains")), "passage-chains"
-    )
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _chained(batches, all_chains)
+
+    chained = links.mapInPandas(run, "anchor bigint, uid bigint, anchor_places array<int>, places array<int>")
+    return saved(chained.groupBy("anchor", "uid").agg(F.collect_list(F.struct("anchor_places", "places")).alias("chains")), label)
+
+
+def _align_pairs(pairs: DataFrame, names: DataFrame, texts: DataFrame) -> DataFrame:
+    """Passages of all pairs, with the numbers of both documents."""
     sizes = pairs.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
     dealt = salted_join(pairs, sizes, ["anchor"], F.col("uid"), salts=16).withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")))
     leaders = dealt.select("anchor", "part").distinct().select(
         "anchor", "part", F.col("anchor").alias("uid"), F.lit(None).cast(pairs.schema["chains"].dataType).alias("chains")
     )
-    places = dealt.select("anchor", "part", "uid", "chains").unionByName(leaders).join(rows.select("uid", "key"), "uid").drop("uid")
-    texts = docs.select(key.alias("key"), column(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    if not again.isEmpty():  # one text of each document
-        texts = texts.dropDuplicates(["key"])
+    places = dealt.select("anchor", "part", "uid", "chains").unionByName(leaders).join(names, "uid")
     both = texts.join(places, "key").drop("key")
-    id_type = docs.select(column(doc_id)).schema[0].dataType.simpleString()
+    id_type = texts.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {id_type}, partner_id {id_type}, start bigint, end bigint, partner_start bigint, partner_end bigint, n_equal bigint"
-    return both.groupBy("anchor", "part").applyInPandas(_aligned, out)
+    return both.groupBy("anchor", "part").applyInPandas(_aligned, out + ", uid bigint, anchor bigint")
+
+
+def _still_open(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in batches:
+        frame["open"] = [
+            bool((windows_in(row.starts, row.ends, n := int(row.ends.max())) & ~windows_in(row.covered_starts, row.covered_ends, n)).any())
+            for row in frame.itertuples()
+        ]
+        yield frame
+
+
+def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Hash and place of each window of ``LEAST`` words in a stretch, and whether no passage covers it."""
+    for frame in batches:
+        for row in frame.itertuples():
+            hashes = word_hashes([row.text])[0]
+            if len(hashes) < LEAST:
+                continue
+            values = shingles(hashes, LEAST)
+            place = np.flatnonzero(windows_in(row.starts, row.ends, len(values)))
+            bare = ~windows_in(row.covered_starts, row.covered_ends, len(values))
+            yield pd.DataFrame({"seed": values[place].view(np.int64), "uid": row.uid, "place": place, "open": bare[place]})
+
+
+def _window_links(stretched: DataFrame, found: DataFrame, names: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """Links of the windows that no passage covers to the window's first occurrence; None if all are covered."""
+    covered = found.select("uid", "start", "end").union(found.select("anchor", "partner_start", "partner_end")).distinct()
+    covered = covered.groupBy("uid").agg(F.collect_list(F.struct("start", "end")).alias("covered"))
+    own = stretched.select("uid", F.col("chains")[0].alias("s")).join(covered, "uid", "left")
+    none = F.array().cast("array<bigint>")
+    own = own.select(
+        "uid", F.col("s.anchor_places").alias("starts"), F.col("s.places").alias("ends"),
+        F.coalesce("covered.start", none).alias("covered_starts"), F.coalesce("covered.end", none).alias("covered_ends"),
+    )
+    own = saved(own.mapInPandas(_still_open, own.schema.simpleString()[7:-1].replace(":", " ") + ", open boolean"), "passage-stretches")
+    if own.where("open").isEmpty():
+        return None
+    read = texts.join(own.drop("open").join(names, "uid"), "key").select("uid", "text", "starts", "ends", "covered_starts", "covered_ends")
+    each = saved(read.mapInPandas(_windows, "seed bigint, uid bigint, place int, open boolean"), "passage-windows")
+    first = (
+        each.groupBy("seed")
+        .agg(F.min(F.struct("uid", "place")).alias("first"), F.max("uid").alias("last"), F.max("open").alias("open"))
+        .where("open and first.uid != last")
+        .select("seed", F.col("first.uid").alias("anchor"), F.col("first.place").alias("anchor_place"))
+    )
+    return each.where("open").join(first, "seed").where("uid != anchor")

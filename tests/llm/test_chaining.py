@@ -111,3 +111,32 @@ def test_links_count_only_along_a_stretch_of_shared_seeds():
     found = chaining.document_chains(anchor, a, b)
     assert [(other, links.tolist()) for other, links in found] == [(1, [0, 1, 2, 4])]
     assert chaining.document_chains(anchor[:2], a[:2], b[:2]) == []
+
+
+def test_a_passage_put_together_from_earlier_fragments(documents, words):
+    rng = random.Random(6)
+    rows, wanted = [], {}
+    for n in range(12):
+        passage = words(60)
+        for i, part in enumerate((passage[:30], passage[30:], passage, passage)):
+            at = rng.randint(20, 40)
+            own = words(80)
+            own[at:at] = part
+            rows.append((10 * n + i, " ".join(own)))
+            wanted[10 * n + i] = (at, at + len(part))
+    found = chaining.passages(documents(rows)).collect()
+    assert {frozenset((r.doc_id, r.partner_id)) for r in found} == {frozenset((10 * n + 2, 10 * n + 3)) for n in range(12)}
+    for r in found:
+        low, high = wanted[r.doc_id]
+        assert abs(r.start - low) <= 2 and abs(r.end - high) <= 2 and r.n_equal >= 60
+
+
+def test_every_run_of_equal_words_lies_in_a_stretch():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        common = rng.integers(0, 2**60, chaining.LEAST).astype(np.uint64)
+        at = rng.integers(0, 60, 2)
+        x, y = (np.concatenate([rng.integers(0, 2**60, n).astype(np.uint64), common, rng.integers(0, 2**60, 30).astype(np.uint64)]) for n in at)
+        (seeds, _), (others, places) = chaining.seeds(x), chaining.seeds(y)
+        starts, ends = chaining.stretches(places[np.isin(others, seeds)])
+        assert chaining.windows_in(starts, ends, len(y) - chaining.LEAST + 1)[at[1]]
