@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from surveylake.llm.common import column, row_key, salted_join, saved, text_of
 from surveylake.llm.words import mix, shingles, word_hashes
 
-K, PICK = 6, 16
+K, PICK = 6, 12
 LEAST = 50
 IDENTITY = 0.8
 GAP = 10  # words that an alignment bridges on either side

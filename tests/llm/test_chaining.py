@@ -140,3 +140,17 @@ def test_every_run_of_equal_words_lies_in_a_stretch():
         (seeds, _), (others, places) = chaining.seeds(x), chaining.seeds(y)
         starts, ends = chaining.stretches(places[np.isin(others, seeds)])
         assert chaining.windows_in(starts, ends, len(y) - chaining.LEAST + 1)[at[1]]
+
+
+def test_passages_with_changed_words(documents, words):
+    rng = random.Random(12)
+    for every, least in ((10, 38), (8, 33)):  # of 40 planted passages of 80 words
+        rows = []
+        for n in range(40):
+            passage = [rng.choice("abcdefgh") + str(rng.randrange(10**6)) for _ in range(80)]
+            changed = [f"x{n}.{i}" if i % every == every - 1 else word for i, word in enumerate(passage)]
+            for i, part in enumerate((passage, changed)):
+                rows.append((2 * n + i, " ".join(f"{n}.{i}.{j}" for j in range(40)) + " " + " ".join(part) + f" end{n}.{i}"))
+        found = chaining.passages(documents(rows)).collect()
+        assert all({r.doc_id // 2} == {r.partner_id // 2} for r in found)
+        assert len({r.doc_id // 2 for r in found}) >= least
