@@ -3,8 +3,9 @@
 Pages are first counted by host and shape of their path: numbers, hexadecimal names and digits inside
 a segment are placeholders from the start. Level by level, a segment stays a literal branch only if
 it has enough pages and its labelled block rate differs significantly from that of its siblings
-together; all other segments become the wildcard, which generalises variable segments and merges
-similar branches. Labels are the pages that a rule decides. A template's block rate is smoothed
+together; where the host has too few pages or labels to tell, the same branch of the same template
+over all hosts is judged instead. All other segments become the wildcard, which generalises variable
+segments and merges similar branches. Labels are the pages that a rule decides. A template's block rate is smoothed
 towards that of the same template over all hosts, and that one towards the rate of all labelled
 pages; templates whose smoothed purity is too low are rejected.
 
@@ -71,6 +72,18 @@ def _rate(block: Column, labelled: Column, prior: Column) -> Column:
     return (block + F.lit(SMOOTHING) * prior) / (labelled + F.lit(SMOOTHING))
 
 
+def _judged(branches: DataFrame, parent: list[str]) -> DataFrame:
+    """The branches and whether their block rate ``differs`` from their siblings'; NULL with too few pages or labels."""
+    parents = branches.groupBy(*parent).agg(F.sum("block").alias("all_block"), F.sum("labelled").alias("all_labelled"))
+    judged = salted_join(branches, parents, parent, F.col("name"), salts=16)
+    others = F.col("all_labelled") - F.col("labelled")
+    pooled = F.col("all_block") / F.col("all_labelled")
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / others))
+    apart = F.abs(F.col("block") / F.col("labelled") - (F.col("all_block") - F.col("block")) / others)
+    enough = (F.col("n") >= LEAST_PAGES) & (F.col("labelled") > 0) & (others > 0)
+    return judged.withColumn("differs", F.when(enough, apart > F.lit(SIGNIFICANT) * spread))
+
+
 def templates(shapes: DataFrame) -> DataFrame:
     """``host, shape, template`` of every row of ``shapes`` (``host, shape, n, block, labelled``)."""
     nodes = saved(shapes.select("*", F.split("shape", "/").alias("names"), F.lit("").alias("template")), "url-shapes")
@@ -81,17 +94,12 @@ def templates(shapes: DataFrame) -> DataFrame:
             F.sum("n").alias("n"), F.sum("block").alias("block"), F.sum("labelled").alias("labelled")
         )
         branches = saved(branches, "url-branches")
-        parents = branches.groupBy("host", "template").agg(
-            F.sum("n").alias("all_n"), F.sum("block").alias("all_block"), F.sum("labelled").alias("all_labelled")
-        )
-        judged = salted_join(branches, parents, ["host", "template"], F.col("name"), salts=16)
-        others = F.col("all_labelled") - F.col("labelled")
-        pooled = F.col("all_block") / F.col("all_labelled")
-        spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / others))
-        apart = F.abs(F.col("block") / F.col("labelled") - (F.col("all_block") - F.col("block")) / others)
-        differs = F.when((F.col("labelled") > 0) & (others > 0), apart > F.lit(SIGNIFICANT) * spread).otherwise(F.lit(False))
-        enough = (F.col("n") >= LEAST_PAGES) & (F.col("n") >= F.lit(LEAST_SHARE) * F.col("all_n"))
-        literal = judged.where(enough & F.coalesce(differs, F.lit(False))).select("host", "template", "name", F.lit(True).alias("literal"))
+        anywhere = branches.groupBy("template", "name").agg(*(F.sum(c).alias(c) for c in ("n", "block", "labelled")))
+        anywhere = saved(_judged(anywhere, ["template"]).select("template", "name", F.col("differs").alias("elsewhere")), "url-pooled")
+        here = _judged(branches, ["host", "template"])
+        judged = salted_join(here, anywhere.where("elsewhere"), ["template", "name"], F.col("host"), salts=16, how="left")
+        said = F.coalesce("differs", "elsewhere", F.lit(False))
+        literal = judged.where(said).select("host", "template", "name", F.lit(True).alias("literal"))
         found = salted_join(step, literal, ["host", "template", "name"], F.col("shape"), salts=16, how="left")
         longer = F.concat("template", F.lit("/"), F.when(F.col("literal"), F.col("name")).otherwise(F.lit("*")))
         nodes = saved(

@@ -70,3 +70,15 @@ def test_without_labels_all_is_allowed_and_depth_is_no_limit(spark):
 def test_clashing_columns(spark):
     pages = spark.createDataFrame([(1, "http://a.com/de/", 2, "x")], "page_id long, url string, salt int, host string")
     assert urls.judge(pages, URL_RULES).first().verdict == "block"
+
+
+def test_hosts_without_labels_take_literal_branches_from_elsewhere(spark):
+    rows = [(i, f"http://h{i % 5}.com/{'de' if i % 2 else 'fr'}/{i}") for i in range(400)]
+    rows += [(1000 + i, f"http://n.net/{'de' if i % 2 else 'fr'}/{i}") for i in range(40)]
+    rows += [(2000, "http://small.com/de/1"), (2001, "http://small.com/de/2"), (2002, "http://small.com/en/3"), (2003, "http://one.net/de/4")]
+    rows += [(3000 + i, f"http://h{i % 5}.com/en/{i}") for i in range(20)]
+    found = {r.page_id: r for r in judged(spark, rows).collect()}
+    for i in range(40):
+        assert found[1000 + i].verdict == ("block" if i % 2 else "allow")
+        assert found[1000 + i].template == ("/de/*" if i % 2 else "/fr/*")
+    assert found[2002].template == "/*/*" and found[2000].template == "/de/*" and found[2003].verdict == "block"
