@@ -2,12 +2,14 @@
 
 A token is a word's bucket (lower case, split at ASCII white space, hashed). A small network reads the
 two tokens on either side: their embeddings are concatenated, pass one hidden layer, and predict the
-bucket in two steps, its first half and then its second half given the first. The sum of the
-logarithms of these conditional probabilities over all tokens scores a document.
+bucket in two steps, its first half and then its second half given the first. The word's share of its
+bucket's occurrences in the corpus, counted in Spark, is the third factor, so the vocabulary grows with
+the corpus. The sum of the logarithms of these conditional probabilities over all tokens scores a document.
 
-Training is data parallel: in each round every partition goes through all of its documents, masks a
-share of the tokens chosen by a hash, and takes gradient steps from the common weights; the weights
-of all partitions are then averaged, weighted by their masked tokens, and start the next round.
+Training is data parallel: in each round every partition goes through all of its documents and takes gradient
+steps from the common weights; the weights of all partitions are then averaged, weighted by their
+learned tokens, and start the next round. The rounds take turns at the places of a text, so every
+token is learned once; the network never sees the token it predicts.
 
 Defined results: a text that is NULL or has no word has no tokens, sum 0 and a NULL mean. Repeated rows are
 scored each; other columns are passed on. An empty table gives no rows.
@@ -23,15 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import column, fresh
-from surveylake.llm.words import mix, word_hashes
+from surveylake.llm.common import column, fresh, saved
+from surveylake.llm.words import word_hashes
 
 HALF = 64  # classes of each half of a bucket's number
 BUCKETS = HALF * HALF
 SIDE = 2  # tokens read on either side
 EMBEDDING, HIDDEN = 16, 32
 ROUNDS = 2
-MASKED = 75  # of 1000 tokens, in each round
 BATCH, RATE = 4096, 0.05
 CHUNK_CHARS = 2_000_000
 SCORED = 8192  # tokens scored at once
@@ -157,8 +158,8 @@ def score(texts: list[str | None], network: Network) -> tuple[np.ndarray, np.nda
     return np.concatenate([none.astype(np.int64), *numbers]), np.concatenate([none, *sums])
 
 
-def train(batches: Iterator[list[str | None]], network: Network, turn: int) -> int:
-    """Go through all texts once and learn from the masked tokens; returns their number."""
+def train(batches: Iterator[list[str | None]], network: Network, turn: int, rounds: int = 1) -> int:
+    """Go through all texts once and learn the tokens whose turn it is among ``rounds``; returns their number."""
     squares = Network(np.full(_SIZE, 1e-6, dtype=np.float32))
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
     held = learned = 0
@@ -170,9 +171,9 @@ def train(batches: Iterator[list[str | None]], network: Network, turn: int) -> i
 
     for texts in batches:
         for part in _chunks(texts):
-            padded, place, _ = _tokens(part)
-            key = mix(padded[place].astype(np.uint64) ^ mix(place.astype(np.uint64) + np.uint64(turn << 40)))
-            here = place[key % np.uint64(1000) < MASKED]
+            padded, place, owner = _tokens(part)
+            within = np.arange(len(place)) - np.searchsorted(owner, owner)
+            here = place[within % rounds == turn]
             waiting.append((padded[here[:, None] + _AROUND], padded[here]))
             held += len(here)
             learned += len(here)
@@ -213,7 +214,7 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Network:
 
         def run(batches: Iterator[pd.DataFrame], turn: int = turn, shared=shared) -> Iterator[pd.DataFrame]:
             own = Network(shared.value.copy())
-            n = train((list(frame["text"]) for frame in batches), own, turn)
+            n = train((list(frame["text"]) for frame in batches), own, turn, rounds)
             if n:
                 pieces = np.array_split(own.flat.astype(np.float64) * n, PIECES)
                 part = TaskContext.get().partitionId()
@@ -229,8 +230,48 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Network:
     return network
 
 
+def _word_counts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        words, counts = [], []
+        for part in _chunks([t if isinstance(t, str) else None for t in batch]):
+            hashes, first, _, _ = word_hashes(part)
+            for a, b in zip(first[:-1], first[1:]):
+                values, n = np.unique(hashes[a:b].view(np.int64), return_counts=True)
+                words.append(values)
+                counts.append(n)
+        yield pd.DataFrame({"words": words, "counts": counts})
+
+
+def _within_buckets(docs: DataFrame, text: str) -> DataFrame:
+    """``key, within``: for each text's key, the summed logarithm of its words' shares of their buckets in ``docs``."""
+    key = F.unhex(F.sha2(column(text).cast("binary"), 256))
+    found = docs.select(key.alias("key"), F.pandas_udf(_word_counts, "words array<bigint>, counts array<int>")(column(text)).alias("w"))
+    rows = saved(found.select(F.monotonically_increasing_id().alias("uid"), "key", "w.words", "w.counts"), "lm-words")
+    each = rows.select("uid", F.explode(F.arrays_zip("words", "counts")).alias("w")).select(
+        "uid", F.col("w.words").alias("word"), F.col("w.counts").cast("bigint").alias("n")
+    )
+    counts = saved(each.groupBy("word").agg(F.sum("n").alias("all")), "lm-counts").withColumn("bucket", F.pmod("word", F.lit(BUCKETS)))
+    buckets = counts.groupBy("bucket").agg(F.sum("all").alias("total"))
+    shares = counts.join(F.broadcast(buckets), "bucket").where("all < total").select("word", F.log(F.col("all") / F.col("total")).alias("share"))
+    # A hot word is split by adaptive execution: nothing above the join needs its rows together.
+    sums = each.join(saved(shares, "lm-shares"), "word").groupBy("uid").agg(F.sum(F.col("n") * F.col("share")).alias("within"))
+    return rows.select("uid", "key").join(sums, "uid").groupBy("key").agg(F.min("within").alias("within"))
+
+
+def scored_words(docs: DataFrame, network: Network, text: str = "text") -> DataFrame:
+    """As ``scored``, of the words themselves: with their shares of their buckets in ``docs``, which was learned from."""
+    found = scored(docs, network, text)
+    key = fresh(found, "key")
+    within = fresh(found, "within")
+    shares = saved(_within_buckets(docs, text), "lm-within").select(column("key").alias(key), column("within").alias(within))
+    keyed = found.withColumn(key, F.unhex(F.sha2(column(text).cast("binary"), 256)))
+    both = keyed.join(shares, key, "left")
+    whole = F.col("log_probability") + F.coalesce(column(within), F.lit(0.0))
+    return both.withColumns({"log_probability": whole, "mean_log_probability": F.try_divide(whole, F.col("n_tokens"))}).select(found.columns)
+
+
 def scored(docs: DataFrame, network: Network, text: str = "text") -> DataFrame:
-    """All rows with ``n_tokens``, ``log_probability`` and ``mean_log_probability`` (replaced, if there)."""
+    """All rows with ``n_tokens``, ``log_probability`` and ``mean_log_probability`` (replaced, if there) of the buckets."""
     shared = docs.sparkSession.sparkContext.broadcast(network.flat)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -70,3 +70,28 @@ def test_empty_table_and_clashing_columns(documents):
     docs = documents([(1, "a b", "en", "a", 3, 4)], ", n_tokens int, found int")
     row = lm.scored(docs, lm.Network.start()).first()
     assert row.n_tokens == 2 and row.found == 4
+
+
+def test_every_token_is_learned_once(words):
+    texts = [" ".join(words(n)) for n in (1, 2, 7, 300)] + [None, ""]
+    assert sum(lm.train(iter([texts]), lm.Network.start(), turn, lm.ROUNDS) for turn in range(lm.ROUNDS)) == 310
+
+
+def test_words_of_one_bucket_share_its_probability(documents):
+    rng = random.Random(3)
+    names = [f"w{rng.randrange(10**9)}" for _ in range(20_000)]
+    buckets = {}
+    for name in names:
+        buckets.setdefault(int(lm.word_hashes([name])[0][0]) % lm.BUCKETS, []).append(name)
+    often, rare = next(b for b in buckets.values() if len(b) > 1)[:2]
+    docs = documents([(1, f"{often} " * 90), (2, f"{often.upper()} {rare}"), (2, f"{often.upper()} {rare}"), (3, rare * 2), (4, None), (5, "")])
+    network = lm.Network.start()
+    plain = {r.doc_id: r for r in lm.scored(docs, network).collect()}
+    rows = lm.scored_words(docs, network).collect()
+    found = {r.doc_id: r for r in rows}
+    assert len(rows) == 6 and found[4].log_probability == 0 and found[5].mean_log_probability is None
+    share = np.log(92 / 94)
+    assert found[1].log_probability == pytest.approx(plain[1].log_probability + 90 * share)
+    assert found[2].log_probability == pytest.approx(plain[2].log_probability + share + np.log(2 / 94))
+    assert found[3].log_probability == plain[3].log_probability
+    assert found[2].mean_log_probability == pytest.approx(found[2].log_probability / 2)
