@@ -15,11 +15,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents whose language is recognised; those without a letter or with a tie go."""
+    """Keep the documents whose language is recognised; those without a letter go."""
     model = cross_parsing.fit(docs, ~cross_parsing.held_out())
     found = cross_parsing.identify(docs, model)
-    good = (F.col("lang_pred") != cross_parsing.UNKNOWN) & (F.col("lang_score") > 0.5)
-    return found.where(good).select(*docs.columns)
+    return found.where(F.col("lang_pred") != cross_parsing.UNKNOWN).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

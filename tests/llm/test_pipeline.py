@@ -39,3 +39,8 @@ def test_stages_stand_odd_rows(spark, documents, words):
 def test_names():
     assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
     assert set(queries.ORACLES) <= set(queries.QUERIES)
+
+
+def test_language_stage_keeps_ties(spark, documents):
+    docs = documents([(1, "abc abd", "aa"), (2, "abc abd", "bb"), (3, "abc", "aa"), (4, "12", "aa"), (5, None, "aa")])
+    assert sorted(r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").collect()) == [1, 2, 3]
