@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 
 from surveylake.llm.common import column, salted_join, saved
 
-DEPTH = 8  # segments below this level are one tail
-LEAST_PAGES, LEAST_SHARE = 5, 0.01  # of its parent's pages, for a literal branch
+LEAST_PAGES = 5  # for a literal branch
 SIGNIFICANT = 1.96
 SMOOTHING = 2.0
 REJECTED = 0.5
@@ -57,15 +56,14 @@ def ruled(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column, Co
 
 
 def shape(path: Column) -> Column:
-    """The path with variable names as placeholders, as one text; segments beyond ``DEPTH`` are one tail."""
+    """The path with variable names as placeholders, as one text."""
     names = F.transform(
         F.split(F.regexp_replace(path, "^/", ""), "/"),
         lambda s: F.when(s.rlike("^[0-9]+$"), F.lit("{n}"))
         .when(s.rlike("(?i)^(?=.*[0-9])[0-9a-f-]{8,}$"), F.lit("{h}"))
         .otherwise(F.regexp_replace(F.regexp_replace(s, r"[{}*]", "_"), "[0-9]+", "{n}")),
     )
-    tail = F.when(F.size(names) > DEPTH, F.array(F.lit("{tail}"))).otherwise(F.array().cast("array<string>"))
-    return F.array_join(F.concat(F.slice(names, 1, DEPTH), tail), "/")
+    return F.array_join(names, "/")
 
 
 def _rate(block: Column, labelled: Column, prior: Column) -> Column:
@@ -89,6 +87,12 @@ def templates(shapes: DataFrame) -> DataFrame:
     nodes = saved(shapes.select("*", F.split("shape", "/").alias("names"), F.lit("").alias("template")), "url-shapes")
     depth = nodes.groupBy().agg(F.max(F.size("names"))).first()[0] or 0
     for level in range(depth):
+        deeper = F.size("names") > level
+        left = nodes.where(deeper).groupBy().agg(F.sum("block").alias("block"), F.sum("labelled").alias("labelled")).first()
+        if not 0 < left["block"] < left["labelled"]:  # no rates can differ from here on
+            rest = F.concat("template", F.repeat(F.lit("/*"), F.size("names") - F.lit(level)))
+            nodes = nodes.withColumn("template", F.when(deeper, rest).otherwise(F.col("template")))
+            break
         step = nodes.withColumn("name", F.get("names", F.lit(level)))
         branches = step.where("name is not null").groupBy("host", "template", "name").agg(
             F.sum("n").alias("n"), F.sum("block").alias("block"), F.sum("labelled").alias("labelled")

@@ -82,3 +82,10 @@ def test_hosts_without_labels_take_literal_branches_from_elsewhere(spark):
         assert found[1000 + i].verdict == ("block" if i % 2 else "allow")
         assert found[1000 + i].template == ("/de/*" if i % 2 else "/fr/*")
     assert found[2002].template == "/*/*" and found[2000].template == "/de/*" and found[2003].verdict == "block"
+
+
+def test_deep_and_rare_branches_are_judged(spark):
+    rules = [urls.Rule("block", "a.com", "/1/2/3/4/5/6/7/8/9/bad/x"), urls.Rule("allow", "a.com", "/1/2/3/4/5/6/7/8/9/good/x")]
+    rows = [(i, f"http://a.com/1/2/3/4/5/6/7/8/9/{'bad' if i % 2 else 'good'}/{'xy'[i // 20]}") for i in range(40)]
+    found = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert all(found[i].verdict == ("block" if i % 2 else "allow") for i in range(40))
