@@ -44,7 +44,8 @@ def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
 
 
 _ACCENTED, _PLAIN, _SEVERAL = _fold_tables()
-_ANY_SEVERAL = "[" + "".join(letter for letter, _ in _SEVERAL) + "]"
+_ALL_SEVERAL = "".join(letter for letter, _ in _SEVERAL)
+_SEVERAL_RANGES = "[" + "".join(letter for letter in _ALL_SEVERAL if letter < "\u0100") + "\u0100-\uffff]"
 _SEVERAL_MAP = "\x02".join(f"{letter}\x01{base}" for letter, base in _SEVERAL)
 
 
@@ -52,15 +53,20 @@ def strip_accents(text: Column) -> Column:
     """Replace letters by their compatibility base letters and drop combining marks.
 
     Text of one byte per character has none, and skips the letter-by-letter pass. Letters that become
-    several (ligatures, fractions) are replaced one by one, where the text has any.
+    several (ligatures, fractions) are spelled out one by one, where the text still has any after it:
+    few texts pass the test on code ranges, and ``translate`` is one pass over a hash table.
     """
     plain = F.octet_length(text) == F.char_length(text)
-    table = F.str_to_map(F.lit(_SEVERAL_MAP), F.lit("\x02"), F.lit("\x01"))  # folded to a constant
-    spelled = F.array_join(
-        F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""
-    )
-    whole = F.when(text.rlike(_ANY_SEVERAL), spelled).otherwise(text)
-    return F.when(plain, text).otherwise(F.translate(whole, _ACCENTED, _PLAIN))
+
+    def has_none(part: Column) -> Column:
+        return F.translate(part, _ALL_SEVERAL, "") == part
+
+    def spelled(folded: Column) -> Column:
+        table = F.str_to_map(F.lit(_SEVERAL_MAP), F.lit("\x02"), F.lit("\x01"))  # folded to a constant
+        letters = F.transform(F.split(folded, ""), lambda c: F.when(has_none(c), c).otherwise(F.try_element_at(table, c)))
+        return F.when(~folded.rlike(_SEVERAL_RANGES) | has_none(folded), folded).otherwise(F.array_join(letters, ""))
+
+    return F.when(plain, text).otherwise(bound(F.translate(text, _ACCENTED, _PLAIN), spelled))
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
