@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveylake.llm import bag_minhash, chaining, cross_parsing, masked_lm, mixing, packing, pii, url_templates, va_file, weak_supervision
+from surveylake.llm import (
+    bag_minhash, chaining, cross_parsing, masked_lm, mixing, packing, pii, segment_bpe, url_templates, va_file, weak_supervision,
+)
 from surveylake.llm.common import saved
 
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,6 +115,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", unseen.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the bytes decoded from them."""
+    import public_tokenizers
+
+    path = tokenizer_path(RANKS)
+    ids = segment_bpe.encode(F.col("text"), path, public_tokenizers.PATTERN)
+    return _table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids")).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(segment_bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_lm_scoring": op2_lm_scoring,
@@ -123,6 +140,7 @@ QUERIES: dict[str, Query] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
