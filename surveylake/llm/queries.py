@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveylake.llm import (
-    bag_minhash, chaining, cross_parsing, masked_lm, mixing, packing, pii, segment_bpe, url_templates, va_file, weak_supervision,
+    bag_minhash, chaining, cross_parsing, masked_lm, mixing, packing, pii, prefix_trie, segment_bpe, url_templates, va_file, weak_supervision,
 )
 from surveylake.llm.common import saved
 
@@ -115,6 +115,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", unseen.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie over all conversations, each begun with up to five turns of its hundred's first one."""
+    conv_id = F.col("conv_id")
+    own = prefix_trie.turns(_table(spark, sf_dir, "conversations"))
+    shared = F.crc32(conv_id.cast("string")) % 6
+    return prefix_trie.trie(*prefix_trie.restarted(own, shared, conv_id - conv_id % 100, most=5))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the bytes decoded from them."""
     import public_tokenizers
@@ -140,10 +148,12 @@ QUERIES: dict[str, Query] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
     "op3_exact_top_k": va_file.TOP_K_SQL,
     "op5_mixing": mixing.mixed_sql(),
+    "op11_conversation_prefix_trie": prefix_trie.TRIE_SQL,
 }
