@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveylake.llm import (
-    bag_minhash, chaining, cross_parsing, masked_lm, mixing, packing, pii, prefix_trie, segment_bpe, url_templates, va_file, weak_supervision,
+    bag_minhash, chaining, cross_parsing, masked_lm, mixing, packing, pii, prefix_trie, segment_bpe, structure_repair, url_templates, va_file, weak_supervision,
 )
 from surveylake.llm.common import saved
 
@@ -123,6 +123,12 @@ def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     return prefix_trie.trie(*prefix_trie.restarted(own, shared, conv_id - conv_id % 100, most=5))
 
 
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and a digest of the repaired turns of every conversation after damage."""
+    conversations = _table(spark, sf_dir, "conversations")
+    return structure_repair.report(conversations, structure_repair.damaged(conversations))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the bytes decoded from them."""
     import public_tokenizers
@@ -149,6 +155,7 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
     "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
+    "op12_structure_repair": op12_structure_repair,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
