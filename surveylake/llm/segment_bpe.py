@@ -302,4 +302,5 @@ def decode(ids: Column, path: str) -> Column:
         return pa.array([None if gone else b"".join(map(tokens, values[a:b].tolist())) for a, b, gone in rows], pa.binary())
 
     joined.__annotations__ = {"batch": pa.Array, "return": pa.Array}
-    return F.arrow_udf(joined, T.BinaryType())(ids)
+    # Spark chains functions called on each other's results, and would encode once more for the chain.
+    return F.arrow_udf(joined, T.BinaryType())(F.when(F.size(ids) >= 0, ids))
