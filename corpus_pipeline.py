@@ -14,11 +14,16 @@ from surveylake.llm.queries import tokenizer_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _carried(docs: DataFrame, *names: str) -> DataFrame:
+    """The whole rows in one column beside those that a stage reads, so its own columns replace none of theirs."""
+    return docs.select(F.struct(*map(column, docs.columns)).alias("carried"), *map(column, names))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose language is recognised; those without a letter go."""
     model = cross_parsing.fit(docs, ~cross_parsing.held_out())
-    found = cross_parsing.identify(docs, model)
-    return found.where(F.col("lang_pred") != cross_parsing.UNKNOWN).select(*docs.columns)
+    found = cross_parsing.identify(_carried(docs, "text"), model)
+    return found.where(F.col("lang_pred") != cross_parsing.UNKNOWN).select("carried.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +38,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents so that sources come closer to equal shares, in random order."""
-    return mixing.mixed(docs).select(*map(column, docs.columns))
+    return mixing.mixed(_carried(docs, "doc_id", "source")).select("carried.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
