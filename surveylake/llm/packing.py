@@ -62,7 +62,10 @@ class _Words:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Special strings may stand anywhere in a part, so a text that has one is encoded whole.
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(" " in token for token in self.special):
+            raise ValueError("special tokens with spaces are not supported")
         # The letters that byte-level BPE writes for the bytes, which keep their order in two runs.
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [byte for byte in range(256) if byte not in shown]
@@ -112,7 +115,7 @@ class _Words:
         """Ids of each text."""
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        cut = [(_CUT.split if _ODD_SPACE.search(text) else _split)(text) for text in texts]
+        cut = [[text] if any(token in text for token in self.special) else (_CUT.split if _ODD_SPACE.search(text) else _split)(text) for text in texts]
         heads = [parts.pop(0) for parts in cut]
         ids = [list(map(self.known.get, parts)) for parts in cut]
         holes = [i for i, found in enumerate(ids) if None in found]

@@ -14,17 +14,15 @@ from surveylake.llm.queries import tokenizer_path
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(tokenizer_path())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(tokenizer_path())
 
 
-ODD = ["", " ", "  a  b ", "a\n b", "x \n\n  y\t z", "don't  stop 12 34", "é à b", "a  b c", "tail ", "\x1c a \x1c", "<|endoftext|> a"]
+ODD = ["", " ", "  a  b ", "a\n b", "x \n\n  y\t z", "don't  stop 12 34", "é à b", "a  b c", "tail ", "\x1c a \x1c", "<|endoftext|> a", "a <|endoftext|> b", "x y<|endoftext|>z <|endoftext", "<|endoftext|>"]
 
 
 def test_ids_are_those_of_the_whole_text(tokenizer, monkeypatch):
     rng = np.random.default_rng(8)
-    signs = ["a", "B", "é", "1", ".", "'s", " ", " ", "  ", "\n", "\t", "\x1c", "\u00a0", "\u2003", "😀", "_", "ｱ", ",", "ab", "né", "中", "ʰ", "²", "́", "?!"]
+    signs = ["a", "B", "é", "1", ".", "'s", " ", " ", "  ", "\n", "\t", "\x1c", "\u00a0", "\u2003", "😀", "_", "ｱ", ",", "ab", "né", "中", "ʰ", "²", "́", "?!", "<|endoftext|>"]
     texts = ODD + ["".join(rng.choice(signs, rng.integers(1, 25))) for _ in range(1500)]
     monkeypatch.setattr(packing, "JOINED_CHARS", 40)
     monkeypatch.setattr(packing, "CACHED_WORDS", 300)
