@@ -4,6 +4,11 @@ For each language a suffix automaton of labelled text is built. A text is parsed
 longest pieces that occur in that labelled text; the language that needs the fewest phrases, each
 weighted with the logarithm of its text length and divided by the characters read, wins.
 
+A letter is one symbol. Where the samples have more letters than symbols, each language has symbols of
+its own: its most frequent letters have one each, its others are spelled with three digits, and letters
+that its sample lacks are unknown to it, so no two letters of a language are taken for one. Most letters
+then stand in few contexts, and a letter unknown to a language costs two phrases, an escape and itself.
+
 Defined results: a text that is NULL or has no letter is ``und`` with score 0, and so is every text
 if no labelled row can be learned from. Rows without a label or text are never learned from. Ties go
 to the language that sorts first. Repeated rows and other columns change nothing.
@@ -24,18 +29,30 @@ from surveylake.llm.common import column, fresh
 UNKNOWN = "und"
 # Texts are parsed in pieces of so many characters; a phrase does not cross a piece.
 PIECE = 1024
+# Letters with a symbol of their own in all, and beside digits if there are more letters.
+SYMBOLS, FREQUENT = 250, 180
+DIGITS = 64
 CHUNK_CHARS = 2_000_000
 
 
+@dataclass(frozen=True)
+class Coding:
+    """Symbols of letters: 0 no letter, 1 unknown letter."""
+
+    classes: np.ndarray  # symbol of each code point
+    spelled: np.ndarray  # number of each code point that is spelled with digits, else -1; empty if none is
+    stride: int  # symbols and one that marks padding
+
+
 @dataclass(frozen=True)
 class Model:
-    """``table[state + class]`` holds the next state (premultiplied) and the phrases closed on the way."""
+    """``table[state + symbol]`` holds the next state (a place in the table) and the phrases closed on the way."""
 
     languages: tuple[str, ...]
     roots: np.ndarray
     weights: np.ndarray
     table: np.ndarray
-    classes: np.ndarray  # letter class of each code point: 0 no letter, 1 unknown letter
+    codings: tuple[Coding, ...]  # one for all languages or one for each
 
 
 def _automaton(codes: np.ndarray) -> tuple[list[dict[int, int]], int]:
@@ -74,11 +91,42 @@ def _points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(joined, dtype=np.uint32), np.array([len(t) for t in texts], dtype=np.int64)
 
 
-def _letters(texts: list[str], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of the characters with runs of non-letters as one, and what is left of each text."""
+def _coding(letters: list[str], samples: list[str]) -> Coding:
+    """Symbols for the sorted ``letters``, the most frequent of ``samples`` if they are too many."""
+    rare: dict[str, int] = {}
+    if len(letters) > SYMBOLS:
+        counts: dict[str, int] = {}
+        for text in samples:
+            for c in text.lower():
+                counts[c] = counts.get(c, 0) + 1
+        ordered = sorted(letters, key=lambda c: (-counts[c], c))
+        letters, rare = sorted(ordered[:FREQUENT]), {c: i for i, c in enumerate(ordered[FREQUENT:])}
+    number = {c: i + 2 for i, c in enumerate(letters)}
+    classes = np.zeros(0x110000, dtype=np.uint8)
+    spelled = np.full(0x110000 if rare else 0, -1, dtype=np.int32)
+    for point in range(0x110000):
+        c = chr(point)
+        if c.isalpha():
+            low = c.lower()
+            low = low if len(low) == 1 else low[0]
+            classes[point] = number.get(low, 1)
+            if low in rare:
+                spelled[point] = rare[low]
+    return Coding(classes, spelled, len(letters) + (DIGITS if rare else 0) + 3)
+
+
+def _letters(texts: list[str], coding: Coding) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of the characters with runs of non-letters as one, and what is left of each text."""
     points, sizes = _points(texts)
-    codes = classes[points]
+    codes = coding.classes[points]
     owner = np.repeat(np.arange(len(texts)), sizes)
+    number = coding.spelled[points] if len(coding.spelled) else coding.spelled
+    if (number >= 0).any():
+        times = np.where(number >= 0, 3, 1)
+        codes, owner = np.repeat(codes, times), np.repeat(owner, times)
+        at = np.cumsum(times)[number >= 0] - 3
+        for place, digit in enumerate(np.unravel_index(number[number >= 0], (DIGITS,) * 3)):
+            codes[at + place] = 2 + FREQUENT + digit
     gap = codes == 0
     again = np.zeros(len(codes), dtype=bool)
     again[1:] = gap[1:] & gap[:-1] & (owner[1:] == owner[:-1])
@@ -86,52 +134,51 @@ def _letters(texts: list[str], classes: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def build(samples: dict[str, list[str]], chars: int) -> Model:
-    """A model of labelled texts, of which each language uses ``chars`` characters at most."""
+    """A model of labelled texts, of which each language uses ``chars`` symbols at most."""
     languages = tuple(sorted(lang for lang, texts in samples.items() if any(texts)))
-    seen = sorted({c for lang in languages for text in samples[lang] for c in text.lower() if c.isalpha()})
-    # An alphabet beyond what a byte can number keeps its most frequent part; the rest is "unknown letter".
-    if len(seen) > 250:
-        counts: dict[str, int] = {}
-        for lang in languages:
-            for text in samples[lang]:
-                for c in text.lower():
-                    counts[c] = counts.get(c, 0) + 1
-        seen = sorted(sorted(seen, key=lambda c: (-counts[c], c))[:250])
-    number = {c: i + 2 for i, c in enumerate(seen)}
-    classes = np.zeros(0x110000, dtype=np.uint8)
-    for point in range(0x110000):
-        c = chr(point)
-        if c.isalpha():
-            low = c.lower()
-            classes[point] = number.get(low if len(low) == 1 else low[0], 1)
-    stride = len(seen) + 3  # the last class marks padding
+    used = {lang: {c for text in samples[lang] for c in text.lower() if c.isalpha()} for lang in languages}
+    every = sorted(set().union(*used.values()))
+    if len(every) <= SYMBOLS:
+        codings = (_coding(every, []),)
+    else:
+        codings = tuple(_coding(sorted(used[lang]), samples[lang]) for lang in languages)
     tables, roots, weights, base = [], [], [], 0
-    for lang in languages:
-        codes, _ = _letters([" ".join(samples[lang])], classes)
+    for i, lang in enumerate(languages):
+        coding = codings[i % len(codings)]
+        codes, _ = _letters([" ".join(samples[lang])], coding)
         edges, states = _automaton(codes[:chars])
-        table = np.full((states, stride), -1, dtype=np.int64)
+        table = np.full((states, coding.stride), -1, dtype=np.int64)
         for state, out in enumerate(edges):
             for code, to in out.items():
                 table[state, code] = to
         root = table[0].copy()
         miss = table < 0
         unseen = miss & (root < 0)[None, :]
-        # A miss closes the running phrase; a character that occurs nowhere is a phrase of its own.
-        cost = miss.astype(np.int64) + unseen
-        cost[0] = unseen[0]
+        # A miss closes the running phrase; a character that occurs nowhere is a phrase of its own, or two.
+        alone = unseen * (1 if len(codings) == 1 else 2)
+        cost = miss + alone
+        cost[0] = alone[0]
         table = np.where(miss, np.where(root < 0, 0, root)[None, :], table)
         table[:, -1], cost[:, -1] = np.arange(states), 0
-        tables.append((((table + base) * stride) << 2 | cost).ravel())
-        roots.append(base * stride)
+        tables.append(((table * coding.stride + base) << 2 | cost).ravel())
+        roots.append(base)
         weights.append(np.log2(max(2, min(len(codes), chars))))
-        base += states
-    packed = np.concatenate(tables).astype(np.int64 if base * stride >= 1 << 29 else np.int32) if tables else np.zeros(0, np.int32)
-    return Model(languages, np.array(roots, dtype=packed.dtype), np.array(weights), packed, classes)
+        base += table.size
+    packed = np.concatenate(tables).astype(np.int64 if base >= 1 << 29 else np.int32) if tables else np.zeros(0, np.int32)
+    return Model(languages, np.array(roots, dtype=packed.dtype), np.array(weights), packed, codings)
 
 
 def phrases(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Phrases by text and language, and characters read by text."""
-    codes, sizes = _letters(texts, model.classes)
+    """Phrases by text and language, and symbols read by text (of the first language)."""
+    if len(model.codings) == 1:
+        return _parsed(texts, model, model.codings[0], slice(None))
+    found = [_parsed(texts, model, coding, slice(i, i + 1)) for i, coding in enumerate(model.codings)]
+    return np.concatenate([total for total, _ in found], axis=1), found[0][1]
+
+
+def _parsed(texts: list[str], model: Model, coding: Coding, some: slice) -> tuple[np.ndarray, np.ndarray]:
+    codes, sizes = _letters(texts, coding)
+    roots = model.roots[some]
     ends = np.cumsum(sizes)
     pieces_of = -(-sizes // PIECE)
     owner = np.repeat(np.arange(len(texts)), pieces_of)
@@ -140,7 +187,7 @@ def phrases(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
     size = np.minimum(sizes[owner] - within * PIECE, PIECE)
     order = np.argsort(-size, kind="stable")
     start, size, owner = start[order], size[order], owner[order]
-    state = np.repeat(model.roots[:, None], len(owner), axis=1)
+    state = np.repeat(roots[:, None], len(owner), axis=1)
     count = np.zeros(state.shape, dtype=np.int32)
     active = np.searchsorted(-size, -np.arange(1, PIECE + 1), side="right")
     for step in range(int(size.max(initial=0))):
@@ -148,8 +195,8 @@ def phrases(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
         found = model.table[state[:, :n] + codes[start[:n] + step]]
         count[:, :n] += found & 3
         state[:, :n] = found >> 2
-    count += state != model.roots[:, None]
-    total = np.zeros((len(texts), len(model.languages)), dtype=np.int64)
+    count += state != roots[:, None]
+    total = np.zeros((len(texts), len(roots)), dtype=np.int64)
     np.add.at(total, owner, count.T)
     return total, sizes
 

@@ -86,3 +86,18 @@ def test_many_letters_and_one_language():
     model = lid.build({"zh": [many]}, 1000)
     names, scores = lid.classify([many, "\U00020000", None], model)
     assert names == ["zh", "zh", "und"] and np.allclose(scores, [1, 1, 0])
+
+
+def test_no_letter_is_taken_for_another():
+    rng = random.Random(9)
+    shared = [chr(0x4E00 + i) for i in range(240)]
+    own = {"xx": [chr(0x5E00 + i) for i in range(400)], "yy": [chr(0x6E00 + i) for i in range(400)]}
+
+    def line(lang, n):
+        return "".join(rng.choice(shared) if rng.random() < 0.7 else rng.choice(own[lang]) for _ in range(n))
+
+    model = lid.build({lang: [line(lang, 500) for _ in range(48)] for lang in own}, 24_000)
+    truth = [rng.choice(list(own)) for _ in range(200)]
+    names, _ = lid.classify([line(lang, rng.randint(10, 60)) for lang in truth], model)
+    assert sum(a == b for a, b in zip(names, truth)) >= 190
+    assert model.table.nbytes < 200e6
