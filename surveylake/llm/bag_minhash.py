@@ -272,11 +272,12 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """The rows of ``docs`` with one of each class of near duplicates, all columns kept.
 
     The row of the smallest doc_id stays (then of the smallest key); of rows that repeat it in id
-    and text, one stays.
+    and text, the least by the text of their columns stays, however they are dealt over tasks.
     """
     found = classes(docs, doc_id, text)
     heads = found.where("keep").select(F.col("key").alias("near_key"), F.lit(True).alias("near_head")).distinct()
-    whole = F.struct(*map(column, docs.columns)).alias("near_row")
-    keyed = docs.select(row_key(column(doc_id), column(text)).alias("near_key"), whole)
-    kept = keyed.join(heads, "near_key").groupBy("near_key").agg(F.first("near_row").alias("near_row"))
-    return kept.select("near_row.*")
+    whole = F.struct(*map(column, docs.columns))
+    own_key = row_key(column(doc_id), column(text)).alias("near_key")
+    keyed = docs.select(own_key, F.struct(F.sha2(F.to_json(whole), 256).alias("near_order"), whole.alias("near_row")).alias("near"))
+    kept = keyed.join(heads, "near_key").groupBy("near_key").agg(F.min_by("near", "near.near_order").alias("near"))
+    return kept.select("near.near_row.*")

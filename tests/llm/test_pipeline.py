@@ -44,3 +44,25 @@ def test_names():
 def test_language_stage_keeps_ties(spark, documents):
     docs = documents([(1, "abc abd", "aa"), (2, "abc abd", "bb"), (3, "abc", "aa"), (4, "12", "aa"), (5, None, "aa")])
     assert sorted(r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").collect()) == [1, 2, 3]
+
+
+OWN = "copy int, order_key string, lang_pred string, lang_score double, near_key string, near_row int, carried int, `a.b` string, row int"
+
+
+def test_stages_keep_columns_of_any_name(spark, documents, words):
+    own = (77, "k", "mine", 88.0, "near", 5, 6, "dot", 7)
+    docs = documents([(i, " ".join(words(40)), "en", "a", *own) for i in range(6)], ", " + OWN)
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.saved(stage(spark, docs, ""), "test-names")
+        assert docs.columns == columns, name
+        rows = docs.collect()
+        assert rows and all(tuple(row)[-len(own) :] == own for row in rows), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == docs.count()
+
+
+def test_which_repeated_row_stays_does_not_depend_on_partitions(spark, documents, words):
+    text = " ".join(words(30))
+    docs = documents([(1, text, "en", source) for source in "abcdef"])
+    stays = {tuple(corpus_pipeline.near_dedup(spark, docs.repartition(n), "").collect()[0]) for n in (1, 2, 3, 6)}
+    assert len(stays) == 1
