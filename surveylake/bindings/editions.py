@@ -7,6 +7,7 @@ folder, ingests that export and reads the result back.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,7 @@ from surveylake.operators.ranking import first_of_each
 from surveylake.plans.lake import Lake
 from surveylake.session import scratch_path
 from surveylake.sources import bronze, gold, silver
+from surveylake.sources.split_csv import read_split_csv
 
 REGISTRY = Registry()
 entry = REGISTRY.entry
@@ -307,23 +309,33 @@ def s1_s4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@entry("S3", _expected("""
-SELECT survey_year, 'disse "sim",' || chr(10) || c_name || chr(10) || ' fim' AS comentario FROM base"""))
-def s3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quoted answers with line breaks, quotes and commas come back whole."""
+_COMMENTS = _expected("""
+SELECT survey_year, 'disse "sim",' || chr(10) || c_name || chr(10) || ' fim' AS comentario FROM base""")
+
+
+def _comments(spark: SparkSession, sf_dir: str, read: Callable[[str, int], DataFrame]) -> DataFrame:
     raw_path = export_raw(spark, sf_dir)
     parts = []
     for path in bronze.list_csv_files(spark, raw_path):
         year = bronze.edition_year(path)
-        answers = bronze.read_survey_csv(spark, [path])
         position = list(HEADERS[year]).index("comment")
-        renamed = answers.toDF(*[f"c{i}" for i in range(len(answers.columns))])
-        parts.append(
-            renamed.select(F.lit(year).alias("survey_year"), F.col(f"c{position}").alias("comentario"))
-        )
+        comment = F.col(f"c{position}").alias("comentario")
+        parts.append(read(path, len(HEADERS[year])).select(F.lit(year).alias("survey_year"), comment))
     return reduce(DataFrame.unionByName, parts)
 
 
+@entry("S3", _COMMENTS)
+def s3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quoted answers with line breaks, quotes and commas come back whole."""
+    return _comments(spark, sf_dir, lambda path, n: bronze.read_survey_csv(spark, [path], columns=n))
+
+
+@entry("S3_split", _COMMENTS)
+def s3_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same answers where records are cut in byte ranges, so that a file has many tasks."""
+    return _comments(spark, sf_dir, lambda path, n: read_split_csv(spark, [path], n))
+
+
 @entry("H6_file", """
 SELECT c_custkey AS chave, CAST(c_nationkey + 20 AS VARCHAR) AS idade, c_mktsegment AS segunda FROM customer""")
 def h6_file(spark: SparkSession, sf_dir: str) -> DataFrame:

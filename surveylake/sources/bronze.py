@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -12,8 +11,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from surveylake.operators.harmonise import header_table, name_headers
+from surveylake.sources.split_csv import PATH, read_split_csv
 
 HEADER_READERS = 32
+# Bytes of a file read for its header at first, and at most.
+HEADER_BYTES, LONGEST_HEADER = 1 << 16, 1 << 22
+# Files beyond this size are cut into ranges by ``split_csv``.
+SPLIT_FROM = 1 << 27
 LINEAGE = ("survey_year", "arquivo_origem", "ingerido_em")
 
 
@@ -36,32 +40,76 @@ def edition_year(path: str) -> int:
     return int(found.group())
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
+# A quoted field up to its closing quote and what follows it, or a plain one, in which a quote is a letter.
+_FIELD = re.compile(r'"((?:[^"]|"")*+)"(?=\r?[,\n]|\r?\Z)|("(?:[^"]|"")*+"[^,\n]*|[^",\n][^,\n]*|)')
+
+
+def first_record(text: str, whole: bool) -> list[str] | None:
+    """Fields of the first record that is not empty, as Spark's reader cuts it; ``None`` if the text ends within it.
+
+    ``whole`` says that the text goes on to the end of the file, where an unclosed quote is a letter.
+    """
+    at = len(text) - len(text.lstrip("\r\n"))
+    fields: list[str] = []
+    while at < len(text):
+        found = _FIELD.match(text, at)
+        quoted, plain = found.groups()
+        at = found.end()
+        if quoted is None and not plain and text[at : at + 1] == '"':  # never closed
+            if not whole:
+                return None
+            quoted, at = text[at + 1 :].replace('""', '"'), len(text)
+        fields.append(quoted.replace('""', '"') if quoted is not None else plain)
+        if text[at : at + 1] == ",":
+            at += 1
+            if at == len(text):
+                fields.append("")
+            continue
+        ended = text[at:].startswith(("\n", "\r\n")) or at == len(text) and whole
+        if ended or whole:
+            fields[-1] = fields[-1].removesuffix("\r") if quoted is None else fields[-1]
+            return fields
+        return None
+    return fields if whole else None
+
+
+def _files(spark: SparkSession, path: str) -> list:
+    """Statuses of the file, or of the part files of a folder, that are not empty."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    status = system.getFileStatus(place)
+    found = system.listStatus(place) if status.isDirectory() else [status]
+    named = {one.getPath().toString(): one for one in found if one.getLen()}
+    return [named[name] for name in sorted(named) if not name.rsplit("/", 1)[-1].startswith(("_", "."))]
+
+
+def read_header(spark: SparkSession, path: str, longest: int = LONGEST_HEADER) -> list[str]:
     """Raw column names of an export, repeated ones included: the first record, quoted line breaks and all.
 
-    Only that record is read, through the file system and without a Spark job. An export that is a
-    folder has the same header in each of its part files.
+    Only the head of the file is read, through the file system and without a Spark job: at most
+    ``longest`` bytes, beyond which a header is an error. A quote opens a field only at its start, as
+    in Spark's reader. An export that is a folder has the same header in each of its part files.
     """
-    jvm = spark._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.getFileStatus(place).isDirectory():
-        parts = sorted(status.getPath().toString() for status in files.listStatus(place) if status.getLen())
-        parts = [part for part in parts if not part.rsplit("/", 1)[-1].startswith(("_", "."))]
-        if not parts:
-            return []
-        place = jvm.org.apache.hadoop.fs.Path(parts[0])
-    stream = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(files.open(place), "UTF-8"))
-    try:
-        record = stream.readLine()
-        while record is not None and record.count('"') % 2:  # a quoted line break
-            line = stream.readLine()
-            if line is None:
-                break
-            record += "\n" + line
-    finally:
-        stream.close()
-    return next(csv.reader([record.removeprefix("\ufeff")]), []) if record else []
+    files = _files(spark, path)
+    if not files:
+        return []
+    place, size = files[0].getPath(), files[0].getLen()
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    wanted = min(size, HEADER_BYTES, longest)
+    while True:
+        stream = system.open(place)
+        try:
+            head = bytes(stream.readNBytes(wanted))
+        finally:
+            stream.close()
+        # A character may be cut at the end of the head.
+        text = head.decode("utf-8", "ignore" if wanted < size else "replace").removeprefix("\ufeff")
+        fields = first_record(text, wanted >= size)
+        if fields is not None:
+            return fields
+        if wanted >= min(size, longest):
+            raise ValueError(f"no end of the header within {wanted} bytes: {path}")
+        wanted = min(size, longest, wanted * 8)
 
 
 def read_survey_csv(
@@ -70,8 +118,8 @@ def read_survey_csv(
     """Every column a string, quoted line breaks kept, the header record skipped.
 
     Columns are named by the header, or ``c0``, ``c1`` … if their number is given, which leaves
-    repeated header names to the caller. With ``multi_line`` a file is one task; pass ``False`` for
-    exports without line breaks inside answers, so that large files are split.
+    repeated header names to the caller. With ``multi_line`` a file is one task (``split_csv`` has a
+    reader without that limit); pass ``False`` for exports without line breaks inside answers.
     """
     reader = spark.read
     if columns is not None:
@@ -95,6 +143,7 @@ class EditionFiles:
     year: int
     columns: list[str]
     paths: list[str] = field(default_factory=list)
+    largest: int = 0  # bytes of the largest file
 
 
 def group_exports(spark: SparkSession, paths: list[str]) -> list[EditionFiles]:
@@ -105,7 +154,8 @@ def group_exports(spark: SparkSession, paths: list[str]) -> list[EditionFiles]:
     groups: dict[tuple, EditionFiles] = {}
     with ThreadPoolExecutor(HEADER_READERS) as pool:
         headers = list(pool.map(lambda path: read_header(spark, path), paths))
-    for path, columns in zip(paths, headers):
+        sizes = list(pool.map(lambda path: max((one.getLen() for one in _files(spark, path)), default=0), paths))
+    for path, columns, size in zip(paths, headers, sizes):
         if not columns:  # an empty file
             continue
         year = edition_year(path)
@@ -113,6 +163,7 @@ def group_exports(spark: SparkSession, paths: list[str]) -> list[EditionFiles]:
         if slot not in groups:
             groups[slot] = EditionFiles(f"{year}/{len(groups)}", year, columns)
         groups[slot].paths.append(path)
+        groups[slot].largest = max(groups[slot].largest, size)
     return list(groups.values())
 
 
@@ -125,12 +176,12 @@ def named_columns(spark: SparkSession, groups: list[EditionFiles]) -> dict[str,
     return named
 
 
-def with_lineage(df: DataFrame, year: int) -> DataFrame:
+def with_lineage(df: DataFrame, year: int, path: str = "_metadata.file_path") -> DataFrame:
     """Edition, source export and ingestion time."""
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    export = F.regexp_extract(path, r"([^/]+\.(?i:csv))(?:/[^/]+)?$", 1)
+    plain = F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
+    export = F.regexp_extract(plain, r"([^/]+\.(?i:csv))(?:/[^/]+)?$", 1)
     return df.select(
-        "*",
+        *df.drop(path).columns,
         F.lit(year).cast("int").alias("survey_year"),
         export.alias("arquivo_origem"),
         F.current_timestamp().alias("ingerido_em"),
@@ -138,14 +189,20 @@ def with_lineage(df: DataFrame, year: int) -> DataFrame:
 
 
 def bronze_frames(
-    spark: SparkSession, paths: list[str], multi_line: bool = True
+    spark: SparkSession, paths: list[str], multi_line: bool = True, split_from: int = SPLIT_FROM
 ) -> dict[int, DataFrame]:
-    """One DataFrame per edition. Files of one edition are combined, never replaced."""
+    """One DataFrame per edition. Files of one edition are combined, never replaced.
+
+    Multi-line files of more than ``split_from`` bytes are read by many tasks each.
+    """
     groups = group_exports(spark, paths)
     names = named_columns(spark, groups)
     editions: dict[int, list[DataFrame]] = {}
     for group in groups:
-        raw = with_lineage(read_survey_csv(spark, group.paths, multi_line, len(group.columns)), group.year)
+        if multi_line and group.largest > split_from:
+            raw = with_lineage(read_split_csv(spark, group.paths, len(group.columns)), group.year, PATH)
+        else:
+            raw = with_lineage(read_survey_csv(spark, group.paths, multi_line, len(group.columns)), group.year)
         renamed = raw.toDF(*[name for name, _ in names[group.key]], *LINEAGE)
         kept = [name for name, junk in names[group.key] if not junk]
         editions.setdefault(group.year, []).append(renamed.select(*kept, *LINEAGE))
@@ -156,7 +213,7 @@ def bronze_frames(
 
 
 def ingest(
-    spark: SparkSession, raw_path: str, bronze_path: str, multi_line: bool = True
+    spark: SparkSession, raw_path: str, bronze_path: str, multi_line: bool = True, split_from: int = SPLIT_FROM
 ) -> dict[int, dict[str, int]]:
     """Write every edition found; only the partitions of these editions are replaced.
 
@@ -166,7 +223,7 @@ def ingest(
     if not paths:
         raise FileNotFoundError(f"no CSV export in {raw_path}")
     report = {}
-    for year, df in bronze_frames(spark, paths, multi_line).items():
+    for year, df in bronze_frames(spark, paths, multi_line, split_from).items():
         seen = Observation()
         (
             df.observe(seen, F.count(F.lit(1)).alias("rows"))
