@@ -103,6 +103,14 @@ def label_by_rules(
     return label.otherwise(cleaned)
 
 
+def known_by_rules(folded: Column, rule_list: Sequence[tuple[str, str]]) -> Column:
+    """Whether any rule matches; what no rule knows would pass through as a label of its own."""
+    known = F.lit(False)
+    for pattern, _ in rule_list:
+        known = known | folded.rlike(pattern)
+    return known
+
+
 def seniority_label(cleaned: Column, folded: Column | None = None) -> Column:
     return label_by_rules(cleaned, rules.SENIORITY_RULES, folded)
 

@@ -73,7 +73,7 @@ def first_record(text: str, whole: bool) -> list[str] | None:
     return fields if whole else None
 
 
-def _files(spark: SparkSession, path: str) -> list:
+def files_of(spark: SparkSession, path: str) -> list:
     """Statuses of the file, or of the part files of a folder, that are not empty."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -90,7 +90,7 @@ def read_header(spark: SparkSession, path: str, longest: int = LONGEST_HEADER) -
     ``longest`` bytes, beyond which a header is an error. A quote opens a field only at its start, as
     in Spark's reader. An export that is a folder has the same header in each of its part files.
     """
-    files = _files(spark, path)
+    files = files_of(spark, path)
     if not files:
         return []
     place, size = files[0].getPath(), files[0].getLen()
@@ -154,7 +154,7 @@ def group_exports(spark: SparkSession, paths: list[str]) -> list[EditionFiles]:
     groups: dict[tuple, EditionFiles] = {}
     with ThreadPoolExecutor(HEADER_READERS) as pool:
         headers = list(pool.map(lambda path: read_header(spark, path), paths))
-        sizes = list(pool.map(lambda path: max((one.getLen() for one in _files(spark, path)), default=0), paths))
+        sizes = list(pool.map(lambda path: max((one.getLen() for one in files_of(spark, path)), default=0), paths))
     for path, columns, size in zip(paths, headers, sizes):
         if not columns:  # an empty file
             continue
@@ -222,6 +222,13 @@ def ingest(
     paths = list_csv_files(spark, raw_path)
     if not paths:
         raise FileNotFoundError(f"no CSV export in {raw_path}")
+    return write_editions(spark, paths, bronze_path, multi_line, split_from)
+
+
+def write_editions(
+    spark: SparkSession, paths: list[str], bronze_path: str, multi_line: bool = True, split_from: int = SPLIT_FROM
+) -> dict[int, dict[str, int]]:
+    """Write the editions of these exports, each one's partition whole; rows and columns per edition."""
     report = {}
     for year, df in bronze_frames(spark, paths, multi_line, split_from).items():
         seen = Observation()

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from surveylake.functions.rules import GOLD_COLUMNS, SILVER_COLUMNS, Vocabulary
+from surveylake.operators.digest import partition_digests
 from surveylake.plans.marts import MART_ORDER, MARTS, build_mart
+from surveylake.sources.ledger import exists
 
 DATABASE = "survey_lake"
 
@@ -47,6 +49,44 @@ def write_marts(
     }
 
 
+def refresh_marts(
+    spark: SparkSession, silver_path: str, gold_path: str, words: Vocabulary = Vocabulary()
+) -> dict[str, list[int]]:
+    """Marts partitioned by edition, of which only editions that changed in Silver are built again.
+
+    Every mart is a statement on one edition at a time, so the partition of an edition depends on its
+    rows in Silver alone. Their digests are stored after the marts: a run that breaks off is done again.
+    Editions no longer in Silver leave the marts. Returns the editions ``written`` and ``removed``.
+    """
+    silver = spark.read.parquet(silver_path)
+    digests_path = f"{gold_path}/partition_digests"
+    now = {row[0]: tuple(row)[1:] for row in partition_digests(silver, "survey_year").collect()}
+    stored = {}
+    if exists(spark, digests_path):
+        stored = {row[0]: tuple(row)[1:] for row in spark.read.parquet(digests_path).collect()}
+    written = sorted(year for year, digest in now.items() if stored.get(year) != digest)
+    removed = sorted(set(stored) - set(now))
+    if written:
+        changed = silver.where(F.col("survey_year").isin(written))
+        for name in MARTS:
+            (
+                build_mart(name, changed, words)
+                .hint("rebalance", "survey_year")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("survey_year")
+                .parquet(f"{gold_path}/{name}")
+            )
+    for year in removed:
+        for name in MARTS:
+            gone = spark._jvm.org.apache.hadoop.fs.Path(f"{gold_path}/{name}/survey_year={year}")
+            gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    if written or removed:
+        rows = [(year, *digest) for year, digest in sorted(now.items())]
+        spark.createDataFrame(rows, "survey_year int, linhas bigint, digest string").coalesce(1).write.mode("overwrite").parquet(digests_path)
+    return {"written": written, "removed": removed}
+
+
 def _columns_sql(contract: Mapping[str, str]) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in contract.items())
 
