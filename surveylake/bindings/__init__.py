@@ -6,7 +6,7 @@ from surveylake.bindings.registry import Registry
 
 
 def all_registries() -> list[Registry]:
-    from surveylake.bindings import answers, editions, headers, marts, operators
+    from surveylake.bindings import answers, editions, headers, incremental, marts, operators
 
-    modules = (marts, operators, answers, headers, editions)
+    modules = (marts, operators, answers, headers, editions, incremental)
     return [module.REGISTRY for module in modules]

@@ -66,7 +66,7 @@ def _choice(key: Column, answers: dict) -> Column:
     return value
 
 
-def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer with its edition and its answers under plain names."""
     customers = table(spark, sf_dir, "customer")
     nations = table(spark, sf_dir, "nation")
@@ -184,15 +184,19 @@ HEADERS = {
 COLUMNS_KEPT = {year: len(h) - ("index" in h) for year, h in HEADERS.items()}
 
 
+def written_edition(people: DataFrame, year: int, raw_path: str) -> None:
+    """Write one edition's export, in the place of an earlier one."""
+    edition = people.where(F.col("year") == year).select(*HEADERS[year]).toDF(*HEADERS[year].values())
+    writer = edition.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+    writer.csv(f"{raw_path}/pesquisa_{year}_{year + 1}.csv")
+
+
 def export_raw(spark: SparkSession, sf_dir: str) -> str:
     """Write the three editions as CSV exports; returns the raw folder."""
     raw_path = f"{scratch_path(spark, 'survey')}/raw"
-    answers = _answers(spark, sf_dir)
-    for year, headers in HEADERS.items():
-        edition = answers.where(F.col("year") == year).select(*headers).toDF(*headers.values())
-        edition.write.option("header", True).option("quote", '"').option("escape", '"').csv(
-            f"{raw_path}/pesquisa_{year}_{year + 1}.csv"
-        )
+    people = answers(spark, sf_dir)
+    for year in HEADERS:
+        written_edition(people, year, raw_path)
     return raw_path
 
 
@@ -381,14 +385,14 @@ def _named(spark: SparkSession) -> DataFrame:
 
 def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(edition, name, answered) for every exported column, in one pass over the answers."""
-    answers = _answers(spark, sf_dir)
+    people = answers(spark, sf_dir)
     names = _named(spark).where(~F.col("junk")).select("edition", "raw", "name")
-    counted = answers.groupBy("year").agg(
-        *[F.count(c).alias(c) for c in answers.columns if c != "year"]
+    counted = people.groupBy("year").agg(
+        *[F.count(c).alias(c) for c in people.columns if c != "year"]
     )
     pairs = F.explode(
         F.create_map(
-            *[p for c in answers.columns if c != "year" for p in (F.lit(c), F.col(c))]
+            *[p for c in people.columns if c != "year" for p in (F.lit(c), F.col(c))]
         )
     ).alias("answer", "respostas")
     long = counted.select(F.col("year").cast("string").alias("edition"), pairs)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from surveylake.bindings.registry import Registry
 from surveylake.bindings.tables import WORDS, lake, respondents, table, with_silver
 from surveylake.functions import text as X
-from surveylake.functions.rules import GOLD_COLUMNS
+from surveylake.functions.rules import GOLD_COLUMNS, SILVER_COLUMNS
 from surveylake.operators import compare, quality, segments
 from surveylake.plans.analytics import QUERIES
 
@@ -572,19 +572,50 @@ def v3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_V4 = GOLD_COLUMNS["gold_modelo_trabalho"]
-
-
-@entry("V4", with_silver(
-    "\nUNION ALL ".join(
-        f"SELECT '{c}' AS coluna, '{kind}' AS esperado, '{kind}' AS encontrado,"
-        f" count({expression}) AS preenchidas, true AS confere FROM g"
-        for (c, kind), expression in zip(_V4.items(), ("1", "1", "1", "1", "salario", "1", "1"))
-    ),
-    "g AS (SELECT survey_year, regiao, modelo_trabalho, max(salario_medio_mensal) AS salario"
-    " FROM silver WHERE modelo_trabalho IS NOT NULL GROUP BY ALL)"))
+_FOUND = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean", "VARCHAR[]": "array<string>"}
+
+
+def _contract_sql() -> str:
+    """Types and filled values of every table, as DuckDB has them in the marts' own oracles and in the respondent table."""
+    from surveylake.bindings.marts import REGISTRY as marts
+
+    built = {name: marts.oracles[entry_] for name, entry_ in MART_ENTRIES.items()}
+    built["silver"] = with_silver("SELECT * EXCLUDE (valor) FROM silver")
+    kinds = " ".join(f"WHEN '{found}' THEN '{kind}'" for found, kind in _FOUND.items())
+    parts = []
+    for name, sql in built.items():
+        contract = {**SILVER_COLUMNS, "survey_year": "int"} if name == "silver" else GOLD_COLUMNS[name]
+        present = [c for c in contract if name != "silver" or c in SILVER_BOUND]
+        shown = ", ".join(f"{{'coluna': '{c}', 'esperado': '{contract[c]}', 'tipo': any_value(typeof({c})), 'preenchidas': count({c})}}" for c in present)
+        parts.append(f"SELECT '{name}' AS tabela, unnest([{shown}]) AS r FROM ({sql})")
+        absent = [c for c in contract if c not in present]
+        parts += [f"SELECT '{name}', {{'coluna': '{c}', 'esperado': '{contract[c]}', 'tipo': NULL::VARCHAR, 'preenchidas': NULL::BIGINT}}" for c in absent]
+    union = " UNION ALL ".join(parts)
+    return f"""
+SELECT tabela, r.coluna AS coluna, r.esperado AS esperado, encontrado, r.preenchidas AS preenchidas,
+  encontrado IS NOT DISTINCT FROM r.esperado AS confere
+FROM (SELECT *, CASE r.tipo {kinds} END AS encontrado FROM ({union}))"""
+
+
+MART_ENTRIES = {
+    "gold_perfil_mercado": "G1", "gold_remuneracao": "G2", "gold_diversidade_genero": "G3", "gold_tecnologias": "G4", "gold_adocao_ia": "G5",
+    "gold_impacto_ia": "G6", "gold_remuneracao_regional": "G7", "gold_modelo_trabalho": "G8", "gold_evolucao_anual": "G9",
+}
+# The columns that the respondent binding has; the others of the contract are reported as absent.
+SILVER_BOUND = (
+    "survey_year respondente_id idade genero nivel_ensino setor_empresa cargo senioridade salario_medio_mensal tempo_experiencia_dados"
+    " modelo_trabalho busca_nova_oportunidade tipo_uso_ia usa_ia_generativa empresa_prioriza_ia resultado_ia_empresa linguagens"
+    " bancos_dados cloud_utilizada ferramentas_bi regiao"
+).split()
+
+
+@entry("V4", _contract_sql())
 def v4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.contract_report(lake(spark, sf_dir).mart("gold_modelo_trabalho"), _V4)
+    """The contracts of the respondent table and of all nine marts against the tables themselves."""
+    bound = lake(spark, sf_dir)
+    tables = {name: (bound.mart(name), GOLD_COLUMNS[name]) for name in MART_ENTRIES}
+    tables["silver"] = (bound.silver.drop("valor"), {**SILVER_COLUMNS, "survey_year": "int"})
+    return quality.contracts_report(tables)
 
 
 @entry("V5", """

@@ -80,6 +80,12 @@ def contract_report(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
     )
 
 
+def contracts_report(tables: Mapping[str, tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
+    """The reports of several tables with their contracts, each table read once."""
+    reports = [contract_report(df, contract).select(F.lit(name).alias("tabela"), "*") for name, (df, contract) in tables.items()]
+    return reduce(DataFrame.unionByName, reports)
+
+
 def edition_report(
     df: DataFrame, editions: Sequence[int], edition: str = "survey_year", key: str = "respondente_id"
 ) -> DataFrame:

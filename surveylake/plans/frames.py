@@ -248,9 +248,6 @@ def k1_headline_figures(lake: Lake) -> DataFrame:
         F.sum("base_uso_empresa").alias("base_uso_empresa_ia"),
     )
 
-    def level(name: str) -> Column:
-        return F.max(F.when(F.col("categoria") == name, F.col("salario_mediano")))
-
     cuts = ("senioridade", "cargo", "regiao")
     pay = lake.pay(*cuts).where((F.col("survey_year") == last) & F.col("amostra_suficiente"))
 
