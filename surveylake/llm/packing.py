@@ -37,7 +37,7 @@ CLOSING_ID = 2
 PER_TASK = 50_000
 ROUNDS = 4
 CHUNK_CHARS = 1_000_000
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_500_000
 JOINED_CHARS = 50_000
 # Below this code point every edition of Unicode in use agrees on what is a letter.
 STABLE_LETTERS = "\u0530"
