@@ -37,7 +37,7 @@ CLOSING_ID = 2
 PER_TASK = 50_000
 ROUNDS = 4
 CHUNK_CHARS = 1_000_000
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 600_000
 JOINED_CHARS = 50_000
 # Below this code point every edition of Unicode in use agrees on what is a letter.
 STABLE_LETTERS = "\u0530"
@@ -56,7 +56,8 @@ class _Words:
     is emptied when it is full.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int | None = None) -> None:
+        self.remembered = remembered or CACHED_WORDS
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
@@ -113,7 +114,7 @@ class _Words:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        if len(self.known) > CACHED_WORDS:
+        if len(self.known) > self.remembered:
             self.known.clear()
         cut = [[text] if any(token in text for token in self.special) else (_CUT.split if _ODD_SPACE.search(text) else _split)(text) for text in texts]
         heads = [parts.pop(0) for parts in cut]
@@ -131,14 +132,23 @@ def _split(text: str) -> list[str]:
 
 
 @lru_cache(maxsize=2)
-def _words(path: str) -> _Words:
-    return _Words(path)
+def _words(path: str, remembered: int) -> _Words:
+    return _Words(path, remembered)
 
 
 def token_pieces(
-    docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, closing: int = CLOSING_ID
+    docs: DataFrame,
+    tokenizer: str,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    capacity: int = CAPACITY,
+    closing: int = CLOSING_ID,
+    remembered: int = CACHED_WORDS,
 ) -> DataFrame:
-    """``doc_id, piece, start, length, ids`` of every document; ``ids`` are little-endian 32-bit numbers."""
+    """``doc_id, piece, start, length, ids`` of every document; ``ids`` are little-endian 32-bit numbers.
+
+    A worker remembers the ids of up to ``remembered`` parts of texts, at about 200 bytes each.
+    """
     kept = docs.select(column(doc_id).alias("doc_id"), column(text).alias("text"))
     schema = T.StructType(
         [
@@ -152,7 +162,7 @@ def token_pieces(
     end = np.uint32(closing).astype("<u4").tobytes()
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = _words(tokenizer)
+        words = _words(tokenizer, remembered)
         row, piece, start, length, ids = [], [], [], [], []
         for i, found in enumerate(words.encode([value or "" for value in batch.column(1).to_pylist()])):
             whole = found + end

@@ -14,6 +14,8 @@ from surveylake.llm.common import saved
 
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_multi_50k.tiktoken"
+# Parts of texts a worker of op1 remembers.
+REMEMBERED_PARTS = 1_500_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +33,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 1024 tokens."""
-    pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), tokenizer_path())
+    pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), tokenizer_path(), remembered=REMEMBERED_PARTS)
     slim = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(slim).placed
 
