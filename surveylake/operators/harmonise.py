@@ -24,29 +24,35 @@ def header_table(spark: SparkSession, headers: Mapping[str, Sequence[str]]) -> D
     return spark.createDataFrame(rows, "edition string, pos int, raw string")
 
 
+def _taken_suffixes(df: DataFrame, edition: str, name: str) -> DataFrame:
+    """(edition, name, _gap, _upto): ``_upto`` suffixes of the name are taken below its ``_gap``-th free one.
+
+    The i-th of the suffixes taken, u, has u - i free ones from 2 on up to it, so suffixes in a row share a gap.
+    """
+    parts = F.regexp_extract(name, r"^(.*)_([1-9]\d*)$", 1), F.regexp_extract(name, r"^(.*)_([1-9]\d*)$", 2).try_cast("long")
+    suffixes = df.select(edition, parts[0].alias(name), parts[1].alias("_suffix")).where(F.col("_suffix") >= 2).distinct()
+    ranked = number_in_group(suffixes, [edition, name], "_suffix", "_upto")
+    gap = (F.col("_suffix") - F.col("_upto") + 1).alias("_gap")
+    return ranked.groupBy(edition, name, gap).agg(F.max("_upto").alias("_upto"))
+
+
 def unique_names(df: DataFrame, edition: str = "edition", pos: str = "pos", name: str = "name") -> DataFrame:
-    """Suffix repeated names of an edition with ``_2``, ``_3`` …, skipping names already taken."""
+    """Suffix repeated names of an edition with ``_2``, ``_3`` …, skipping names already taken.
+
+    The n-th column of a name gets n plus the number of suffixes taken up to there: a running
+    maximum over the gaps and columns of a name in one order, in which nothing is collected.
+    """
     numbered = number_in_group(df, [edition, name], pos, "_nth")
-    suffix = F.when(F.col("_suffix") >= 2, F.col("_suffix"))
-    taken = (
-        df.select(
-            edition,
-            F.regexp_extract(name, r"^(.*)_([1-9]\d*)$", 1).alias("_base"),
-            F.regexp_extract(name, r"^(.*)_([1-9]\d*)$", 2).try_cast("long").alias("_suffix"),
-        )
-        .groupBy(edition, F.col("_base").alias(name))
-        .agg(F.array_sort(F.collect_set(suffix)).alias("_taken"))
-    )
-    free = F.aggregate(
-        F.coalesce("_taken", F.array().cast("array<bigint>")),
-        F.col("_nth").cast("long"),
-        lambda suffix, used: F.when(used <= suffix, suffix + 1).otherwise(suffix),
+    places = numbered.withColumns({"_gap": F.lit(None).cast("long"), "_upto": F.lit(None).cast("long")}).unionByName(
+        _taken_suffixes(df, edition, name), allowMissingColumns=True
     )
-    suffixed = F.concat_ws("_", F.col(name), free.cast("string"))
+    order = Window.partitionBy(edition, name).orderBy(F.coalesce("_gap", "_nth"), F.col("_gap").isNull())
+    skipped = F.coalesce(F.max("_upto").over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
+    suffixed = F.concat_ws("_", F.col(name), (F.col("_nth") + skipped).cast("string"))
     return (
-        numbered.join(taken, [edition, name], "left")
-        .withColumn("_unique", F.when(F.col("_nth") == 1, F.col(name)).otherwise(suffixed))
-        .drop(name, "_nth", "_taken")
+        places.withColumn("_unique", F.when(F.col("_nth") == 1, F.col(name)).otherwise(suffixed))
+        .where(F.col("_gap").isNull())
+        .drop(name, "_nth", "_gap", "_upto")
         .withColumnRenamed("_unique", name)
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from surveylake.functions import text as X
 from surveylake.functions.rules import CANONICAL_FIELDS, MULTI_SELECT_BLOCKS, SILVER_COLUMNS
 from surveylake.operators.harmonise import header_table, resolve_blocks, resolve_fields
+from surveylake.operators.ranking import numbered_copies
 from surveylake.session import settings
 from surveylake.sources.bronze import LINEAGE, bronze_editions, read_edition
 
@@ -153,16 +154,18 @@ def consolidate(editions: list[DataFrame]) -> DataFrame:
 
     Rows without an id of their own are equal where their hash is: they are counted, and as many
     rows come out, numbered from 1. The same Bronze rows always yield the same set of ids, nobody is
-    lost as a repeat, and a group of equal rows of any size is one row from each map task.
+    lost as a repeat, and a group of equal rows of any size is one row from each map task on its way
+    in and comes out of many tasks.
     """
     rows = reduce(DataFrame.unionByName, align(editions))
     keys = ["survey_year", "respondente_id"]
     answers = [c for c in rows.columns if c not in (*keys, "_unnamed")]
     kept = rows.groupBy(*keys).agg(
         F.min(F.struct(*answers)).alias("_first"),
-        F.sum(F.col("_unnamed").cast("int")).alias("_equal"),
+        F.sum(F.col("_unnamed").cast("long")).alias("_equal"),
     )
-    numbered = kept.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.greatest("_equal", F.lit(1)))))
+    copies = kept.withColumn("_times", F.greatest("_equal", F.lit(1)))
+    numbered = numbered_copies(copies, "_times", "_nth", keys)
     named = F.when(F.col("_equal") > 0, F.concat_ws("_", "respondente_id", "_nth")).otherwise(F.col("respondente_id"))
     columns = {"respondente_id": named, **{c: F.col(f"_first.{c}") for c in answers}}
     return numbered.select(*[columns.get(c, F.col(c)).alias(c) for c in rows.columns if c != "_unnamed"])
