@@ -11,6 +11,11 @@ steps from the common weights; the weights of all partitions are then averaged,
 learned tokens, and start the next round. The rounds take turns at the places of a text, so every
 token is learned once; the network never sees the token it predicts.
 
+Texts are split and hashed once: ``coded`` writes, for each chunk of texts, its distinct words and the
+number of each token among them, from which training, counting and scoring read. The shares of words
+travel once for each distinct word of a chunk. Averages are taken over partitions, so weights and scores
+depend, within the noise of training, on how the table is cut into them.
+
 Defined results: a text that is NULL or has no word has no tokens, sum 0 and a NULL mean. Repeated rows are
 scored each; other columns are passed on. An empty table gives no rows.
 """
@@ -22,11 +27,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveylake.llm.common import column, fresh, saved
 from surveylake.llm.words import word_hashes
+from surveylake.session import settings
 
 HALF = 64  # classes of each half of a bucket's number
 BUCKETS = HALF * HALF
@@ -37,6 +43,8 @@ BATCH, RATE = 4096, 0.05
 CHUNK_CHARS = 2_000_000
 SCORED = 8192  # tokens scored at once
 PIECES, LEVEL = 8, 64  # the weights are averaged in so many pieces, and first in so many parts
+KEY = 32  # bytes of a text's key
+CHUNKS_AT_ONCE = {"spark.sql.execution.arrow.maxRecordsPerBatch": "32"}  # a chunk is up to some MB
 
 _SHAPES = {
     "tokens": (BUCKETS + 1, EMBEDDING),  # the last one stands for what lies outside of the text
@@ -129,37 +137,52 @@ def _chunks(texts: list[str | None]) -> Iterator[list[str]]:
         yield part
 
 
-def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _laid_out(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token numbers padded with ``SIDE`` outside tokens round each text, each token's place there, and its text."""
-    hashes, first, _, _ = word_hashes(texts)
-    sizes = np.diff(first)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    padded = np.full(len(hashes) + 2 * SIDE * len(texts), BUCKETS, dtype=np.int32)
-    place = np.arange(len(hashes)) + SIDE * (2 * owner + 1)
-    padded[place] = (hashes % np.uint64(BUCKETS)).astype(np.int32)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    padded = np.full(len(tokens) + 2 * SIDE * len(sizes), BUCKETS, dtype=np.int32)
+    place = np.arange(len(tokens)) + SIDE * (2 * owner + 1)
+    padded[place] = tokens
     return padded, place, owner
 
 
+def _buckets(hashes: np.ndarray) -> np.ndarray:
+    return (hashes.view(np.uint64) % np.uint64(BUCKETS)).astype(np.int32)
+
+
+def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    hashes, first, _, _ = word_hashes(texts)
+    return _laid_out(_buckets(hashes), np.diff(first))
+
+
 _AROUND = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])
 
 
+def _log_probabilities(padded: np.ndarray, place: np.ndarray, network: Network) -> np.ndarray:
+    logs = np.zeros(len(place))
+    for at in range(0, len(place), SCORED):
+        here = place[at : at + SCORED]
+        logs[at : at + SCORED] = network.log_probability(padded[here[:, None] + _AROUND], padded[here])
+    return logs
+
+
 def score(texts: list[str | None], network: Network) -> tuple[np.ndarray, np.ndarray]:
     """Number of tokens and summed log-probability of each text."""
     numbers, sums = [], []
     for part in _chunks(texts):
         padded, place, owner = _tokens(part)
-        logs = np.zeros(len(place))
-        for at in range(0, len(place), SCORED):
-            here = place[at : at + SCORED]
-            logs[at : at + SCORED] = network.log_probability(padded[here[:, None] + _AROUND], padded[here])
         numbers.append(np.bincount(owner, minlength=len(part)))
-        sums.append(np.bincount(owner, weights=logs, minlength=len(part)))
+        sums.append(np.bincount(owner, weights=_log_probabilities(padded, place, network), minlength=len(part)))
     none = np.zeros(0)
     return np.concatenate([none.astype(np.int64), *numbers]), np.concatenate([none, *sums])
 
 
 def train(batches: Iterator[list[str | None]], network: Network, turn: int, rounds: int = 1) -> int:
     """Go through all texts once and learn the tokens whose turn it is among ``rounds``; returns their number."""
+    return _train_on((_tokens(part) for texts in batches for part in _chunks(texts)), network, turn, rounds)
+
+
+def _train_on(chunks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], network: Network, turn: int, rounds: int) -> int:
     squares = Network(np.full(_SIZE, 1e-6, dtype=np.float32))
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
     held = learned = 0
@@ -169,22 +192,61 @@ def train(batches: Iterator[list[str | None]], network: Network, turn: int, roun
         for at in range(0, len(target), BATCH):
             network.learn(around[at : at + BATCH], target[at : at + BATCH], squares)
 
-    for texts in batches:
-        for part in _chunks(texts):
-            padded, place, owner = _tokens(part)
-            within = np.arange(len(place)) - np.searchsorted(owner, owner)
-            here = place[within % rounds == turn]
-            waiting.append((padded[here[:, None] + _AROUND], padded[here]))
-            held += len(here)
-            learned += len(here)
-            if held >= BATCH:
-                learn()
-                waiting, held = [], 0
+    for padded, place, owner in chunks:
+        within = np.arange(len(place)) - np.searchsorted(owner, owner)
+        here = place[within % rounds == turn]
+        waiting.append((padded[here[:, None] + _AROUND], padded[here]))
+        held += len(here)
+        learned += len(here)
+        if held >= BATCH:
+            learn()
+            waiting, held = [], 0
     if held:
         learn()
     return learned
 
 
+def _text_key(text: str) -> Column:
+    return F.unhex(F.sha2(column(text).cast("binary"), 256))
+
+
+def coded(docs: DataFrame, text: str = "text") -> DataFrame:
+    """A written table of chunks of texts, each split and hashed once.
+
+    A chunk has the keys and sizes of its texts, its distinct words in order with their counts, and
+    each token's place among these, in two bytes up to 65,536 distinct words and in four beyond.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number = TaskContext.get().partitionId() << 33
+        for frame in frames:
+            keys, at = list(frame["key"]), 0
+            for part in _chunks(list(frame["text"])):
+                hashes, first, _, _ = word_hashes(part)
+                words, codes, counts = np.unique(hashes.view(np.int64), return_inverse=True, return_counts=True)
+                yield pd.DataFrame({
+                    "chunk": [number],
+                    "keys": [b"".join(keys[at : at + len(part)])],
+                    "sizes": [np.diff(first).astype(np.int64)],
+                    "codes": [codes.astype(_code_type(words)).tobytes()],
+                    "words": [words],
+                    "counts": [counts.astype(np.int64)],
+                })
+                number, at = number + 1, at + len(part)
+
+    present = docs.where(column(text).isNotNull()).select(_text_key(text).alias("key"), column(text).alias("text"))
+    schema = "chunk bigint, keys binary, sizes array<bigint>, codes binary, words array<bigint>, counts array<bigint>"
+    return saved(present.mapInPandas(run, schema), "lm-chunks")
+
+
+def _code_type(words: np.ndarray) -> type:
+    return np.uint16 if len(words) <= 1 << 16 else np.uint32
+
+
+def _codes(row) -> np.ndarray:
+    return np.frombuffer(row.codes, dtype=_code_type(row.words))
+
+
 _PIECE = "piece int, weight double, sums binary"
 
 
@@ -205,24 +267,27 @@ def _averaged(trained: DataFrame, keys: list[str]) -> DataFrame:
     return trained.repartition(*keys).mapInPandas(run, _PIECE)
 
 
-def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Network:
-    """Weights trained on all documents."""
+def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, chunks: DataFrame | None = None) -> Network:
+    """Weights trained on all documents, whose ``coded`` chunks may be given."""
     spark = docs.sparkSession
     network = Network.start()
+    chunks = coded(docs, text) if chunks is None else chunks
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(network.flat)
 
         def run(batches: Iterator[pd.DataFrame], turn: int = turn, shared=shared) -> Iterator[pd.DataFrame]:
             own = Network(shared.value.copy())
-            n = train((list(frame["text"]) for frame in batches), own, turn, rounds)
+            tokens = (_laid_out(_buckets(row.words)[_codes(row)], row.sizes) for frame in batches for row in frame.itertuples())
+            n = _train_on(tokens, own, turn, rounds)
             if n:
                 pieces = np.array_split(own.flat.astype(np.float64) * n, PIECES)
                 part = TaskContext.get().partitionId()
                 yield pd.DataFrame({"piece": range(PIECES), "part": part % LEVEL, "weight": float(n), "sums": [p.tobytes() for p in pieces]})
 
-        trained = docs.select(column(text).alias("text")).mapInPandas(run, "piece int, part int, weight double, sums binary")
-        first = _averaged(trained, ["piece", "part"])
-        rows = sorted(_averaged(first, ["piece"]).collect(), key=lambda row: row.piece)
+        with settings(spark, CHUNKS_AT_ONCE):
+            trained = chunks.select("sizes", "codes", "words").mapInPandas(run, "piece int, part int, weight double, sums binary")
+            first = _averaged(trained, ["piece", "part"])
+            rows = sorted(_averaged(first, ["piece"]).collect(), key=lambda row: row.piece)
         if not rows:  # no document has a word
             break
         flat = np.concatenate([np.frombuffer(row.sums) / row.weight for row in rows])
@@ -230,44 +295,61 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Network:
     return network
 
 
-def _word_counts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        words, counts = [], []
-        for part in _chunks([t if isinstance(t, str) else None for t in batch]):
-            hashes, first, _, _ = word_hashes(part)
-            for a, b in zip(first[:-1], first[1:]):
-                values, n = np.unique(hashes[a:b].view(np.int64), return_counts=True)
-                words.append(values)
-                counts.append(n)
-        yield pd.DataFrame({"words": words, "counts": counts})
-
-
-def _within_buckets(docs: DataFrame, text: str) -> DataFrame:
-    """``key, within``: for each text's key, the summed logarithm of its words' shares of their buckets in ``docs``."""
-    key = F.unhex(F.sha2(column(text).cast("binary"), 256))
-    found = docs.select(key.alias("key"), F.pandas_udf(_word_counts, "words array<bigint>, counts array<int>")(column(text)).alias("w"))
-    rows = saved(found.select(F.monotonically_increasing_id().alias("uid"), "key", "w.words", "w.counts"), "lm-words")
-    each = rows.select("uid", F.explode(F.arrays_zip("words", "counts")).alias("w")).select(
-        "uid", F.col("w.words").alias("word"), F.col("w.counts").cast("bigint").alias("n")
-    )
-    counts = saved(each.groupBy("word").agg(F.sum("n").alias("all")), "lm-counts").withColumn("bucket", F.pmod("word", F.lit(BUCKETS)))
+def _shares(chunks: DataFrame) -> DataFrame:
+    """``word, share``: the logarithm of each word's share of its bucket, where it has not all of it."""
+    each = chunks.select(F.explode(F.arrays_zip("words", "counts")).alias("w"))
+    counts = saved(each.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("all")), "lm-counts")
+    counts = counts.withColumn("bucket", F.pmod("word", F.lit(BUCKETS)))
     buckets = counts.groupBy("bucket").agg(F.sum("all").alias("total"))
-    shares = counts.join(F.broadcast(buckets), "bucket").where("all < total").select("word", F.log(F.col("all") / F.col("total")).alias("share"))
-    # A hot word is split by adaptive execution: nothing above the join needs its rows together.
-    sums = each.join(saved(shares, "lm-shares"), "word").groupBy("uid").agg(F.sum(F.col("n") * F.col("share")).alias("within"))
-    return rows.select("uid", "key").join(sums, "uid").groupBy("key").agg(F.min("within").alias("within"))
-
-
-def scored_words(docs: DataFrame, network: Network, text: str = "text") -> DataFrame:
+    return counts.join(F.broadcast(buckets), "bucket").where("all < total").select("word", F.log(F.col("all") / F.col("total")).alias("share"))
+
+
+def _scored_chunks(chunks: DataFrame, network: Network) -> DataFrame:
+    """``key, n, log``: tokens and summed log-probability, of the words themselves, of each distinct text."""
+    spark = chunks.sparkSession
+    shares = saved(_shares(chunks), "lm-shares")
+    # A word in every chunk is split by adaptive execution: nothing above the join needs its rows together.
+    wanted = chunks.select("chunk", F.explode("words").alias("word")).join(shares, "word")
+    # At most the distinct words of one chunk.
+    answers = wanted.groupBy("chunk").agg(F.collect_list(F.struct("word", "share")).alias("found"))
+    answers = answers.select("chunk", F.col("found.word").alias("shared"), F.col("found.share").alias("share"))
+    both = chunks.select("chunk", "keys", "sizes", "codes", "words").join(answers, "chunk", "left")
+    none = F.array()
+    both = both.withColumns({"shared": F.coalesce("shared", none.cast("array<bigint>")), "share": F.coalesce("share", none.cast("array<double>"))})
+    weights = spark.sparkContext.broadcast(network.flat)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = Network(weights.value)
+        for frame in batches:
+            for row in frame.itertuples():
+                share = np.zeros(len(row.words))
+                share[np.searchsorted(row.words, row.shared)] = row.share
+                codes = _codes(row)
+                padded, place, owner = _laid_out(_buckets(row.words)[codes], row.sizes)
+                n = len(row.sizes)
+                logs = np.bincount(owner, weights=_log_probabilities(padded, place, own), minlength=n)
+                logs += np.bincount(owner, weights=share[codes], minlength=n)
+                keys = [row.keys[at : at + KEY] for at in range(0, KEY * n, KEY)]
+                yield pd.DataFrame({"key": keys, "n": row.sizes, "log": logs})
+
+    with settings(spark, CHUNKS_AT_ONCE):
+        found = saved(both.drop("chunk").mapInPandas(run, "key binary, n bigint, log double"), "lm-scores")
+    # Equal texts may differ in the last digits, by the tokens beside them in a product of matrices.
+    return found.groupBy("key").agg(F.min("n").alias("n"), F.min("log").alias("log"))
+
+
+def scored_words(docs: DataFrame, network: Network, text: str = "text", chunks: DataFrame | None = None) -> DataFrame:
     """As ``scored``, of the words themselves: with their shares of their buckets in ``docs``, which was learned from."""
-    found = scored(docs, network, text)
-    key = fresh(found, "key")
-    within = fresh(found, "within")
-    shares = saved(_within_buckets(docs, text), "lm-within").select(column("key").alias(key), column("within").alias(within))
-    keyed = found.withColumn(key, F.unhex(F.sha2(column(text).cast("binary"), 256)))
-    both = keyed.join(shares, key, "left")
-    whole = F.col("log_probability") + F.coalesce(column(within), F.lit(0.0))
-    return both.withColumns({"log_probability": whole, "mean_log_probability": F.try_divide(whole, F.col("n_tokens"))}).select(found.columns)
+    names = ("n_tokens", "log_probability", "mean_log_probability")
+    key, n, log = (fresh(docs, name) for name in ("key", "n", "log"))
+    texts = _scored_chunks(coded(docs, text) if chunks is None else chunks, network)
+    texts = texts.select(F.col("key").alias(key), F.col("n").alias(n), F.col("log").alias(log))
+    both = docs.withColumn(key, _text_key(text)).join(texts, key, "left")
+    number, whole = F.coalesce(column(n), F.lit(0)), F.coalesce(column(log), F.lit(0.0))
+    return both.select(
+        *[column(name) for name in docs.columns if name.lower() not in names],
+        number.alias(names[0]), whole.alias(names[1]), F.try_divide(whole, number).alias(names[2]),
+    )
 
 
 def scored(docs: DataFrame, network: Network, text: str = "text") -> DataFrame:

@@ -41,7 +41,8 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masked pseudo-likelihood of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return masked_lm.scored_words(docs, masked_lm.fit(docs)).drop("text")
+    chunks = masked_lm.coded(docs)
+    return masked_lm.scored_words(docs, masked_lm.fit(docs, chunks=chunks), chunks=chunks).drop("text")
 
 
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,3 +95,28 @@ def test_words_of_one_bucket_share_its_probability(documents):
     assert found[2].log_probability == pytest.approx(plain[2].log_probability + share + np.log(2 / 94))
     assert found[3].log_probability == plain[3].log_probability
     assert found[2].mean_log_probability == pytest.approx(found[2].log_probability / 2)
+
+
+def test_chunks_hold_every_token_once(documents, monkeypatch, words):
+    texts = [" ".join(words(n)) for n in (1, 2, 30, 400)] + [None, "", "A a B", "A a B"]
+    monkeypatch.setattr(lm, "CHUNK_CHARS", 60)
+    rows = lm.coded(documents(list(enumerate(texts)))).collect()
+    assert len(rows) > 1 and len({r.chunk for r in rows}) == len(rows)
+    found = []
+    for row in rows:
+        assert sum(row.counts) == sum(row.sizes) == len(lm._codes(row)) and len(row["keys"]) == lm.KEY * len(row.sizes)
+        found += [row.words[code] for code in lm._codes(row)]
+    wanted = np.concatenate([lm.word_hashes([(t or "").lower()])[0].view(np.int64) for t in texts])
+    assert sorted(found) == sorted(wanted.tolist())
+
+
+def test_word_scores_do_not_depend_on_chunks(documents, monkeypatch, words):
+    docs = documents([(i, " ".join(words(40)), "en", "a", i, -i, "x") for i in range(30)], ", key int, n_tokens int, log string")
+    network = lm.Network.start()
+    whole = {r.doc_id: r for r in lm.scored_words(docs, network).collect()}
+    monkeypatch.setattr(lm, "CHUNK_CHARS", 300)
+    parts = {r.doc_id: r for r in lm.scored_words(docs.repartition(3), network).collect()}
+    assert len(whole) == len(parts) == 30
+    for i, row in whole.items():
+        assert row.n_tokens == 40 and row.key == i and row.log == "x"
+        assert parts[i].log_probability == pytest.approx(row.log_probability, rel=1e-5)
