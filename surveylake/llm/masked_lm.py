@@ -12,8 +12,9 @@ learned tokens, and start the next round. The rounds take turns at the places of
 token is learned once; the network never sees the token it predicts.
 
 Texts are split and hashed once: ``coded`` writes, for each chunk of texts, its distinct words and the
-number of each token among them, from which training, counting and scoring read. The shares of words
-travel once for each distinct word of a chunk. Averages are taken over partitions, so weights and scores
+number of each token among them, from which training, counting and scoring read. A chunk asks once for
+each of its distinct words: its words go as packed arrays to the parts of the vocabulary, where they are
+counted, and their shares come back in the same order. Averages are taken over partitions, so weights and scores
 depend, within the noise of training, on how the table is cut into them.
 
 Defined results: a text that is NULL or has no word has no tokens, sum 0 and a NULL mean. Repeated rows are
@@ -44,6 +45,7 @@ CHUNK_CHARS = 2_000_000
 SCORED = 8192  # tokens scored at once
 PIECES, LEVEL = 8, 64  # the weights are averaged in so many pieces, and first in so many parts
 KEY = 32  # bytes of a text's key
+PART_WORDS = 1_000_000  # words of all chunks that one part of the vocabulary counts
 CHUNKS_AT_ONCE = {"spark.sql.execution.arrow.maxRecordsPerBatch": "32"}  # a chunk is up to some MB
 
 _SHAPES = {
@@ -295,27 +297,58 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, chunks: DataF
     return network
 
 
-def _shares(chunks: DataFrame) -> DataFrame:
-    """``word, share``: the logarithm of each word's share of its bucket, where it has not all of it."""
+def _dealt(words: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of a chunk's words by their part of the vocabulary, and where each part starts there."""
+    part = (words.view(np.uint64) // np.uint64(BUCKETS) % np.uint64(parts)).astype(np.int64)
+    return np.argsort(part, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
+
+
+def _shares(chunks: DataFrame, parts: int) -> DataFrame:
+    """``chunk, part, shares``: for the chunk's words in a part, the logarithms of their shares of their buckets.
+
+    A word is in one part, so its count there is that of the corpus; parts are of even size, as a
+    word is in it once for each chunk however often it occurs.
+    """
     each = chunks.select(F.explode(F.arrays_zip("words", "counts")).alias("w"))
-    counts = saved(each.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("all")), "lm-counts")
-    counts = counts.withColumn("bucket", F.pmod("word", F.lit(BUCKETS)))
-    buckets = counts.groupBy("bucket").agg(F.sum("all").alias("total"))
-    return counts.join(F.broadcast(buckets), "bucket").where("all < total").select("word", F.log(F.col("all") / F.col("total")).alias("share"))
+    buckets = each.groupBy(F.pmod("w.words", F.lit(BUCKETS)).alias("bucket")).agg(F.sum("w.counts").alias("total"))
+    totals = np.zeros(BUCKETS)
+    for row in buckets.collect():  # one row for each bucket
+        totals[row.bucket] = row.total
+    shared = chunks.sparkSession.sparkContext.broadcast(totals)
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            for row in frame.itertuples():
+                order, first = _dealt(row.words, parts)
+                words, counts = row.words[order], row.counts[order].astype(np.uint32)
+                some = np.flatnonzero(np.diff(first))
+                yield pd.DataFrame({
+                    "chunk": row.chunk,
+                    "part": some,
+                    "words": [words[first[i] : first[i + 1]].tobytes() for i in some],
+                    "counts": [counts[first[i] : first[i + 1]].tobytes() for i in some],
+                })
+
+    def count(group: pd.DataFrame) -> pd.DataFrame:
+        words = np.frombuffer(b"".join(group["words"]), dtype=np.int64)
+        counts = np.frombuffer(b"".join(group["counts"]), dtype=np.uint32)
+        distinct, place = np.unique(words, return_inverse=True)
+        share = np.log(np.bincount(place, weights=counts) / shared.value[_buckets(distinct)])[place]
+        ends = np.cumsum([len(asked) // 8 for asked in group["words"]])[:-1]
+        return pd.DataFrame({"chunk": group["chunk"], "part": group["part"], "shares": [s.tobytes() for s in np.split(share, ends)]})
+
+    asked = chunks.select("chunk", "words", "counts").mapInPandas(ask, "chunk bigint, part bigint, words binary, counts binary")
+    return asked.groupBy("part").applyInPandas(count, "chunk bigint, part bigint, shares binary")
 
 
 def _scored_chunks(chunks: DataFrame, network: Network) -> DataFrame:
     """``key, n, log``: tokens and summed log-probability, of the words themselves, of each distinct text."""
     spark = chunks.sparkSession
-    shares = saved(_shares(chunks), "lm-shares")
-    # A word in every chunk is split by adaptive execution: nothing above the join needs its rows together.
-    wanted = chunks.select("chunk", F.explode("words").alias("word")).join(shares, "word")
-    # At most the distinct words of one chunk.
-    answers = wanted.groupBy("chunk").agg(F.collect_list(F.struct("word", "share")).alias("found"))
-    answers = answers.select("chunk", F.col("found.word").alias("shared"), F.col("found.share").alias("share"))
+    asked = chunks.agg(F.sum(F.size("words").cast("long")).alias("n")).first().n or 0
+    parts = max(1, -(-asked // PART_WORDS))
+    # At most one entry for each part or distinct word of one chunk.
+    answers = _shares(chunks, parts).groupBy("chunk").agg(F.collect_list(F.struct("part", "shares")).alias("answers"))
     both = chunks.select("chunk", "keys", "sizes", "codes", "words").join(answers, "chunk", "left")
-    none = F.array()
-    both = both.withColumns({"shared": F.coalesce("shared", none.cast("array<bigint>")), "share": F.coalesce("share", none.cast("array<double>"))})
     weights = spark.sparkContext.broadcast(network.flat)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -323,7 +356,9 @@ def _scored_chunks(chunks: DataFrame, network: Network) -> DataFrame:
         for frame in batches:
             for row in frame.itertuples():
                 share = np.zeros(len(row.words))
-                share[np.searchsorted(row.words, row.shared)] = row.share
+                if len(share):
+                    found = sorted(row.answers, key=lambda answer: answer["part"])
+                    share[_dealt(row.words, parts)[0]] = np.frombuffer(b"".join(answer["shares"] for answer in found))
                 codes = _codes(row)
                 padded, place, owner = _laid_out(_buckets(row.words)[codes], row.sizes)
                 n = len(row.sizes)

@@ -115,6 +115,7 @@ def test_word_scores_do_not_depend_on_chunks(documents, monkeypatch, words):
     network = lm.Network.start()
     whole = {r.doc_id: r for r in lm.scored_words(docs, network).collect()}
     monkeypatch.setattr(lm, "CHUNK_CHARS", 300)
+    monkeypatch.setattr(lm, "PART_WORDS", 50)
     parts = {r.doc_id: r for r in lm.scored_words(docs.repartition(3), network).collect()}
     assert len(whole) == len(parts) == 30
     for i, row in whole.items():
