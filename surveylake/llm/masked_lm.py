@@ -230,7 +230,7 @@ def coded(docs: DataFrame, text: str = "text") -> DataFrame:
                     "chunk": [number],
                     "keys": [b"".join(keys[at : at + len(part)])],
                     "sizes": [np.diff(first).astype(np.int64)],
-                    "codes": [codes.astype(_code_type(words)).tobytes()],
+                    "codes": [codes.astype(_code_type(len(words))).tobytes()],
                     "words": [words],
                     "counts": [counts.astype(np.int64)],
                 })
@@ -241,12 +241,12 @@ def coded(docs: DataFrame, text: str = "text") -> DataFrame:
     return saved(present.mapInPandas(run, schema), "lm-chunks")
 
 
-def _code_type(words: np.ndarray) -> type:
-    return np.uint16 if len(words) <= 1 << 16 else np.uint32
+def _code_type(n_words: int) -> type:
+    return np.uint16 if n_words <= 1 << 16 else np.uint32
 
 
-def _codes(row) -> np.ndarray:
-    return np.frombuffer(row.codes, dtype=_code_type(row.words))
+def _codes(codes: bytes, n_words: int) -> np.ndarray:
+    return np.frombuffer(codes, dtype=_code_type(n_words))
 
 
 _PIECE = "piece int, weight double, sums binary"
@@ -279,7 +279,7 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, chunks: DataF
 
         def run(batches: Iterator[pd.DataFrame], turn: int = turn, shared=shared) -> Iterator[pd.DataFrame]:
             own = Network(shared.value.copy())
-            tokens = (_laid_out(_buckets(row.words)[_codes(row)], row.sizes) for frame in batches for row in frame.itertuples())
+            tokens = (_laid_out(_buckets(row.words)[_codes(row.codes, len(row.words))], row.sizes) for frame in batches for row in frame.itertuples())
             n = _train_on(tokens, own, turn, rounds)
             if n:
                 pieces = np.array_split(own.flat.astype(np.float64) * n, PIECES)
@@ -297,10 +297,11 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, chunks: DataF
     return network
 
 
-def _dealt(words: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of a chunk's words by their part of the vocabulary, and where each part starts there."""
-    part = (words.view(np.uint64) // np.uint64(BUCKETS) % np.uint64(parts)).astype(np.int64)
-    return np.argsort(part, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
+def _parts(words: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part of the vocabulary, an even range of hashes, starts in a chunk's ordered words."""
+    high = (words.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)
+    part = (high * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    return np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
 
 
 def _shares(chunks: DataFrame, parts: int) -> DataFrame:
@@ -319,8 +320,7 @@ def _shares(chunks: DataFrame, parts: int) -> DataFrame:
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             for row in frame.itertuples():
-                order, first = _dealt(row.words, parts)
-                words, counts = row.words[order], row.counts[order].astype(np.uint32)
+                first, words, counts = _parts(row.words, parts), row.words, row.counts.astype(np.uint32)
                 some = np.flatnonzero(np.diff(first))
                 yield pd.DataFrame({
                     "chunk": row.chunk,
@@ -348,19 +348,19 @@ def _scored_chunks(chunks: DataFrame, network: Network) -> DataFrame:
     parts = max(1, -(-asked // PART_WORDS))
     # At most one entry for each part or distinct word of one chunk.
     answers = _shares(chunks, parts).groupBy("chunk").agg(F.collect_list(F.struct("part", "shares")).alias("answers"))
-    both = chunks.select("chunk", "keys", "sizes", "codes", "words").join(answers, "chunk", "left")
+    buckets = F.transform("words", lambda word: F.pmod(word, F.lit(BUCKETS)).cast("smallint"))
+    both = chunks.select("chunk", "keys", "sizes", "codes", buckets.alias("buckets")).join(answers, "chunk", "left")
     weights = spark.sparkContext.broadcast(network.flat)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Network(weights.value)
         for frame in batches:
             for row in frame.itertuples():
-                share = np.zeros(len(row.words))
-                if len(share):
-                    found = sorted(row.answers, key=lambda answer: answer["part"])
-                    share[_dealt(row.words, parts)[0]] = np.frombuffer(b"".join(answer["shares"] for answer in found))
-                codes = _codes(row)
-                padded, place, owner = _laid_out(_buckets(row.words)[codes], row.sizes)
+                # Parts are ranges in the order of a chunk's words, so their answers line up.
+                found = sorted(row.answers, key=lambda answer: answer["part"]) if len(row.buckets) else []
+                share = np.frombuffer(b"".join(answer["shares"] for answer in found))
+                codes = _codes(row.codes, len(row.buckets))
+                padded, place, owner = _laid_out(row.buckets.astype(np.int32)[codes], row.sizes)
                 n = len(row.sizes)
                 logs = np.bincount(owner, weights=_log_probabilities(padded, place, own), minlength=n)
                 logs += np.bincount(owner, weights=share[codes], minlength=n)
