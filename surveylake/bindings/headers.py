@@ -10,6 +10,7 @@ from surveylake.bindings.tables import table
 from surveylake.functions import headers as H
 from surveylake.functions.text import strip_accents
 from surveylake.operators.harmonise import unique_names
+from surveylake.operators.pattern_index import match_patterns
 
 REGISTRY = Registry()
 entry = REGISTRY.entry
@@ -124,3 +125,46 @@ def h6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def h7(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = raw_headers(spark, sf_dir).select("pos", H.column_name(F.col("raw")).alias("name"))
     return named.where(~H.is_junk(F.col("name")))
+
+
+# Field patterns made of the tables: one set for each type, one for each name, and three fixed ones.
+_PATTERNS_SQL = r"""
+SELECT 'tipo_' || lower(p_type) AS field, k AS priority,
+  '_' || lower(p_type) || CASE k WHEN 0 THEN '_[1-3]\d$' ELSE '_\d+$' END AS pattern
+FROM (SELECT DISTINCT p_type FROM part) CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1)
+UNION ALL SELECT DISTINCT 'peca_' || replace(p_name, ' ', '_'), 0, '^' || replace(p_name, ' ', '_') || '_' FROM part
+UNION ALL SELECT 'quente', 0, '^hot_' UNION ALL SELECT 'anel', 1, 'ring|gear' UNION ALL SELECT 'anel', 0, '_ring_(economy|promo)_'"""
+
+
+@entry("H9_text", rf"""
+WITH names AS (
+  SELECT p_brand AS edition, replace(p_name, ' ', '_') || '_' || lower(p_type) || '_' || p_size AS name FROM part),
+patterns AS ({_PATTERNS_SQL})
+SELECT edition, field, count(*) AS n, min(priority) AS priority,
+  arg_min(name, printf('%02d%04d', priority, length(name)) || name) AS name
+FROM names JOIN patterns ON regexp_matches(name, pattern) GROUP BY edition, field""")
+def h9_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part's description as a header of its brand's edition; patterns from the table choose the fields' best ones."""
+    parts = table(spark, sf_dir, "part")
+    slug, kind = F.replace("p_name", F.lit(" "), F.lit("_")), F.lower("p_type")
+    names = parts.select(F.col("p_brand").alias("edition"), F.concat_ws("_", slug, kind, "p_size").alias("name"))
+
+    def rule(field, priority, pattern):
+        return F.struct(field.alias("field"), F.lit(priority).alias("priority"), pattern.alias("pattern"))
+
+    def ends(digits):
+        return F.concat(F.lit("_"), kind, F.lit(digits))
+
+    typed = F.concat(F.lit("tipo_"), kind)
+    of_part = F.array(
+        rule(typed, 0, ends(r"_[1-3]\d$")), rule(typed, 1, ends(r"_\d+$")),
+        rule(F.concat(F.lit("peca_"), slug), 0, F.concat(F.lit("^"), slug, F.lit("_"))),
+    )
+    fixed = [("quente", 0, "^hot_"), ("anel", 1, "ring|gear"), ("anel", 0, "_ring_(economy|promo)_")]
+    patterns = parts.select("p_type", "p_name").distinct().select(F.inline(of_part)).distinct().unionByName(
+        spark.createDataFrame(fixed, "field string, priority int, pattern string")
+    )
+    order = F.struct("priority", F.length("name").alias("chars"), "name")
+    return match_patterns(names, patterns).groupBy("edition", "field").agg(
+        F.count(F.lit(1)).alias("n"), F.min("priority").alias("priority"), F.min(order)["name"].alias("name")
+    )

@@ -517,6 +517,20 @@ def e2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_BLOCKS = ["linguagens", "bancos_dados", "resultado_ia_empresa", "senioridade", "salario_medio_mensal", "modelo_trabalho"]
+
+
+@entry("E2_matrix", with_silver("\nUNION ALL ".join(
+    f"SELECT survey_year, '{a}' AS bloco, '{b}' AS outro, count({a}) AS primeiro, count({b}) AS segundo,"
+    f" count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS ambos FROM silver GROUP BY survey_year"
+    for i, a in enumerate(_BLOCKS) for b in _BLOCKS[i + 1:])))
+def e2_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of six questions, from one scan."""
+    answered = {name: F.col(name).isNotNull() for name in _BLOCKS}
+    patterns = quality.answer_patterns(respondents(spark, sf_dir), ["survey_year"], answered)
+    return quality.block_overlaps(patterns, ["survey_year"], _BLOCKS)
+
+
 @entry("E3", with_silver("""
 SELECT cargo, genero, senioridade,
   count(*) FILTER (survey_year % 2 = 0) - count(*) FILTER (survey_year % 2 = 1) AS sobra

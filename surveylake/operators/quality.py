@@ -119,6 +119,37 @@ def block_overlap(df: DataFrame, keys: Sequence[str], first: Column, second: Col
     )
 
 
+def answer_patterns(df: DataFrame, keys: Sequence[str], blocks: Mapping[str, Column]) -> DataFrame:
+    """(keys, pattern, n): respondents by the blocks they answered; bit i stands for the i-th block.
+
+    The counts add up over any union of rows, and a table of them answers every question on
+    combinations of blocks. A NULL condition is no answer.
+    """
+    if not 0 < len(blocks) <= 63:
+        raise ValueError("1 to 63 blocks fit a pattern")
+    bits = [F.when(answered, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, answered in enumerate(blocks.values())]
+    pattern = reduce(Column.bitwiseOR, bits)
+    return df.groupBy(*keys, pattern.alias("padrao")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def block_overlaps(patterns: DataFrame, keys: Sequence[str], blocks: Sequence[str]) -> DataFrame:
+    """(keys, block, other, first, second, both) for every pair of blocks, from ``answer_patterns``."""
+    blocks = list(blocks)
+    pairs = [
+        F.struct(F.lit(one).alias("bloco"), F.lit(two).alias("outro"), F.lit(1 << i).cast("long").alias("_one"), F.lit(1 << j).cast("long").alias("_two"))
+        for i, one in enumerate(blocks)
+        for j, two in enumerate(blocks)
+        if i < j
+    ]
+    each = patterns.select(*keys, "padrao", "n", F.inline(F.array(*pairs)))
+    one, two = (F.col("padrao").bitwiseAND(F.col(bit)) != 0 for bit in ("_one", "_two"))
+
+    def people(condition: Column, name: str) -> Column:
+        return F.sum(F.when(condition, F.col("n")).otherwise(F.lit(0))).alias(name)
+
+    return each.groupBy(*keys, "bloco", "outro").agg(people(one, "primeiro"), people(two, "segundo"), people(one & two, "ambos"))
+
+
 def table_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows whose multiplicity differs, with ``sobra`` = copies on the left minus the right.
 
