@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from surveylake.bindings.editions import EXPECTED, answers, export_raw, to_silver, written_edition
 from surveylake.bindings.registry import Registry
 from surveylake.bindings.tables import respondents, table, with_silver
-from surveylake.operators import sketches
+from surveylake.operators import quality, sketches
 from surveylake.operators.digest import digest_difference
+from surveylake.operators.ranking import first_of_each
 from surveylake.operators.unmatched import SPELLINGS_ERROR, by_rules, unmatched_answers
 from surveylake.session import scratch_path
-from surveylake.sources import gold, ledger
+from surveylake.sources import bucketed, gold, ledger
 
 REGISTRY = Registry()
 entry = REGISTRY.entry
@@ -146,3 +147,95 @@ def v2_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every spelling of a name that no rule knows; with fewer spellings than are followed, the counts are exact."""
     found = unmatched_answers(table(spark, sf_dir, "part"), {"p_name": by_rules("p_name", _NAME_RULES)}, top=1000)
     return found.select(F.inline("principais"))
+
+
+# --- tables in buckets ----------------------------------------------------------------------------------------
+
+BUCKETS = 8
+_BY_LINE = ["l_quantity", "l_extendedprice", "l_partkey", "l_suppkey", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
+def bucketed_table(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """``df`` written in buckets, then declared anew in a catalog that knows only its folder."""
+    path = scratch_path(spark, name)
+    run = path.rsplit("-", 1)[-1]
+    columns = {column: kind for column, kind in df.dtypes if column != bucketed.EDITION}
+    for database in (f"writer_{run}", f"reader_{run}"):
+        gold.create_database(spark, database, f"{path}-{database}")
+        bucketed.declare(spark, f"{database}.{name}", columns, path, BUCKETS)
+        if database.startswith("writer"):
+            bucketed.write(df, f"{database}.{name}")
+    return f"reader_{run}.{name}"
+
+
+def bucketed_people(spark: SparkSession, sf_dir: str) -> str:
+    return bucketed_table(spark, respondents(spark, sf_dir), "respondents")
+
+
+def bucketed_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Lines by the year of their shipment; the respondent is the order."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("respondente_id"), "l_linenumber", *_BY_LINE,
+        F.year("l_shipdate").alias("survey_year"),
+    )
+    return bucketed_table(spark, lines, "lines")
+
+
+@entry("S7_buckets", with_silver("""
+SELECT CAST(coalesce(y, v.survey_year) AS INTEGER) AS survey_year, v.survey_year IS NOT NULL AS esperada,
+  coalesce(linhas, 0) AS linhas, coalesce(linhas, 0) AS chaves, CAST(0 AS BIGINT) AS repetidas
+FROM (VALUES (1990), (1996), (1998)) v(survey_year)
+FULL JOIN (SELECT survey_year AS y, count(*) AS linhas FROM silver GROUP BY survey_year) ON y = v.survey_year"""))
+def s7_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Editions and repeated ids of the bucketed respondent table; ids are counted where they lie."""
+    return quality.edition_report(spark.table(bucketed_people(spark, sf_dir)), (1990, 1996, 1998))
+
+
+@entry("H16_buckets", f"""
+SELECT survey_year, l_orderkey AS pedido, l_quantity, l_extendedprice
+FROM (SELECT *, year(l_shipdate) AS survey_year,
+        row_number() OVER (PARTITION BY year(l_shipdate), l_orderkey ORDER BY {', '.join(_BY_LINE)}) AS k FROM lineitem)
+WHERE k = 1""")
+def h16_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line per (year, order) from a bucketed table, without a shuffle."""
+    lines = spark.table(bucketed_lines(spark, sf_dir))
+    kept = first_of_each(lines, ["survey_year", "respondente_id"], [F.col(c) for c in _BY_LINE])
+    return kept.select(
+        F.col("survey_year").cast("long").alias("survey_year"), F.col("respondente_id").cast("long").alias("pedido"),
+        "l_quantity", "l_extendedprice",
+    )
+
+
+@entry("E2_buckets", with_silver("""
+SELECT survey_year, count(a) AS primeiro, count(b) AS segundo, count(a + b) AS ambos
+FROM (SELECT CAST(survey_year AS INTEGER) AS survey_year, respondente_id AS id, 1 AS a FROM silver)
+FULL JOIN (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS survey_year, CAST(l_orderkey AS VARCHAR) AS id, 1 AS b
+           FROM lineitem) USING (survey_year, id)
+GROUP BY survey_year"""))
+def e2_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders placed and orders shipped in each year, two tables bucketed alike, and those in both."""
+    people, lines = bucketed_people(spark, sf_dir), bucketed_lines(spark, sf_dir)
+    return quality.tables_overlap(spark.table(people), spark.table(lines))
+
+
+_MEASURED = ["idade", "salario_medio_mensal", "usa_ia_generativa", "empresa_prioriza_ia", "valor", "survey_year"]
+_TEXTS = ["respondente_id", "genero", "cargo", "senioridade", "regiao", "tipo_uso_ia", "resultado_ia_empresa"]
+
+
+@entry("S10_statistics", with_silver("\nUNION ALL ".join(
+    f"SELECT '{c}' AS coluna, count(*) - count({c}) AS nulos,"
+    + (f" CAST(min({c}) AS VARCHAR) AS minimo, CAST(max({c}) AS VARCHAR) AS maximo" if c in _MEASURED else " NULL::VARCHAR, NULL::VARCHAR")
+    + " FROM silver" for c in _MEASURED + _TEXTS)))
+def s10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls and bounds of columns as the catalog keeps them after one analysis of the table."""
+    people = bucketed_people(spark, sf_dir)
+    bucketed.analyse(spark, people)
+    return bucketed.column_statistics(spark, people).where(F.col("coluna").isin(_MEASURED + _TEXTS))
+
+
+@entry("S10_volume", with_silver("SELECT survey_year, count(*) AS linhas FROM silver GROUP BY survey_year"))
+def s10_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each edition from the catalog of the analysed table; no file is read for them."""
+    people = bucketed_people(spark, sf_dir)
+    bucketed.analyse(spark, people)
+    return bucketed.edition_rows(spark, people)

@@ -119,6 +119,31 @@ def block_overlap(df: DataFrame, keys: Sequence[str], first: Column, second: Col
     )
 
 
+def tables_overlap(
+    first: DataFrame, second: DataFrame, edition: str = "survey_year", key: str = "respondente_id"
+) -> DataFrame:
+    """(edition, first, second, both): respondents with a row in each of two tables, and in both.
+
+    Over two tables bucketed alike by the respondent, ids are grouped and joined where they lie, and
+    only one row per edition and task is shuffled. The join is on the respondent alone, with the
+    editions of each as a list: on both keys Spark would deal the buckets anew. Rows without edition
+    or id are nobody's.
+    """
+    def people(df: DataFrame, name: str) -> DataFrame:
+        known = df.where(F.col(edition).isNotNull() & F.col(key).isNotNull())
+        return known.groupBy(key).agg(F.collect_set(edition).alias(name))
+
+    joined = people(first, "_first").join(people(second, "_second"), key, "full")
+    one, two = (F.coalesce(name, F.array().cast(joined.schema[name].dataType)) for name in ("_first", "_second"))
+    each = joined.select(one.alias("_first"), two.alias("_second"), F.explode(F.array_union(one, two)).alias(edition))
+    inside = [F.array_contains(name, F.col(edition)) for name in ("_first", "_second")]
+    return each.groupBy(edition).agg(
+        F.count_if(inside[0]).alias("primeiro"),
+        F.count_if(inside[1]).alias("segundo"),
+        F.count_if(inside[0] & inside[1]).alias("ambos"),
+    )
+
+
 def answer_patterns(df: DataFrame, keys: Sequence[str], blocks: Mapping[str, Column]) -> DataFrame:
     """(keys, pattern, n): respondents by the blocks they answered; bit i stands for the i-th block.
 
