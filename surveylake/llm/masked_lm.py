@@ -83,37 +83,31 @@ class Network:
         return network
 
     def _forward(self, around: np.ndarray, target: np.ndarray):
-        inputs = self.tokens[around].reshape(len(around), -1)
+        inputs = self.tokens.take(around.ravel(), axis=0).reshape(len(around), -1)
         hidden = np.maximum(inputs @ self.inner + self.inner_bias, 0)
         high, low = target // HALF, target % HALF
-        first = _normalised(hidden @ self.first + self.first_bias)
-        knowing = np.maximum(hidden + self.given[high], 0)
-        second = _normalised(knowing @ self.second + self.second_bias)
+        first = hidden @ self.first + self.first_bias
+        knowing = np.maximum(hidden + self.given.take(high, axis=0), 0)
+        second = knowing @ self.second + self.second_bias
         return inputs, hidden, high, low, first, knowing, second
 
     def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         *_, high, low, first, _, second = self._forward(around, target)
-        rows = np.arange(len(target))
-        return first[rows, high] + second[rows, low]
+        return _log_share(first, high) + _log_share(second, low)
 
     def learn(self, around: np.ndarray, target: np.ndarray, squares: Network) -> None:
         """One step of Adagrad on the mean log-probability."""
         inputs, hidden, high, low, first, knowing, second = self._forward(around, target)
         n, rows = len(target), np.arange(len(target))
-        d_second, d_first = np.exp(second), np.exp(first)
-        d_second[rows, low] -= 1
-        d_first[rows, high] -= 1
-        d_second /= n
-        d_first /= n
+        d_second, d_first = _shares_over(second, n), _shares_over(first, n)
+        d_second[rows, low] -= np.float32(1 / n)
+        d_first[rows, high] -= np.float32(1 / n)
         d_knowing = (d_second @ self.second.T) * (knowing > 0)
         d_hidden = (d_first @ self.first.T + d_knowing) * (hidden > 0)
         d_inputs = (d_hidden @ self.inner.T).reshape(-1, EMBEDDING)
-        places = around.ravel()
-        step = Network(np.empty(_SIZE, dtype=np.float32))
-        for k in range(EMBEDDING):
-            step.tokens[:, k] = np.bincount(places, weights=d_inputs[:, k], minlength=BUCKETS + 1)
-        for k in range(HIDDEN):
-            step.given[:, k] = np.bincount(high, weights=d_knowing[:, k], minlength=HALF)
+        step = Network(np.zeros(_SIZE, dtype=np.float32))
+        _sum_by(around.ravel(), d_inputs, step.tokens)
+        _sum_by(high, d_knowing, step.given)
         step.inner[:], step.inner_bias[:] = inputs.T @ d_hidden, d_hidden.sum(axis=0)
         step.first[:], step.first_bias[:] = hidden.T @ d_first, d_first.sum(axis=0)
         step.second[:], step.second_bias[:] = knowing.T @ d_second, d_second.sum(axis=0)
@@ -121,12 +115,30 @@ class Network:
         self.flat -= RATE * step.flat / (np.sqrt(squares.flat) + 1e-8)
 
 
-def _normalised(scores: np.ndarray) -> np.ndarray:
+def _log_share(scores: np.ndarray, taken: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax at one place of each row."""
     scores -= scores.max(axis=1, keepdims=True)
-    scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
+    own = scores[np.arange(len(scores)), taken]
+    return own - np.log(np.exp(scores, out=scores).sum(axis=1))
+
+
+def _shares_over(scores: np.ndarray, n: int) -> np.ndarray:
+    """The softmax of each row, divided by ``n``."""
+    scores -= scores.max(axis=1, keepdims=True)
+    np.exp(scores, out=scores)
+    scores /= scores.sum(axis=1, keepdims=True) * np.float32(n)
     return scores
 
 
+def _sum_by(places: np.ndarray, rows: np.ndarray, sums: np.ndarray) -> None:
+    """Add up the rows of each place, which are below 65,536 and so sorted digit by digit."""
+    short = places.astype(np.uint16)
+    order = np.argsort(short, kind="stable")
+    ordered = short[order]
+    starts = np.flatnonzero(np.diff(ordered, prepend=ordered[:1] + np.uint16(1)))
+    sums[ordered[starts]] = np.add.reduceat(rows.take(order, axis=0), starts, axis=0)
+
+
 def _chunks(texts: list[str | None]) -> Iterator[list[str]]:
     part, chars = [], 0
     for text in texts:
@@ -195,7 +207,8 @@ def _train_on(chunks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], netwo
             network.learn(around[at : at + BATCH], target[at : at + BATCH], squares)
 
     for padded, place, owner in chunks:
-        within = np.arange(len(place)) - np.searchsorted(owner, owner)
+        ends = np.cumsum(np.bincount(owner))
+        within = np.arange(len(place)) - np.concatenate([[0], ends])[owner]
         here = place[within % rounds == turn]
         waiting.append((padded[here[:, None] + _AROUND], padded[here]))
         held += len(here)
