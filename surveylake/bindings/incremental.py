@@ -135,7 +135,10 @@ def v2_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, (df, field) in fields.items():
         unknown = F.when(field.answer.isNotNull() & ~field.known, field.answer)
         exact = df.groupBy().agg(F.count_distinct(unknown).alias("exatas"))
-        joined = unmatched_answers(df, {name: field}).join(exact.withColumn("campo", F.lit(name)), "campo")
+        # One row each; a join on the name alone would be a nested loop.
+        both = unmatched_answers(df, {name: field}).unionByName(exact.withColumn("campo", F.lit(name)), allowMissingColumns=True)
+        figures = ("respondidas", "sem_regra", "pct_sem_regra", "grafias", "exatas")
+        joined = both.groupBy("campo").agg(*[F.max(figure).alias(figure) for figure in figures])
         near = F.abs(F.col("grafias") - F.col("exatas")) <= F.lit(SPELLINGS_ERROR) * F.col("exatas")
         found.append(joined.select("campo", "respondidas", "sem_regra", "pct_sem_regra", near.alias("dentro_do_erro")))
     return reduce(DataFrame.unionByName, found)

@@ -24,7 +24,7 @@ from surveylake.plans.lake import Lake
 
 
 def _last(lake: Lake, mart: str) -> DataFrame:
-    return lake.mart(mart).where(F.col("survey_year") == lake.last_edition)
+    return lake.mart(mart).where(F.col("survey_year") == lake.newest)
 
 
 def _reliable_pay(lake: Lake, dimension: str) -> DataFrame:
@@ -214,10 +214,12 @@ def p12_outcome_funnel(lake: Lake) -> DataFrame:
 def k1_headline_figures(lake: Lake) -> DataFrame:
     """One row with every headline figure, each taken from the mart that defines it."""
     words = lake.words
-    first, last = lake.first_edition, lake.last_edition
 
-    def of_year(year: int, column: str, name: str) -> Column:
-        return F.max(F.when(F.col("survey_year") == year, F.col(column))).alias(name)
+    def last(column: str, name: str) -> Column:
+        return F.max_by(column, "survey_year").alias(name)
+
+    def first(column: str, name: str) -> Column:
+        return F.min_by(column, "survey_year").alias(name)
 
     def one_row(df: DataFrame, *columns: Column) -> DataFrame:
         return df.groupBy().agg(*columns)
@@ -232,15 +234,15 @@ def k1_headline_figures(lake: Lake) -> DataFrame:
             ),
             ",",
         ).alias("respondentes_por_edicao"),
-        of_year(last, "pct_usa_ia_generativa", "pct_ia_ultimo"),
-        of_year(first, "pct_usa_ia_generativa", "pct_ia_primeiro"),
-        of_year(last, "pct_empresa_prioriza_ia", "pct_empresa_ia_ultimo"),
-        of_year(first, "pct_mulheres", "pct_mulheres_primeiro"),
-        of_year(last, "pct_mulheres", "pct_mulheres_ultimo"),
-        of_year(first, "pct_remoto", "pct_remoto_primeiro"),
-        of_year(last, "pct_remoto", "pct_remoto_ultimo"),
-        of_year(first, "pct_presencial", "pct_presencial_primeiro"),
-        of_year(last, "pct_presencial", "pct_presencial_ultimo"),
+        last("pct_usa_ia_generativa", "pct_ia_ultimo"),
+        first("pct_usa_ia_generativa", "pct_ia_primeiro"),
+        last("pct_empresa_prioriza_ia", "pct_empresa_ia_ultimo"),
+        first("pct_mulheres", "pct_mulheres_primeiro"),
+        last("pct_mulheres", "pct_mulheres_ultimo"),
+        first("pct_remoto", "pct_remoto_primeiro"),
+        last("pct_remoto", "pct_remoto_ultimo"),
+        first("pct_presencial", "pct_presencial_primeiro"),
+        last("pct_presencial", "pct_presencial_ultimo"),
     )
     blocks = one_row(
         _last(lake, "gold_adocao_ia"),
@@ -249,7 +251,7 @@ def k1_headline_figures(lake: Lake) -> DataFrame:
     )
 
     cuts = ("senioridade", "cargo", "regiao")
-    pay = lake.pay(*cuts).where((F.col("survey_year") == last) & F.col("amostra_suficiente"))
+    pay = lake.pay(*cuts).where((F.col("survey_year") == lake.newest) & F.col("amostra_suficiente"))
 
     def of(dimension: str, value: Column) -> Column:
         return F.when(F.col("dimensao") == dimension, value)
@@ -294,7 +296,7 @@ def k1_headline_figures(lake: Lake) -> DataFrame:
         return (-gap).alias(name)
 
     regional = one_row(
-        _last(lake, "gold_remuneracao_regional").where("amostra_suficiente"),
+        lake.regional_means().where((F.col("survey_year") == lake.newest) & F.col("amostra_suficiente")),
         discount(words.junior, "desconto_regional_junior"),
         discount(words.senior, "desconto_regional_senior"),
     )

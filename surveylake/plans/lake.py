@@ -6,11 +6,11 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveylake.functions.rules import Vocabulary
-from surveylake.plans.marts import build_mart
+from surveylake.plans.marts import build_mart, regional_means
 
 
 @dataclass(frozen=True)
@@ -18,13 +18,14 @@ class Lake:
     """``silver`` plus a way to get each mart; both stay lazy DataFrames.
 
     ``pay`` gives the salary mart for the cuts asked for alone, so that a query on one dimension
-    neither computes nor reads the others.
+    neither computes nor reads the others; ``regional_means`` the regional one without its median.
     """
 
     silver: DataFrame
     mart: Callable[[str], DataFrame]
     words: Vocabulary
     pay: Callable[..., DataFrame]
+    regional_means: Callable[[], DataFrame]
 
     @cached_property
     def editions(self) -> tuple[int, ...]:
@@ -43,6 +44,11 @@ class Lake:
     def last_edition(self) -> int:
         return self.editions[-1]
 
+    @property
+    def newest(self) -> Column:
+        """The latest edition as part of the plan that uses it; building the plan starts no job."""
+        return self.mart("gold_evolucao_anual").agg(F.max("survey_year")).scalar()
+
     @classmethod
     def over_silver(cls, silver: DataFrame, words: Vocabulary = Vocabulary()) -> Lake:
         """Marts are computed from the respondent table inside each query."""
@@ -50,7 +56,9 @@ class Lake:
         def pay(*cuts: str) -> DataFrame:
             return build_mart("gold_remuneracao", silver, replace(words, salary_cuts=cuts))
 
-        return cls(silver, lambda name: build_mart(name, silver, words), words, pay)
+        return cls(
+            silver, lambda name: build_mart(name, silver, words), words, pay, lambda: regional_means(silver, words)
+        )
 
     @classmethod
     def from_paths(
@@ -69,4 +77,4 @@ class Lake:
         def pay(*cuts: str) -> DataFrame:
             return mart("gold_remuneracao").where(F.col("dimensao").isin(*cuts))
 
-        return cls(silver, mart, words, pay)
+        return cls(silver, mart, words, pay, lambda: mart("gold_remuneracao_regional").drop("salario_mediano"))

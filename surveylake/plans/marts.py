@@ -122,20 +122,33 @@ def ai_impact(silver: DataFrame, words: Vocabulary) -> DataFrame:
     return share_within(counted, "respondentes", ["survey_year"], "pct")
 
 
+REGIONAL = ["survey_year", "regiao", "senioridade"]
+
+
+def _with_region_and_level(silver: DataFrame, words: Vocabulary) -> DataFrame:
+    return silver.where((F.col("regiao") != words.undeclared) & F.col("senioridade").isNotNull())
+
+
 def regional_pay(silver: DataFrame, words: Vocabulary) -> DataFrame:
     """Salary by region at equal level. Base: respondents with salary, declared region, level."""
-    base = silver.where(
-        (F.col("regiao") != words.undeclared) & F.col("senioridade").isNotNull()
-    )
     return segment_stats(
-        base,
-        ["survey_year", "regiao", "senioridade"],
+        _with_region_and_level(silver, words),
+        REGIONAL,
         percentiles={"salario_mediano": 0.5},
         min_n=words.min_sample,
         exact=True,
     )
 
 
+def regional_means(silver: DataFrame, words: Vocabulary) -> DataFrame:
+    """The regional salary mart without its median: counts and means add up in one aggregation."""
+    paid = _with_region_and_level(silver, words).where(F.col(SALARY).isNotNull())
+    means = paid.groupBy(*REGIONAL).agg(
+        F.count(F.lit(1)).alias("respondentes"), F.round(F.avg(SALARY), 2).alias("salario_medio")
+    )
+    return _flagged(means, words)
+
+
 def work_model(silver: DataFrame, words: Vocabulary) -> DataFrame:
     """Work models by region. Base: respondents with a work model, NULL region its own group."""
     base = silver.where(F.col("modelo_trabalho").isNotNull())

@@ -66,3 +66,15 @@ def test_written_tables_have_sound_plans(spark):
     conformed = texts[len(frames)]
     assert conformed.count("FileScan parquet") == len(frames)  # each edition is read once
     assert "Window" not in conformed
+
+
+@pytest.mark.parametrize("name", ["K1", "P1", "P6", "P10"])
+def test_figures_of_the_latest_edition_start_no_job(spark, name, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def no_job(*_):
+        raise AssertionError("a job ran while the plan was built")
+
+    for action in ("collect", "first", "head", "take", "count", "isEmpty", "toPandas"):
+        monkeypatch.setattr(DataFrame, action, no_job)
+    assert "Subquery" in plan(spark, name)
