@@ -48,19 +48,17 @@ def number_in_group(
 def numbered_copies(df: DataFrame, times: str, name: str, keys: Sequence[str], width: int = 10_000) -> DataFrame:
     """Each row ``times`` times, numbered from 1 in ``name``; rows with fewer than one are left out.
 
-    Rows of up to ``width`` copies are repeated where they are. Of the others only the numbers of
-    their chunks are listed, which are dealt by ``keys`` over all shuffle partitions and counted out
-    there, so no task writes all copies of a row. The deal has a fixed number of partitions: by its
-    few bytes adaptive execution would put all chunks back into one task.
+    The numbers of a row's chunks of ``width`` copies are listed, one for most rows, dealt by ``keys``
+    over all shuffle partitions and counted out there, so no task writes all copies of a row and the
+    rows are computed once. The deal has a fixed number of partitions: by its few bytes adaptive
+    execution would put the chunks of one row back into one task.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    few = df.where(F.col(times).between(1, width)).withColumn(name, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times).cast("long"))))
     last = F.floor((F.col(times) - 1) / width).cast("long")
-    chunks = df.where(F.col(times) > width).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    chunks = df.where(F.col(times) > 0).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     first = F.col("_chunk") * width
     within = F.sequence(first + 1, F.least(first + width, F.col(times).cast("long")))
-    many = chunks.repartition(partitions, *keys, "_chunk").withColumn(name, F.explode(within)).drop("_chunk")
-    return few.unionByName(many)
+    return chunks.repartition(partitions, *keys, "_chunk").withColumn(name, F.explode(within)).drop("_chunk")
 
 
 def first_of_each(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
