@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from surveylake.session import settings
+
 EDITION, RESPONDENT = "survey_year", "respondente_id"
 
 # Types that the catalog keeps column statistics for.
@@ -65,6 +67,8 @@ def write(silver: DataFrame, table: str) -> None:
     """Replace the editions that ``silver`` has in a declared table.
 
     Editions it does not have stay as they are. Statistics are those of the last ``analyse``.
+    ``insertInto`` takes the mode of overwriting from the session and passes over the writer's option,
+    so it is set around the write: in static mode all editions and the marker beside them would go.
 
     Rows are dealt to the buckets before they are written, so each bucket of an edition is one file
     whatever the number of tasks. Ids are one row per edition, so no bucket grows by a hot key; rows
@@ -74,15 +78,15 @@ def write(silver: DataFrame, table: str) -> None:
     buckets = int(_described(spark, table)["Num Buckets"])
     columns = spark.table(table).columns
     respondent = F.when(F.col(RESPONDENT).isNull(), F.raise_error(F.lit("a respondent has no id"))).otherwise(F.col(RESPONDENT))
-    (
-        silver.withColumn(RESPONDENT, respondent)
-        .select(*columns)
-        .repartition(buckets, RESPONDENT)
-        .sortWithinPartitions(EDITION, RESPONDENT)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        (
+            silver.withColumn(RESPONDENT, respondent)
+            .select(*columns)
+            .repartition(buckets, RESPONDENT)
+            .sortWithinPartitions(EDITION, RESPONDENT)
+            .write.mode("overwrite")
+            .insertInto(table)
+        )
 
 
 def analyse(spark: SparkSession, table: str) -> None:

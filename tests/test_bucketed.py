@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from surveylake.bindings.incremental import bucketed_lines, bucketed_people
 from surveylake.operators import quality
 from surveylake.operators.ranking import first_of_each
-from surveylake.session import scratch_path
+from surveylake.session import scratch_path, settings
 from surveylake.sources import bucketed, gold
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -93,6 +93,17 @@ def test_only_written_editions_are_replaced(spark, place):
     assert counts == {2023: 100, 2024: 1, 2025: 1}
 
 
+def test_a_session_in_static_mode_replaces_written_editions_only(spark, place):
+    name, path = place
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
+        bucketed.declare(spark, name, COLUMNS, path, 3)
+        bucketed.write(_rows(spark, ("a", 1, [], 2023), ("b", 2, [], 2024)), name)
+        bucketed.write(_rows(spark, ("x", 1, None, 2024)), name)
+        bucketed.declare(spark, name + "_again", COLUMNS, path, 3)
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    assert {tuple(row) for row in spark.table(name + "_again").select("respondente_id", "survey_year").collect()} == {("a", 2023), ("x", 2024)}
+
+
 def test_each_row_lies_in_the_bucket_of_its_id(spark, place):
     name, path = place
     bucketed.declare(spark, name, COLUMNS, path, 5)
