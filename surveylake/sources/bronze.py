@@ -18,6 +18,8 @@ HEADER_READERS = 32
 HEADER_BYTES, LONGEST_HEADER = 1 << 16, 1 << 22
 # Files beyond this size are cut into ranges by ``split_csv``.
 SPLIT_FROM = 1 << 27
+# Editions written at a time, and rows of a Bronze file: a compressed file is a few megabytes, which is one task later.
+EDITION_WRITERS, ROWS_PER_FILE = 8, 50_000
 LINEAGE = ("survey_year", "arquivo_origem", "ingerido_em")
 
 
@@ -228,19 +230,27 @@ def ingest(
 def write_editions(
     spark: SparkSession, paths: list[str], bronze_path: str, multi_line: bool = True, split_from: int = SPLIT_FROM
 ) -> dict[int, dict[str, int]]:
-    """Write the editions of these exports, each one's partition whole; rows and columns per edition."""
-    report = {}
-    for year, df in bronze_frames(spark, paths, multi_line, split_from).items():
+    """Write the editions of these exports, each one's partition whole; rows and columns per edition.
+
+    Editions are written side by side, as an export that is not cut is one task: each write has its own
+    staging folder and replaces its own partition only.
+    """
+
+    def write(year: int, df: DataFrame) -> dict[str, int]:
         seen = Observation()
         (
             df.observe(seen, F.count(F.lit(1)).alias("rows"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", ROWS_PER_FILE)
             .partitionBy("survey_year")
             .parquet(bronze_path)
         )
-        report[year] = {"rows": seen.get["rows"], "columns": len(df.columns)}
-    return report
+        return {"rows": seen.get["rows"], "columns": len(df.columns)}
+
+    editions = bronze_frames(spark, paths, multi_line, split_from)
+    with ThreadPoolExecutor(EDITION_WRITERS) as pool:
+        return dict(zip(editions, pool.map(write, editions.keys(), editions.values())))
 
 
 def bronze_editions(spark: SparkSession, bronze_path: str) -> list[int]:

@@ -1,6 +1,7 @@
 """Multi-line exports in byte ranges against Spark's own multi-line reader, and headers."""
 
 import random
+import threading
 
 import pytest
 
@@ -102,3 +103,23 @@ def test_large_exports_are_split_on_the_way_to_bronze(spark, tmp_path):
         assert report == {2023: {"rows": 200, "columns": 5}}
         found[name] = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / name)).drop("ingerido_em").collect())
     assert found["whole"] == found["split"]
+
+
+def test_editions_are_written_side_by_side_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    """One task reads a whole export, so neither the other exports nor the tasks after it wait for it."""
+    for year in (2023, 2024):
+        folder = tmp_path / "raw" / f"survey_{year}.csv"
+        spark.range(25).selectExpr("cast(id as string) as p1", f"'{year}' as p2").coalesce(1).write.option("header", True).csv(str(folder))
+    both, observation = threading.Barrier(2, timeout=30), bronze.Observation
+
+    def observed():
+        both.wait()
+        return observation()
+
+    monkeypatch.setattr(bronze, "Observation", observed)
+    monkeypatch.setattr(bronze, "ROWS_PER_FILE", 10, raising=False)
+    report = bronze.ingest(spark, str(tmp_path / "raw"), str(tmp_path / "bronze"))
+    assert report == {2023: {"rows": 25, "columns": 5}, 2024: {"rows": 25, "columns": 5}}
+    for year in (2023, 2024):
+        assert len(list((tmp_path / "bronze" / f"survey_year={year}").glob("*.parquet"))) == 3
+        assert bronze.read_edition(spark, str(tmp_path / "bronze"), year).count() == 25
