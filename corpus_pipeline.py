@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place the tokens of all documents in sequences of 1024."""
-    pieces = packing.token_pieces(docs, tokenizer_path())
+    pieces = packing.token_pieces(docs, tokenizer_path(), forget=True)
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))).placed
 
 

@@ -144,10 +144,13 @@ def token_pieces(
     capacity: int = CAPACITY,
     closing: int = CLOSING_ID,
     remembered: int = CACHED_WORDS,
+    forget: bool = False,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids`` of every document; ``ids`` are little-endian 32-bit numbers.
 
-    A worker remembers the ids of up to ``remembered`` parts of texts, at about 200 bytes each.
+    A worker remembers the ids of up to ``remembered`` parts of texts, at about 200 bytes each, also
+    for its later tasks. With ``forget`` it drops them at the end of a task, because an idle worker
+    would hold that memory beside whatever runs next on the executor.
     """
     kept = docs.select(column(doc_id).alias("doc_id"), column(text).alias("text"))
     schema = T.StructType(
@@ -184,6 +187,9 @@ def token_pieces(
             step = max(1, int(batch.num_rows * CHUNK_CHARS // max(1, batch.nbytes)))
             for at in range(0, batch.num_rows, step):
                 yield cut(batch.slice(at, step))
+        if forget:
+            _words(tokenizer, remembered).known.clear()
+            pa.default_memory_pool().release_unused()
 
     return kept.mapInArrow(run, schema)
 

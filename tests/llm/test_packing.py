@@ -4,6 +4,7 @@ import itertools
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -108,3 +109,26 @@ def test_other_columns_and_clashing_names(spark):
     pieces = spark.createDataFrame([(5, "x", 1), (7, "y", 2)], "length long, `sequence_id` string, open int")
     placed = packing.pack(pieces).placed
     assert sorted(placed.columns) == ["length", "offset", "sequence_id"] and placed.count() == 2
+
+
+@pytest.mark.parametrize("stage", [True, False])
+def test_workers_of_the_pipeline_forget_the_parts_of_texts(spark, documents, words, stage):
+    remembered = 1234 + stage  # a memory of this test's own
+    docs = documents([(i, " ".join(words(30))) for i in range(400)]).repartition(8)
+    if stage:
+        import corpus_pipeline
+
+        remembered = packing.CACHED_WORDS
+        corpus_pipeline.pack_sequences(spark, docs, "").count()
+    else:
+        packing.token_pieces(docs, tokenizer_path(), remembered=remembered, forget=True).write.format("noop").mode("overwrite").save()
+
+    def held(batches):
+        from surveylake.llm.packing import _words
+
+        path = tokenizer_path()
+        for _ in batches:
+            pass
+        yield pd.DataFrame({"n": [len(_words(path, remembered).known)]})
+
+    assert spark.range(8).repartition(8).mapInPandas(held, "n long").agg(F.max("n")).first()[0] == 0
