@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import pairwise
 from struct import pack as pack_bytes
@@ -41,19 +41,32 @@ CACHED_WORDS = 600_000
 JOINED_CHARS = 50_000
 # Below this code point every edition of Unicode in use agrees on what is a letter.
 STABLE_LETTERS = "\u0530"
+# Marks that may close a word: neither letters, numbers nor spaces; an apostrophe begins endings.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 # In byte-level BPE a space before a non-space always begins a new token, so texts may be cut there.
 _ODD_SPACE = re.compile(r" (?:\s|$)")
 _CUT = re.compile(r" (?=\S)")
 
 
+class _Parts(dict):
+    """part -> ids of a space and the part; a part that is not in it is asked of ``make``."""
+
+    def __init__(self, make: Callable[[str], bytes | None]) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, part: str) -> bytes | None:
+        return self.make(part)
+
+
 class _Words:
     """Little-endian ids of the parts of texts between such spaces, encoded when first met.
 
-    A new part that is letters alone, or letters and one mark, needs no pattern to be split, so its
-    letters go to the tokenizer's merges directly. Other new parts of a group of texts are encoded
-    joined, which costs less than one by one; the offsets of the tokens tell them apart. The memory
-    is emptied when it is full.
+    A new part of which each line is letters, or letters and then marks, needs no pattern to be
+    split, so its letters go to the tokenizer's merges directly. Other new parts of a group of texts
+    are encoded joined, which costs less than one by one; the offsets of the tokens tell them apart.
+    The memory is emptied when it is full.
     """
 
     def __init__(self, path: str, remembered: int | None = None) -> None:
@@ -63,6 +76,7 @@ class _Words:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merged = self.tokenizer.model.tokenize
         # Special strings may stand anywhere in a part, so a text that has one is encoded whole.
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         if any(" " in token for token in self.special):
@@ -71,36 +85,66 @@ class _Words:
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [byte for byte in range(256) if byte not in shown]
         self.letters = {byte: chr(0x100 + i) for i, byte in enumerate(hidden)}
-        if set(ByteLevel.alphabet()) != {*map(chr, shown), *self.letters.values()} or self._word("né") != self._plain(" né"):
+        self.space = self.letters[0x20]
+        if set(ByteLevel.alphabet()) != {*map(chr, shown), *self.letters.values()} or self._word(" né") != self._plain(" né"):
             raise ValueError("not a byte-level BPE tokenizer")
-        self.marks = {mark: self._plain(mark) for mark in ",.;:!?"}
-        self.known: dict[str, bytes] = {}  # part -> ids of a space and the part
+        self.known = _Parts(self._met)
+        self.marks: dict[str, bytes] = {"": b""}
+        self.line = self._plain("\n")
+        probes = [f"né{mark}\nÉne{mark}\nen" for mark in (*MARKS, MARKS, "")]
+        self.simple = True
+        # Another pattern than the usual one may take marks, line ends and letters together.
+        self.simple = all(self._met(probe) == self._plain(" " + probe) for probe in probes)
+        self.missed: list[str] = []
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _word(self, letters: str) -> bytes:
-        tokens = self.tokenizer.model.tokenize((" " + letters).encode().decode("latin-1").translate(self.letters))
+        """Ids of letters, which a space may precede."""
+        if letters.isascii():
+            shown = letters.replace(" ", self.space)
+        else:
+            shown = letters.encode().decode("latin-1").translate(self.letters)
+        tokens = self.merged(shown)
         return pack_bytes("<%dI" % len(tokens), *[token.id for token in tokens])
 
+    def _met(self, part: str) -> bytes | None:
+        """Ids of a space and a new part; None where the pattern is needed, and the part is noted."""
+        known = self.known
+        if part.isalpha() and (part.isascii() or max(part) < STABLE_LETTERS):
+            ids = known[part] = self._word(" " + part)
+            return ids
+        found, lines = [], part.split("\n")
+        for n, line in enumerate(lines):
+            letters = line.rstrip(MARKS)
+            if not (self.simple and letters.isalpha() and (letters.isascii() or max(letters) < STABLE_LETTERS)):
+                self.missed.append(part)
+                return None
+            if n:  # no part begins with a line end
+                key = "\n" + letters
+                if (ids := known.get(key)) is None:
+                    ids = known[key] = self.line + self._word(letters)
+            elif (ids := known.get(letters)) is None:
+                ids = known[letters] = self._word(" " + letters)
+            mark = line[len(letters) :]
+            if (closing := self.marks.get(mark)) is None:
+                closing = self._plain(mark)
+                if len(mark) < 4:
+                    self.marks[mark] = closing
+            found += (ids, closing)
+        whole = b"".join(found)
+        if len(lines) == 1 and mark:  # two words round a line end hardly meet again
+            known[part] = whole
+        return whole
+
     def _learn(self, parts: list[str]) -> None:
-        known, rest = self.known, []
-        for part in parts:
-            if part.isalpha() and max(part) < STABLE_LETTERS:
-                known[part] = self._word(part)
-            elif part[-1:] in self.marks and part[:-1].isalpha() and max(part) < STABLE_LETTERS:
-                letters = part[:-1]
-                if letters not in known:
-                    known[letters] = self._word(letters)
-                known[part] = known[letters] + self.marks[part[-1]]
-            else:
-                rest.append(part)
-        at = 0
-        while at < len(rest):
+        known, at = self.known, 0
+        while at < len(parts):
             some, chars = [], 0
-            while at < len(rest) and chars < JOINED_CHARS:
-                some.append(rest[at])
-                chars += len(rest[at]) + 1
+            while at < len(parts) and chars < JOINED_CHARS:
+                some.append(parts[at])
+                chars += len(parts[at]) + 1
                 at += 1
             found = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
             ids = np.array(found.ids, dtype="<u4")
@@ -118,13 +162,20 @@ class _Words:
             self.known.clear()
         cut = [[text] if any(token in text for token in self.special) else (_CUT.split if _ODD_SPACE.search(text) else _split)(text) for text in texts]
         heads = [parts.pop(0) for parts in cut]
-        ids = [list(map(self.known.get, parts)) for parts in cut]
-        holes = [i for i, found in enumerate(ids) if None in found]
-        self._learn(list({part for i in holes for part, found in zip(cut[i], ids[i]) if found is None}))
+        known, ids, holes = self.known.__getitem__, [], []
+        self.missed = []
+        for i, parts in enumerate(cut):
+            before = len(self.missed)
+            ids.append(list(map(known, parts)))
+            if len(self.missed) > before:
+                holes.append(i)
+            else:
+                ids[i] = b"".join(ids[i])
+        self._learn(list(dict.fromkeys(self.missed)))
         for i in holes:
-            ids[i] = [self.known[part] if found is None else found for part, found in zip(cut[i], ids[i])]
+            ids[i] = b"".join([known(part) if found is None else found for part, found in zip(cut[i], ids[i])])
         plain = self.tokenizer.encode_batch_fast(heads, add_special_tokens=False)
-        return [np.array(head.ids, dtype="<u4").tobytes() + b"".join(found) for head, found in zip(plain, ids)]
+        return [np.array(head.ids, dtype="<u4").tobytes() + rest for head, rest in zip(plain, ids)]
 
 
 def _split(text: str) -> list[str]:

@@ -33,6 +33,17 @@ def test_ids_are_those_of_the_whole_text(tokenizer, monkeypatch):
             assert np.frombuffer(found, dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_lines_of_words_and_marks_need_no_pattern(tokenizer, monkeypatch):
+    words, joined = packing._Words(tokenizer_path()), []
+    learn = words._learn
+    monkeypatch.setattr(words, "_learn", lambda parts: (joined.extend(parts), learn(parts)))
+    text = "One word.\nThen né!!\nSo,\nÉté $$$ of%%% (it's 3rd x\n\ny end.\nOne"
+    for _ in range(2):
+        ids = np.frombuffer(words.encode([text])[0], dtype="<u4").tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+    assert joined == ["$$$", "(it's", "3rd", "x\n\ny"]
+
+
 def fewest(sizes, capacity):
     best = len(sizes)
     for order in set(itertools.permutations(sizes)):
