@@ -20,56 +20,89 @@ without ASCII white space), end exclusive.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveylake.llm.common import column, row_key, salted_join, saved, text_of
 from surveylake.llm.words import mix, shingles, word_hashes
+from surveylake.session import settings
 
 K, PICK = 6, 12
 LEAST = 50
 IDENTITY = 0.8
 GAP = 10  # words that an alignment bridges on either side
+AHEAD = GAP + 3  # words that are looked at behind an exact run
+MARGIN = 48  # words on either side of the chains of a pair that are sent to be aligned
 REACH = K + PICK + GAP  # words between neighbouring shared seeds of a passage, at most
 SPAN = 10  # words from the first to the last shared seed of a passage, at least
 GAP_COST = 0.015  # of a seed's worth, for each word of distance on either side
 CHUNK_CHARS = 2_000_000
 STRETCH = -1  # the anchor's number in rows that hold a document's stretches
 GROUP = 64  # documents aligned with one anchor document in one group
+PASSAGE = ["doc_id", "partner_id", "start", "end", "partner_start", "partner_end", "n_equal", "uid", "anchor"]
+
+
+def _leftmost_least(kmers: np.ndarray) -> np.ndarray:
+    """Place of the leftmost least value in each run of ``PICK``, from runs of half the width."""
+    value, place, width = kmers, np.arange(len(kmers)), 1
+    while width < PICK:
+        step = min(width, PICK - width)
+        right = value[step:] < value[:-step]
+        value, place, width = np.where(right, value[step:], value[:-step]), np.where(right, place[step:], place[:-step]), width + step
+    return place
+
+
+def all_seeds(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and place of the picked k-mers of all texts in order, and where those of each text begin.
+
+    ``first`` holds the first word of each text, and the end.
+    """
+    counts = np.maximum(np.diff(first) - K + 1, 0)
+    kmers = mix(shingles(hashes, K))
+    picked = []
+    if len(kmers) >= PICK:
+        windows = np.maximum(counts - PICK + 1, 0)
+        # The windows inside a text, and the leftmost least k-mer of each; that never moves back.
+        inside = np.repeat(first[:-1] - np.concatenate([[0], np.cumsum(windows)[:-1]]), windows) + np.arange(windows.sum())
+        least = _leftmost_least(kmers)[inside]
+        picked.append(least[np.flatnonzero(np.diff(least, prepend=-1))])
+    short = np.flatnonzero((counts > 0) & (counts < PICK))
+    picked.append(np.array([first[i] + kmers[first[i] : first[i] + counts[i]].argmin() for i in short], dtype=np.int64))
+    places = np.sort(np.concatenate(picked))
+    text = np.searchsorted(first, places, side="right") - 1
+    return kmers[places], places - first[text], np.searchsorted(text, np.arange(len(first)))
 
 
 def seeds(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and place of the picked k-mers of a text."""
-    if len(hashes) < K:
-        return hashes[:0], np.zeros(0, dtype=np.int64)
-    kmers = mix(shingles(hashes, K))
-    if len(kmers) <= PICK:
-        places = np.array([int(kmers.argmin())])
-    else:
-        view = np.lib.stride_tricks.sliding_window_view(kmers, PICK)
-        places = np.unique(view.argmin(axis=1) + np.arange(len(view)))
-    return kmers[places], places
+    return all_seeds(hashes, np.array([0, len(hashes)]))[:2]
+
+
+def _chunks(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The number of the first text and the ``word_hashes``, for some texts at a time."""
+    at = 0
+    while at < len(texts):
+        begin, chars = at, 0
+        while at < len(texts) and (at == begin or chars < CHUNK_CHARS):
+            chars += len(texts[at])
+            at += 1
+        yield begin, *word_hashes(texts[begin:at])
 
 
 def _seed_rows(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found, places, at = [], [], 0
-        texts = list(batch)
-        while at < len(texts):
-            part, chars = [], 0
-            while at < len(texts) and (not part or chars < CHUNK_CHARS):
-                part.append(texts[at])
-                chars += len(texts[at])
-                at += 1
-            hashes, first, _, _ = word_hashes(part)
-            for a, b in zip(first[:-1], first[1:]):
-                values, where = seeds(hashes[a:b])
-                found.append(values.view(np.int64))
-                places.append(where)
+        found, places = [], []
+        for _, hashes, first, _, _ in _chunks(list(batch)):
+            values, where, starts = all_seeds(hashes, first)
+            found += np.split(values.view(np.int64), starts[1:-1])
+            places += np.split(where, starts[1:-1])
         yield pd.DataFrame({"seeds": found, "places": places})
 
 
@@ -80,6 +113,8 @@ def chains(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
     either text. Links at one place of the document are entered together, so they never follow one
     another. Chains are taken best first.
     """
+    if len(a) == 1:
+        return [np.zeros(1, dtype=np.int64)]
     order = np.lexsort((a, b))
     a, b = a[order].tolist(), b[order].tolist()
     ranks = {place: i + 1 for i, place in enumerate(sorted(set(a)))}
@@ -135,26 +170,36 @@ def _run(x: np.ndarray, y: np.ndarray) -> int:
     """Equal entries from the start on."""
     n, at, step = min(len(x), len(y)), 0, 64
     while at < n:
-        differ = np.flatnonzero(x[at : min(n, at + step)] != y[at : min(n, at + step)])
-        if len(differ):
-            return at + int(differ[0])
+        differ = x[at : min(n, at + step)] != y[at : min(n, at + step)]
+        one = int(differ.argmax())
+        if differ[one]:
+            return at + one
         at, step = at + step, step * 4
     return n
 
 
 def _resume(x: np.ndarray, y: np.ndarray) -> tuple[int, int] | None:
     """The nearest places, at most ``GAP`` words on, where three equal words in a row follow."""
+    if len(x) < 3 or len(y) < 3:
+        return None
+    x, y = x.tolist(), y.tolist()
+    where = {}  # the first place in y of three words
+    for j in range(min(GAP, len(y) - 3), -1, -1):
+        where[y[j], y[j + 1], y[j + 2]] = j
     best = None
     for i in range(min(GAP + 1, len(x) - 2)):
-        for j in range(min(GAP + 1, len(y) - 2)):
-            if x[i] == y[j] and x[i + 1] == y[j + 1] and x[i + 2] == y[j + 2] and (best is None or i + j < sum(best)):
-                best = (i, j)
+        j = where.get((x[i], x[i + 1], x[i + 2]))
+        if j is not None and (best is None or i + j < sum(best)):
+            best = (i, j)
     return best
 
 
-def align(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """Passages round a chain of seeds: start and end in ``x`` and in ``y``, and the equal words."""
-    blocks: list[tuple[int, int, int]] = []  # exact runs in ascending order
+def exact_runs(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """Exact runs round a chain of seeds in ascending order: start in ``x`` and in ``y``, and length.
+
+    Words beyond ``AHEAD`` of the first and the last run are not looked at.
+    """
+    blocks: list[tuple[int, int, int]] = []
 
     def back(i: int, j: int) -> int:
         low_i, low_j = (blocks[-1][0] + blocks[-1][2], blocks[-1][1] + blocks[-1][2]) if blocks else (0, 0)
@@ -167,7 +212,7 @@ def align(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]]) -> list[tu
             if length:
                 blocks.append((i, j, length))
             i, j = i + length, j + length
-            ahead = _resume(x[i : i + GAP + 3], y[j : j + GAP + 3])
+            ahead = _resume(x[i : i + AHEAD], y[j : j + AHEAD])
             if ahead is None:
                 return
             i, j = i + ahead[0], j + ahead[1]
@@ -181,13 +226,23 @@ def align(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]]) -> list[tu
         head = []
         if not blocks:  # what stands before the first seed is found from there backwards
             u, v = i - n, j - n
-            while ahead := _resume(x[max(0, u - GAP - 3) : u][::-1], y[max(0, v - GAP - 3) : v][::-1]):
+            while ahead := _resume(x[max(0, u - AHEAD) : u][::-1], y[max(0, v - AHEAD) : v][::-1]):
                 u, v = u - ahead[0], v - ahead[1]
                 length = _run(x[:u][::-1], y[:v][::-1])
                 u, v = u - length, v - length
                 head.append((u, v, length))
         blocks.extend(reversed(head))
         forward(i - n, j - n)
+    return blocks
+
+
+def align(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Passages round a chain of seeds: start and end in ``x`` and in ``y``, and the equal words."""
+    return joined_runs(x, y, exact_runs(x, y, chain))
+
+
+def joined_runs(x: np.ndarray, y: np.ndarray, blocks: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Passages of exact runs and the short gaps between them."""
     passages, at = [], 0
     while at < len(blocks):
         i, j, equal = blocks[at]
@@ -208,6 +263,8 @@ def align(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]]) -> list[tu
 
 def all_chains(anchor: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """Chains of all links of one document with each of its anchor documents."""
+    if not len(anchor):
+        return []
     order = np.argsort(anchor, kind="stable")
     others, starts = np.unique(anchor[order], return_index=True)
     found = []
@@ -296,21 +353,93 @@ def _chained(batches: Iterator[pd.DataFrame], chained=document_chains) -> Iterat
         yield made(pd.concat(waiting))
 
 
-def _aligned(group: pd.DataFrame) -> pd.DataFrame:
-    """Passages of the documents of one group with their anchor document."""
-    lead = group["chains"].isna()
-    anchor = group[lead].iloc[0]
-    x = word_hashes([anchor["text"]])[0]
-    rows = []
-    for row in group[~lead].itertuples():
-        y = word_hashes([row.text])[0]
-        found = set()
-        for chain in row.chains:
-            found.update(align(x, y, list(zip(chain["anchor_places"].tolist(), chain["places"].tolist()))))
-        pair = (row.uid, anchor["uid"])
-        rows += [(row.doc_id, anchor["doc_id"], j, end_j, i, end_i, equal, *pair) for i, end_i, j, end_j, equal in sorted(found)]
-    names = ["doc_id", "partner_id", "start", "end", "partner_start", "partner_end", "n_equal", "uid", "anchor"]
-    return pd.DataFrame(rows, columns=names)
+class _Stretch(NamedTuple):
+    """Words of a text from ``begin`` on; ``before`` and ``behind`` tell whether the text has others."""
+
+    words: np.ndarray
+    begin: int
+    before: bool
+    behind: bool
+
+    def holds(self, start: int, end: int) -> bool:
+        """Whether all that is looked at round these words is here."""
+        return (not self.before or start >= AHEAD) and (not self.behind or end + AHEAD <= len(self.words))
+
+
+def _cut_out(margin: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The wanted words of each text and ``margin`` words on either side, or the whole text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for at, _, first, starts, ends in _chunks(texts):
+                some = batch.slice(at, len(first) - 1)
+                wanted, of = some.column("wanted").flatten(), pc.list_parent_indices(some.column("wanted")).to_numpy()
+                n = np.diff(first)[of]
+                if margin is None:
+                    low, high = np.zeros_like(n), n
+                else:
+                    low = np.maximum(pc.struct_field(wanted, "low").to_numpy() - margin, 0)
+                    high = np.minimum(pc.struct_field(wanted, "high").to_numpy() + K + margin, n)
+                data = [text.encode("utf-8", "replace") for text in texts[at : at + len(first) - 1]]
+                a, b = starts[first[of] + low], ends[first[of] + high - 1]
+                parts = [data[i][begin:end] for i, begin, end in zip(of.tolist(), a.tolist(), b.tolist())]
+                columns = {name: pc.struct_field(wanted, name) for name in ("anchor", "part", "anchor_places", "places", "sizes")}
+                columns |= {name: some.column(name).take(pa.array(of)) for name in ("doc_id", "uid")}
+                columns |= {"text": pa.array(parts, pa.binary()).cast(pa.string()), "begin": pa.array(low, pa.int32()), "behind": pa.array(high < n)}
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return run
+
+
+def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Passages of documents with their anchor document, which stands before them.
+
+    A pair whose runs may go on beyond the words that were sent has one row without places instead.
+    """
+    leader, x = None, None
+    for batch in batches:
+        ids, uids = batch.column("doc_id").to_pylist(), batch.column("uid").to_pylist()
+        sizes, begins, behind = (batch.column(name).to_pylist() for name in ("sizes", "begin", "behind"))
+        places = [batch.column(name) for name in ("anchor_places", "places")]
+        for at, hashes, first, _, _ in _chunks(batch.column("text").to_pylist()):
+            rows = []
+            for i, (low, high) in enumerate(zip(first[:-1], first[1:]), at):
+                y = _Stretch(hashes[low:high], begins[i], begins[i] > 0, behind[i])
+                if sizes[i] is None:
+                    leader, x = (ids[i], uids[i]), y._replace(words=y.words.copy())
+                    continue
+                found = _passages_of(x, y, *(column[i].values.to_numpy() for column in places), sizes[i])
+                pair = (uids[i], leader[1])
+                if found is None:
+                    rows.append((ids[i], leader[0], None, None, None, None, None, *pair))
+                else:
+                    rows += [(ids[i], leader[0], j, end_j, a, end_a, equal, *pair) for a, end_a, j, end_j, equal in sorted(found)]
+            if rows:
+                kind = batch.schema.field("doc_id").type
+                columns = [pa.array(values, kind if n < 2 else pa.int64()) for n, values in enumerate(zip(*rows))]
+                yield pa.RecordBatch.from_arrays(columns, names=PASSAGE)
+
+
+def _passages_of(x: _Stretch, y: _Stretch, a: np.ndarray, b: np.ndarray, sizes: list[int]) -> set | None:
+    """Passages round all chains of a pair; None if words are needed that the stretches do not hold."""
+    links, found, at = list(zip((a - x.begin).tolist(), (b - y.begin).tolist())), set(), 0
+    for size in sizes:
+        runs = exact_runs(x.words, y.words, links[at : at + size])
+        at += size
+        if runs:
+            (i, j, _), (u, v, n) = runs[0], runs[-1]
+            if not (x.holds(i, u + n) and y.holds(j, v + n)):
+                return None
+        for i, end_i, j, end_j, equal in joined_runs(x.words, y.words, runs):
+            found.add((i + x.begin, end_i + x.begin, j + y.begin, end_j + y.begin, equal))
+    return found
+
+
+def _kept(frame: DataFrame, label: str) -> DataFrame:
+    """The frame saved; its shuffle files go when it is written, as nothing reads them again."""
+    with settings(frame.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        return saved(frame, label)
 
 
 def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -323,10 +452,10 @@ def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     schema = "seeds array<bigint>, places array<int>"
     found = docs.select(key.alias("key"), F.pandas_udf(_seed_rows, schema)(text_of(text)).alias("s"))
     # The number of a row is that of the written table, and stays.
-    rows = saved(found.select(F.monotonically_increasing_id().alias("uid"), "key", "s.seeds", "s.places"), "passage-seeds")
+    rows = _kept(found.select(F.monotonically_increasing_id().alias("uid"), "key", "s.seeds", "s.places"), "passage-seeds")
     first = rows.groupBy("key").agg(F.min("uid").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = salted_join(rows.select("key", "uid"), first, ["key"], F.col("uid"), salts=4).where("uid != first").select("uid")
-    again = saved(again, "passage-repeats")
+    again = _kept(again, "passage-repeats")
     if not again.isEmpty():
         rows = rows.join(again, "uid", "left_anti")
     each = rows.select("uid", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(
@@ -338,18 +467,18 @@ def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         .where("first.uid != last")
         .select("seed", F.col("first.uid").alias("anchor"), F.col("first.place").alias("anchor_place"))
     )
-    shared = saved(shared, "passage-anchors")
+    shared = _kept(shared, "passage-anchors")
     # A hot seed is split by adaptive execution: nothing above the join needs its rows together.
     pairs = _pairs(each.join(shared, "seed"), "passage-chains")
     texts = docs.select(key.alias("key"), column(doc_id).alias("doc_id"), text_of(text).alias("text"))
     if not again.isEmpty():  # one text of each document
         texts = texts.dropDuplicates(["key"])
     names = rows.select("uid", "key")
-    found = saved(_align_pairs(pairs.where(F.col("anchor") != STRETCH), names, texts), "passage-rows")
+    found = _align_pairs(pairs.where(F.col("anchor") != STRETCH), names, texts, "passage-rows")
     links = _window_links(pairs.where(F.col("anchor") == STRETCH), found, names, texts)
     if links is not None:
         pairs = _pairs(links, "passage-window-chains").where(F.col("anchor") != STRETCH)
-        found = found.unionByName(_align_pairs(pairs, names, texts))
+        found = found.unionByName(_align_pairs(pairs, names, texts, "passage-window-rows"))
     return found.drop("uid", "anchor")
 
 
@@ -361,21 +490,48 @@ def _pairs(links: DataFrame, label: str) -> DataFrame:
         return _chained(batches, all_chains)
 
     chained = links.mapInPandas(run, "anchor bigint, uid bigint, anchor_places array<int>, places array<int>")
-    return saved(chained.groupBy("anchor", "uid").agg(F.collect_list(F.struct("anchor_places", "places")).alias("chains")), label)
+    return _kept(chained.groupBy("anchor", "uid").agg(F.collect_list(F.struct("anchor_places", "places")).alias("chains")), label)
+
 
+def _align_pairs(pairs: DataFrame, names: DataFrame, texts: DataFrame, label: str) -> DataFrame:
+    """Passages of all pairs, with the numbers of both documents.
 
-def _align_pairs(pairs: DataFrame, names: DataFrame, texts: DataFrame) -> DataFrame:
-    """Passages of all pairs, with the numbers of both documents."""
+    The words round the chains are aligned. Pairs whose runs may go on beyond them are aligned
+    again with whole texts, so the passages are those of whole texts.
+    """
+    near = _kept(_align_within(pairs, names, texts, MARGIN), label)
+    longer = near.where(F.col("start").isNull()).select("anchor", "uid")
+    near = near.where(F.col("start").isNotNull())
+    if longer.isEmpty():
+        return near
+    again = _align_within(pairs.join(longer, ["anchor", "uid"], "left_semi"), names, texts, None)
+    return near.unionByName(_kept(again, label + "-whole"))
+
+
+def _align_within(pairs: DataFrame, names: DataFrame, texts: DataFrame, margin: int | None) -> DataFrame:
     sizes = pairs.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
     dealt = salted_join(pairs, sizes, ["anchor"], F.col("uid"), salts=16).withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")))
-    leaders = dealt.select("anchor", "part").distinct().select(
-        "anchor", "part", F.col("anchor").alias("uid"), F.lit(None).cast(pairs.schema["chains"].dataType).alias("chains")
-    )
-    places = dealt.select("anchor", "part", "uid", "chains").unionByName(leaders).join(names, "uid")
-    both = texts.join(places, "key").drop("key")
+    dealt = dealt.select(
+        "anchor", "part", "uid", F.flatten("chains.anchor_places").alias("anchor_places"),
+        F.flatten("chains.places").alias("places"), F.transform("chains.places", F.size).alias("sizes"),
+    )
+    leaders = dealt.groupBy("anchor", "part").agg(
+        F.min(F.array_min("anchor_places")).alias("low"), F.max(F.array_max("anchor_places")).alias("high")
+    ).withColumn("uid", F.col("anchor"))
+    dealt = dealt.withColumn("low", F.array_min("places")).withColumn("high", F.array_max("places"))
+    wanted = F.struct("anchor", "part", "low", "high", "anchor_places", "places", "sizes")
+    # One row for each text, so that it is read once for all its pairs.
+    placed = dealt.unionByName(leaders, allowMissingColumns=True).groupBy("uid").agg(F.collect_list(wanted).alias("wanted"))
+    both = texts.join(placed.join(names, "uid"), "key").select("doc_id", "uid", "text", "wanted")
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    out = f"doc_id {id_type}, partner_id {id_type}, start bigint, end bigint, partner_start bigint, partner_end bigint, n_equal bigint"
-    return both.groupBy("anchor", "part").applyInPandas(_aligned, out + ", uid bigint, anchor bigint")
+    sent = both.mapInArrow(
+        _cut_out(margin),
+        "anchor bigint, part bigint, anchor_places array<int>, places array<int>, sizes array<int>,"
+        f" doc_id {id_type}, uid bigint, text string, begin int, behind boolean",
+    )
+    ordered = sent.repartition("anchor", "part").sortWithinPartitions("anchor", "part", F.col("sizes").isNotNull(), "uid")
+    kinds = [id_type, id_type, *["bigint"] * (len(PASSAGE) - 2)]
+    return ordered.mapInArrow(_aligned, ", ".join(map(" ".join, zip(PASSAGE, kinds))))
 
 
 def _still_open(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -390,14 +546,18 @@ def _still_open(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Hash and place of each window of ``LEAST`` words in a stretch, and whether no passage covers it."""
     for frame in batches:
-        for row in frame.itertuples():
-            hashes = word_hashes([row.text])[0]
-            if len(hashes) < LEAST:
-                continue
-            values = shingles(hashes, LEAST)
-            place = np.flatnonzero(windows_in(row.starts, row.ends, len(values)))
-            bare = ~windows_in(row.covered_starts, row.covered_ends, len(values))
-            yield pd.DataFrame({"seed": values[place].view(np.int64), "uid": row.uid, "place": place, "open": bare[place]})
+        rows = list(frame.drop(columns="text").itertuples())
+        for begin, hashes, first, _, _ in _chunks(list(frame["text"])):
+            values = shingles(hashes, LEAST).view(np.int64)
+            found = []
+            for row, low, high in zip(rows[begin:], first[:-1], first[1:]):
+                n = high - low - LEAST + 1
+                if n > 0:
+                    place = np.flatnonzero(windows_in(row.starts, row.ends, n))
+                    bare = ~windows_in(row.covered_starts, row.covered_ends, n)
+                    found.append((values[low + place], np.full(len(place), row.uid), place, bare[place]))
+            if found:
+                yield pd.DataFrame({name: np.concatenate(parts) for name, parts in zip(("seed", "uid", "place", "open"), zip(*found))})
 
 
 def _window_links(stretched: DataFrame, found: DataFrame, names: DataFrame, texts: DataFrame) -> DataFrame | None:
@@ -410,11 +570,11 @@ def _window_links(stretched: DataFrame, found: DataFrame, names: DataFrame, text
         "uid", F.col("s.anchor_places").alias("starts"), F.col("s.places").alias("ends"),
         F.coalesce("covered.start", none).alias("covered_starts"), F.coalesce("covered.end", none).alias("covered_ends"),
     )
-    own = saved(own.mapInPandas(_still_open, own.schema.simpleString()[7:-1].replace(":", " ") + ", open boolean"), "passage-stretches")
+    own = _kept(own.mapInPandas(_still_open, own.schema.simpleString()[7:-1].replace(":", " ") + ", open boolean"), "passage-stretches")
     if own.where("open").isEmpty():
         return None
     read = texts.join(own.drop("open").join(names, "uid"), "key").select("uid", "text", "starts", "ends", "covered_starts", "covered_ends")
-    each = saved(read.mapInPandas(_windows, "seed bigint, uid bigint, place int, open boolean"), "passage-windows")
+    each = _kept(read.mapInPandas(_windows, "seed bigint, uid bigint, place int, open boolean"), "passage-windows")
     first = (
         each.groupBy("seed")
         .agg(F.min(F.struct("uid", "place")).alias("first"), F.max("uid").alias("last"), F.max("open").alias("open"))

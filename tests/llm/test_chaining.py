@@ -154,3 +154,32 @@ def test_passages_with_changed_words(documents, words):
         found = chaining.passages(documents(rows)).collect()
         assert all({r.doc_id // 2} == {r.partner_id // 2} for r in found)
         assert len({r.doc_id // 2 for r in found}) >= least
+
+
+def test_words_round_the_chains_give_the_passages_of_whole_texts(spark, documents, words, monkeypatch):
+    rng = random.Random(21)
+    rows = [(n, " ".join(words(400))) for n in range(6)]
+    long, phrase = words(900), "one phrase of seven words stands here".split()
+    for n in range(6, 30):  # a common phrase, parts of one long text, and a text that repeats itself
+        own = words(300)
+        own[150:150] = phrase if n % 3 else long[20 * n : 20 * n + rng.choice((60, 200, 380))]
+        rows.append((n, " ".join(own)))
+    rows += [(30, " ".join(words(9) * 40)), (31, rows[-1][1] + " end"), (32, rows[6][1])]
+    docs, sent, cut_out = documents(rows), [], chaining._cut_out
+    monkeypatch.setattr(chaining, "_cut_out", lambda margin: (sent.append(margin), cut_out(margin))[1])
+    near = {tuple(r) for r in chaining.passages(docs).collect()}
+    assert chaining.MARGIN in sent and None in sent
+    monkeypatch.setattr(chaining, "_cut_out", lambda margin: cut_out(None))
+    assert near == {tuple(r) for r in chaining.passages(docs).collect()} and len(near) > 8
+
+
+def test_few_words_are_sent_for_a_link(documents):
+    import pyarrow as pa
+
+    wanted = {"anchor": 1, "part": 0, "low": 500, "high": 500, "anchor_places": [3], "places": [500], "sizes": [1]}
+    text = " ".join(f"é{i}" for i in range(2000))
+    batch = pa.RecordBatch.from_pylist([{"doc_id": 7, "uid": 2, "text": text, "wanted": [wanted, wanted | {"low": 0, "high": 1990}]}])
+    found = pa.Table.from_batches(chaining._cut_out(chaining.MARGIN)(iter([batch]))).to_pylist()
+    first, last = 500 - chaining.MARGIN, 500 + chaining.K + chaining.MARGIN
+    assert [(r["begin"], r["behind"], r["places"]) for r in found] == [(first, True, [500]), (0, False, [500])]
+    assert found[0]["text"].split(" ") == [f"é{i}" for i in range(first, last)] and found[1]["text"] == text
