@@ -522,7 +522,8 @@ def _align_within(pairs: DataFrame, names: DataFrame, texts: DataFrame, margin:
     wanted = F.struct("anchor", "part", "low", "high", "anchor_places", "places", "sizes")
     # One row for each text, so that it is read once for all its pairs.
     placed = dealt.unionByName(leaders, allowMissingColumns=True).groupBy("uid").agg(F.collect_list(wanted).alias("wanted"))
-    both = texts.join(placed.join(names, "uid"), "key").select("doc_id", "uid", "text", "wanted")
+    # Hashed, as a merge would sort the texts.
+    both = texts.join(placed.join(names, "uid").hint("shuffle_hash"), "key").select("doc_id", "uid", "text", "wanted")
     id_type = texts.schema["doc_id"].dataType.simpleString()
     sent = both.mapInArrow(
         _cut_out(margin),
@@ -573,7 +574,7 @@ def _window_links(stretched: DataFrame, found: DataFrame, names: DataFrame, text
     own = _kept(own.mapInPandas(_still_open, own.schema.simpleString()[7:-1].replace(":", " ") + ", open boolean"), "passage-stretches")
     if own.where("open").isEmpty():
         return None
-    read = texts.join(own.drop("open").join(names, "uid"), "key").select("uid", "text", "starts", "ends", "covered_starts", "covered_ends")
+    read = texts.join(own.drop("open").join(names, "uid").hint("shuffle_hash"), "key").select("uid", "text", "starts", "ends", "covered_starts", "covered_ends")
     each = _kept(read.mapInPandas(_windows, "seed bigint, uid bigint, place int, open boolean"), "passage-windows")
     first = (
         each.groupBy("seed")
