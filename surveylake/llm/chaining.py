@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveylake.llm.common import column, row_key, salted_join, saved, text_of
@@ -96,14 +96,39 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.
         yield begin, *word_hashes(texts[begin:at])
 
 
-def _seed_rows(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def first_ones(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which of the values (64 bits) of some texts (``of``) have no equal before them in their text."""
+    tagged = mix(values.view(np.uint64) ^ mix(of.astype(np.uint64)))
+    ascending = np.sort(tagged)
+    first = np.ones(len(values), dtype=bool)
+    if len(twice := ascending[1:][ascending[1:] == ascending[:-1]]):
+        some = np.flatnonzero(np.isin(tagged, twice))
+        some = some[np.lexsort((some, values[some], of[some]))]
+        first[some[1:]] = (values[some[1:]] != values[some[:-1]]) | (of[some[1:]] != of[some[:-1]])
+    return first
+
+
+def _lists(values: np.ndarray, starts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+    """The values as one list from each start to the next; the last start is the end."""
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values).cast(kind))
+
+
+def _seed_rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Seeds and places of each text. Those with no equal before them come first; ``firsts`` is their number."""
     for batch in batches:
-        found, places = [], []
-        for _, hashes, first, _, _ in _chunks(list(batch)):
-            values, where, starts = all_seeds(hashes, first)
-            found += np.split(values.view(np.int64), starts[1:-1])
-            places += np.split(where, starts[1:-1])
-        yield pd.DataFrame({"seeds": found, "places": places})
+        found = []
+        for _, hashes, first, _, _ in _chunks(batch.to_pylist()):
+            values, places, starts = all_seeds(hashes, first)
+            of = np.repeat(np.arange(len(first) - 1), np.diff(starts))
+            new = first_ones(values, of)
+            if not new.all():
+                order = np.argsort(2 * of + ~new, kind="stable")
+                values, places = values[order], places[order]
+            firsts = np.bincount(of[new], minlength=len(first) - 1)
+            lists = (_lists(values.view(np.int64), starts, pa.int64()), _lists(places, starts, pa.int32()), pa.array(firsts, pa.int32()))
+            found.append(pa.StructArray.from_arrays(lists, ["seeds", "places", "firsts"]))
+        if found:
+            yield pa.concat_arrays(found)
 
 
 def chains(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
@@ -116,7 +141,42 @@ def chains(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
     if len(a) == 1:
         return [np.zeros(1, dtype=np.int64)]
     order = np.lexsort((a, b))
-    a, b = a[order].tolist(), b[order].tolist()
+    a, b = a[order], b[order]
+    ascending = bool((np.diff(a) > 0).all() and (np.diff(b) > 0).all())
+    score, before = (_scores_in_order if ascending else _scores)(a.tolist(), b.tolist())
+    if ascending and before[1:] == list(range(len(a) - 1)) and score[-1] == max(score) > max(score[:-1]):
+        return [order]
+    used, out = [False] * len(a), []
+    for end in sorted(range(len(a)), key=lambda link: (-score[link], link)):
+        chain, link = [], end
+        while link >= 0 and not used[link]:
+            used[link] = True
+            chain.append(link)
+            link = before[link]
+        if chain:
+            out.append(order[np.array(chain[::-1])])
+    return out
+
+
+def _scores_in_order(a: list[int], b: list[int]) -> tuple[list[float], list[int]]:
+    """Best values of chains and the link before, where every link may follow all before it.
+
+    Then the link just before is the best one to follow: it is worth more, as the values are taken
+    less the distance from the origin.
+    """
+    score, before, best = [], [], -np.inf
+    for link, (one, other) in enumerate(zip(a, b)):
+        far = GAP_COST * (one + other)
+        gained = best - far
+        follows = gained > 0
+        score.append(1.0 + gained if follows else 1.0)
+        before.append(link - 1 if follows else -1)
+        best = score[-1] + far
+    return score, before
+
+
+def _scores(a: list[int], b: list[int]) -> tuple[list[float], list[int]]:
+    """Best value of a chain up to each link, and the link before it; the links ascend in ``b``."""
     ranks = {place: i + 1 for i, place in enumerate(sorted(set(a)))}
     size = len(ranks)
     tree: list[tuple[float, int]] = [(-np.inf, -1)] * (size + 1)  # best value and its link among smaller places
@@ -142,20 +202,13 @@ def chains(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
                     tree[at] = value
                 at += at & -at
         i = j
-    used, out = [False] * len(a), []
-    for end in sorted(range(len(a)), key=lambda link: (-score[link], link)):
-        chain, link = [], end
-        while link >= 0 and not used[link]:
-            used[link] = True
-            chain.append(link)
-            link = before[link]
-        if chain:
-            out.append(order[np.array(chain[::-1])])
-    return out
+    return score, before
 
 
 def _common(x: list[int], y: list[int]) -> int:
     """Length of the longest common subsequence of two short lists."""
+    if not x or not y:
+        return 0
     row = [0] * (len(y) + 1)
     for one in x:
         former = 0
@@ -178,61 +231,63 @@ def _run(x: np.ndarray, y: np.ndarray) -> int:
     return n
 
 
-def _resume(x: np.ndarray, y: np.ndarray) -> tuple[int, int] | None:
-    """The nearest places, at most ``GAP`` words on, where three equal words in a row follow."""
-    if len(x) < 3 or len(y) < 3:
+def threes(words: np.ndarray) -> list[int]:
+    """One number for each three words in a row."""
+    return shingles(words, 3).tolist() if len(words) >= 3 else []
+
+
+def _resume(x: list[int], y: list[int]) -> tuple[int, int] | None:
+    """The nearest places of an equal number in two short lists."""
+    if set(x).isdisjoint(y):
         return None
-    x, y = x.tolist(), y.tolist()
-    where = {}  # the first place in y of three words
-    for j in range(min(GAP, len(y) - 3), -1, -1):
-        where[y[j], y[j + 1], y[j + 2]] = j
+    where = {}  # the first place in y
+    for j in range(len(y) - 1, -1, -1):
+        where[y[j]] = j
     best = None
-    for i in range(min(GAP + 1, len(x) - 2)):
-        j = where.get((x[i], x[i + 1], x[i + 2]))
+    for i, three in enumerate(x):
+        j = where.get(three)
         if j is not None and (best is None or i + j < sum(best)):
             best = (i, j)
     return best
 
 
-def exact_runs(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+def exact_runs(
+    x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]], x3: list[int] | None = None, y3: list[int] | None = None
+) -> list[tuple[int, int, int]]:
     """Exact runs round a chain of seeds in ascending order: start in ``x`` and in ``y``, and length.
 
-    Words beyond ``AHEAD`` of the first and the last run are not looked at.
+    Two runs are at most ``GAP`` words apart on either side, and the latter has three words at least.
+    Words beyond ``AHEAD`` of the first and the last run are not looked at. ``x3`` and ``y3`` are the
+    ``threes`` of the words.
     """
+    x3, y3 = threes(x) if x3 is None else x3, threes(y) if y3 is None else y3
     blocks: list[tuple[int, int, int]] = []
-
-    def back(i: int, j: int) -> int:
-        low_i, low_j = (blocks[-1][0] + blocks[-1][2], blocks[-1][1] + blocks[-1][2]) if blocks else (0, 0)
-        return _run(x[low_i:i][::-1], y[low_j:j][::-1])
-
-    def forward(i: int, j: int) -> None:
-        """Add exact runs from here on until the texts part."""
-        while True:
-            length = _run(x[i:], y[j:])
-            if length:
-                blocks.append((i, j, length))
-            i, j = i + length, j + length
-            ahead = _resume(x[i : i + AHEAD], y[j : j + AHEAD])
-            if ahead is None:
-                return
-            i, j = i + ahead[0], j + ahead[1]
+    after_i = after_j = 0  # the words behind what is aligned
 
     for i, j in chain:
-        if blocks and (i < blocks[-1][0] + blocks[-1][2] or j < blocks[-1][1] + blocks[-1][2]):
+        if i < after_i or j < after_j:
             continue  # inside what is aligned
-        if _run(x[i : i + K], y[j : j + K]) < min(K, len(x) - i, len(y) - j):
+        length = _run(x[i:], y[j:])
+        if length < K and length < min(K, len(x) - i, len(y) - j):
             continue  # equal hashes of different words
-        n = back(i, j)
-        head = []
+        n = _run(x[after_i:i][::-1], y[after_j:j][::-1])
+        i, j, length = i - n, j - n, length + n
         if not blocks:  # what stands before the first seed is found from there backwards
-            u, v = i - n, j - n
-            while ahead := _resume(x[max(0, u - AHEAD) : u][::-1], y[max(0, v - AHEAD) : v][::-1]):
+            u, v = i, j
+            while ahead := _resume(x3[max(0, u - AHEAD) : max(0, u - 2)][::-1], y3[max(0, v - AHEAD) : max(0, v - 2)][::-1]):
                 u, v = u - ahead[0], v - ahead[1]
-                length = _run(x[:u][::-1], y[:v][::-1])
-                u, v = u - length, v - length
-                head.append((u, v, length))
-        blocks.extend(reversed(head))
-        forward(i - n, j - n)
+                more = _run(x[:u][::-1], y[:v][::-1])
+                u, v = u - more, v - more
+                blocks.append((u, v, more))
+            blocks.reverse()
+        while True:  # exact runs from here on until the texts part
+            blocks.append((i, j, length))
+            after_i, after_j = i + length, j + length
+            ahead = _resume(x3[after_i : after_i + GAP + 1], y3[after_j : after_j + GAP + 1])
+            if ahead is None:
+                break
+            i, j = after_i + ahead[0], after_j + ahead[1]
+            length = _run(x[i:], y[j:])
     return blocks
 
 
@@ -302,17 +357,25 @@ def document_chains(anchor: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tu
     ]
 
 
-def stretches(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the stretches that hold every run of ``LEAST`` words with an equal elsewhere.
+def all_stretches(places: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the stretches that hold every run of ``LEAST`` words with an equal elsewhere, and their texts.
 
-    All seeds picked from windows inside of such a run are shared: neighbours are ``PICK`` words
-    apart at most, and the first and the last one less than ``PICK`` k-mers from the run's ends.
+    ``places`` are those of the shared seeds of some texts (``of``). All seeds picked from windows
+    inside of such a run are shared: neighbours are ``PICK`` words apart at most, and the first and
+    the last one less than ``PICK`` k-mers from the run's ends.
     """
-    places = np.unique(places)
-    runs = np.split(places, np.flatnonzero(np.diff(places) > PICK) + 1) if len(places) else []
-    runs = [run for run in runs if run[-1] - run[0] >= LEAST - K - 2 * (PICK - 1)]
-    starts = np.array([max(0, run[0] - PICK + 1) for run in runs], dtype=np.int32)
-    return starts, np.array([run[-1] + K + PICK - 1 for run in runs], dtype=np.int32)
+    order = np.lexsort((places, of))
+    places, of = places[order], of[order]
+    cut = np.flatnonzero((np.diff(of) != 0) | (np.diff(places) > PICK))
+    first, last = np.append(0, cut + 1)[: len(places)], np.append(cut, len(places) - 1)[: len(places)]
+    long = places[last] - places[first] >= LEAST - K - 2 * (PICK - 1)
+    first, last = first[long], last[long]
+    return np.maximum(places[first] - PICK + 1, 0).astype(np.int32), (places[last] + K + PICK - 1).astype(np.int32), of[first]
+
+
+def stretches(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``all_stretches`` of one text."""
+    return all_stretches(places, np.zeros_like(places))[:2]
 
 
 def windows_in(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
@@ -322,24 +385,56 @@ def windows_in(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(change)[:n] > 0
 
 
-def _chained(batches: Iterator[pd.DataFrame], chained=document_chains) -> Iterator[pd.DataFrame]:
-    """Chains and stretches of each document; the rows of a document follow one another."""
+def _chain_rows(frame: pd.DataFrame) -> pd.DataFrame:
+    """Each chain that may be in a passage, and the stretches of each document."""
+    uid, anchor = frame["uid"].to_numpy(), frame["anchor"].to_numpy()
+    a, b = frame["anchor_place"].to_numpy(), frame["place"].to_numpy()
+    cuts = [0, *(np.flatnonzero(uid[1:] != uid[:-1]) + 1).tolist(), len(frame)]
+    rows = []
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        links_of = low + np.flatnonzero(anchor[low:high] != uid[low])
+        for other, links in document_chains(anchor[links_of], a[links_of], b[links_of]):
+            rows.append((other, uid[low], a[links_of[links]], b[links_of[links]]))
+        starts, ends = stretches(b[low:high])
+        if len(starts):
+            rows.append((STRETCH, uid[low], starts, ends))
+    return pd.DataFrame(rows, columns=["anchor", "uid", "anchor_places", "places"])
+
+
+def _pair_rows(frame: pd.DataFrame) -> pa.RecordBatch:
+    """All chains of each document with each of its anchor documents, one after another, and its stretches."""
+    uid, anchor = frame["uid"].to_numpy(), frame["anchor"].to_numpy()
+    a, b = frame["anchor_place"].to_numpy(), frame["place"].to_numpy()
+    starts, ends, of = all_stretches(b, uid)
+    links = np.flatnonzero(anchor != uid)
+    links = links[np.lexsort((a[links], b[links], anchor[links], uid[links]))]
+    anchor, uid, a, b = anchor[links], uid[links], a[links], b[links]
+    heads = np.flatnonzero((np.diff(anchor, prepend=-1) != 0) | (np.diff(uid, prepend=-1) != 0))
+    bounds = np.append(heads, len(links))
+    order, sizes, counts = np.arange(len(links)), [], np.ones(len(heads), dtype=np.int64)
+    for pair, (low, high) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+        if high - low == 1:
+            sizes.append(1)
+            continue
+        found = chains(a[low:high], b[low:high])
+        order[low:high] = low + np.concatenate(found)
+        sizes += map(len, found)
+        counts[pair] = len(found)
+    own = np.flatnonzero(np.diff(of, prepend=-1))
+    more = np.append(own, len(of))[1:] + len(links)
+    columns = {
+        "anchor": np.append(anchor[heads], np.full(len(own), STRETCH)),
+        "uid": np.append(uid[heads], of[own]),
+        "anchor_places": _lists(np.append(a[order], starts), np.append(bounds, more), pa.int32()),
+        "places": _lists(np.append(b[order], ends), np.append(bounds, more), pa.int32()),
+        "sizes": _lists(np.array(sizes, dtype=np.int64), np.append(0, np.cumsum(np.append(counts, np.zeros(len(own), dtype=np.int64)))), pa.int32()),
+    }
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def _chained(batches: Iterator[pd.DataFrame], made: Callable = _chain_rows) -> Iterator:
+    """What is made of the rows of some documents at a time; the rows of a document follow one another."""
     waiting: list[pd.DataFrame] = []
-
-    def made(frame: pd.DataFrame) -> pd.DataFrame:
-        uid, anchor = frame["uid"].to_numpy(), frame["anchor"].to_numpy()
-        a, b = frame["anchor_place"].to_numpy(), frame["place"].to_numpy()
-        cuts = [0, *(np.flatnonzero(uid[1:] != uid[:-1]) + 1).tolist(), len(frame)]
-        rows = []
-        for low, high in zip(cuts[:-1], cuts[1:]):
-            links_of = low + np.flatnonzero(anchor[low:high] != uid[low])
-            for other, links in chained(anchor[links_of], a[links_of], b[links_of]):
-                rows.append((other, uid[low], a[links_of[links]], b[links_of[links]]))
-            starts, ends = stretches(b[low:high])
-            if len(starts):
-                rows.append((STRETCH, uid[low], starts, ends))
-        return pd.DataFrame(rows, columns=["anchor", "uid", "anchor_places", "places"])
-
     for frame in batches:
         if not len(frame):
             continue
@@ -357,6 +452,7 @@ class _Stretch(NamedTuple):
     """Words of a text from ``begin`` on; ``before`` and ``behind`` tell whether the text has others."""
 
     words: np.ndarray
+    threes: list[int]
     begin: int
     before: bool
     behind: bool
@@ -401,15 +497,17 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, uids = batch.column("doc_id").to_pylist(), batch.column("uid").to_pylist()
         sizes, begins, behind = (batch.column(name).to_pylist() for name in ("sizes", "begin", "behind"))
-        places = [batch.column(name) for name in ("anchor_places", "places")]
+        # The lists of a batch stand in one array; a leader's list is empty there.
+        places = [(batch.column(name).values.to_numpy(), batch.column(name).offsets.to_pylist()) for name in ("anchor_places", "places")]
         for at, hashes, first, _, _ in _chunks(batch.column("text").to_pylist()):
             rows = []
-            for i, (low, high) in enumerate(zip(first[:-1], first[1:]), at):
-                y = _Stretch(hashes[low:high], begins[i], begins[i] > 0, behind[i])
+            all_threes = threes(hashes)
+            for i, (low, high) in enumerate(zip(first[:-1].tolist(), first[1:].tolist()), at):
+                y = _Stretch(hashes[low:high], all_threes[low : max(low, high - 2)], begins[i], begins[i] > 0, behind[i])
                 if sizes[i] is None:
                     leader, x = (ids[i], uids[i]), y._replace(words=y.words.copy())
                     continue
-                found = _passages_of(x, y, *(column[i].values.to_numpy() for column in places), sizes[i])
+                found = _passages_of(x, y, *(values[starts[i] : starts[i + 1]] for values, starts in places), sizes[i])
                 pair = (uids[i], leader[1])
                 if found is None:
                     rows.append((ids[i], leader[0], None, None, None, None, None, *pair))
@@ -425,14 +523,16 @@ def _passages_of(x: _Stretch, y: _Stretch, a: np.ndarray, b: np.ndarray, sizes:
     """Passages round all chains of a pair; None if words are needed that the stretches do not hold."""
     links, found, at = list(zip((a - x.begin).tolist(), (b - y.begin).tolist())), set(), 0
     for size in sizes:
-        runs = exact_runs(x.words, y.words, links[at : at + size])
+        runs = exact_runs(x.words, y.words, links[at : at + size], x.threes, y.threes)
         at += size
         if runs:
             (i, j, _), (u, v, n) = runs[0], runs[-1]
             if not (x.holds(i, u + n) and y.holds(j, v + n)):
                 return None
-        for i, end_i, j, end_j, equal in joined_runs(x.words, y.words, runs):
-            found.add((i + x.begin, end_i + x.begin, j + y.begin, end_j + y.begin, equal))
+            if u + n - i < LEAST or v + n - j < LEAST:
+                continue  # too short for a passage
+            for i, end_i, j, end_j, equal in joined_runs(x.words, y.words, runs):
+                found.add((i + x.begin, end_i + x.begin, j + y.begin, end_j + y.begin, equal))
     return found
 
 
@@ -449,25 +549,24 @@ def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     each has a row with one of them or with a few, where seeds at its edges occur first elsewhere.
     """
     key = row_key(column(doc_id), column(text))
-    schema = "seeds array<bigint>, places array<int>"
-    found = docs.select(key.alias("key"), F.pandas_udf(_seed_rows, schema)(text_of(text)).alias("s"))
+    schema = "struct<seeds: array<bigint>, places: array<int>, firsts: int>"
+    found = docs.select(key.alias("key"), F.arrow_udf(_seed_rows, schema)(text_of(text)).alias("s"))
     # The number of a row is that of the written table, and stays.
-    rows = _kept(found.select(F.monotonically_increasing_id().alias("uid"), "key", "s.seeds", "s.places"), "passage-seeds")
+    rows = _kept(found.select(F.monotonically_increasing_id().alias("uid"), "key", "s.seeds", "s.places", "s.firsts"), "passage-seeds")
     first = rows.groupBy("key").agg(F.min("uid").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = salted_join(rows.select("key", "uid"), first, ["key"], F.col("uid"), salts=4).where("uid != first").select("uid")
     again = _kept(again, "passage-repeats")
     if not again.isEmpty():
         rows = rows.join(again, "uid", "left_anti")
-    each = rows.select("uid", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(
-        "uid", F.col("s.seeds").alias("seed"), F.col("s.places").alias("place")
-    )
-    shared = (
-        each.groupBy("seed")
-        .agg(F.min(F.struct("uid", "place")).alias("first"), F.max("uid").alias("last"))
-        .where("first.uid != last")
-        .select("seed", F.col("first.uid").alias("anchor"), F.col("first.place").alias("anchor_place"))
-    )
-    shared = _kept(shared, "passage-anchors")
+
+    def exploded(seeds: Column) -> DataFrame:
+        return rows.select("uid", F.explode(seeds).alias("s")).select("uid", F.col("s.seeds").alias("seed"), F.col("s.places").alias("place"))
+
+    zipped = F.arrays_zip("seeds", "places")
+    each = exploded(zipped)
+    # A document has a seed once here, so no two places are of the same first document.
+    shared = exploded(F.slice(zipped, 1, F.col("firsts"))).groupBy("seed").agg(*_first_one(F.col("uid")), F.max("uid").alias("last"))
+    shared = _kept(shared.where("anchor != last").drop("last"), "passage-anchors")
     # A hot seed is split by adaptive execution: nothing above the join needs its rows together.
     pairs = _pairs(each.join(shared, "seed"), "passage-chains")
     texts = docs.select(key.alias("key"), column(doc_id).alias("doc_id"), text_of(text).alias("text"))
@@ -482,15 +581,19 @@ def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return found.drop("uid", "anchor")
 
 
+def _first_one(uid: Column) -> list[Column]:
+    """The first document of a group and the place there; numbers alone, so that the groups are hashed and not sorted."""
+    return [F.min(uid).alias("anchor"), F.min_by("place", uid).alias("anchor_place")]
+
+
 def _pairs(links: DataFrame, label: str) -> DataFrame:
-    """``anchor, uid, chains`` of all links (``anchor, uid, anchor_place, place``)."""
+    """``anchor, uid, anchor_places, places, sizes`` (of the chains) of all links (``anchor, uid, anchor_place, place``)."""
     links = links.select("anchor", "uid", "anchor_place", "place").repartition("uid").sortWithinPartitions("uid")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return _chained(batches, all_chains)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _chained((batch.to_pandas() for batch in batches), _pair_rows)
 
-    chained = links.mapInPandas(run, "anchor bigint, uid bigint, anchor_places array<int>, places array<int>")
-    return _kept(chained.groupBy("anchor", "uid").agg(F.collect_list(F.struct("anchor_places", "places")).alias("chains")), label)
+    return _kept(links.mapInArrow(run, "anchor bigint, uid bigint, anchor_places array<int>, places array<int>, sizes array<int>"), label)
 
 
 def _align_pairs(pairs: DataFrame, names: DataFrame, texts: DataFrame, label: str) -> DataFrame:
@@ -509,12 +612,12 @@ def _align_pairs(pairs: DataFrame, names: DataFrame, texts: DataFrame, label: st
 
 
 def _align_within(pairs: DataFrame, names: DataFrame, texts: DataFrame, margin: int | None) -> DataFrame:
-    sizes = pairs.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
-    dealt = salted_join(pairs, sizes, ["anchor"], F.col("uid"), salts=16).withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")))
-    dealt = dealt.select(
-        "anchor", "part", "uid", F.flatten("chains.anchor_places").alias("anchor_places"),
-        F.flatten("chains.places").alias("places"), F.transform("chains.places", F.size).alias("sizes"),
-    )
+    # Few anchors have more than one part, and only those are repeated for the join.
+    sizes = pairs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP)
+    sizes = sizes.select("anchor", F.ceil(F.col("n") / GROUP).alias("parts"))
+    dealt = salted_join(pairs, sizes, ["anchor"], F.col("uid"), salts=16, how="left")
+    part = F.coalesce(F.pmod(F.xxhash64("uid"), F.col("parts")), F.lit(0).cast("bigint"))
+    dealt = dealt.select("anchor", part.alias("part"), "uid", "anchor_places", "places", "sizes")
     leaders = dealt.groupBy("anchor", "part").agg(
         F.min(F.array_min("anchor_places")).alias("low"), F.max(F.array_max("anchor_places")).alias("high")
     ).withColumn("uid", F.col("anchor"))
@@ -545,7 +648,7 @@ def _still_open(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Hash and place of each window of ``LEAST`` words in a stretch, and whether no passage covers it."""
+    """Hash and place of each window of ``LEAST`` words in a stretch, whether no passage covers it, and whether no equal one is before it."""
     for frame in batches:
         rows = list(frame.drop(columns="text").itertuples())
         for begin, hashes, first, _, _ in _chunks(list(frame["text"])):
@@ -558,28 +661,25 @@ def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     bare = ~windows_in(row.covered_starts, row.covered_ends, n)
                     found.append((values[low + place], np.full(len(place), row.uid), place, bare[place]))
             if found:
-                yield pd.DataFrame({name: np.concatenate(parts) for name, parts in zip(("seed", "uid", "place", "open"), zip(*found))})
+                columns = dict(zip(("seed", "uid", "place", "open"), map(np.concatenate, zip(*found))))
+                yield pd.DataFrame(columns | {"new": first_ones(columns["seed"], columns["uid"])})
 
 
 def _window_links(stretched: DataFrame, found: DataFrame, names: DataFrame, texts: DataFrame) -> DataFrame | None:
     """Links of the windows that no passage covers to the window's first occurrence; None if all are covered."""
     covered = found.select("uid", "start", "end").union(found.select("anchor", "partner_start", "partner_end")).distinct()
     covered = covered.groupBy("uid").agg(F.collect_list(F.struct("start", "end")).alias("covered"))
-    own = stretched.select("uid", F.col("chains")[0].alias("s")).join(covered, "uid", "left")
+    own = stretched.join(covered, "uid", "left")
     none = F.array().cast("array<bigint>")
     own = own.select(
-        "uid", F.col("s.anchor_places").alias("starts"), F.col("s.places").alias("ends"),
+        "uid", F.col("anchor_places").alias("starts"), F.col("places").alias("ends"),
         F.coalesce("covered.start", none).alias("covered_starts"), F.coalesce("covered.end", none).alias("covered_ends"),
     )
     own = _kept(own.mapInPandas(_still_open, own.schema.simpleString()[7:-1].replace(":", " ") + ", open boolean"), "passage-stretches")
     if own.where("open").isEmpty():
         return None
     read = texts.join(own.drop("open").join(names, "uid").hint("shuffle_hash"), "key").select("uid", "text", "starts", "ends", "covered_starts", "covered_ends")
-    each = _kept(read.mapInPandas(_windows, "seed bigint, uid bigint, place int, open boolean"), "passage-windows")
-    first = (
-        each.groupBy("seed")
-        .agg(F.min(F.struct("uid", "place")).alias("first"), F.max("uid").alias("last"), F.max("open").alias("open"))
-        .where("open and first.uid != last")
-        .select("seed", F.col("first.uid").alias("anchor"), F.col("first.place").alias("anchor_place"))
-    )
+    each = _kept(read.mapInPandas(_windows, "seed bigint, uid bigint, place int, open boolean, new boolean"), "passage-windows")
+    first = each.groupBy("seed").agg(*_first_one(F.when(F.col("new"), F.col("uid"))), F.max("uid").alias("last"), F.max("open").alias("open"))
+    first = first.where("open and anchor != last").drop("last", "open")
     return each.where("open").join(first, "seed").where("uid != anchor")

@@ -183,3 +183,75 @@ def test_few_words_are_sent_for_a_link(documents):
     first, last = 500 - chaining.MARGIN, 500 + chaining.K + chaining.MARGIN
     assert [(r["begin"], r["behind"], r["places"]) for r in found] == [(first, True, [500]), (0, False, [500])]
     assert found[0]["text"].split(" ") == [f"é{i}" for i in range(first, last)] and found[1]["text"] == text
+
+
+def test_the_first_document_of_a_seed_is_found_without_a_sort(documents, words, monkeypatch):
+    rng = random.Random(31)
+    passage = words(70)
+    rows = []
+    for n in range(8):  # a passage, and a document that repeats itself
+        own = words(90)
+        at = rng.randint(0, 80)
+        own[at:at] = passage
+        rows.append((n, " ".join(own)))
+    rows += [(8, " ".join(words(7) * 30)), (9, rows[-1][1])]
+    plans, kept = {}, chaining._kept
+    monkeypatch.setattr(chaining, "_kept", lambda frame, label: (plans.update({label: frame._jdf.queryExecution().executedPlan().toString()}), kept(frame, label))[1])
+    assert chaining.passages(documents(rows)).count()
+    assert "HashAggregate" in plans["passage-anchors"] and not [label for label, plan in plans.items() if "SortAggregate" in plan]
+    assert plans["passage-chains"].split("MapInArrow")[0].count("Exchange") == 0  # the chains of a pair are put together where they are made
+
+
+def test_the_first_of_equal_seeds_in_each_text():
+    rng = np.random.default_rng(3)
+    for top in (5, 2**62):
+        values, of = rng.integers(0, top, 400), np.sort(rng.integers(0, 9, 400))
+        seen, wanted = set(), []
+        for pair in zip(of.tolist(), values.tolist()):
+            wanted.append(pair not in seen)
+            seen.add(pair)
+        assert chaining.first_ones(values, of).tolist() == wanted
+    import pyarrow as pa
+
+    texts = ["a b c d e f g " * 20, "", "one two", " ".join(f"w{i}" for i in range(60)) + " w1 w2 w3 w4 w5 w6 w7 w8 w9" * 3]
+    for text, row in zip(texts, next(chaining._seed_rows(iter([pa.array(texts)]))).to_pylist()):
+        values, places = chaining.seeds(word_hashes([text])[0])
+        assert sorted(zip(row["seeds"], row["places"])) == sorted(zip(values.view(np.int64).tolist(), places.tolist()))
+        first = {seed: place for seed, place in reversed(list(zip(values.view(np.int64).tolist(), places.tolist())))}
+        assert dict(zip(row["seeds"][: row["firsts"]], row["places"])) == first and row["firsts"] == len(first)
+
+
+def test_pairs_hold_the_chains_and_stretches_of_each_document():
+    import pandas as pd
+
+    rng = np.random.default_rng(8)
+    rows = {(u, a, p, q) for u, a, p, q in rng.integers(0, (9, 5, 70, 70), (900, 4)).tolist()}
+    rows |= {(20, 3, 7 * i, 5 * i + 400 * (i > 9)) for i in range(30)}  # in order in both texts, with a gap
+    frame = pd.DataFrame(sorted(rows), columns=["uid", "anchor", "anchor_place", "place"])
+    found = chaining._pair_rows(frame).to_pylist()
+    assert len({(r["uid"], r["anchor"]) for r in found}) == len(found)
+    got = {(r["uid"], r["anchor"]): r for r in found}
+    for uid, own in frame.groupby("uid"):
+        starts, ends = chaining.stretches(own["place"].to_numpy())
+        assert ((uid, chaining.STRETCH) in got) == (len(starts) > 0)
+        if len(starts):
+            assert (got[uid, chaining.STRETCH]["anchor_places"], got[uid, chaining.STRETCH]["places"]) == (starts.tolist(), ends.tolist())
+        links = own[own["anchor"] != uid]
+        a, b = links["anchor_place"].to_numpy(), links["place"].to_numpy()
+        wanted = {}
+        for other, chain in chaining.all_chains(links["anchor"].to_numpy(), a, b):
+            wanted.setdefault(other, []).append(list(zip(a[chain].tolist(), b[chain].tolist())))
+        assert {other for u, other in got if u == uid} - {chaining.STRETCH} == set(wanted)
+        for other, chains in wanted.items():
+            row = got[uid, other]
+            places = list(zip(row["anchor_places"], row["places"]))
+            ends = np.cumsum(row["sizes"]).tolist()
+            assert [places[low:high] for low, high in zip([0, *ends], ends)] == chains
+
+
+def test_links_in_order_have_the_scores_of_the_tree():
+    rng = np.random.default_rng(5)
+    for _ in range(100):
+        n = int(rng.integers(1, 40))
+        a, b = (np.cumsum(rng.choice([1, 3, 12, 40, 100, 200], n)).tolist() for _ in range(2))
+        assert chaining._scores_in_order(a, b) == chaining._scores(a, b)
