@@ -20,7 +20,7 @@ without ASCII white space), end exclusive.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -45,6 +45,7 @@ SPAN = 10  # words from the first to the last shared seed of a passage, at least
 GAP_COST = 0.015  # of a seed's worth, for each word of distance on either side
 CHUNK_CHARS = 2_000_000
 STRETCH = -1  # the anchor's number in rows that hold a document's stretches
+LISTED = 1 << 18  # words of a text, at most, whose numbers are kept in a list
 GROUP = 64  # documents aligned with one anchor document in one group
 PASSAGE = ["doc_id", "partner_id", "start", "end", "partner_start", "partner_end", "n_equal", "uid", "anchor"]
 
@@ -85,7 +86,7 @@ def seeds(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return all_seeds(hashes, np.array([0, len(hashes)]))[:2]
 
 
-def _chunks(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _chunks(texts: list[str], hashed: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """The number of the first text and the ``word_hashes``, for some texts at a time."""
     at = 0
     while at < len(texts):
@@ -93,7 +94,7 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.
         while at < len(texts) and (at == begin or chars < CHUNK_CHARS):
             chars += len(texts[at])
             at += 1
-        yield begin, *word_hashes(texts[begin:at])
+        yield begin, *word_hashes(texts[begin:at], hashed)
 
 
 def first_ones(values: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -231,12 +232,17 @@ def _run(x: np.ndarray, y: np.ndarray) -> int:
     return n
 
 
-def threes(words: np.ndarray) -> list[int]:
+def threes(words: np.ndarray) -> np.ndarray:
     """One number for each three words in a row."""
-    return shingles(words, 3).tolist() if len(words) >= 3 else []
+    return shingles(words, 3) if len(words) >= 3 else words[:0]
 
 
-def _resume(x: list[int], y: list[int]) -> tuple[int, int] | None:
+def _listed(values: np.ndarray) -> Sequence[int]:
+    """The values as a list, which is read faster; those of a very long text stay an array, which is smaller."""
+    return values.tolist() if len(values) <= LISTED else values
+
+
+def _resume(x: Sequence[int], y: Sequence[int]) -> tuple[int, int] | None:
     """The nearest places of an equal number in two short lists."""
     if set(x).isdisjoint(y):
         return None
@@ -252,7 +258,7 @@ def _resume(x: list[int], y: list[int]) -> tuple[int, int] | None:
 
 
 def exact_runs(
-    x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]], x3: list[int] | None = None, y3: list[int] | None = None
+    x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]], x3: Sequence[int] | None = None, y3: Sequence[int] | None = None
 ) -> list[tuple[int, int, int]]:
     """Exact runs round a chain of seeds in ascending order: start in ``x`` and in ``y``, and length.
 
@@ -343,12 +349,7 @@ def document_chains(anchor: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tu
     if not good:
         return []
     kept = np.flatnonzero(np.isin(b, np.concatenate(good)))
-    order = kept[np.argsort(anchor[kept], kind="stable")]
-    others, starts = np.unique(anchor[order], return_index=True)
-    found = []
-    for other, low, high in zip(others, starts, [*starts[1:], len(order)]):
-        own = order[low:high]
-        found += [(int(other), own[chain]) for chain in chains(a[own], b[own])]
+    found = [(other, kept[links]) for other, links in all_chains(anchor[kept], a[kept], b[kept])]
     long = [(b[links[0]] - K - PICK, b[links[-1]] + K + PICK) for _, links in found if len(links) > 1]
     return [
         (other, links)
@@ -452,7 +453,7 @@ class _Stretch(NamedTuple):
     """Words of a text from ``begin`` on; ``before`` and ``behind`` tell whether the text has others."""
 
     words: np.ndarray
-    threes: list[int]
+    threes: Sequence[int]
     begin: int
     before: bool
     behind: bool
@@ -468,7 +469,7 @@ def _cut_out(margin: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for at, _, first, starts, ends in _chunks(texts):
+            for at, _, first, starts, ends in _chunks(texts, hashed=False):
                 some = batch.slice(at, len(first) - 1)
                 wanted, of = some.column("wanted").flatten(), pc.list_parent_indices(some.column("wanted")).to_numpy()
                 n = np.diff(first)[of]
@@ -503,7 +504,7 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = []
             all_threes = threes(hashes)
             for i, (low, high) in enumerate(zip(first[:-1].tolist(), first[1:].tolist()), at):
-                y = _Stretch(hashes[low:high], all_threes[low : max(low, high - 2)], begins[i], begins[i] > 0, behind[i])
+                y = _Stretch(hashes[low:high], _listed(all_threes[low : max(low, high - 2)]), begins[i], begins[i] > 0, behind[i])
                 if sizes[i] is None:
                     leader, x = (ids[i], uids[i]), y._replace(words=y.words.copy())
                     continue

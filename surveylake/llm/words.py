@@ -41,11 +41,13 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[BLOCK]
 
 
-def _block(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _block(data: np.ndarray, hashed: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end of each word of a block that splits no word."""
     space = _SPACE[data]
     edge = np.diff(space.astype(np.int8), prepend=1, append=1)
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    if not hashed:
+        return np.zeros(0, dtype=np.uint64), starts, ends
     power, inverse = _tables(len(data))
     sums = np.empty(len(data) + 1, dtype=np.uint64)
     sums[0] = 0
@@ -54,12 +56,12 @@ def _block(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return mix(hashes ^ (ends - starts).astype(np.uint64)), starts, ends
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str], hashed: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the words (runs without ASCII white space) of all texts in order.
 
     Returns the hashes, the first word of each text (one entry more than texts), and each word's
     first and last byte place in its text. Working memory is a few blocks of one MiB besides the
-    result; only a single word longer than that is taken whole.
+    result; only a single word longer than that is taken whole. Unless ``hashed`` there are places only.
     """
     encoded = [text.encode("utf-8", "replace") for text in texts]
     offsets = np.zeros(len(texts) + 1, dtype=np.int64)
@@ -75,7 +77,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
             else:
                 while end < len(data) and not _SPACE[data[end]]:
                     end += 1
-        h, s, e = _block(data[at:end])
+        h, s, e = _block(data[at:end], hashed)
         hashes.append(h)
         starts.append(s + at)
         ends.append(e + at)

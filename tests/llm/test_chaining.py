@@ -255,3 +255,53 @@ def test_links_in_order_have_the_scores_of_the_tree():
         n = int(rng.integers(1, 40))
         a, b = (np.cumsum(rng.choice([1, 3, 12, 40, 100, 200], n)).tolist() for _ in range(2))
         assert chaining._scores_in_order(a, b) == chaining._scores(a, b)
+
+
+def test_exact_runs_are_those_of_a_plain_search():
+    def equal(x, y):
+        return next((n for n, (one, other) in enumerate(zip(x, y)) if one != other), min(len(x), len(y)))
+
+    def nearest(x, y):
+        near = [(i + j, i, j) for i in range(chaining.GAP + 1) for j in range(chaining.GAP + 1) if len(x[i : i + 3]) == 3 and x[i : i + 3] == y[j : j + 3]]
+        return min(near)[1:] if near else None
+
+    def plain(x, y, links):
+        blocks = []
+        for i, j in links:
+            low, down = (blocks[-1][0] + blocks[-1][2], blocks[-1][1] + blocks[-1][2]) if blocks else (0, 0)
+            if i < low or j < down or equal(x[i : i + chaining.K], y[j : j + chaining.K]) < min(chaining.K, len(x) - i, len(y) - j):
+                continue
+            n = equal(x[low:i][::-1], y[down:j][::-1])
+            i, j = i - n, j - n
+            u, v, head = i, j, []
+            while not blocks and (near := nearest(x[:u][::-1], y[:v][::-1])):
+                u, v = u - near[0], v - near[1]
+                n = equal(x[:u][::-1], y[:v][::-1])
+                u, v = u - n, v - n
+                head.insert(0, (u, v, n))
+            blocks += head
+            near = (0, 0)
+            while near:
+                i, j = i + near[0], j + near[1]
+                n = equal(x[i:], y[j:])
+                blocks.append((i, j, n))
+                i, j = i + n, j + n
+                near = nearest(x[i:], y[j:])
+        return blocks
+
+    rng = np.random.default_rng(14)
+    for n in range(150):
+        x = rng.integers(0, 2**60 if n % 3 else 4, rng.integers(6, 150)).astype(np.uint64)
+        kept = x[rng.random(len(x)) > 0.06]
+        y = np.concatenate([rng.integers(0, 9, rng.integers(0, 12)).astype(np.uint64), np.insert(kept, rng.integers(0, len(kept) + 1, 5), np.uint64(7))])
+        links = sorted(zip(rng.integers(0, len(x), 12).tolist(), rng.integers(0, len(y), 12).tolist()))
+        links += [(i, j) for i in range(len(x) - 5) for j in range(len(y) - 5) if (x[i : i + 6] == y[j : j + 6]).all()]
+        links = [links[chain_link] for chain_link in chaining.chains(*map(np.array, zip(*sorted(set(links)))))[0].tolist()] if n % 2 else sorted(set(links))
+        wanted = plain(x.tolist(), y.tolist(), links)
+        assert chaining.exact_runs(x, y, links) == wanted
+        assert chaining.exact_runs(x, y, links, chaining.threes(x).tolist(), chaining.threes(y).tolist()) == wanted
+
+
+def test_places_of_words_without_their_hashes():
+    texts = ["a b c", "", " \n", "ab  é\tb", "b" * 3_000_000 + " c"]
+    assert all((x == y).all() for x, y in zip(word_hashes(texts)[1:], word_hashes(texts, hashed=False)[1:]))
