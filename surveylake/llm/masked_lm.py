@@ -83,12 +83,19 @@ class Network:
         return network
 
     def _forward(self, around: np.ndarray, target: np.ndarray):
+        """Layers with a row for each token; scores with a row for each class, over which they are summed fastest."""
         inputs = self.tokens.take(around.ravel(), axis=0).reshape(len(around), -1)
-        hidden = np.maximum(inputs @ self.inner + self.inner_bias, 0)
+        hidden = inputs @ self.inner
+        hidden += self.inner_bias
+        np.maximum(hidden, 0, out=hidden)
         high, low = target // HALF, target % HALF
-        first = hidden @ self.first + self.first_bias
-        knowing = np.maximum(hidden + self.given.take(high, axis=0), 0)
-        second = knowing @ self.second + self.second_bias
+        first = self.first.T @ hidden.T
+        first += self.first_bias[:, None]
+        knowing = self.given.take(high, axis=0)
+        knowing += hidden
+        np.maximum(knowing, 0, out=knowing)
+        second = self.second.T @ knowing.T
+        second += self.second_bias[:, None]
         return inputs, hidden, high, low, first, knowing, second
 
     def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -98,40 +105,49 @@ class Network:
     def learn(self, around: np.ndarray, target: np.ndarray, squares: Network) -> None:
         """One step of Adagrad on the mean log-probability."""
         inputs, hidden, high, low, first, knowing, second = self._forward(around, target)
-        n, rows = len(target), np.arange(len(target))
-        d_second, d_first = _shares_over(second, n), _shares_over(first, n)
-        d_second[rows, low] -= np.float32(1 / n)
-        d_first[rows, high] -= np.float32(1 / n)
-        d_knowing = (d_second @ self.second.T) * (knowing > 0)
-        d_hidden = (d_first @ self.first.T + d_knowing) * (hidden > 0)
-        d_inputs = (d_hidden @ self.inner.T).reshape(-1, EMBEDDING)
+        d_second, d_first = _error(second, low), _error(first, high)
+        d_knowing = d_second.T @ self.second.T
+        d_knowing *= knowing > 0
+        d_hidden = d_first.T @ self.first.T
+        d_hidden += d_knowing
+        d_hidden *= hidden > 0
+        d_inputs = (self.inner @ d_hidden.T).reshape(2 * SIDE, EMBEDDING, -1)
         step = Network(np.zeros(_SIZE, dtype=np.float32))
-        _sum_by(around.ravel(), d_inputs, step.tokens)
+        _sum_by_token(around, d_inputs, step.tokens)
         _sum_by(high, d_knowing, step.given)
         step.inner[:], step.inner_bias[:] = inputs.T @ d_hidden, d_hidden.sum(axis=0)
-        step.first[:], step.first_bias[:] = hidden.T @ d_first, d_first.sum(axis=0)
-        step.second[:], step.second_bias[:] = knowing.T @ d_second, d_second.sum(axis=0)
+        step.first[:], step.first_bias[:] = (d_first @ hidden).T, d_first.sum(axis=1)
+        step.second[:], step.second_bias[:] = (d_second @ knowing).T, d_second.sum(axis=1)
         squares.flat += step.flat * step.flat
         self.flat -= RATE * step.flat / (np.sqrt(squares.flat) + 1e-8)
 
 
 def _log_share(scores: np.ndarray, taken: np.ndarray) -> np.ndarray:
-    """Logarithm of the softmax at one place of each row."""
-    scores -= scores.max(axis=1, keepdims=True)
-    own = scores[np.arange(len(scores)), taken]
-    return own - np.log(np.exp(scores, out=scores).sum(axis=1))
+    """Logarithm of each column's softmax at one place."""
+    scores -= scores.max(axis=0)
+    own = scores[taken, np.arange(len(taken))]
+    return own - np.log(np.exp(scores, out=scores).sum(axis=0))
 
 
-def _shares_over(scores: np.ndarray, n: int) -> np.ndarray:
-    """The softmax of each row, divided by ``n``."""
-    scores -= scores.max(axis=1, keepdims=True)
+def _error(scores: np.ndarray, taken: np.ndarray) -> np.ndarray:
+    """Each column's softmax, less one at the place taken, divided by the number of columns."""
+    n = len(taken)
+    scores -= scores.max(axis=0)
     np.exp(scores, out=scores)
-    scores /= scores.sum(axis=1, keepdims=True) * np.float32(n)
+    scores /= scores.sum(axis=0) * np.float32(n)
+    scores[taken, np.arange(n)] -= np.float32(1 / n)
     return scores
 
 
+def _sum_by_token(around: np.ndarray, changes: np.ndarray, sums: np.ndarray) -> None:
+    """Add up changes by side, component and row for each token: counted, as most tokens of a batch are too few to sort."""
+    tokens = around.T.ravel().astype(np.intp)
+    for i in range(sums.shape[1]):
+        sums[:, i] = np.bincount(tokens, changes[:, i].ravel(), len(sums))
+
+
 def _sum_by(places: np.ndarray, rows: np.ndarray, sums: np.ndarray) -> None:
-    """Add up the rows of each place, which are below 65,536 and so sorted digit by digit."""
+    """Add up the rows of each place, of which there are few: below 65,536 and so sorted digit by digit."""
     short = places.astype(np.uint16)
     order = np.argsort(short, kind="stable")
     ordered = short[order]
